@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -363,3 +363,24 @@ def _merge_totals(old: DataFrame, new: DataFrame) -> DataFrame:
         .otherwise(F.col("o.run_start"))
         .alias("run_start"),
     )
+
+
+def checkpoint_state(state: AccountState) -> AccountState:
+    """Write the state once, so the next batch does not recompute earlier ones."""
+    return AccountState(
+        *[cut_lineage(t) for t in (state.history, state.totals, state.amounts)]
+    )
+
+
+def save_state(state: AccountState, path: str) -> None:
+    for name, table in vars(state).items():
+        table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+
+
+def load_state(spark: SparkSession, path: str) -> AccountState:
+    return AccountState(
+        *[
+            spark.read.parquet(f"{path.rstrip('/')}/{name}")
+            for name in ("history", "totals", "amounts")
+        ]
+    )

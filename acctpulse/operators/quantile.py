@@ -39,25 +39,22 @@ def _value_at(data: DataFrame, rank: int, low: float, high: float, n: int) -> fl
     inside = n  # rows with low <= v <= high
     while low < high and inside > GATHER_ROWS:
         width = (high - low) / BINS
-        if width <= 0 or low + width == low:
+        if low + width == low:  # only a few neighbouring doubles are left
             break
-        cell = F.least(F.floor((F.col("v") - low) / F.lit(width)), F.lit(BINS - 1))
-        rows = (
+        cell = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(BINS - 1))
+        cells = (
             data.where(F.col("v").between(low, high))
             .groupBy(cell.alias("cell"))
             .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
             .orderBy("cell")
             .collect()
         )
-        for row in rows:
+        for row in cells:
             if rank < row["n"]:
-                low, high, shrunk = row["low"], row["high"], row["n"]
                 break
             rank -= row["n"]
-        if shrunk == inside and len(rows) == 1 and row["low"] == low and row["high"] == high:
-            if (high - low) <= abs(low) * 1e-15:
-                break
-        inside = shrunk
+        # The lowest and highest value never share a cell, so the range shrinks.
+        low, high, inside = row["low"], row["high"], row["n"]
     if low == high:
         return low
     # Distinct values only: copies are counted, not gathered.
