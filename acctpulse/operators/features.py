@@ -16,6 +16,7 @@ from acctpulse.operators.windows import (
     CARRY,
     HISTORY,
     OWN,
+    STATS_COLUMNS,
     FeatureConfig,
     merge_moments,
     prepare,
@@ -24,6 +25,7 @@ from acctpulse.operators.windows import (
 from acctpulse.session import cut_lineage
 
 ACCOUNT = "account_number"
+TOTAL_TYPE = "decimal(28,2)"
 LOOKBACK_COLUMNS = [schema.SEQ, ACCOUNT, "us", "amount", "descr", "dc_sign"]
 
 
@@ -32,7 +34,7 @@ class AccountState:
     """What has to be remembered of an account to go on computing its features.
 
     history: the newest rows, at most ``history_cap`` per account;
-    totals:  one row per account (count, moments, extremes, last key, current run);
+    totals:  one row per account (count, sums, moments, extremes, last key, current run);
     amounts: how often each amount has occurred in the account.
     """
 
@@ -46,6 +48,7 @@ def feature_table(
     cfg: FeatureConfig | None = None,
     keep: Sequence[str] = (),
     state: AccountState | None = None,
+    stats: bool = False,
 ) -> DataFrame:
     """One row per event with every feature, in account order by (time, seq).
 
@@ -53,17 +56,19 @@ def feature_table(
     ones are cut into ordered chunks; a chunk gets the account's preceding rows
     as look-back and the totals of all earlier chunks as carry rows, so that no
     task ever holds a whole large account and the values stay the same.
+    ``stats`` adds the account's running totals after each row.
     """
     cfg = cfg or FeatureConfig()
     rows = prepare(df, cfg, keep)
     large = large_accounts(rows, cfg.chunk_rows)
     if not large:
-        return _whole_accounts(rows, cfg, keep, state)
+        return _whole_accounts(rows, cfg, keep, state, stats)
     names = rows.sparkSession.createDataFrame([(a,) for a, _ in large], f"{ACCOUNT} string")
     names = F.broadcast(names)  # at most total rows / chunk_rows names
-    rest = _whole_accounts(rows.join(names, ACCOUNT, "left_anti"), cfg, keep, state)
+    rest = _whole_accounts(rows.join(names, ACCOUNT, "left_anti"), cfg, keep, state, stats)
     chunks = max(2, math.ceil(sum(n for _, n in large) / cfg.chunk_rows))
-    split = _split_accounts(rows.join(names, ACCOUNT, "left_semi"), chunks, cfg, keep, state)
+    hot = rows.join(names, ACCOUNT, "left_semi")
+    split = _split_accounts(hot, chunks, cfg, keep, state, stats)
     return rest.unionByName(split)
 
 
@@ -74,10 +79,14 @@ def large_accounts(rows: DataFrame, chunk_rows: int) -> list[tuple[str, int]]:
 
 
 def _whole_accounts(
-    rows: DataFrame, cfg: FeatureConfig, keep: Sequence[str], state: AccountState | None
+    rows: DataFrame,
+    cfg: FeatureConfig,
+    keep: Sequence[str],
+    state: AccountState | None,
+    stats: bool,
 ) -> DataFrame:
     if state is None:
-        return window_features(rows, cfg, [ACCOUNT], keep=keep)
+        return window_features(rows, cfg, [ACCOUNT], keep=keep, stats=stats)
     active = rows.select(ACCOUNT).distinct()
     history = state.history.join(active, ACCOUNT, "left_semi")
     totals = state.totals.join(active, ACCOUNT, "left_semi")
@@ -88,13 +97,15 @@ def _whole_accounts(
         F.col("n").alias("c_n"),
         F.col("mean").alias("c_mean"),
         F.col("m2").alias("c_m2"),
+        F.col("total").alias("c_total"),
+        F.col("squares").alias("c_squares"),
         F.col("low").alias("c_low"),
         F.col("high").alias("c_high"),
         (F.col("n") - F.coalesce("held", F.lit(0))).alias("c_base"),
         F.col("run_start").alias("c_run_start"),
     )
     return window_features(
-        _with_lookback(rows, history, carry, amounts), cfg, [ACCOUNT], carried=True, keep=keep
+        _with_lookback(rows, history, carry, amounts), cfg, [ACCOUNT], True, keep, stats
     )
 
 
@@ -120,6 +131,7 @@ def _split_accounts(
     cfg: FeatureConfig,
     keep: Sequence[str],
     state: AccountState | None,
+    stats: bool,
 ) -> DataFrame:
     """Features of accounts that are too large for one task."""
     ordered = rows.repartitionByRange(chunks, ACCOUNT, "us", schema.SEQ).sortWithinPartitions(
@@ -145,6 +157,7 @@ def _split_accounts(
         [ACCOUNT, "chunk"],
         carried=True,
         keep=keep,
+        stats=stats,
     )
 
 
@@ -173,6 +186,8 @@ def _chunk_summary(placed: DataFrame, state: AccountState | None) -> DataFrame:
             F.max("pos").alias("last_pos"),
             F.avg(value).alias("mean"),
             (F.var_pop(value) * F.count("*")).alias("m2"),
+            F.sum("amount").alias("total"),
+            F.sum(value * value).alias("squares"),
             F.min(value).alias("low"),
             F.max(value).alias("high"),
             F.max("changed").alias("last_change"),
@@ -190,6 +205,8 @@ def _chunk_summary(placed: DataFrame, state: AccountState | None) -> DataFrame:
                 (F.col("n") - 1).alias("last_pos"),
                 "mean",
                 "m2",
+                "total",
+                "squares",
                 "low",
                 "high",
                 (F.col("run_start") - 1).alias("last_change"),
@@ -234,6 +251,8 @@ def _chunk_carry(summary: DataFrame) -> DataFrame:
         F.when(count > 0, F.greatest(squares - shifted * shifted / count, F.lit(0.0))).alias(
             "c_m2"
         ),
+        F.sum("total").over(before).cast(TOTAL_TYPE).alias("c_total"),
+        F.sum("squares").over(before).alias("c_squares"),
         F.min("low").over(before).alias("c_low"),
         F.max("high").over(before).alias("c_high"),
         F.max("change_at").over(before).alias("c_run_start"),
@@ -311,6 +330,8 @@ def account_state(
         F.count("*").alias("n"),
         F.avg(value).alias("mean"),
         (F.var_pop(value) * F.count("*")).alias("m2"),
+        F.sum("amount").cast(TOTAL_TYPE).alias("total"),
+        F.sum(value * value).alias("squares"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
         F.max_by("amount", order).alias("last_amount"),
@@ -348,6 +369,9 @@ def _merge_totals(old: DataFrame, new: DataFrame) -> DataFrame:
         count = F.coalesce(F.col(f"{side}.n"), F.lit(0))
         return count, F.col(f"{side}.mean"), F.col(f"{side}.m2")
 
+    def both(name: str) -> Column:
+        return F.coalesce(f"o.{name}", F.lit(0)) + F.coalesce(f"n.{name}", F.lit(0))
+
     n, mean, m2 = merge_moments(part("o"), part("n"))
     touched = F.col("n.n").isNotNull()
     return joined.select(
@@ -355,6 +379,8 @@ def _merge_totals(old: DataFrame, new: DataFrame) -> DataFrame:
         n.alias("n"),
         mean.alias("mean"),
         m2.alias("m2"),
+        both("total").cast(TOTAL_TYPE).alias("total"),
+        both("squares").alias("squares"),
         F.least("o.low", "n.low").alias("low"),
         F.greatest("o.high", "n.high").alias("high"),
         F.coalesce("n.last_amount", "o.last_amount").alias("last_amount"),
@@ -384,3 +410,12 @@ def load_state(spark: SparkSession, path: str) -> AccountState:
             for name in ("history", "totals", "amounts")
         ]
     )
+
+
+def running_account_stats(
+    df: DataFrame, cfg: FeatureConfig | None = None, state: AccountState | None = None
+) -> DataFrame:
+    """Count, sum, sum of squares, mean and deviation of an account after each row."""
+    return feature_table(df, cfg, state=state, stats=True).select(
+        schema.SEQ, ACCOUNT, *STATS_COLUMNS
+    )

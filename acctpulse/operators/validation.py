@@ -56,9 +56,9 @@ def parse_timestamps(df: DataFrame, strict: bool = True, name: str = "posting_ti
 
 
 def bad_timestamp_sample(df: DataFrame, name: str = "posting_timestamp", n: int = 5) -> DataFrame:
-    """Up to ``n`` texts that are present but do not parse."""
+    """The first ``n`` texts by seq that are present but do not parse."""
     bad = F.col(name).isNotNull() & scalar.parse_mixed_ts(F.col(name)).isNull()
-    return df.where(bad).select(name).limit(n)
+    return df.where(bad).orderBy(schema.SEQ).select(schema.SEQ, name).limit(n)
 
 
 def fill_missing(df: DataFrame, columns: Sequence[str], infinities: bool = False) -> DataFrame:

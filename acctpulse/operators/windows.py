@@ -34,7 +34,10 @@ MICROS = 1_000_000
 
 # Totals on a carry row: rows before this point, their moments and extremes, the
 # position before the first history row, and where the current run began.
-CARRY_COLUMNS = ["c_n", "c_mean", "c_m2", "c_low", "c_high", "c_base", "c_run_start"]
+CARRY_COLUMNS = [
+    "c_n", "c_mean", "c_m2", "c_total", "c_squares", "c_low", "c_high", "c_base", "c_run_start",
+]
+STATS_COLUMNS = ["txn_count", "amount_sum", "amount_sq_sum", "amount_mean", "amount_std"]
 
 
 @dataclass(frozen=True)
@@ -103,7 +106,12 @@ def _zero_if_null(col: Column) -> Column:
 
 
 def _account_level(
-    rows: DataFrame, cfg: FeatureConfig, keys: Sequence[str], carried: bool, keep: Sequence[str]
+    rows: DataFrame,
+    cfg: FeatureConfig,
+    keys: Sequence[str],
+    carried: bool,
+    keep: Sequence[str],
+    stats: bool,
 ) -> DataFrame:
     """Everything ordered by (us, seq) within the account: one sort."""
     cap = cfg.history_cap
@@ -129,6 +137,13 @@ def _account_level(
             "own_var": F.var_pop(own_value).over(so_far),
         }
     )
+    if stats:
+        df = df.withColumns(
+            {
+                "own_total": F.sum(F.when(own, F.col("amount"))).over(so_far),
+                "own_squares": F.sum(own_value * own_value).over(so_far),
+            }
+        )
     if carried:
         carry = {c: F.max(c).over(so_far) for c in CARRY_COLUMNS}
         df = df.withColumns(
@@ -188,6 +203,7 @@ def _account_level(
     left_total = F.when(over_cap, F.col("total_at_cap")).otherwise(F.col("older_total"))
     left_total = F.coalesce(left_total, F.lit(0).cast("decimal(28,2)"))
 
+    mean, std = _running_moments(carried)
     velocity = [
         F.least(F.col("rn") - F.col(f"older_{name}"), F.lit(cap)).cast("int").alias(name)
         for name in cfg.velocity_windows
@@ -218,13 +234,28 @@ def _account_level(
         .otherwise(F.lit(0))
         .cast("int")
         .alias("dc_alternation_count_10txn"),
-        F.round(_zscore(value, carried), 6).alias("amount_zscore_account"),
+        F.round(
+            F.when(std > 0, (value - mean) / std).otherwise(F.lit(0.0)), 6
+        ).alias("amount_zscore_account"),
         (F.col("total") - left_total).cast("double").alias("cumulative_amount_10min"),
+        *(_running_stats(std, carried) if stats else []),
     )
 
 
-def _zscore(value: Column, carried: bool) -> Column:
-    """Population z-score of the running amounts, 0 where they do not vary."""
+def _running_stats(std: Column, carried: bool) -> list[Column]:
+    """Totals after each row, in the order of ``STATS_COLUMNS``."""
+    n, total, squares = F.col("own_n"), F.col("own_total"), F.col("own_squares")
+    if carried:
+        n = n + F.coalesce("c_n", F.lit(0))
+        total = F.coalesce(total + F.col("c_total"), total, F.col("c_total"))
+        squares = F.coalesce(squares + F.col("c_squares"), squares, F.col("c_squares"))
+    mean = total.cast("double") / F.nullif(n, F.lit(0))
+    values = [n, total, squares, mean, std]
+    return [v.alias(name) for v, name in zip(values, STATS_COLUMNS)]
+
+
+def _running_moments(carried: bool) -> tuple[Column, Column]:
+    """Mean and population deviation of all amounts so far."""
     mean, std = F.col("own_mean"), F.sqrt("own_var")
     if carried:
         n, mean, m2 = merge_moments(
@@ -233,7 +264,7 @@ def _zscore(value: Column, carried: bool) -> Column:
         )
         flat = F.least("low", "c_low") == F.greatest("high", "c_high")
         std = F.when(flat, F.lit(0.0)).otherwise(F.sqrt(m2 / F.nullif(n, F.lit(0))))
-    return F.when(std > 0, (value - mean) / std).otherwise(F.lit(0.0))
+    return mean, std
 
 
 def merge_moments(
@@ -331,13 +362,14 @@ def window_features(
     keys: Sequence[str] = ("account_number",),
     carried: bool = False,
     keep: Sequence[str] = (),
+    stats: bool = False,
 ) -> DataFrame:
     """All features of prepared rows; one shuffle by ``keys``.
 
     The finer groups (amount, description) lie inside a key group, so they
     re-sort within the task and need no further exchange.
     """
-    df = _account_level(rows, cfg, keys, carried, keep)
+    df = _account_level(rows, cfg, keys, carried, keep, stats)
     df = _same_amount_level(df, cfg, keys, carried)
     df = _same_amount_descr_level(df, cfg, keys)
     df = _same_descr_level(df, cfg, keys)
@@ -363,4 +395,5 @@ def window_features(
         "descr",
         *keep,
         *cfg.feature_columns,
+        *(STATS_COLUMNS if stats else []),
     )

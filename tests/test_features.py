@@ -6,7 +6,12 @@ from brute import EPOCH, features
 from pyspark.sql import functions as F
 
 from acctpulse import schema
-from acctpulse.operators.features import account_state, checkpoint_state, feature_table
+from acctpulse.operators.features import (
+    account_state,
+    checkpoint_state,
+    feature_table,
+    running_account_stats,
+)
 from acctpulse.operators.windows import FeatureConfig
 
 DESCRS = ["ATM", "GIRO", "PayNow", "Mystery"]
@@ -155,3 +160,22 @@ def test_missing_text_equals_itself(spark):
     for e in events:
         e["descr"] = "nan"
     assert_matches(feature_table(df).collect(), features(events))
+
+
+@pytest.mark.parametrize("chunk_rows", [10**6, 60])
+def test_running_stats(spark, chunk_rows):
+    events = sorted(make_events(21, n=160), key=lambda e: (e["us"], e["seq"]))
+    cfg = FeatureConfig(chunk_rows=chunk_rows)
+    got = {r["seq"]: r for r in running_account_stats(to_df(spark, events), cfg).collect()}
+    seen = {}
+    for e in events:
+        amounts = seen.setdefault(e["account"], [])
+        amounts.append(e["amount"] / 100)
+        n, row = len(amounts), got[e["seq"]]
+        mean = sum(amounts) / n
+        assert row["txn_count"] == n
+        assert float(row["amount_sum"]) == pytest.approx(sum(amounts))
+        assert row["amount_sq_sum"] == pytest.approx(sum(a * a for a in amounts))
+        assert row["amount_mean"] == pytest.approx(mean)
+        std = (sum((a - mean) ** 2 for a in amounts) / n) ** 0.5
+        assert row["amount_std"] == pytest.approx(std, abs=1e-9)
