@@ -7,16 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore"
+STREAM_DEFAULTS = {
+    f"{STATE_STORE}.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    f"{STATE_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.python.unix.domain.socket.enabled": "true",
+    **STREAM_DEFAULTS,
 }
 
 
@@ -49,3 +53,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so later stages never recompute a non-repeatable shuffle."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keyed state with several variables needs the RocksDB store; a session may lack it."""
+    for key, value in STREAM_DEFAULTS.items():
+        spark.conf.set(key, value)

@@ -16,6 +16,7 @@ from acctpulse.models.explain import as_map, explain_top
 from acctpulse.operators.features import ACCOUNT, AccountState
 from acctpulse.operators.validation import with_reject_reason
 from acctpulse.operators.windows import FeatureConfig
+from acctpulse.session import use_rocksdb
 from acctpulse.streaming.state import INITIAL_COLUMNS, AccountFeatures, output_schema
 
 
@@ -36,6 +37,7 @@ def stream_features(
     if retention not in ("parity", "bounded"):
         raise ValueError("retention is 'parity' or 'bounded'")
     cfg = cfg or FeatureConfig()
+    use_rocksdb(events.sparkSession)
     bounded = retention == "bounded"
     rows = events.where(F.col("posting_timestamp").isNotNull())
     if bounded:
