@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from acctpulse import schema
 from acctpulse.functions import scalar
 from acctpulse.operators.quantile import exact_quantile
-from acctpulse.session import cut_lineage, scratch_path
+from acctpulse.session import scratch_path
 
 EULER_GAMMA = 0.5772156649015329
-# Expected share of spare candidates, so that no tree runs short of rows.
-POOL_FACTOR = 4
+# Candidates per wanted row: with 256 wanted, running short is beyond 10 deviations.
+POOL_FACTOR = 3
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, rows int, depth int"
 
@@ -105,52 +105,38 @@ def _build_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list
     return out
 
 
-def sample_per_tree(df: DataFrame, n_trees: int, max_samples: int, seed: int) -> DataFrame:
+def sample_per_tree(
+    df: DataFrame, rows: int, n_trees: int, max_samples: int, seed: int, thin: bool = True
+) -> DataFrame:
     """``max_samples`` rows for each tree, uniform and without replacement.
 
-    A single hash per row thins the table to a pool of a few rows per wanted
-    row; each tree then takes the pool rows with the smallest hash of its own.
+    Each tree takes the rows with the smallest hash of its own.  ``thin`` keeps
+    that cheap: one hash per row first reduces a large table to a pool, and a
+    row becomes a candidate of a tree only if its hash for the tree is low.  Both
+    limits leave a multiple of the wanted rows, so a tree that runs short is
+    practically impossible; ``fit_forest`` checks it and repeats without thinning.
     """
-    total = df.count()
+    pool, pool_rows = df, rows
     wanted = n_trees * max_samples * POOL_FACTOR
-    row_hash = F.xxhash64(F.lit(seed), F.lit("pool"), F.col(schema.SEQ))
-    pool = df
-    if total > 2 * wanted:
-        pool = df.where(row_hash < _hash_limit(wanted / total))
-    pool = cut_lineage(pool)
-    pool_rows = pool.count()
-    share = POOL_FACTOR * max_samples / max(pool_rows, 1)
-    tree_hash = F.transform(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: F.struct(
-            t.alias("tree"), F.xxhash64(F.lit(seed), t, F.col(schema.SEQ)).alias("pick")
-        ),
+    if thin and rows > 2 * wanted:
+        row_hash = F.xxhash64(F.lit(seed), F.lit("pool"), F.col(schema.SEQ))
+        pool, pool_rows = df.where(row_hash < _hash_limit(wanted / rows)), wanted
+    share = min(1.0, POOL_FACTOR * max_samples / max(pool_rows, 1)) if thin else 1.0
+    trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
+    pick = F.xxhash64(F.lit(seed), F.col("tree"), F.col(schema.SEQ))
+    lowest = W.partitionBy("tree").orderBy("pick", schema.SEQ)
+    return (
+        pool.withColumn("tree", trees)
+        .withColumn("pick", pick)
+        .where(F.col("pick") <= _hash_limit(share))
+        .withColumn("rank", F.row_number().over(lowest))
+        .where(F.col("rank") <= max_samples)
     )
 
-    def draw(limit: float) -> DataFrame:
-        wide = pool.withColumn(
-            "t",
-            F.explode(F.filter(tree_hash, lambda s: s["pick"] < _hash_limit(limit))),
-        ).select("t.*", *df.columns)
-        first = W.partitionBy("tree").orderBy("pick", schema.SEQ)
-        return wide.withColumn("rank", F.row_number().over(first)).where(
-            F.col("rank") <= max_samples
-        )
-
-    need = min(max_samples, pool_rows)
-    picked = cut_lineage(draw(min(share, 1.0)))
-    if share < 1.0:
-        short = picked.groupBy("tree").count().where(F.col("count") >= need).count()
-        if short < n_trees:
-            picked = cut_lineage(draw(1.0))
-    return picked
-
-
-def _hash_limit(share: float) -> int | Column:
+
+def _hash_limit(share: float) -> Column:
     """Upper bound that a ``share`` of all 64-bit hashes stays below."""
-    if share >= 1.0:
-        return F.lit(2**63 - 1)
-    return F.lit(int(-(2**63) + share * 2**64))
+    return F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))
 
 
 def fit_forest(
@@ -169,7 +155,6 @@ def fit_forest(
     rows = x.count()
     size = min(256 if max_samples == "auto" else int(max_samples), rows)
     depth = max(1, math.ceil(math.log2(max(size, 2))))
-    picked = sample_per_tree(x, n_estimators, size, random_state)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
@@ -180,8 +165,12 @@ def fit_forest(
         out.insert(0, "tree", tree)
         return out
 
-    nodes = picked.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
-    nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
+    for thin in (True, False):
+        picked = sample_per_tree(x, rows, n_estimators, size, random_state, thin)
+        nodes = picked.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
+        nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
+        if (nodes.loc[nodes["node"] == 0, "rows"] == size).sum() == n_estimators:
+            break
     model = ForestModel(features, nodes, n_estimators, size)
     if contamination != "auto":
         scores = x.select(raw_score(x, model).alias("raw"))

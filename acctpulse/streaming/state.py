@@ -214,7 +214,8 @@ class AccountFeatures(StatefulProcessor):
                 self.lookback, self.velocity,
             )
             std = math.sqrt(m2 / n) if low < high else 0.0
-            row["amount_zscore_account"] = round((value - mean) / std, 6) if std > 0 else 0.0
+            zscore = (value - mean) / std if std > 0 else 0.0
+            row["amount_zscore_account"] = round(zscore, 6) + 0.0  # no negative zero
             row["duplicate_streak"] = streak
             row["same_amount_frequency"] = seen[amount]
             out.append(row)

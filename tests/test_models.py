@@ -39,7 +39,7 @@ def test_forest_independent_of_partitioning(points, model):
 
 
 def test_forest_samples_have_full_size(points):
-    counts = forest.sample_per_tree(points, 5, 64, 1).groupBy("tree").agg(
+    counts = forest.sample_per_tree(points, 3000, 5, 64, 1).groupBy("tree").agg(
         F.count("*").alias("n"), F.count_distinct("seq").alias("d")
     )
     assert {tuple(r) for r in counts.collect()} == {(t, 64, 64) for t in range(5)}
