@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acctpulse import schema
 from acctpulse.functions import scalar
 from acctpulse.operators.topn import top_n_per_key
+from acctpulse.session import cut_lineage
 
 def newest_first():
     return [F.desc("us"), F.desc(schema.SEQ)]
@@ -17,6 +21,36 @@ def _timed(df: DataFrame) -> DataFrame:
     return df.withColumn("us", scalar.epoch_micros(F.col("posting_timestamp")))
 
 
+def account_positions(rows: DataFrame, order: Sequence[str], counted: Column) -> DataFrame:
+    """Adds ``position``: how many ``counted`` rows of the account lie at or before a row.
+
+    Rows are cut into ranges by (account, ``order``), so no task holds more than
+    one range, however large the account.  The ranges are written once because
+    their number is used as a key; counts of earlier ranges are then added.
+    """
+    keys = ["account_number", *order]
+    placed = cut_lineage(
+        rows.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumns({"_part": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()})
+    )
+    one = F.when(counted, 1)
+    parts = placed.groupBy("account_number", "_part").agg(F.count(one).alias("_n"))
+    earlier = W.partitionBy("account_number").orderBy("_part")
+    earlier = earlier.rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(
+        "account_number", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    inside = W.partitionBy("account_number", "_part").orderBy("_pos")
+    inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (
+        placed.withColumn("_inside", F.count(one).over(inside))
+        .join(parts, ["account_number", "_part"])
+        .withColumn("position", F.col("_before") + F.col("_inside"))
+        .drop("_part", "_pos", "_before", "_inside")
+    )
+
+
 def window_lookup(
     events: DataFrame,
     asks: DataFrame,
@@ -25,24 +59,42 @@ def window_lookup(
 ) -> DataFrame:
     """Events of an account within ``window_seconds`` up to the asked time.
 
-    ``asks`` has (ask_id, account_number, asked_at).  Time is cut into buckets
-    of the window's length, so an ask meets two buckets of its account instead
-    of the whole account; a very large account is spread over its buckets.  The
-    newest ``cap`` rows count, as the history holds no more.
+    ``asks`` has (ask_id, account_number, asked_at).  Only the newest ``cap`` rows
+    count, as the history holds no more.  Asks and rows first get their position
+    in the account; they then meet on (account, position / cap), where an ask
+    looks at two buckets of at most ``cap`` rows, also in a crowded account.
     """
-    width = max(int(round(window_seconds * 1_000_000)), 1)
-    rows = _timed(events).withColumn("bucket", F.floor(F.col("us") / F.lit(width)))
-    asked = (
-        asks.withColumn("asked_us", scalar.epoch_micros(F.col("asked_at")))
-        .withColumn("bucket", F.floor(F.col("asked_us") / F.lit(width)))
-        .withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"))))
+    width = int(round(window_seconds * 1_000_000))
+    row, ask = _timed(events), asks.select("ask_id", "account_number", "asked_at")
+    ask = ask.withColumn("us", scalar.epoch_micros(F.col("asked_at")))
+    names = [c for c in row.columns if c not in ("account_number", "us")]
+    tagged = row.select("account_number", "us", F.struct(*names).alias("row")).unionByName(
+        ask.select("account_number", "us", F.struct("ask_id", "asked_at").alias("ask")),
+        allowMissingColumns=True,
+    )
+    # An ask comes after the rows of its own instant.
+    tagged = tagged.withColumns(
+        {"is_ask": F.col("ask").isNotNull(), "tie": F.coalesce(f"row.{schema.SEQ}", "ask.ask_id")}
+    )
+    placed = account_positions(tagged, ["us", "is_ask", "tie"], ~F.col("is_ask"))
+    bucket = F.floor((F.col("position") - 1) / F.lit(cap))
+    left = placed.where(~F.col("is_ask")).select(
+        "account_number", "us", "position", "row", bucket.alias("bucket")
+    )
+    right = placed.where("is_ask").select(
+        "account_number",
+        F.col("us").alias("asked_us"),
+        F.col("position").alias("upto"),
+        "ask",
+        F.explode(F.array_distinct(F.array(bucket - 1, bucket))).alias("bucket"),
     )
-    hits = (
-        asked.join(rows, ["account_number", "bucket"])
-        .where((F.col("us") <= F.col("asked_us")) & (F.col("us") >= F.col("asked_us") - width))
-        .drop("bucket", "asked_us")
+    hits = left.join(right, ["account_number", "bucket"]).where(
+        (F.col("position") <= F.col("upto"))
+        & (F.col("position") > F.col("upto") - cap)
+        & (F.col("us") >= F.col("asked_us") - width)
     )
-    return top_n_per_key(hits, ["ask_id"], newest_first(), cap, rank="newest_rank").drop("us")
+    rank = (F.col("upto") - F.col("position") + 1).alias("newest_rank")
+    return hits.select("account_number", "ask.*", "row.*", rank)
 
 
 def last_n_rows(events: DataFrame, n: int) -> DataFrame:

@@ -53,7 +53,7 @@ class FeatureConfig:
     debit_credit_codes: Mapping[str, int] | None = None
     input_source_codes: Mapping[str, int] | None = None
     # Accounts with more rows than this are split into ordered chunks.
-    chunk_rows: int = 4_000_000
+    chunk_rows: int = 2_000_000
 
     @property
     def feature_columns(self) -> list[str]:

@@ -10,6 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from acctpulse.functions import scalar
 
 
+# Spark's own format for text files keeps milliseconds only.
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def default_output(path: str) -> str:
     """Where scored rows go if no output is named: ``scored_`` before the file name."""
     folder, slash, name = path.rstrip("/").rpartition("/")
@@ -36,7 +40,8 @@ def write_scored_csv(df: DataFrame, path: str, guard: bool = True) -> None:
     """CSV parts with header; the key column is protected from spreadsheets."""
     out = flatten_for_csv(df)
     out = guard_first_column(out) if guard else out
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    options = {"header": True, "escape": '"', "timestampFormat": TIMESTAMP_TEXT}
+    out.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

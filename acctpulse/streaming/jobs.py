@@ -174,34 +174,37 @@ def stream_score(
     )
 
 
-def split_late(accepted_path: str, late_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: rows in time order to one table, late rows to another.
+def split_late(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: rows in time order and late rows in separate partitions.
 
-    Each micro-batch owns one folder, so a repeated batch replaces its own output.
+    One write, so the stateful stage runs once.  Each micro-batch owns one folder,
+    so a repeated batch replaces its own output.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        for late, path in ((False, accepted_path), (True, late_path)):
-            batch.where(F.col("is_late") == late).write.mode("overwrite").parquet(
-                f"{path.rstrip('/')}/batch={batch_id}"
-            )
-        batch.unpersist()
+        target = f"{path.rstrip('/')}/batch={batch_id}"
+        batch.write.mode("overwrite").partitionBy("is_late").parquet(target)
 
     return write
 
 
-def start_split(
-    features: DataFrame, accepted_path: str, late_path: str, checkpoint: str
-) -> StreamingQuery:
+def start_split(features: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (
-        features.writeStream.foreachBatch(split_late(accepted_path, late_path))
+        features.writeStream.foreachBatch(split_late(path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows in time order, late rows); each reads its own partitions only."""
+    rows = spark.read.parquet(path).drop("batch")
+    late = F.col("is_late").cast("boolean")  # read back from folder names
+    accepted, aside = rows.where(F.col("is_late") == "false"), rows.where(F.col("is_late") == "true")
+    return accepted.withColumn("is_late", late), aside.withColumn("is_late", late)
+
+
 def state_inspect(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Accounts tracked and rows held, read from the stream's checkpoint."""
     held = (

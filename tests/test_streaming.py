@@ -54,12 +54,13 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
 def test_late_rows_go_aside(spark, tmp_path):
     events = sorted(make_events(32, n=60, accounts=1, hot=1.0), key=lambda e: (e["us"], e["seq"]))
     late = events.pop(10)
-    src, ok, aside, cp = (str(tmp_path / d) for d in ("src", "ok", "late", "cp"))
+    src, out, cp = (str(tmp_path / d) for d in ("src", "out", "cp"))
     for part in (events[:40], [late, *events[40:]]):
         feed(spark, src, part)
-        drain(jobs.start_split(jobs.stream_features(source(spark, src)), ok, aside, cp))
-    assert_matches(spark.read.parquet(ok).collect(), features(events))
-    rows = spark.read.parquet(aside).collect()
+        drain(jobs.start_split(jobs.stream_features(source(spark, src)), out, cp))
+    accepted, aside = jobs.read_split(spark, out)
+    assert_matches(accepted.collect(), features(events))
+    rows = aside.collect()
     assert [r["seq"] for r in rows] == [late["seq"]]
     assert rows[0]["txn_count_1s"] is None and rows[0]["dc_sign"] is None
 
