@@ -14,14 +14,20 @@ a polynomial of degree d - 1, which Gauss-Legendre nodes integrate exactly.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctpulse.models.forest import ForestModel, _matrix, average_path
+from acctpulse.models.forest import (
+    ForestModel,
+    _matrix,
+    average_path,
+    decision,
+    with_labels,
+)
 
 CONTRIBUTION_TYPE = "array<struct<name:string,value:double>>"
 ROWS_AT_ONCE = 32
@@ -97,23 +103,39 @@ def contributions(x: np.ndarray, groups: list[dict[str, np.ndarray]], width: int
     return out
 
 
-def contribution_column(df: DataFrame, model: ForestModel) -> Column:
-    """All contributions of a row as an array of (name, value)."""
+def with_contributions(
+    df: DataFrame, model: ForestModel, flagged_only: bool, name: str = "contributions"
+) -> DataFrame:
+    """Score, label, flag and contributions in one pass over the features.
+
+    With ``flagged_only`` the contributions are computed for anomalous rows and
+    null for the others, so their cost follows the number of anomalies.
+    """
     names = list(model.features)
-    shared = df.sparkSession.sparkContext.broadcast(leaf_boxes(model))
+    shared = df.sparkSession.sparkContext.broadcast((model.packed(), leaf_boxes(model)))
 
-    @F.pandas_udf("array<double>")
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        groups = shared.value
+    @F.pandas_udf("struct<score:double,contributions:array<double>>")
+    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packed, groups = shared.value
         for pdf in batches:
-            yield pd.Series(list(contributions(_matrix(pdf), groups, len(names))))
-
-    values = explain(F.struct(*[F.col(c).cast("double") for c in names]))
-    return F.zip_with(
+            x = _matrix(pdf)
+            score = decision(x, packed)
+            wanted = np.flatnonzero(score < 0) if flagged_only else np.arange(len(x))
+            out = np.empty(len(x), dtype=object)
+            for at, row in zip(wanted, contributions(x[wanted], groups, len(names))):
+                out[at] = row
+            yield pd.DataFrame({"score": score, "contributions": out})
+
+    result = evaluate(F.struct(*[F.col(c).cast("double") for c in names]))
+    named = F.zip_with(
         F.array(*[F.lit(n) for n in names]),
-        values,
+        F.col("_result.contributions"),
         lambda n, v: F.struct(n.alias("name"), v.alias("value")),
     )
+    scored = df.withColumn("_result", result).withColumns(
+        {"anomaly_score": F.col("_result.score"), name: named}
+    )
+    return with_labels(scored.drop("_result"))
 
 
 def topn_contributions(contribs: Column, n: int = 5) -> Column:
@@ -148,24 +170,9 @@ def as_map(top: Column) -> Column:
     return F.map_from_entries(top)
 
 
-def explain_top(
-    df: DataFrame, model: ForestModel, n: int = 5, name: str = "top_features"
+def score_and_explain(
+    df: DataFrame, model: ForestModel, n: int = 5, flagged_only: bool = True
 ) -> DataFrame:
-    """Adds the top contributions of every row."""
-    return df.withColumn(name, topn_contributions(contribution_column(df, model), n))
-
-
-def explain_flagged(
-    scored: DataFrame, model: ForestModel, n: int = 5, keep: Sequence[str] | None = None
-) -> DataFrame:
-    """Top contributions of flagged rows, null for the others; no row is shuffled.
-
-    The expensive values are computed on the flagged branch only, and both
-    branches read the same scored table, so pass a written one.
-    """
-    flagged = explain_top(scored.where("is_anomaly"), model, n)
-    rest = scored.where(~F.col("is_anomaly")).withColumn(
-        "top_features", F.lit(None).cast(CONTRIBUTION_TYPE)
-    )
-    out = flagged.unionByName(rest)
-    return out.select(*keep) if keep else out
+    """Scored rows with ``top_features``, the ``n`` strongest contributions."""
+    full = with_contributions(df, model, flagged_only, "_all")
+    return full.withColumn("top_features", topn_contributions(F.col("_all"), n)).drop("_all")

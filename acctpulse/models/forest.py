@@ -200,22 +200,28 @@ def mean_path(x: np.ndarray, m: dict) -> np.ndarray:
     return total / len(m["feature"])
 
 
-def raw_score(df: DataFrame, model: ForestModel) -> Column:
+def decision(x: np.ndarray, m: dict) -> np.ndarray:
+    """Score relative to the cut-off."""
+    return -(2.0 ** (-mean_path(x, m) / m["scale"])) - m["offset"]
+
+
+def raw_score(df: DataFrame, model: ForestModel, offset: float = 0.0) -> Column:
     """-2^(-mean path / expected path); close to -1 for isolated rows."""
-    shared = df.sparkSession.sparkContext.broadcast(model.packed())
+    packed = {**model.packed(), "offset": offset}
+    shared = df.sparkSession.sparkContext.broadcast(packed)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         m = shared.value
         for pdf in batches:
-            yield pd.Series(-(2.0 ** (-mean_path(_matrix(pdf), m) / m["scale"])))
+            yield pd.Series(decision(_matrix(pdf), m))
 
     return score(F.struct(*[F.col(c).cast("double") for c in model.features]))
 
 
 def score_forest(df: DataFrame, model: ForestModel) -> DataFrame:
     """Adds anomaly_score (negative = anomalous), anomaly_label (-1 / 1), is_anomaly."""
-    scored = df.withColumn("anomaly_score", raw_score(df, model) - F.lit(model.offset))
+    scored = df.withColumn("anomaly_score", raw_score(df, model, model.offset))
     return with_labels(scored)
 
 

@@ -156,6 +156,38 @@ def first_k(hits: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _own_cell(df: DataFrame, bounds: Sequence[tuple[int, float, float]]) -> Column:
+    """The last cell that begins at or before the query's place on the axis."""
+    ids, lows, _ = (np.array(c) for c in zip(*bounds))
+    shared = df.sparkSession.sparkContext.broadcast((ids, lows))
+
+    @F.pandas_udf("int")
+    def find(p: pd.Series) -> pd.Series:
+        ids, lows = shared.value
+        at = np.searchsorted(lows, p.to_numpy(), side="right") - 1
+        return pd.Series(ids[np.maximum(at, 0)])
+
+    return find("p")
+
+
+def _cells_in_reach(df: DataFrame, bounds: Sequence[tuple[int, float, float]]) -> Column:
+    """Cells that the interval p +- radius touches, without the query's own.
+
+    Cells are ordered along the axis, so those in reach are neighbours.
+    """
+    ids, lows, highs = (np.array(c) for c in zip(*bounds))
+    shared = df.sparkSession.sparkContext.broadcast((ids, lows, highs))
+
+    @F.pandas_udf("array<int>")
+    def find(p: pd.Series, radius: pd.Series, own: pd.Series) -> pd.Series:
+        ids, lows, highs = shared.value
+        first = np.searchsorted(highs, (p - radius).to_numpy(), side="left")
+        last = np.searchsorted(lows, (p + radius).to_numpy(), side="right")
+        return pd.Series([ids[a:b][ids[a:b] != o] for a, b, o in zip(first, last, own)])
+
+    return find("p", "radius", "cell")
+
+
 def neighbours(
     queries: DataFrame,
     refs: DataFrame,
@@ -172,32 +204,18 @@ def neighbours(
     features = list(features)
     if ref_rows is not None and ref_rows * (len(features) + 2) <= BROADCAST_VALUES:
         return _neighbours_by_broadcast(queries, refs, features, k, self_free)
-    lows = F.array(*[F.lit(float(low)) for _, low, _ in bounds])
-    ids = F.array(*[F.lit(int(c)) for c, _, _ in bounds])
-    at = F.greatest(F.size(F.filter(lows, lambda x: x <= F.col("p"))), F.lit(1))
-    queries = queries.withColumn("cell", F.element_at(ids, at))
+    queries = queries.withColumn("cell", _own_cell(queries, bounds))
     near = cut_lineage(_search_cells(queries, refs, features, k, self_free))
     reach = near.groupBy("qid").agg(
         F.max("dist").alias("reach"), F.sum("copies").alias("covered")
     )
     slack = F.col("reach") * (1 + 1e-9) + 1e-12
-    spans = F.array(
-        *[
-            F.struct(F.lit(int(c)).alias("c"), F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b"))
-            for c, a, b in bounds
-        ]
-    )
     open_end = F.coalesce(F.col("covered"), F.lit(0)) < k
     wide = queries.join(reach, "qid", "left").withColumn(
         "radius", F.when(open_end, F.lit(float("inf"))).otherwise(slack)
     )
-    others = F.filter(
-        spans,
-        lambda s: (s["c"] != F.col("cell"))
-        & (s["b"] >= F.col("p") - F.col("radius"))
-        & (s["a"] <= F.col("p") + F.col("radius")),
-    )
-    asks = wide.withColumn("cell", F.explode(F.transform(others, lambda s: s["c"]))).select(
+    others = _cells_in_reach(wide, bounds)
+    asks = wide.withColumn("cell", F.explode(others)).select(
         "qid", "cell", *features
     )
     far = _search_cells(asks, refs, features, k, self_free)

@@ -8,7 +8,6 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from acctpulse.models import forest, lof, ocsvm
-from acctpulse.models.explain import CONTRIBUTION_TYPE  # noqa: F401
 
 FITTERS = {
     "IsolationForest": forest.fit_forest,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from acctpulse import schema
 from acctpulse.models import select
-from acctpulse.models.explain import explain_flagged, topn_names
+from acctpulse.models.explain import CONTRIBUTION_TYPE, score_and_explain, topn_names
 from acctpulse.operators import reports
 from acctpulse.operators.features import AccountState, feature_table
 from acctpulse.operators.validation import fill_missing, require_columns
@@ -28,12 +28,12 @@ class TrainResult:
     score_stats: Mapping[str, float]
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write once below the shared folder and read back.
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write once, to ``path`` or below the shared folder, and read back.
 
     Used where several jobs read the same expensive table.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -77,20 +77,24 @@ def score_job(
     keep: Sequence[str] = (),
     top_n: int = 5,
     state: AccountState | None = None,
+    output: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(scored rows, one-row summary).
 
     Scored rows carry seq, time and amount besides the features, the score, the
     flag, and for flagged rows the names of the ``top_n`` strongest features.
+    They are written once, to ``output`` or the shared folder; the summary reads
+    only the flag of what was written.
     """
     cfg = cfg or FeatureConfig()
-    table = feature_table(events, cfg, keep, state)
-    scored = written(select.score(fill_missing(table, cfg.feature_columns), model), "scored")
+    table = fill_missing(feature_table(events, cfg, keep, state), cfg.feature_columns)
     if select.explains(model):
-        out = explain_flagged(scored, model, top_n)
+        scored = score_and_explain(table, model, top_n)
     else:
-        out = scored.withColumn("top_features", F.lit(None).cast(select.CONTRIBUTION_TYPE))
-    out = out.withColumn("top_5_features", topn_names(F.col("top_features"))).select(
+        scored = select.score(table, model).withColumn(
+            "top_features", F.lit(None).cast(CONTRIBUTION_TYPE)
+        )
+    scored = scored.withColumn("top_5_features", topn_names(F.col("top_features"))).select(
         "account_number",
         schema.SEQ,
         "posting_timestamp",
@@ -103,7 +107,8 @@ def score_job(
         "top_features",
         "top_5_features",
     )
-    return out, reports.score_summary(scored)
+    scored = written(scored, "scored", output)
+    return scored, reports.score_summary(scored)
 
 
 def load_model(spark: SparkSession, path: str) -> Any:

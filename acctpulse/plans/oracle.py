@@ -248,8 +248,8 @@ SELECT round(any_value(t), 9) AS threshold, count(*) FILTER (WHERE anomaly_score
         "state_stats": f"""SELECT count(*) AS accounts_tracked,
   CAST(sum(least(n, 60)) AS BIGINT) AS total_records
   FROM (SELECT account_number, count(*) AS n FROM ({DENSE}) GROUP BY 1)""",
-        "calendar_features": f"""SELECT seq, CAST(hour(posting_timestamp) AS BIGINT) AS hour_of_day,
-  CAST(isodow(posting_timestamp) < 6 AND hour(posting_timestamp) BETWEEN 8 AND 17 AS BIGINT)
+        "hour_of_day": f"SELECT seq, CAST(hour(posting_timestamp) AS BIGINT) AS hour_of_day FROM ({SPARSE})",
+        "is_business_hours": f"""SELECT seq, CAST(isodow(posting_timestamp) < 6 AND hour(posting_timestamp) BETWEEN 8 AND 17 AS BIGINT)
     AS is_business_hours FROM ({SPARSE})""",
         "velocity_custom": f"{_features(DENSE, windows=CUSTOM_WINDOWS)} SELECT seq, {_whole(list(CUSTOM_WINDOWS))} FROM f",
         "last_n_rows": f"""SELECT account_number, seq, newest_rank FROM (SELECT *,

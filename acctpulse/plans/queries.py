@@ -313,9 +313,11 @@ def _single_feature(name: str) -> Query:
     return run
 
 
-def calendar_features(spark, sf_dir):
-    rows = feature_table(views.sparse(spark, sf_dir))
-    return rows.select(schema.SEQ, "hour_of_day", "is_business_hours")
+def _calendar_feature(name: str) -> Query:
+    """On the times as they are; the dense view knows only a few hours."""
+    return lambda spark, sf_dir: feature_table(views.sparse(spark, sf_dir)).select(
+        schema.SEQ, name
+    )
 
 
 def full_feature_table(spark, sf_dir):
@@ -545,8 +547,7 @@ def iforest_score(spark, sf_dir):
 
 def shap_topk(spark, sf_dir):
     features, model = _fitted_forest(spark, sf_dir)
-    scored = jobs.written(forest.score_forest(features, model), "scored")
-    rows = explain.explain_flagged(scored, model).where("is_anomaly")
+    rows = explain.score_and_explain(features, model).where("is_anomaly")
     rows = rows.select(schema.SEQ, F.posexplode("top_features").alias("pos", "entry"))
     return rows.select(schema.SEQ, "pos", "entry.name", "entry.value")
 
@@ -721,7 +722,8 @@ def registry() -> dict[str, Query]:
             for name in schema.FEATURE_COLUMNS
             if name not in ("hour_of_day", "is_business_hours", "dc_sign")
         },
-        "calendar_features": calendar_features,
+        "hour_of_day": _calendar_feature("hour_of_day"),
+        "is_business_hours": _calendar_feature("is_business_hours"),
         "velocity_custom": velocity_custom,
         "last_n_rows": last_n_rows,
         "capped_history": capped_history,

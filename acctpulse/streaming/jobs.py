@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from acctpulse import schema
 from acctpulse.functions import scalar
 from acctpulse.models import select
-from acctpulse.models.explain import as_map, explain_top
+from acctpulse.models.explain import as_map, score_and_explain
 from acctpulse.operators.features import ACCOUNT, AccountState
 from acctpulse.operators.validation import with_reject_reason
 from acctpulse.operators.windows import FeatureConfig
@@ -154,11 +154,13 @@ def stream_score(
     if model.kind == "LocalOutlierFactor":
         raise ValueError("score a LocalOutlierFactor in batch or in foreachBatch")
     valid = with_reject_reason(events).where(F.col("reject_reason").isNull())
-    scored = select.score(stream_features(valid.drop("reject_reason"), cfg, **options), model)
+    features = stream_features(valid.drop("reject_reason"), cfg, **options)
     top = "top_features"
     if select.explains(model):
-        scored = explain_top(scored, model, top_n, top).withColumn(top, as_map(F.col(top)))
+        scored = score_and_explain(features, model, top_n, flagged_only=False)
+        scored = scored.withColumn(top, as_map(F.col(top)))
     else:
+        scored = select.score(features, model)
         scored = scored.withColumn(top, F.lit(None).cast("map<string,double>"))
     on_time = ~F.col("is_late")
     return scored.select(

@@ -106,9 +106,9 @@ def test_contributions_are_shapley_values(points, model):
 
 
 def test_explain_flagged(points, model):
-    scored = forest.score_forest(points, model)
-    rows = explain.explain_flagged(scored, model, 3).collect()
-    assert len(rows) == 3000
+    rows = explain.score_and_explain(points, model, 3).collect()
+    scores = {r["seq"]: r["anomaly_score"] for r in forest.score_forest(points, model).collect()}
+    assert {r["seq"]: r["anomaly_score"] for r in rows} == scores
     for r in rows:
         assert (r["top_features"] is not None) == r["is_anomaly"]
         if r["is_anomaly"]:
