@@ -9,7 +9,8 @@ import sys
 sys.path.insert(0, {repo!r})
 import __spark_entry__ as e
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+builder = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+spark = builder.config("spark.sql.shuffle.partitions", "2").getOrCreate()
 for name in ("iforest_score", "stream_features"):
     assert e.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
 print("done")
