@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from brute import features
-from pyspark.sql import functions as F
 from test_features import assert_matches, make_events, to_df
 
 from acctpulse import schema
