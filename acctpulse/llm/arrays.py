@@ -42,6 +42,20 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK) -> Iterator[p
         start = end
 
 
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each piece of ``data``: a polynomial, by differences of one running sum."""
+    n = len(data)
+    if n == 0 or len(start) == 0:
+        return np.zeros(0, np.uint64)
+    power, back = (np.full(n, b, np.uint64) for b in (BASE, INVERSE))
+    power[0] = back[0] = 1
+    np.cumprod(power, out=power)
+    np.cumprod(back, out=back)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
+    return mix((total[end] - total[start]) * back[start])
+
+
 def word_tables() -> tuple[np.ndarray, np.ndarray]:
     """For each byte: its form with A-Z lower-cased, and whether words hold it.
 
@@ -76,20 +90,7 @@ class Words:
         self.end = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        self.hash = self._hashes()
-
-    def _hashes(self) -> np.ndarray:
-        """A polynomial over each word's bytes, by differences of one running sum."""
-        n = len(self.data)
-        if n == 0 or len(self.start) == 0:
-            return np.zeros(0, np.uint64)
-        power, back = (np.full(n, b, np.uint64) for b in (BASE, INVERSE))
-        power[0] = back[0] = 1
-        np.cumprod(power, out=power)
-        np.cumprod(back, out=back)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
-        return mix((total[self.end] - total[self.start]) * back[self.start])
+        self.hash = hashes(self.data, self.start, self.end)
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, text and first word of each run of ``k`` words within a text."""

@@ -33,5 +33,44 @@ FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+OP2 = """
+WITH facts AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS payload FROM pages),
+largest AS (
+  SELECT payload, max(page_id) AS response FROM facts WHERE payload_bytes >= 1000 GROUP BY payload)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN response IS NULL OR response = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN response <> page_id THEN response END AS refers_to, true AS verified
+FROM facts LEFT JOIN largest USING (payload)
+"""
+
+OP6 = r"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://')
+    THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT page_id, url, regexp_extract(rest, '^[^/?#]*') AS h, rest FROM parts),
+placed AS (
+  SELECT page_id, url,
+    translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM hosts),
+rules(rule, verdict) AS (VALUES ('net/', 'block'), ('example.net/en/', 'allow'),
+  ('example.com/de/', 'block'), ('org/fr/', 'allow')),
+cut AS (SELECT rule, verdict, split_part(rule, '/', 1) AS rule_host,
+  substr(rule, length(split_part(rule, '/', 1)) + 1) AS rule_path FROM rules),
+best AS (
+  SELECT page_id, url, max(length(rule)) AS size, arg_max(rule, length(rule)) AS rule,
+    arg_max(verdict, length(rule)) AS verdict
+  FROM placed JOIN cut ON (host = rule_host OR ends_with(host, '.' || rule_host))
+    AND starts_with(path, rule_path) GROUP BY page_id, url)
+SELECT p.page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  coalesce(b.verdict, CASE WHEN regexp_matches(split_part(regexp_replace(lower(coalesce(p.url, '')),
+    '^[^:/?#]*://', '//'), '/', 3),
+    '(^|[^a-z0-9])(spam|casino|porn|xxx|viagra|warez|phishing|malware)($|[^a-z0-9?#][^?#]*|[?#])')
+    THEN 'block' ELSE 'allow' END) AS verdict
+FROM placed p LEFT JOIN best b ON p.page_id = b.page_id AND p.url = b.url
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op5_decontamination": OP5}
+    return {"op2_warc": OP2, "op5_decontamination": OP5, "op6_url_filter": OP6}

@@ -7,11 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctpulse.llm import decontaminate, langid, mixing, neardup, sharding
+from acctpulse.llm import (
+    decontaminate,
+    langid,
+    mixing,
+    neardup,
+    pq,
+    quality,
+    sharding,
+    toxicity,
+    urlfilter,
+    warc,
+)
 from acctpulse.llm.tables import KEY, keep, with_row_key
+from acctpulse.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 16
+PLACE_RULES = [
+    urlfilter.place_rule("block", "net/"),
+    urlfilter.place_rule("allow", "example.net/en/"),
+    urlfilter.place_rule("block", "example.com/de/"),
+    urlfilter.place_rule("allow", "org/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +47,19 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, ["doc_id", "held_out"])
 
 
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = with_row_key(table(spark, sf_dir, "pages"))
+    path = scratch_path(spark, "warc")
+    warc.archive(
+        pages.select(*KEY, F.col("page_id").alias("record_id"), "url", F.col("html").alias("payload")),
+        path,
+    )
+    return warc.verified(warc.read_records(spark, path)).select(
+        warc.id_of(F.col("record")).alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", warc.id_of(F.col("refers_to")).alias("refers_to"), "verified",
+    )
+
+
 def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_key(table(spark, sf_dir, "documents"))
     shards = sharding.kd_shards(sharding.light_rows(docs, ["doc_id"]), n_shards=N_SHARDS)
@@ -48,6 +79,36 @@ def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """Text and label of the rows that may teach; rows of one id with several labels teach each."""
+    labels = labels.select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
+    joined = docs.where(~F.col("held_out")).join(labels, F.col("doc_id") == F.col("id"))
+    return joined.select("doc_id", "text", "label")
+
+
+def _predicted(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", held_out(3, 1))
+    machine = toxicity.train(_labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
+    return _predicted(toxicity.score(docs, machine, ["doc_id", "held_out"]))
+
+
+def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", held_out(4, 2))
+    field = quality.train(_labelled(docs, table(spark, sf_dir, "labels"), "quality"))
+    return _predicted(quality.score(docs, field, ["doc_id", "held_out"]))
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, PLACE_RULES + urlfilter.DEFAULT_RULES).drop("url")
+
+
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_key(table(spark, sf_dir, "documents"))
     sizes = docs.select(*KEY, "doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
@@ -57,6 +118,11 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = with_row_key(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return pq.linked_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return neardup.near_duplicates(docs, []).select("doc_id", "class_id", "kept", "class_rows")
@@ -65,8 +131,13 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op1_language_id": language_id,
+        "op2_warc": warc_archive,
+        "op3_toxicity": toxic,
         "op4_kd_sharding": sharded,
         "op5_decontamination": decontaminated,
+        "op6_url_filter": url_filter,
         "op7_entropy_mixing": mixed,
+        "op8_pq_links": vector_links,
+        "op9_line_quality": line_quality,
         "op10_near_duplicates": near_duplicates,
     }
