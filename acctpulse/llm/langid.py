@@ -206,7 +206,7 @@ def identify(docs: DataFrame, model: LanguageFilter, keys: list[str]) -> DataFra
     )
 
 
-def accepted(least_fit: float = 0.1, least_grams: int = 20) -> Column:
+def accepted(least_fit: float = 0.02, least_grams: int = 20) -> Column:
     """Rows to keep: in a learned language, unless a text of some length fits none of them."""
     misfit = (F.col("n_grams") >= least_grams) & (F.col("fit") < least_fit)
     return (F.col("lang_pred") != UNKNOWN) & ~misfit
