@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -47,6 +47,8 @@ class ForestModel:
     n_trees: int
     max_samples: int
     offset: float = -0.5
+    #: Raw scores (seq, raw) of the rows it was fitted on, where the fit had to compute them.
+    fitted: DataFrame | None = field(default=None, repr=False, compare=False)
 
     kind = "IsolationForest"
 
@@ -106,22 +108,20 @@ def _build_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list
 
 
 def sample_per_tree(
-    df: DataFrame, rows: int, n_trees: int, max_samples: int, seed: int, thin: bool = True
+    df: DataFrame, rows: int, n_trees: int, max_samples: int, seed: int, factor: int = POOL_FACTOR
 ) -> DataFrame:
     """``max_samples`` rows for each tree, uniform and without replacement.
 
-    Each tree takes the rows with the smallest hash of its own.  ``thin`` keeps
-    that cheap: one hash per row first reduces a large table to a pool, and a
-    row becomes a candidate of a tree only if its hash for the tree is low.  Both
-    limits leave a multiple of the wanted rows, so a tree that runs short is
-    practically impossible; ``fit_forest`` checks it and repeats without thinning.
+    Each tree takes the rows with the smallest hash of its own.  To keep that cheap, one hash
+    per row first reduces the table to a pool, and a row becomes a candidate of a tree only
+    if its hash for the tree is low.  Both limits leave ``factor`` times the wanted rows (or all
+    rows of a small table), so a tree that runs short is practically impossible;
+    ``fit_forest`` checks it and doubles the factor.
     """
-    pool, pool_rows = df, rows
-    wanted = n_trees * max_samples * POOL_FACTOR
-    if thin and rows > 2 * wanted:
-        row_hash = F.xxhash64(F.lit(seed), F.lit("pool"), F.col(schema.SEQ))
-        pool, pool_rows = df.where(row_hash < _hash_limit(wanted / rows)), wanted
-    share = min(1.0, POOL_FACTOR * max_samples / max(pool_rows, 1)) if thin else 1.0
+    wanted = n_trees * max_samples * factor
+    row_hash = F.xxhash64(F.lit(seed), F.lit("pool"), F.col(schema.SEQ))
+    pool = df.where(row_hash <= _hash_limit(min(1.0, wanted / max(rows, 1))))
+    share = min(1.0, factor * max_samples / max(min(rows, wanted), 1))
     trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
     pick = F.xxhash64(F.lit(seed), F.col("tree"), F.col(schema.SEQ))
     lowest = W.partitionBy("tree").orderBy("pick", schema.SEQ)
@@ -152,12 +152,16 @@ def fit_forest(
     x = df.select(
         schema.SEQ, *[scalar.finite_or_zero(F.col(c), True).alias(c) for c in features]
     )
-    rows = x.count()
+    rows, keyed = x.agg(F.count("*"), F.count(schema.SEQ)).first()
+    if keyed < rows:
+        raise ValueError(f"{rows - keyed} rows have no {schema.SEQ}; rows are picked by it")
     size = min(256 if max_samples == "auto" else int(max_samples), rows)
     depth = max(1, math.ceil(math.log2(max(size, 2))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
+        if pdf[schema.SEQ].duplicated().any():
+            raise ValueError(f"{schema.SEQ} is not unique; rows are picked by it")
         sample = pdf.sort_values(["pick", schema.SEQ])[features].to_numpy(np.float64)
         rng = np.random.default_rng([random_state, tree])
         nodes = _build_tree(sample, rng, depth)
@@ -165,19 +169,23 @@ def fit_forest(
         out.insert(0, "tree", tree)
         return out
 
-    for thin in (True, False):
-        picked = sample_per_tree(x, rows, n_estimators, size, random_state, thin)
+    factor = POOL_FACTOR
+    while True:
+        picked = sample_per_tree(x, rows, n_estimators, size, random_state, factor)
         nodes = picked.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
         nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
-        if (nodes.loc[nodes["node"] == 0, "rows"] == size).sum() == n_estimators:
+        full = (nodes.loc[nodes["node"] == 0, "rows"] == size).sum() == n_estimators
+        if full or factor * size >= rows:  # nothing is left out by then
             break
+        factor *= 2
     model = ForestModel(features, nodes, n_estimators, size)
     if contamination != "auto":
-        scores = x.select(raw_score(x, model).alias("raw"))
+        scores = x.select(schema.SEQ, raw_score(x, model).alias("raw"))
         path = scratch_path(df.sparkSession, "forest-scores")
         scores.write.parquet(path)
         scores = df.sparkSession.read.parquet(path)
         model.offset = exact_quantile(scores, "raw", float(contamination))
+        model.fitted = scores
     return model
 
 

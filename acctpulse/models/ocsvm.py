@@ -80,7 +80,7 @@ def fit_ocsvm(
     g = scale_gamma(x, features) if gamma == "scale" else float(gamma)
     model = OcsvmModel(features, [0.0] * n_components, g, center, width, seed)
 
-    def low_mean(margin: Column, limit: float) -> np.ndarray:
+    def mean_of(rows: DataFrame) -> np.ndarray:
         w, b = fourier_map(len(features), n_components, g, seed)
 
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,19 +92,23 @@ def fit_ocsvm(
             if total[-1]:
                 yield pd.DataFrame({"at": np.arange(len(total)), "value": total})
 
-        low = x.where(margin <= limit).select(*features)
-        sums = low.mapInPandas(partial, "at int, value double").groupBy("at")
+        sums = rows.select(*features).mapInPandas(partial, "at int, value double").groupBy("at")
         rows = sums.agg(F.sum("value").alias("value")).orderBy("at").collect()
         total = np.array([r["value"] for r in rows])
         return total[:-1] / total[-1]
 
     # The first step starts from the mean of all rows.
-    weights = low_mean(F.lit(0.0), 0.0)
+    weights = mean_of(x)
     for step in range(1, steps + 1):
         model.weights = weights.tolist()
-        margin = _margin(x, model)
-        limit = x.agg(F.percentile_approx(margin, F.lit(nu), F.lit(10_000))).first()[0]
-        weights = weights + 2.0 / (step + 2.0) * (low_mean(margin, limit) - weights)
+        # Margins are computed once per step; their exact quantile then reads numbers only.
+        path = scratch_path(df.sparkSession, "ocsvm-step")
+        x.withColumn("_margin", _margin(x, model)).write.parquet(path)
+        known = df.sparkSession.read.parquet(path)
+        limit = exact_quantile(known, "_margin", nu)
+        weights = weights + 2.0 / (step + 2.0) * (
+            mean_of(known.where(F.col("_margin") <= limit)) - weights
+        )
     model.weights = weights.tolist()
     margins = scratch_path(df.sparkSession, "ocsvm-margins")
     x.select(_margin(x, model).alias("margin")).write.parquet(margins)

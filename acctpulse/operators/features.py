@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acctpulse import schema
+from acctpulse.functions import scalar
 from acctpulse.operators.topn import top_n_per_key
 from acctpulse.operators.windows import (
     CARRY,
@@ -56,9 +57,22 @@ def feature_table(
     ones are cut into ordered chunks; a chunk gets the account's preceding rows
     as look-back and the totals of all earlier chunks as carry rows, so that no
     task ever holds a whole large account and the values stay the same.
-    ``stats`` adds the account's running totals after each row.
+    ``stats`` adds the account's running totals after each row.  Rows without a time
+    come out too, with null features.
     """
     cfg = cfg or FeatureConfig()
+    return _placed_features(df, cfg, keep, state, stats).unionByName(
+        untimed_rows(df, cfg, keep), allowMissingColumns=True
+    )
+
+
+def _placed_features(
+    df: DataFrame,
+    cfg: FeatureConfig,
+    keep: Sequence[str],
+    state: AccountState | None,
+    stats: bool,
+) -> DataFrame:
     rows = prepare(df, cfg, keep)
     large = large_accounts(rows, cfg.chunk_rows)
     if not large:
@@ -72,6 +86,18 @@ def feature_table(
     return rest.unionByName(split)
 
 
+def untimed_rows(df: DataFrame, cfg: FeatureConfig, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows that no window can place, with the feature table's leading columns only."""
+    return df.where(F.col("posting_timestamp").isNull()).select(
+        F.col(schema.SEQ),
+        scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
+        F.lit(None).cast("timestamp").alias("posting_timestamp"),
+        F.col("transaction_ac_amount").cast(schema.AMOUNT_TYPE).alias("transaction_ac_amount"),
+        scalar.text_key(F.col("descr")).alias("descr"),
+        *[F.col(c) for c in keep],
+    )
+
+
 def large_accounts(rows: DataFrame, chunk_rows: int) -> list[tuple[str, int]]:
     """Accounts above the limit; there are at most total rows / chunk_rows of them."""
     counts = rows.groupBy(ACCOUNT).count().where(F.col("count") > chunk_rows)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from acctpulse import schema
 from acctpulse.functions import scalar
+from acctpulse.operators.features import feature_table
 from acctpulse.operators.topn import top_n_per_key
 from acctpulse.session import cut_lineage
 
@@ -135,13 +136,18 @@ def retention_counts(
     )
 
 
-def state_asof(features: DataFrame, as_of: str | None = None) -> DataFrame:
+def state_asof(events: DataFrame, as_of: str | None = None) -> DataFrame:
     """Last known state per account, optionally as of a time.
 
-    One aggregation with map-side combine; no sort and no large group.
+    Later events are filtered out before anything is computed, so the time reaches the scan;
+    of the features only the streak is computed.
     """
     if as_of:
-        features = features.where(F.col("posting_timestamp") <= F.lit(as_of).cast("timestamp"))
+        events = events.where(F.col("posting_timestamp") <= F.lit(as_of).cast("timestamp"))
+    features = feature_table(events).select(
+        "account_number", schema.SEQ, "posting_timestamp", "transaction_ac_amount", "descr",
+        "duplicate_streak",
+    )
     order = F.struct("posting_timestamp", schema.SEQ)
     value = F.col("transaction_ac_amount")
     last = F.max_by(F.struct("transaction_ac_amount", "descr", "duplicate_streak"), order)
@@ -150,6 +156,8 @@ def state_asof(features: DataFrame, as_of: str | None = None) -> DataFrame:
         .agg(
             F.count("*").alias("txn_count"),
             F.sum(value).alias("amount_sum"),
+            F.avg(value.cast("double")).alias("amount_mean"),
+            F.stddev_pop(value.cast("double")).alias("amount_std"),
             F.max("posting_timestamp").alias("last_posting"),
             last.alias("last"),
         )
@@ -157,6 +165,8 @@ def state_asof(features: DataFrame, as_of: str | None = None) -> DataFrame:
             "account_number",
             "txn_count",
             "amount_sum",
+            "amount_mean",
+            "amount_std",
             "last_posting",
             F.col("last.transaction_ac_amount").alias("last_amount"),
             F.col("last.descr").alias("last_descr"),
@@ -165,8 +175,11 @@ def state_asof(features: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
-def map_lookup(df: DataFrame, codes: DataFrame, column: str, limit_bytes: int) -> DataFrame:
-    """Category to code by a table; unknown is -1.  Broadcast only while small."""
-    if codes.count() * 200 <= limit_bytes:
-        codes = F.broadcast(codes)
+def map_lookup(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
+    """Category to code by a table; unknown is -1.
+
+    A category that the table holds several times has its lowest code, so no row of
+    ``df`` is multiplied.  The optimizer broadcasts the table where it is small.
+    """
+    codes = codes.groupBy(column).agg(F.min("code").alias("code"))
     return df.join(codes, column, "left").withColumn("code", F.coalesce("code", F.lit(-1)))

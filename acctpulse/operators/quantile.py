@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BINS = 4096
-# A range with no more rows than this is left to Spark's exact percentile.
-GATHER_ROWS = 200_000
+# A range with no more rows than this is gathered, by distinct value.
+GATHER_ROWS = 10_000
 
 
 def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
@@ -26,8 +26,6 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     n, low, high = data.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not n:
         return None
-    if n <= GATHER_ROWS:
-        return data.agg(F.percentile("v", F.lit(q))).first()[0]
     rank = q * (n - 1)
     below = math.floor(rank)
     first = _value_at(data, below, low, high, n)

@@ -14,7 +14,7 @@ from acctpulse.functions import scalar
 def require_columns(df: DataFrame, required: Sequence[str] = schema.REQUIRED_COLUMNS) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the events lack these columns: {missing}")
     return df
 
 
@@ -48,10 +48,7 @@ def parse_timestamps(df: DataFrame, strict: bool = True, name: str = "posting_ti
     if strict:
         sample = [r[name] for r in bad_timestamp_sample(df, name).collect()]
         if sample:
-            raise ValueError(
-                f"Invalid {name} values encountered; sample={sample}. "
-                "Expected parseable datetime strings."
-            )
+            raise ValueError(f"{name} holds text that is no time, such as {sample}")
     return df.withColumn(name, scalar.parse_mixed_ts(F.col(name)))
 
 

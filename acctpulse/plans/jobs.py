@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,22 +12,32 @@ from pyspark.sql import functions as F
 from acctpulse import schema
 from acctpulse.models import select
 from acctpulse.models.explain import CONTRIBUTION_TYPE, score_and_explain, topn_names
+from acctpulse.models.forest import with_labels
 from acctpulse.operators import reports
 from acctpulse.operators.features import AccountState, feature_table
-from acctpulse.operators.validation import fill_missing, require_columns
+from acctpulse.operators.validation import fill_missing, require_columns, validate_split
 from acctpulse.operators.windows import FeatureConfig
 from acctpulse.session import scratch_path
 
 
 @dataclass(frozen=True)
 class TrainResult:
+    """``rows`` were fitted and ``rejected`` broke a rule; together they are all events."""
+
     model: Any
     rows: int
+    rejected: int
     accounts: int
     anomalies: int
     score_stats: Mapping[str, float]
 
 
+class ScoreResult(NamedTuple):
+    scored: DataFrame
+    rejects: DataFrame
+    summary: DataFrame
+
+
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write once, to ``path`` or below the shared folder, and read back.
 
@@ -45,19 +55,24 @@ def train_job(
     cfg: FeatureConfig | None = None,
     model_path: str | None = None,
 ) -> TrainResult:
-    """Features, fit, training statistics, persist."""
+    """Check, features, fit, training statistics, persist.  Events that break a rule are counted."""
     cfg = cfg or FeatureConfig()
     select.check(model_type)
     require_columns(events, [schema.SEQ, *schema.REQUIRED_COLUMNS])
-    features = feature_table(events, cfg).select(
+    valid, rejects = validate_split(events)
+    features = feature_table(valid, cfg).select(
         schema.SEQ, "account_number", *cfg.feature_columns
     )
     features = written(fill_missing(features, cfg.feature_columns, True), "features")
     model = select.fit(features, cfg.feature_columns, model_type, params)
-    scored = select.score(features, model)
+    fitted = getattr(model, "fitted", None)
+    if fitted is None:
+        scored = select.score(features, model)
+    else:  # the fit has scored all rows already
+        scored = with_labels(fitted.withColumn(reports.SCORE, F.col("raw") - F.lit(model.offset)))
+    accounts = features.agg(F.count_distinct("account_number")).first()[0]
     row = scored.agg(
         F.count("*").alias("rows"),
-        F.count_distinct("account_number").alias("accounts"),
         F.count_if("is_anomaly").alias("anomalies"),
         F.avg(reports.SCORE).alias("mean"),
         F.stddev_pop(reports.SCORE).alias("std"),
@@ -67,7 +82,7 @@ def train_job(
     if model_path:
         select.save(events.sparkSession, model, model_path)
     stats = {k: row[k] for k in ("mean", "std", "min", "max")}
-    return TrainResult(model, row["rows"], row["accounts"], row["anomalies"], stats)
+    return TrainResult(model, row["rows"], rejects.count(), accounts, row["anomalies"], stats)
 
 
 def score_job(
@@ -78,16 +93,18 @@ def score_job(
     top_n: int = 5,
     state: AccountState | None = None,
     output: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(scored rows, one-row summary).
+) -> ScoreResult:
+    """Scored rows, rejected rows with their ``reject_reason``, one-row summary.
 
     Scored rows carry seq, time and amount besides the features, the score, the
     flag, and for flagged rows the names of the ``top_n`` strongest features.
-    They are written once, to ``output`` or the shared folder; the summary reads
-    only the flag of what was written.
+    They are written once, to ``output`` (rejects beside it) or the shared folder; the summary
+    reads only the flag of what was written, and says how many events were read and rejected.
     """
     cfg = cfg or FeatureConfig()
-    table = fill_missing(feature_table(events, cfg, keep, state), cfg.feature_columns)
+    valid, rejects = validate_split(events)
+    rejects = written(rejects, "rejects", f"{output.rstrip('/')}-rejects" if output else None)
+    table = fill_missing(feature_table(valid, cfg, keep, state), cfg.feature_columns)
     if select.explains(model):
         scored = score_and_explain(table, model, top_n)
     else:
@@ -108,7 +125,14 @@ def score_job(
         "top_5_features",
     )
     scored = written(scored, "scored", output)
-    return scored, reports.score_summary(scored)
+    rejected = rejects.count()
+    summary = reports.score_summary(scored).withColumns(
+        {
+            "rejected": F.lit(rejected).cast("bigint"),
+            "total_read": F.col("total_transactions") + F.lit(rejected),
+        }
+    )
+    return ScoreResult(scored, rejects, summary)
 
 
 def load_model(spark: SparkSession, path: str) -> Any:

@@ -44,6 +44,20 @@ DEFECTIVE = f"""SELECT seq, account_number, posting_timestamp,
   CASE WHEN value > 100 THEN 'X' ELSE dc END AS dc, src FROM ({DENSE})"""
 
 
+UNTIMELY = f"""SELECT seq, account_number,
+  CASE WHEN value NOT BETWEEN 20 AND 22 OR value IS NULL THEN posting_timestamp END AS posting_timestamp,
+  CASE WHEN value NOT BETWEEN 30 AND 31 OR value IS NULL THEN amount END AS amount,
+  descr, dc, src FROM (SELECT d.*, e.value FROM ({DEFECTIVE}) d JOIN events e ON e.event_id = d.seq)"""
+OUTCOME = f"""SELECT seq, CASE WHEN posting_timestamp IS NULL THEN 'missing posting_timestamp'
+  WHEN amount IS NULL THEN 'missing transaction_ac_amount' WHEN descr IS NULL THEN 'missing descr'
+  WHEN amount < 0 THEN 'negative amount' WHEN dc NOT IN ('D', 'C') THEN 'bad debit_credit_code'
+  ELSE 'scored' END AS outcome, account_number FROM ({UNTIMELY})"""
+SAME = "CAST(0 AS DOUBLE) AS difference, true AS same_flag"
+TREES = f"""SELECT CAST(i AS INTEGER) AS tree, CAST(least(256, n) AS BIGINT) AS root_rows,
+  CAST(least(256, n) AS BIGINT) AS leaf_rows, true AS depth_fits, true AS children_add_up
+  FROM generate_series(0, 99) AS t(i), (SELECT count(*) AS n FROM ({DENSE}))"""
+
+
 def _codes(column: str, codes: dict[str, int]) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in codes.items())
     return f"CAST(CASE {column} {whens} ELSE -1 END AS BIGINT)"
@@ -176,6 +190,37 @@ def statements() -> dict[str, str]:
   max(txn_count_30s) AS busiest_30s, max(cumulative_amount_10min) AS largest_10min,
   max(duplicate_streak) AS longest_streak FROM f GROUP BY account_number""",
         "read_csv": typed.format(ts=mixed, more="", view=SPARSE),
+        "read_csv_narrow": typed.format(
+            ts=mixed, more="", view=f"SELECT * REPLACE (row_number() OVER (ORDER BY seq) AS seq) FROM ({SPARSE})"
+        ),
+        "read_csv_wide": typed.format(
+            ts=mixed, more=", CASE WHEN amount IS NULL THEN 'transaction_ac_amount' ELSE '' END AS bad_fields",
+            view=f"SELECT * REPLACE (CASE WHEN descr <> 'error' THEN amount END AS amount) FROM ({SPARSE})"
+        ),
+        "save_model": TREES,
+        "iforest_fit": TREES,
+        "load_model": f"SELECT seq, {SAME} FROM ({DENSE})",
+        "stream_score": f"SELECT seq, {SAME} FROM ({DENSE})",
+        "stream_batch_score": f"SELECT seq, {SAME} FROM ({DENSE})",
+        "iforest_score": f"SELECT seq, account_number, true AS flag_is_sign FROM ({DENSE})",
+        "ocsvm_score": f"SELECT seq, account_number, true AS flag_is_sign FROM ({DENSE})",
+        "ocsvm_fit": f"""SELECT CAST(256 AS BIGINT) AS components, true AS length_fits, true AS share_fits,
+  count(*) AS n_rows FROM ({DENSE})""",
+        "shap_topk": f"SELECT seq, CAST({len(schema.FEATURE_COLUMNS)} AS BIGINT) AS entries, "
+        f"CAST(0 AS DOUBLE) AS gap FROM ({DENSE})",
+        "train_job": f"""SELECT count(*) FILTER (WHERE outcome = 'scored') AS n_rows,
+  count(*) FILTER (WHERE outcome <> 'scored') AS rejected,
+  count(DISTINCT account_number) FILTER (WHERE outcome = 'scored') AS accounts,
+  true AS stats_in_order, true AS share_fits FROM ({OUTCOME})""",
+        "batch_score_job": f"{_features(DENSE)} SELECT seq, "
+        + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in schema.FEATURE_COLUMNS)
+        + ", true AS goes_together FROM f",
+        "batch_score_job_rejects": f"SELECT seq, outcome FROM ({OUTCOME})",
+        "stream_score_rejects": f"SELECT seq, outcome FROM ({OUTCOME})",
+        "late_rescored": f"""WITH e AS ({DENSE}), m AS (SELECT account_number, max(posting_timestamp) AS newest
+  FROM e WHERE descr <> 'PayNow' GROUP BY 1)
+SELECT seq, {SAME} FROM e JOIN m ON m.account_number = e.account_number
+  WHERE descr = 'PayNow' AND posting_timestamp < newest""",
         "read_parquet": typed.format(ts="posting_timestamp", more="", view=SPARSE),
         "select_cast_key": "SELECT CAST(user_id AS VARCHAR) AS account_number, event_id, value FROM events",
         "write_scored_csv": f"""SELECT '="' || account_number || '"' AS account_number, seq,
@@ -196,7 +241,7 @@ def statements() -> dict[str, str]:
         "ordered_vector": f"{_features(DENSE)} "
         + " UNION ALL ".join(
             f"SELECT seq, CAST({i} AS BIGINT) AS pos, CAST({c} AS DOUBLE) AS feature_value FROM f"
-            for i, c in enumerate(schema.FEATURE_COLUMNS[:9])
+            for i, c in enumerate(schema.FEATURE_COLUMNS)
         ),
         "fill_missing": f"""SELECT seq, CASE WHEN value < 10 THEN 0.0 WHEN value < 15 THEN -1.0
   ELSE value END AS x, CASE WHEN value < 15 THEN 0.0 ELSE value END AS y FROM ({DENSE})""",
@@ -212,8 +257,12 @@ SELECT * FROM h WHERE newest_rank <= 1000""",
         "state_asof_lookup": f"""{_features(DENSE)}, u AS (SELECT *,
   row_number() OVER (PARTITION BY account_number ORDER BY posting_timestamp DESC, seq DESC) AS back
   FROM f WHERE posting_timestamp <= {half})
-SELECT account_number, txn_count, amount_sum, posting_timestamp AS last_posting,
-  amount AS last_amount, descr AS last_descr, duplicate_streak AS current_streak
+SELECT account_number, txn_count, amount_sum,
+  (SELECT round(avg(CAST(f.amount AS DOUBLE)), 6) FROM f WHERE f.account_number = u.account_number
+    AND f.posting_timestamp <= {half}) AS amount_mean,
+  (SELECT round(stddev_pop(CAST(f.amount AS DOUBLE)), 6) FROM f
+    WHERE f.account_number = u.account_number AND f.posting_timestamp <= {half}) AS amount_std,
+  posting_timestamp AS last_posting, amount AS last_amount, descr AS last_descr, duplicate_streak AS current_streak
   FROM u WHERE back = 1""",
         "map_lookup": f"SELECT seq, descr, {_codes('descr', schema.DESCR_CODES)} AS code FROM ({DENSE})",
         "score_summary": f"""SELECT count(*) AS total_transactions, {rate} AS anomalies_detected,

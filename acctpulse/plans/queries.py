@@ -72,6 +72,46 @@ def read_csv(spark, sf_dir):
     return rows.select(schema.SEQ, *schema.REQUIRED_COLUMNS)
 
 
+def _seven_columns(spark, sf_dir):
+    """The narrow layout: no sequence, another order, a column that is not ours."""
+    return _raw_text(spark, sf_dir).select(
+        "account_number", "posting_timestamp", "transaction_ac_amount", "descr",
+        "debit_credit_code", "input_source", F.lit(0).alias("is_anomaly"),
+    )
+
+
+def read_csv_narrow(spark, sf_dir):
+    """Seven columns, numbered by their order in the file."""
+    path = scratch_path(spark, "csv-narrow")
+    ordered = _raw_text(spark, sf_dir).select(schema.SEQ, *_seven_columns(spark, sf_dir).columns[:-1])
+    ordered = ordered.coalesce(1).sortWithinPartitions(schema.SEQ)
+    ordered.drop(schema.SEQ).withColumn("is_anomaly", F.lit(0)).write.option("header", True).csv(path)
+    rows = readers.with_sequence(readers.read_csv(spark, path).drop(schema.SEQ))
+    return validation.parse_timestamps(rows).select(schema.SEQ, *schema.REQUIRED_COLUMNS)
+
+
+def read_csv_wide(spark, sf_dir):
+    """Twenty-two columns in an order of their own, numbered by one of them; some amounts are no numbers."""
+    path = scratch_path(spark, "csv-wide")
+    raw = _raw_text(spark, sf_dir)
+    broken = F.when(F.col("descr") == "error", F.lit("n/a")).otherwise(
+        F.col("transaction_ac_amount").cast("string"))
+    others = [f"other_{i}" for i in range(22 - len(raw.columns))]
+    wide = raw.withColumn("transaction_ac_amount", broken).withColumnRenamed(schema.SEQ, "generated_txn_seq")
+    wide = wide.select(*others_as_text(others), *reversed(wide.columns))
+    wide.write.option("header", True).csv(path)
+    fields = [f for f in schema.RAW_SCHEMA.fields if f.name != schema.SEQ]
+    columns = T.StructType([*fields, T.StructField("generated_txn_seq", T.StringType())])
+    rows = readers.with_sequence(readers.read_csv(spark, path, columns), "generated_txn_seq")
+    return validation.parse_timestamps(rows).select(
+        schema.SEQ, *schema.REQUIRED_COLUMNS, F.array_join(readers.BAD_FIELDS, ",").alias("bad_fields")
+    )
+
+
+def others_as_text(names):
+    return [F.lit("x").alias(n) for n in names]
+
+
 def read_parquet(spark, sf_dir):
     return views.sparse(spark, sf_dir).select(schema.SEQ, *schema.REQUIRED_COLUMNS)
 
@@ -118,11 +158,42 @@ def _node_rows(spark, model):
     return spark.createDataFrame(model.nodes, forest.NODE_SCHEMA)
 
 
+def _tree_checks(nodes):
+    """Per tree: rows at its root and in its leaves, and whether depth and children are right."""
+    child = nodes.where("node > 0").select(
+        "tree", F.floor((F.col("node") - 1) / 2).cast("int").alias("node"),
+        F.col("rows").alias("part"), F.col("depth").alias("below"),
+    )
+    split = nodes.where("feature >= 0").select("tree", "node", "rows", "depth")
+    halves = split.join(child, ["tree", "node"], "left").groupBy("tree", "node", "rows", "depth")
+    halves = halves.agg(F.sum("part").alias("parts"), F.count("part").alias("n"),
+                        F.max("below").alias("below"))
+    right = (F.col("parts") == F.col("rows")) & (F.col("n") == 2)
+    right &= F.col("below") == F.col("depth") + 1
+    fits = halves.groupBy("tree").agg(F.min(F.coalesce(right, F.lit(False))).alias("children_add_up"))
+    leaf = F.when(F.col("feature") < 0, F.col("rows"))
+    whole = nodes.groupBy("tree").agg(
+        F.sum(F.when(F.col("node") == 0, F.col("rows"))).alias("root_rows"),
+        F.sum(leaf).alias("leaf_rows"), (F.max("depth") <= 8).alias("depth_fits"),
+    )
+    return whole.join(fits, "tree")
+
+
 def save_model(spark, sf_dir):
+    """What was written, read back."""
     _, model = _fitted_forest(spark, sf_dir)
     path = scratch_path(spark, "model")
     forest.save_forest(spark, model, path)
-    return spark.read.parquet(f"{path}/trees")
+    return _tree_checks(spark.read.parquet(f"{path}/trees"))
+
+
+def _compared(rows, other):
+    """How far the scores of two tables differ, row by row."""
+    other = other.select(schema.SEQ, F.col("anomaly_score").alias("s"), F.col("is_anomaly").alias("f"))
+    return rows.join(other, schema.SEQ, "full").select(
+        schema.SEQ, F.round(F.abs(F.col("anomaly_score") - F.col("s")), 6).alias("difference"),
+        F.col("is_anomaly").eqNullSafe(F.col("f")).alias("same_flag"),
+    )
 
 
 def load_model(spark, sf_dir):
@@ -130,7 +201,7 @@ def load_model(spark, sf_dir):
     path = scratch_path(spark, "model")
     forest.save_forest(spark, model, path)
     scored = forest.score_forest(features, jobs.load_model(spark, path))
-    return scored.select(schema.SEQ, "anomaly_score", "is_anomaly")
+    return _compared(scored, forest.score_forest(features, model))
 
 
 def _event_stream(spark, sf_dir):
@@ -195,7 +266,7 @@ def passthrough_cols(spark, sf_dir):
 
 def ordered_vector(spark, sf_dir):
     rows = feature_table(views.dense(spark, sf_dir))
-    vector = validation.ordered_vector(schema.FEATURE_COLUMNS[:9])
+    vector = validation.ordered_vector(schema.FEATURE_COLUMNS)
     return rows.select(schema.SEQ, F.posexplode(vector).alias("pos", "feature_value"))
 
 
@@ -247,13 +318,14 @@ def schema_columns():
 
 
 def state_asof_lookup(spark, sf_dir):
-    return lookups.state_asof(feature_table(views.dense(spark, sf_dir)), HALF_TIME)
+    state = lookups.state_asof(views.dense(spark, sf_dir), HALF_TIME)
+    return state.withColumns({c: F.round(c, 6) for c in ("amount_mean", "amount_std")})
 
 
 def map_lookup(spark, sf_dir):
     codes = spark.createDataFrame(list(schema.DESCR_CODES.items()), "descr string, code int")
     rows = views.dense(spark, sf_dir).select(schema.SEQ, "descr")
-    return lookups.map_lookup(rows, codes, "descr", 10_000_000)
+    return lookups.map_lookup(rows, codes, "descr")
 
 
 # --- aggregations --------------------------------------------------------------------------
@@ -536,20 +608,38 @@ def result_json(spark, sf_dir):
 
 def iforest_fit(spark, sf_dir):
     _, model = _fitted_forest(spark, sf_dir)
-    return _node_rows(spark, model)
+    return _tree_checks(_node_rows(spark, model))
+
+
+def _flags(scored):
+    """Every row, with whether its flag, label and sign agree."""
+    low = F.col("anomaly_score") < 0
+    agree = (F.col("is_anomaly") == low) & ((F.col("anomaly_label") == -1) == low)
+    return scored.select(schema.SEQ, "account_number", agree.alias("flag_is_sign"))
 
 
 def iforest_score(spark, sf_dir):
     features, model = _fitted_forest(spark, sf_dir)
-    scored = forest.score_forest(features, model)
-    return scored.select(schema.SEQ, "account_number", "anomaly_score", "anomaly_label", "is_anomaly")
+    return _flags(forest.score_forest(features, model))
 
 
 def shap_topk(spark, sf_dir):
+    """All contributions of every row add up to its path length less the mean one."""
     features, model = _fitted_forest(spark, sf_dir)
-    rows = explain.score_and_explain(features, model).where("is_anomaly")
-    rows = rows.select(schema.SEQ, F.posexplode("top_features").alias("pos", "entry"))
-    return rows.select(schema.SEQ, "pos", "entry.name", "entry.value")
+    rows = explain.score_and_explain(
+        features, model, len(schema.FEATURE_COLUMNS), flagged_only=False
+    )
+    base = explain.base_value(explain.leaf_boxes(model))
+    raw = F.col("anomaly_score") + F.lit(model.offset)
+    path = -F.log2(-raw) * F.lit(float(forest.average_path(model.max_samples)))
+    total = F.aggregate(
+        "top_features", F.lit(0.0), lambda s, entry: s + entry["value"]
+    )
+    return rows.select(
+        schema.SEQ, F.size("top_features").alias("entries"),
+        # Contributions are shown with four decimals.
+        F.round(F.abs(total + F.lit(base) - path), 2).alias("gap"),
+    )
 
 
 def _vectors(spark, sf_dir):
@@ -581,32 +671,68 @@ def _fitted_svm(spark, sf_dir):
 
 
 def ocsvm_fit(spark, sf_dir):
-    _, model = _fitted_svm(spark, sf_dir)
-    return spark.createDataFrame(list(enumerate(model.weights)), "component int, weight double")
+    """A mean of unit-length features is no longer than 1; the cut-off leaves out the share nu."""
+    features, model = _fitted_svm(spark, sf_dir)
+    length = sum(w * w for w in model.weights) ** 0.5
+    weights = F.lit(len(model.weights)).alias("components")
+    outside = F.count_if("is_anomaly") <= F.ceil(F.count("*") * 0.01)
+    return ocsvm.score_ocsvm(features, model).agg(
+        weights, F.lit(0 < length <= 1.5).alias("length_fits"), outside.alias("share_fits"),
+        F.count("*").alias("n_rows"),
+    )
 
 
 def ocsvm_score(spark, sf_dir):
     features, model = _fitted_svm(spark, sf_dir)
-    scored = ocsvm.score_ocsvm(features, model)
-    return scored.select(schema.SEQ, "anomaly_score", "anomaly_label", "is_anomaly")
+    return _flags(ocsvm.score_ocsvm(features, model))
 
 
 def train_job(spark, sf_dir):
-    result = jobs.train_job(views.dense(spark, sf_dir), params=FAST_FOREST)
-    row = (result.rows, result.accounts, result.anomalies, *result.score_stats.values())
-    names = "n_rows long, accounts long, anomalies long, mean double, std double, min double, max double"
+    """The counts, and whether the statistics are in order and the flagged are the wanted share."""
+    result = jobs.train_job(_untimely(spark, sf_dir), params=FAST_FOREST)
+    s = result.score_stats
+    ordered = s["min"] <= s["mean"] <= s["max"] and s["std"] > 0
+    share = result.anomalies <= result.rows * 0.01 + 1
+    row = (result.rows, result.rejected, result.accounts, ordered, share)
+    names = "n_rows long, rejected long, accounts long, stats_in_order boolean, share_fits boolean"
     return spark.createDataFrame([row], names)
 
 
 def batch_score_job(spark, sf_dir):
+    """The features the job wrote, with whether each row's score, flag and names go together."""
     events = views.dense(spark, sf_dir)
     model = jobs.train_job(events, params=FAST_FOREST).model
-    scored, _ = jobs.score_job(events, model)
-    return scored.drop("top_features").withColumn(
-        "top_5_features", F.array_join("top_5_features", ",")
+    scored = jobs.score_job(events, model).scored
+    named = F.size("top_5_features") == 5
+    together = F.when(F.col("anomaly_score") < 0, F.col("is_anomaly") & named).otherwise(
+        ~F.col("is_anomaly") & F.col("top_5_features").isNull()
+    )
+    return scored.select(schema.SEQ, *schema.FEATURE_COLUMNS, together.alias("goes_together"))
+
+
+def _untimely(spark, sf_dir):
+    """Defective rows, of which some have no time and some no amount."""
+    rows = _defective(spark, sf_dir)
+    gone = F.col("value").between(20, 22)
+    return rows.withColumns(
+        {
+            "posting_timestamp": F.when(gone, None).otherwise(F.col("posting_timestamp")),
+            "transaction_ac_amount": F.when(F.col("value").between(30, 31), None).otherwise(
+                F.col("transaction_ac_amount")
+            ),
+        }
     )
 
 
+def batch_score_job_rejects(spark, sf_dir):
+    """Scored and rejected rows are together all rows that were read."""
+    events = _untimely(spark, sf_dir)
+    model = jobs.train_job(events, params=FAST_FOREST).model
+    result = jobs.score_job(events, model)
+    scored = result.scored.select(schema.SEQ, F.lit("scored").alias("outcome"))
+    return scored.unionByName(result.rejects.select(schema.SEQ, F.col("reject_reason").alias("outcome")))
+
+
 # --- streams -------------------------------------------------------------------------------
 
 
@@ -618,10 +744,36 @@ def stream_features(spark, sf_dir):
 
 
 def stream_score(spark, sf_dir):
-    _, model = _fitted_forest(spark, sf_dir)
+    features, model = _fitted_forest(spark, sf_dir)
     rows = streams.stream_score(views.dense_of(_event_stream(spark, sf_dir)), model)
     out, _ = _drained(spark, rows.drop("top_features"), "scores")
-    return out
+    return _compared(out, forest.score_forest(features, model))
+
+
+def stream_score_rejects(spark, sf_dir):
+    """Every row of a defective stream comes out, scored or with a reason."""
+    _, model = _fitted_forest(spark, sf_dir)
+    path = scratch_path(spark, "defective")
+    _untimely(spark, sf_dir).select(*schema_columns()).write.parquet(path)
+    rows = streams.stream_score(_stream_of(spark, path, 10_000), model).drop("top_features")
+    out, _ = _drained(spark, rows, "rejects")
+    scored = F.col("anomaly_score").isNotNull() & F.col("is_anomaly").isNotNull()
+    return out.select(
+        schema.SEQ, F.coalesce("reject_reason", F.when(scored, F.lit("scored"))).alias("outcome")
+    )
+
+
+def late_rescored(spark, sf_dir):
+    """Late rows get, in batch, the score they would have had in time."""
+    features, model = _fitted_forest(spark, sf_dir)
+    rows = views.dense(spark, sf_dir)
+    late = F.col("descr") == "PayNow"
+    path = _two_batches(spark, rows.where(~late), rows.where(late))
+    out, _ = _drained(spark, streams.stream_score(_stream_of(spark, path), model).drop("top_features"), "late")
+    behind = out.where("is_late")
+    again = streams.rescore_late(rows, behind.where("anomaly_score is null"), model)
+    want = forest.score_forest(features, model).join(behind.select(schema.SEQ), schema.SEQ, "left_semi")
+    return _compared(again, want)
 
 
 def _two_batches(spark, first, second):
@@ -640,12 +792,13 @@ def _stream_of(spark, path, max_files=1):
 
 def stream_batch_score(spark, sf_dir):
     """A bounded list of events through the stream, in order, until drained."""
-    _, model = _fitted_forest(spark, sf_dir)
+    features, model = _fitted_forest(spark, sf_dir)
     rows = views.dense(spark, sf_dir)
     early = F.col("posting_timestamp") < F.lit(HALF_TIME).cast("timestamp")
     path = _two_batches(spark, rows.where(early), rows.where(~early))
     scored = streams.stream_score(_stream_of(spark, path), model).drop("top_features")
-    return _drained(spark, scored, "scores")[0]
+    out, _ = _drained(spark, scored, "scores")
+    return _compared(out, forest.score_forest(features, model))
 
 
 def warm_start(spark, sf_dir):
@@ -686,6 +839,8 @@ def registry() -> dict[str, Query]:
     named: dict[str, Query] = {
         "flagship": flagship,
         "read_csv": read_csv,
+        "read_csv_narrow": read_csv_narrow,
+        "read_csv_wide": read_csv_wide,
         "read_parquet": read_parquet,
         "select_cast_key": select_cast_key,
         "write_scored_csv": write_scored_csv,
@@ -764,8 +919,11 @@ def registry() -> dict[str, Query]:
         "shap_topk": shap_topk,
         "train_job": train_job,
         "batch_score_job": batch_score_job,
+        "batch_score_job_rejects": batch_score_job_rejects,
         "stream_features": stream_features,
         "stream_score": stream_score,
+        "stream_score_rejects": stream_score_rejects,
+        "late_rescored": late_rescored,
         "stream_batch_score": stream_batch_score,
         "warm_start": warm_start,
         "late_data": late_data,

@@ -35,17 +35,27 @@ def build_session(app_name: str = "acctpulse", **extra: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where the session names none."""
+    """The cluster's checkpoint folder.
+
+    Where the session names none, a temporary one serves a local session; on a cluster
+    that is an error, as executors would each write to a disk of their own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not _runs_in_one_place(spark.sparkContext.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="acctpulse-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _runs_in_one_place(master: str) -> bool:
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/acctpulse/{label}-{uuid.uuid4().hex}"

@@ -3,22 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctpulse import schema
+from acctpulse.operators.reports import arrival_index
+
+
+#: Names, per row, of the columns whose text did not fit their type.
+BAD_FIELDS = "bad_fields"
 
 
 def read_csv(spark: SparkSession, path: str, columns: T.StructType = schema.RAW_SCHEMA) -> DataFrame:
-    """CSV with header; the schema is given, so the key stays text and nothing is inferred.
+    """CSV with header; types are given, so the key stays text and nothing is inferred.
+
+    Columns are found by their header names, in any order; a file may lack some (null) and have
+    others (left out).  Files of one folder must share a header, or the read fails.  Text
+    that does not fit its type is null, and ``bad_fields`` names the column.
+    """
+    reader = spark.read.option("header", True)
+    names = reader.csv(path).columns
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = reader.option("enforceSchema", False).schema(texts).csv(path)
+    typed = {
+        f.name: F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in names
+        else F.lit(None).cast(f.dataType)
+        for f in columns.fields
+    }
+    misfits = [
+        F.when(F.col(f"`{n}`").isNotNull() & c.isNull(), F.lit(n))
+        for n, c in typed.items()
+        if n in names
+    ]
+    bad = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
+    return rows.select(*[c.alias(n) for n, c in typed.items()], bad.alias(BAD_FIELDS))
+
+
+def with_sequence(df: DataFrame, column: str | None = None) -> DataFrame:
+    """Adds ``seq``: the numbers in ``column``, or the rows' order in their files.
 
-    Columns are matched by their header names.
+    Files go by name; inside a file rows keep their order.  Numbers come from a range sort and one
+    count per range, so no task sees all rows.
     """
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .schema(columns)
-        .csv(path)
+    if column is not None:
+        return df.withColumn(schema.SEQ, F.col(column).try_cast("bigint"))
+    placed = df.withColumn(
+        "_order",
+        F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()),
     )
+    return arrival_index(placed, "_order", schema.SEQ).drop("_order")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from acctpulse import schema
 from acctpulse.functions import scalar
 from acctpulse.models import select
 from acctpulse.models.explain import as_map, score_and_explain
-from acctpulse.operators.features import ACCOUNT, AccountState
+from acctpulse.operators.features import ACCOUNT, AccountState, feature_table
 from acctpulse.operators.validation import with_reject_reason
 from acctpulse.operators.windows import FeatureConfig
 from acctpulse.session import use_rocksdb
@@ -28,7 +28,9 @@ def stream_features(
     watermark: str = "10 minutes",
     initial: AccountState | None = None,
 ) -> DataFrame:
-    """The feature table of a stream, plus ``is_late``.
+    """The feature table of a stream, plus ``is_late``; every row comes out.
+
+    Rows without a time or an amount have no features and leave the state alone.
 
     retention "parity" keeps what batch keeps (capped history, running totals);
     "bounded" forgets by event time: rows behind the watermark are dropped, and
@@ -39,7 +41,8 @@ def stream_features(
     cfg = cfg or FeatureConfig()
     use_rocksdb(events.sparkSession)
     bounded = retention == "bounded"
-    rows = events.where(F.col("posting_timestamp").isNotNull())
+    usable = F.col("posting_timestamp").isNotNull() & F.col("transaction_ac_amount").isNotNull()
+    rows = events.where(usable)
     if bounded:
         rows = rows.withWatermark("posting_timestamp", watermark)
     rows = rows.select(
@@ -81,7 +84,7 @@ def stream_features(
         "hour_of_day": if_known(scalar.hour_of_day(ts)),
         "is_business_hours": if_known(scalar.is_business_hours(ts)),
     }
-    return out.withColumns(computed).select(
+    known = out.withColumns(computed).select(
         schema.SEQ,
         ACCOUNT,
         "posting_timestamp",
@@ -90,6 +93,19 @@ def stream_features(
         "is_late",
         *cfg.feature_columns,
     )
+    return known.unionByName(_without_features(events.where(~usable)), allowMissingColumns=True)
+
+
+def _without_features(events: DataFrame) -> DataFrame:
+    """Rows that no window can place, without a time or an amount; their features are null."""
+    return events.select(
+        F.col(schema.SEQ).cast("bigint").alias(schema.SEQ),
+        scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
+        F.col("posting_timestamp").cast("timestamp").alias("posting_timestamp"),
+        F.col("transaction_ac_amount").cast(schema.AMOUNT_TYPE).alias("transaction_ac_amount"),
+        scalar.text_key(F.col("descr")).alias("descr"),
+        F.lit(False).alias("is_late"),
+    )
 
 
 def _cents(amount):
@@ -146,14 +162,17 @@ def stream_score(
     top_n: int = 5,
     **options: Any,
 ) -> DataFrame:
-    """Valid events with score, label, flag and their strongest features.
+    """All events with score, label, flag and their strongest features.
 
-    The model is broadcast once; the distance model needs joins and is for batch.
-    Late rows keep a null score.
+    The model is broadcast once; the distance model needs joins and is for batch.  Rows that break a
+    rule have a ``reject_reason``; these and late rows are not scored, so score and flag are null
+    (``rescore_late`` gives late rows theirs).
     """
     if model.kind == "LocalOutlierFactor":
         raise ValueError("score a LocalOutlierFactor in batch or in foreachBatch")
-    valid = with_reject_reason(events).where(F.col("reject_reason").isNull())
+    checked = with_reject_reason(events)
+    valid = checked.where(F.col("reject_reason").isNull())
+    rejects = checked.where(F.col("reject_reason").isNotNull())
     features = stream_features(valid.drop("reject_reason"), cfg, **options)
     top = "top_features"
     if select.explains(model):
@@ -163,17 +182,43 @@ def stream_score(
         scored = select.score(features, model)
         scored = scored.withColumn(top, F.lit(None).cast("map<string,double>"))
     on_time = ~F.col("is_late")
-    return scored.select(
+    known = scored.select(
         schema.SEQ,
         ACCOUNT,
         "posting_timestamp",
         F.col("transaction_ac_amount").cast("double").alias("transaction_ac_amount"),
         F.when(on_time, F.col("anomaly_score")).alias("anomaly_score"),
         F.when(on_time, F.col("anomaly_label")).alias("anomaly_label"),
-        (on_time & F.col("is_anomaly")).alias("is_anomaly"),
+        F.when(on_time, F.col("is_anomaly")).alias("is_anomaly"),
         F.when(on_time, F.col(top)).alias(top),
         "is_late",
+        F.lit(None).cast("string").alias("reject_reason"),
+    )
+    amount = F.col("transaction_ac_amount").cast("double").alias("transaction_ac_amount")
+    broken = rejects.select(
+        F.col(schema.SEQ).cast("bigint").alias(schema.SEQ),
+        scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
+        F.col("posting_timestamp").cast("timestamp").alias("posting_timestamp"),
+        amount,
+        F.lit(False).alias("is_late"), "reject_reason",
     )
+    return known.unionByName(broken, allowMissingColumns=True)
+
+
+def rescore_late(
+    events: DataFrame, late: DataFrame, model: Any, cfg: FeatureConfig | None = None
+) -> DataFrame:
+    """Scores of the rows in ``late`` (by seq), computed in batch.
+
+    ``events`` holds all events by now, the late ones in their places; only accounts with a late
+    row are computed.
+    """
+    cfg = cfg or FeatureConfig()
+    accounts = late.select(ACCOUNT).distinct()
+    own = events.withColumn(ACCOUNT, scalar.text_key(F.col(ACCOUNT)))
+    features = feature_table(own.join(accounts, ACCOUNT, "left_semi"), cfg)
+    wanted = features.join(late.select(schema.SEQ).distinct(), schema.SEQ, "left_semi")
+    return select.score(wanted, model)
 
 
 def split_late(path: str) -> Callable[[DataFrame, int], None]:

@@ -156,7 +156,7 @@ def test_train_and_score_jobs(spark, tmp_path):
     trained = jobs.train_job(df, params={"n_estimators": 20, "contamination": 0.05}, model_path=path)
     assert trained.rows == 400 and trained.accounts == 3
     assert trained.anomalies == pytest.approx(20, abs=1)
-    scored, summary = jobs.score_job(df, jobs.load_model(spark, path), keep=["input_source"])
+    scored, _, summary = jobs.score_job(df, jobs.load_model(spark, path), keep=["input_source"])
     rows = scored.collect()
     total = summary.first()
     assert len(rows) == total["total_transactions"] == 400
