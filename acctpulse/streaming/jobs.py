@@ -252,6 +252,13 @@ def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return accepted.withColumn("is_late", late), aside.withColumn("is_late", late)
 
 
+def state_reset(spark: SparkSession, checkpoint: str) -> None:
+    """Forgets all accounts: the next start from ``checkpoint`` begins with no state and no offsets."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(checkpoint)
+    path.getFileSystem(conf).delete(path, True)
+
+
 def state_inspect(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Accounts tracked and rows held, read from the stream's checkpoint."""
     held = (

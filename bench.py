@@ -27,6 +27,11 @@ HEADLINE = [
     "shap_topk",
     "batch_score_job",
     "stream_features",
+    "feature_table_split",
+    "warm_start",
+    "lof_fit",
+    "lof_score",
+    "ocsvm_fit",
 ]
 
 
@@ -63,8 +68,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry()
-    warm = queries["score_summary"](spark, sf_dir)
-    warm.collect()
+    start = time.perf_counter()
+    noop(queries["flagship"](spark, sf_dir))  # compiles code and starts workers
+    warm_up = round(time.perf_counter() - start, 3)
     seconds: dict[str, float] = {}
     for name in HEADLINE:
         start = time.perf_counter()
@@ -86,6 +92,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "events": events,
+                "warm_up": warm_up,
                 **rates,
                 **stages,
             }
