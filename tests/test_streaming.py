@@ -118,7 +118,10 @@ def test_stream_score_and_alerts(spark, tmp_path):
     drain(write_stream(scored, out, cp))
     got = {r["seq"]: r for r in spark.read.parquet(out).collect()}
     want = forest.score_forest(feature_table(df, cfg), model).collect()
-    assert len(got) == len(want) < len(events)
+    assert len(got) == len(events) > len(want)
+    rejects = [r for r in got.values() if r["reject_reason"] is not None]
+    assert len(rejects) == len(events) - len(want)
+    assert all(r["anomaly_score"] is None and r["is_anomaly"] is None for r in rejects)
     for r in want:
         assert got[r["seq"]]["anomaly_score"] == pytest.approx(r["anomaly_score"], abs=1e-9)
         assert len(got[r["seq"]]["top_features"]) == 5
