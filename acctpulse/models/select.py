@@ -33,9 +33,7 @@ LOADERS = {
 
 def check(model_type: str) -> None:
     if model_type not in FITTERS:
-        raise ValueError(
-            f"Unsupported model type '{model_type}'. Choose from {list(FITTERS)}"
-        )
+        raise ValueError(f"there is no model named {model_type!r}, only {sorted(FITTERS)}")
 
 
 def fit(

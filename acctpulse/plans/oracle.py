@@ -7,9 +7,40 @@ nothing with the frame arithmetic of the Spark side.
 from __future__ import annotations
 
 from acctpulse import schema
-from acctpulse.functions.labels import FEATURE_DESCRIPTIONS
 from acctpulse.plans.queries import CUSTOM_WINDOWS, HALF_TIME, ORDERS_HALF, PSEUDO_CONTRIBUTIONS
 
+# Fixed values, written out here so that a wrong one in the product shows.
+DESCR_CODES = {
+    "ATM": 0, "Charges": 1, "Fund Transfer": 2, "GIRO": 3, "PayNow": 4, "Payment to IBT": 5,
+}
+INPUT_SOURCE_CODES = {"A": 0, "M": 1, "T": 2, "Z": 3}
+DESCRIPTIONS = {
+    "amount_zscore_account": "How far this amount is from the account's usual amount pattern (z-score).",
+    "same_amount_frequency": "How often this exact amount has appeared before for this account.",
+    "cumulative_amount_10min": "Total transacted amount within the last 10 minutes.",
+    "descr_encoded": "Encoded transaction description/type used by the model.",
+    "debit_credit_code_encoded": "Encoded debit/credit indicator used by the model.",
+    "input_source_encoded": "Encoded transaction channel (for example teller vs online).",
+    "hour_of_day": "Hour when the transaction occurred (0-23).",
+    "is_business_hours": "Whether the transaction was during business hours on weekdays.",
+    "txn_count_1s": "Number of account transactions in the past 1 second.",
+    "txn_count_10s": "Number of account transactions in the past 10 seconds.",
+    "txn_count_30s": "Number of account transactions in the past 30 seconds.",
+    "time_since_last_txn": "Seconds since the previous transaction for this account.",
+    "time_since_last_txn_same_amount": "Seconds since the last transaction with the same amount.",
+    "time_since_last_txn_same_descr": "Seconds since the last transaction with the same description.",
+    "avg_time_gap_last_5txn": "Average time gap between the last 5 transaction intervals.",
+    "min_time_gap_last_10txn": "Smallest time gap among the last 10 transaction intervals.",
+    "same_acct_amt_descr_count_10min": "Count of transactions with same account, amount, and description in 10 minutes.",
+    "same_acct_amt_count_10min": "Count of transactions with same account and amount in 10 minutes.",
+    "is_exact_duplicate_10min": "Flag indicating repeated identical amount+description in 10 minutes.",
+    "duplicate_streak": "Current streak length of repeated duplicate-like transactions.",
+    "dc_sign": "Transaction direction represented as numeric sign (debit/credit).",
+    "dc_alternation_count_10txn": "How many debit/credit flips occurred in the last 10 transactions.",
+    "reversal_count_10min": "Count of potential reversal-like transactions in the last 10 minutes.",
+}
+# End of fixed values.
+
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 DESCR = (
     "CASE event_type WHEN 'click' THEN 'ATM' WHEN 'view' THEN 'GIRO' "
@@ -114,9 +145,9 @@ f AS (SELECT g.seq, g.account_number, g.posting_timestamp, g.descr,
     AS amount_zscore_account,
   freq AS same_amount_frequency,
   CAST(recent_cents AS DOUBLE) / 100 AS cumulative_amount_10min,
-  {_codes("descr", schema.DESCR_CODES)} AS descr_encoded,
+  {_codes("descr", DESCR_CODES)} AS descr_encoded,
   CAST(sgn = 1 AS BIGINT) AS debit_credit_code_encoded,
-  {_codes("src", schema.INPUT_SOURCE_CODES)} AS input_source_encoded,
+  {_codes("src", INPUT_SOURCE_CODES)} AS input_source_encoded,
   CAST(hour(posting_timestamp) AS BIGINT) AS hour_of_day,
   CAST(isodow(posting_timestamp) < 6 AND hour(posting_timestamp) BETWEEN 8 AND 17 AS BIGINT)
     AS is_business_hours,
@@ -206,8 +237,8 @@ def statements() -> dict[str, str]:
         "ocsvm_score": f"SELECT seq, account_number, true AS flag_is_sign FROM ({DENSE})",
         "ocsvm_fit": f"""SELECT CAST(256 AS BIGINT) AS components, true AS length_fits, true AS share_fits,
   count(*) AS n_rows FROM ({DENSE})""",
-        "shap_topk": f"SELECT seq, CAST({len(schema.FEATURE_COLUMNS)} AS BIGINT) AS entries, "
-        f"CAST(0 AS DOUBLE) AS gap FROM ({DENSE})",
+        "shap_topk": f"""SELECT count(*) AS n_rows, true AS flagged_are_explained,
+  CAST(0 AS DOUBLE) AS largest_gap FROM ({DENSE})""",
         "train_job": f"""SELECT count(*) FILTER (WHERE outcome = 'scored') AS n_rows,
   count(*) FILTER (WHERE outcome <> 'scored') AS rejected,
   count(DISTINCT account_number) FILTER (WHERE outcome = 'scored') AS accounts,
@@ -264,7 +295,7 @@ SELECT account_number, txn_count, amount_sum,
     WHERE f.account_number = u.account_number AND f.posting_timestamp <= {half}) AS amount_std,
   posting_timestamp AS last_posting, amount AS last_amount, descr AS last_descr, duplicate_streak AS current_streak
   FROM u WHERE back = 1""",
-        "map_lookup": f"SELECT seq, descr, {_codes('descr', schema.DESCR_CODES)} AS code FROM ({DENSE})",
+        "map_lookup": f"SELECT seq, descr, {_codes('descr', DESCR_CODES)} AS code FROM ({DENSE})",
         "score_summary": f"""SELECT count(*) AS total_transactions, {rate} AS anomalies_detected,
   {rate} / greatest(count(*), 1) AS anomaly_rate FROM ({SCORED})""",
         "distinct_accounts": f"SELECT count(DISTINCT account_number) AS accounts FROM ({DENSE})",
@@ -341,9 +372,9 @@ SELECT seq, account_number, NULL, CAST(amount AS DOUBLE) FROM ({NATION})""",
         "epoch_seconds": "SELECT event_id AS seq, epoch_us(ts) / 1000000.0::DOUBLE AS epoch FROM events",
         "dc_sign": f"""SELECT seq, CAST(CASE dc WHEN 'D' THEN 1 WHEN 'C' THEN -1 ELSE 0 END AS BIGINT)
   AS dc_sign FROM ({NATION})""",
-        "encodings": f"""SELECT seq, {_codes("descr", schema.DESCR_CODES)} AS descr_encoded,
+        "encodings": f"""SELECT seq, {_codes("descr", DESCR_CODES)} AS descr_encoded,
   CAST(dc = 'D' AS BIGINT) AS debit_credit_code_encoded,
-  {_codes("src", schema.INPUT_SOURCE_CODES)} AS input_source_encoded FROM ({DEFECTIVE})""",
+  {_codes("src", INPUT_SOURCE_CODES)} AS input_source_encoded FROM ({DEFECTIVE})""",
         "round_outputs": f"""SELECT seq, {_half_up("anomaly_score", 6)} AS score_6,
   CAST(amount AS DOUBLE) AS amount_2, {_half_up("anomaly_score * 1.7::DOUBLE", 4)} AS contribution_4
   FROM ({SCORED})""",
@@ -379,11 +410,11 @@ SELECT seq, coalesce(descr = 'PayNow' AND posting_timestamp < newest, FALSE) AS
 
 
 def _descriptions() -> str:
-    names = list(FEATURE_DESCRIPTIONS)
+    names = list(DESCRIPTIONS)
     pick = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
     texts = " ".join(
         "WHEN '{}' THEN '{}'".format(n, t.replace("'", "''"))
-        for n, t in FEATURE_DESCRIPTIONS.items()
+        for n, t in DESCRIPTIONS.items()
     )
     return f"""WITH n AS (SELECT seq, CASE WHEN descr = 'error' THEN 'server_error_event'
   ELSE CASE seq % {len(names)} {pick} END END AS name FROM ({DENSE}))

@@ -624,21 +624,23 @@ def iforest_score(spark, sf_dir):
 
 
 def shap_topk(spark, sf_dir):
-    """All contributions of every row add up to its path length less the mean one."""
+    """Flagged rows, and only these, are explained; all contributions of one add up to its path
+    length less the mean one."""
     features, model = _fitted_forest(spark, sf_dir)
-    rows = explain.score_and_explain(
-        features, model, len(schema.FEATURE_COLUMNS), flagged_only=False
-    )
+    rows = explain.score_and_explain(features, model, len(schema.FEATURE_COLUMNS))
     base = explain.base_value(explain.leaf_boxes(model))
     raw = F.col("anomaly_score") + F.lit(model.offset)
     path = -F.log2(-raw) * F.lit(float(forest.average_path(model.max_samples)))
     total = F.aggregate(
         "top_features", F.lit(0.0), lambda s, entry: s + entry["value"]
     )
-    return rows.select(
-        schema.SEQ, F.size("top_features").alias("entries"),
+    whole = F.size("top_features") == len(schema.FEATURE_COLUMNS)
+    right = F.when(F.col("is_anomaly"), whole).otherwise(F.col("top_features").isNull())
+    gap = F.when(F.col("is_anomaly"), F.abs(total + F.lit(base) - path))
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.min(right).alias("flagged_are_explained"),
         # Contributions are shown with four decimals.
-        F.round(F.abs(total + F.lit(base) - path), 2).alias("gap"),
+        F.round(F.max(gap), 2).alias("largest_gap"),
     )
 
 

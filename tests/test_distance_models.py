@@ -87,5 +87,5 @@ def test_select_save_load(spark, tmp_path, kind, params):
 
 
 def test_unknown_model_is_refused(spark):
-    with pytest.raises(ValueError, match="Unsupported model type"):
+    with pytest.raises(ValueError, match="no model named"):
         select.check("Nope")
