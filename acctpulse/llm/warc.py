@@ -8,8 +8,9 @@ and never holds more than one of them. A chunk becomes one WARC record: the firs
 Equal payloads of some size are stored once: the record with the largest id is the response, the
 others are ``revisit`` records that refer to it and have no payload.
 
-Archives are read in parallel by splitting at the version line. So that no payload can look like
-one, a chunk ends inside any version line that the payload holds.
+Archives are read by splitting at the version line. So that no payload can look like one, a chunk
+ends inside any version line that the payload holds. Files are compressed and hold a bounded number
+of records, each file being one task's work; uncompressed ones are also split inside.
 
 Defined cases: a null payload is empty; a null id is less than any other; of repeated rows one
 is the response; line breaks in a URL are escaped.
@@ -131,7 +132,9 @@ def _header(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")))
 
 
-def write_archive(chunks: DataFrame, path: str, records_per_file: int = 100_000) -> None:
+def write_archive(
+    chunks: DataFrame, path: str, records_per_file: int = 20_000, compression: str = "gzip"
+) -> None:
     """Writes a record per chunk; each file holds at most ``records_per_file``."""
     first = F.col("chunk_no") == 0
     uri = _uri(None, F.col("record_id"), F.col(FILE), F.col(ROW))
@@ -160,7 +163,8 @@ def write_archive(chunks: DataFrame, path: str, records_per_file: int = 100_000)
     # Bytes of any kind pass through the text writer unchanged.
     record = F.concat(head.cast("binary"), F.col("chunk")).cast("string")
     writer = chunks.select(record.alias("value")).write
-    writer.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+    writer = writer.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file)
+    writer.option("compression", compression).text(path)
 
 
 RECORD = pa.schema([
@@ -259,9 +263,12 @@ def id_of(uri: Column) -> Column:
     return F.when(text != "", text.cast("bigint"))
 
 
-def archive(records: DataFrame, path: str, chunk: int = CHUNK) -> None:
+def archive(
+    records: DataFrame, path: str, chunk: int = CHUNK, compression: str = "gzip"
+) -> None:
     """Describes, deduplicates, cuts and writes ``records`` (row key, record_id, url, payload)."""
     facts = describe(records)
     payload = F.when(F.col("record_type") == "response", F.col("payload").cast("binary"))
     whole = records.select(*KEY, "url", "payload").join(facts, KEY)
-    write_archive(chunk_table(whole.withColumn("payload", payload), chunk), path)
+    chunks = chunk_table(whole.withColumn("payload", payload), chunk)
+    write_archive(chunks, path, compression=compression)

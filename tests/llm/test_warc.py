@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 
@@ -10,9 +11,9 @@ from acctpulse.llm.tables import KEY, with_row_key
 RECORDS = "record_id bigint, url string, payload binary"
 
 
-def round_trip(spark, path, data, chunk=50):
+def round_trip(spark, path, data, chunk=50, **how):
     records = with_row_key(spark.createDataFrame(data, RECORDS).coalesce(1))
-    warc.archive(records, path, chunk)
+    warc.archive(records, path, chunk, **how)
     return warc.verified(warc.read_records(spark, path)).withColumn(
         "id", warc.id_of(F.col("record"))).withColumn("to", warc.id_of(F.col("refers_to")))
 
@@ -30,7 +31,9 @@ def payloads():
 
 def test_round_trip_keeps_every_byte_and_digest(spark, tmp_path):
     data = payloads()
+    plain = round_trip(spark, str(tmp_path / "plain"), data, compression="none")
     got = {r["id"]: r for r in round_trip(spark, str(tmp_path / "w"), data).collect()}
+    assert plain.where("verified").count() == len(data)
     assert len(got) == len(data)
     for i, _, payload in data:
         payload = payload or b""
@@ -70,7 +73,7 @@ def test_a_changed_or_missing_chunk_is_noticed(spark, tmp_path):
 
 def test_files_are_warc(spark, tmp_path):
     round_trip(spark, str(tmp_path / "w"), [(1, "u", b"abc")])
-    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part-*")))
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in sorted((tmp_path / "w").glob("part-*")))
     assert raw.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
     assert raw.endswith(b"\r\n\r\nabc\r\n\r\n")
 
