@@ -47,15 +47,26 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(data)
     if n == 0 or len(start) == 0:
         return np.zeros(0, np.uint64)
-    power, back = (np.full(n, b, np.uint64) for b in (BASE, INVERSE))
-    power[0] = back[0] = 1
-    np.cumprod(power, out=power)
-    np.cumprod(back, out=back)
+    power, back = _powers(n)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
     return mix((total[end] - total[start]) * back[start])
 
 
+KNOWN_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, ``n`` at least; kept for a task's next blocks."""
+    if not KNOWN_POWERS or len(KNOWN_POWERS[0]) < n:
+        both = [np.full(max(n, 2 * BLOCK), b, np.uint64) for b in (BASE, INVERSE)]
+        for table in both:
+            table[0] = 1
+            np.cumprod(table, out=table)
+        KNOWN_POWERS[:] = both
+    return KNOWN_POWERS
+
+
 def word_tables() -> tuple[np.ndarray, np.ndarray]:
     """For each byte: its form with A-Z lower-cased, and whether words hold it.
 

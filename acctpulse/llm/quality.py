@@ -216,18 +216,37 @@ def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ("size", pa.binary())]))
 
 
-def train(labelled: DataFrame, docs_per_class: int = 3000) -> Field | None:
-    """Learns from ``doc_id``, ``text`` and ``label`` (0 or 1); None if a label has no rows."""
-    labelled = labelled.where(F.col("label").isin(0, 1))
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+def labelled_sample(docs: DataFrame, labels: DataFrame, docs_per_class: int, salt: str):
+    """Documents with their ``label``, about ``docs_per_class`` of each, and the labels' counts.
+
+    The sample is drawn from the labels, by a hash of ``doc_id``; it is bounded, so it is broadcast and
+    no text moves. None if either label has no rows.
+    """
+    labels = labels.select("doc_id", F.col("label").cast("int")).where(F.col("label").isin(0, 1))
+    sizes = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
-    place = F.xxhash64(F.col("doc_id"), F.lit("quality")).bitwiseAND(F.lit(0xFFFFFF)) / (1 << 24)
+    place = F.xxhash64(F.col("doc_id"), F.lit(salt)).bitwiseAND(F.lit(0xFFFFFF)) / (1 << 24)
     share = F.when(F.col("label") == 1, F.lit(docs_per_class / sizes[1])).otherwise(
         F.lit(docs_per_class / sizes[0]))
+    chosen = labels.where(place < share).withColumnRenamed("doc_id", "_acct_id")
+    found = docs.select("doc_id", "text").join(
+        F.broadcast(chosen), F.col("doc_id") == F.col("_acct_id")
+    )
+    return found.select("doc_id", "text", "label"), sizes
+
+
+def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 3000) -> Field | None:
+    """Learns from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1).
+
+    None if a label has no rows. A document that has several labels teaches each of them.
+    """
+    drawn = labelled_sample(docs, labels, docs_per_class, "quality")
+    if drawn is None:
+        return None
+    labelled, sizes = drawn
     rows = (
-        labelled.where(place < share)
-        .select("text", F.col("label").cast("int"), F.xxhash64("doc_id").alias("doc"))
+        labelled.select("text", "label", F.xxhash64("doc_id").alias("doc"))
         .mapInArrow(_teach, "label int, doc bigint, x binary, size binary")
         .orderBy("doc", F.xxhash64("x"))
         .collect()  # docs_per_class * 2 * SEGMENTS rows of SEGMENT lines at most

@@ -79,13 +79,6 @@ def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Text and label of the rows that may teach; rows of one id with several labels teach each."""
-    labels = labels.select(F.col("doc_id").alias("id"), F.col(label).alias("label"))
-    joined = docs.where(~F.col("held_out")).join(labels, F.col("doc_id") == F.col("id"))
-    return joined.select("doc_id", "text", "label")
-
-
 def _predicted(scored: DataFrame) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
@@ -93,14 +86,16 @@ def _predicted(scored: DataFrame) -> DataFrame:
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", held_out(3, 1))
-    machine = toxicity.train(_labelled(docs, table(spark, sf_dir, "labels"), "toxic"))
+    labels = table(spark, sf_dir, "labels").where(~held_out(3, 1))
+    machine = toxicity.train(docs, labels.select("doc_id", F.col("toxic").alias("label")))
     return _predicted(toxicity.score(docs, machine, ["doc_id", "held_out"]))
 
 
 def line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", held_out(4, 2))
-    field = quality.train(_labelled(docs, table(spark, sf_dir, "labels"), "quality"))
+    labels = table(spark, sf_dir, "labels").where(~held_out(4, 2))
+    field = quality.train(docs, labels.select("doc_id", F.col("quality").alias("label")))
     return _predicted(quality.score(docs, field, ["doc_id", "held_out"]))
 
 

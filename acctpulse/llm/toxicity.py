@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctpulse.llm import arrays
-from acctpulse.llm.quality import logistic_curve
+from acctpulse.llm.quality import labelled_sample, logistic_curve
+from acctpulse.llm.tables import keep
 
 GAP, DECAY = 2, 0.5  # subsequences have three letters
 WIDTH = 24  # longer words are cut into pieces of this many bytes, each reaching into the next
@@ -57,18 +58,17 @@ class Tokens:
         kept = np.flatnonzero(is_letter)
         data = raw[kept]
         # Words begin after a blank or with a text; marks inside a word are dropped.
-        gaps = np.zeros(len(raw) + 1, np.int64)
-        np.cumsum(is_blank, out=gaps[1:])
-        gap = gaps[kept] + np.searchsorted(offsets, kept, "right")
+        text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+        gap = np.cumsum(is_blank, dtype=np.int32)[kept] + text[kept]
         begin = np.flatnonzero(np.diff(gap, prepend=-1))
         end = np.append(begin[1:], len(data))
-        doc = np.searchsorted(offsets, kept[begin], "right") - 1 if len(begin) else begin
+        doc = text[kept[begin]].astype(np.int64) if len(begin) else begin
         # A stop that a blank follows (or the text's end) ends a sentence.
         ends = stop[raw]
         ends[:-1] &= is_blank[1:] | (raw[:-1] == 10)
-        stops = np.zeros(len(raw) + 1, np.int64)
-        np.cumsum(ends, out=stops[1:])
-        sentence = stops[kept[begin]] if len(begin) else begin
+        # A word's own first byte is no stop, so counting up to it counts those before it.
+        stops = np.cumsum(ends, dtype=np.int32)
+        sentence = stops[kept[begin]].astype(np.int64) if len(begin) else begin
         self.n_docs = len(offsets) - 1
         # Runs of three or more single letters are one more word.
         first = data[begin] if len(begin) else data
@@ -129,6 +129,10 @@ def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     return matrix, size, word
 
 
+def _cell(code: np.ndarray) -> np.ndarray:
+    return (code.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(16)
+
+
 def _subsequences(matrix: np.ndarray, size: np.ndarray) -> Iterator[tuple]:
     """For each pattern of gaps: the three letters packed, whether they exist, and the weight."""
     place = np.arange(WIDTH)[None, :]
@@ -197,19 +201,20 @@ class Landmarks:
         if not len(start) or not len(self.codes):
             return none, none, np.zeros(0)
         matrix, size, word = _pieces(data, start, end)
-        known = np.zeros(1 << 24, bool)
-        known[self.codes] = True
+        known = np.zeros(1 << 16, bool)  # by hash: small enough for a processor's cache
+        known[_cell(self.codes)] = True
         rows, codes, weights = [], [], []
         least = np.zeros(len(size))
         for code, there, weight in _subsequences(matrix, size):
-            hit = known[code] & there
-            row, col = np.nonzero(hit)
-            rows.append(row)
-            codes.append(code[row, col])
-            weights.append(np.full(len(row), weight))
+            row, col = np.nonzero(known[_cell(code)] & there)
+            found = code[row, col]
+            at = np.minimum(np.searchsorted(self.codes, found), len(self.codes) - 1)
+            same = self.codes[at] == found
+            rows.append(row[same])
+            codes.append(at[same])
+            weights.append(np.full(same.sum(), weight))
             least += there.sum(1) * weight**2
-        row, code, weight = map(np.concatenate, (rows, codes, weights))
-        at = np.searchsorted(self.codes, code)
+        row, at, weight = map(np.concatenate, (rows, codes, weights))
         n = self.first[at + 1] - self.first[at]
         pick = np.arange(n.sum()) + np.repeat(self.first[at] - (np.cumsum(n) - n), n)
         cell = np.repeat(row, n) * len(self.words) + self.word[pick]
@@ -328,17 +333,18 @@ def _sentence_sums(tokens: Tokens, marks: Landmarks):
     return keys // width, sums
 
 
-def train(labelled: DataFrame, docs_per_class: int = 2500, seed_rounds: int = 4) -> Machine | None:
-    """Learns from ``doc_id``, ``text`` and ``label``; None without rows of both labels."""
-    labelled = labelled.where(F.col("label").isin(0, 1))
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    if len(sizes) < 2:
+def train(
+    docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, seed_rounds: int = 4
+) -> Machine | None:
+    """Learns from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1).
+
+    None without rows of both labels. A document that has several labels teaches each of them.
+    """
+    drawn = labelled_sample(docs, labels, docs_per_class, "toxic")
+    if drawn is None:
         return None
-    place = F.xxhash64(F.col("doc_id"), F.lit("toxic")).bitwiseAND(F.lit(0xFFFFFF)) / (1 << 24)
-    share = F.when(F.col("label") == 1, F.lit(docs_per_class / sizes[1])).otherwise(
-        F.lit(docs_per_class / sizes[0]))
-    sample = labelled.where(place < share).select(
-        F.lower("text").alias("text"), F.col("label").cast("int"))
+    labelled, sizes = drawn
+    sample = keep(labelled.select(F.lower("text").alias("text"), "label"), "labelled")
     words = choose_landmarks(sample)
     if not words:
         return None

@@ -42,6 +42,10 @@ def test_neighbours_are_part_of_a_line():
     assert (x[2, n : 3 * n] == 0).all() and first.tolist() == [0, 2, 3]
 
 
+def trained(rows):
+    return quality.train(rows.select("doc_id", "text"), rows.select("doc_id", "label"))
+
+
 def labelled(spark, n, seed):
     rows = []
     for i, t, *_ in corpus.rows(n, seed):
@@ -51,7 +55,7 @@ def labelled(spark, n, seed):
 
 
 def test_unseen_documents(spark):
-    field = quality.train(labelled(spark, 240, 1))
+    field = trained(labelled(spark, 240, 1))
     docs = labelled(spark, 150, 2)
     rows = quality.score(docs, field, ["doc_id", "label"], lines=True).collect()
     right = sum((r["score"] >= 0.5) == (r["label"] == 1) for r in rows)
@@ -61,14 +65,14 @@ def test_unseen_documents(spark):
 
 def test_awkward_rows_and_no_labels(spark):
     docs = corpus.frame(spark, corpus.awkward(), clashing=True)
-    field = quality.train(labelled(spark, 60, 3))
+    field = trained(labelled(spark, 60, 3))
     assert all(0 <= r["score"] <= 1 for r in quality.score(docs, field, ["doc_id"]).collect())
     for data in ([], [(1, "a", 1)], [(1, "a", None), (2, "b", 7)]):
-        assert quality.train(spark.createDataFrame(data, "doc_id long, text string, label int")) is None
+        assert trained(spark.createDataFrame(data, "doc_id long, text string, label int")) is None
     assert {r["score"] for r in quality.score(docs, None, ["doc_id"]).collect()} == {0.5}
     assert quality.score(docs.limit(0), field, ["doc_id"]).count() == 0
-    nulls = spark.createDataFrame([(None, None, 0), (1, "", 1), (1, "", 1)], "doc_id long, text string, label int")
-    assert quality.train(nulls) is not None
+    nulls = spark.createDataFrame([(2, None, 0), (1, "", 1), (1, "", 1), (None, "x", 1)], "doc_id long, text string, label int")
+    assert trained(nulls) is not None
 
 
 @pytest.mark.parametrize("n", [1, 3000])

@@ -44,6 +44,10 @@ def test_tokens_join_what_was_pulled_apart():
     assert {d for d, _ in own} == {0, 3, 4}
 
 
+def trained(rows):
+    return toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "label"))
+
+
 def labelled(spark, n, seed, insults=("vrek", "drolmok", "snirt")):
     rng = random.Random(seed)
     rows = []
@@ -57,7 +61,7 @@ def labelled(spark, n, seed, insults=("vrek", "drolmok", "snirt")):
 
 
 def test_unseen_and_disguised_insults(spark):
-    machine = toxicity.train(labelled(spark, 400, 1))
+    machine = trained(labelled(spark, 400, 1))
     rows = toxicity.score(labelled(spark, 200, 2), machine, ["doc_id", "label"]).collect()
     assert sum((r["score"] >= 0.7) == (r["label"] == 1) for r in rows) >= 0.97 * len(rows)
     odd = labelled(spark, 200, 3, ("d r o l m o k", "d.r.o.l.m.o.k", "drollmok", "Drolmoks"))
@@ -67,17 +71,17 @@ def test_unseen_and_disguised_insults(spark):
 
 def test_awkward_rows_and_no_labels(spark):
     docs = corpus.frame(spark, corpus.awkward(), clashing=True)
-    machine = toxicity.train(labelled(spark, 200, 4))
+    machine = trained(labelled(spark, 200, 4))
     scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, machine, ["doc_id"]).collect()}
     assert all(0 <= s < 0.7 for s in scores.values()) and scores[1000] == scores[1001]
     for data in ([], [(1, "a", 1)], [(1, "a", None), (2, "b", 7)]):
-        assert toxicity.train(spark.createDataFrame(data, "doc_id long, text string, label int")) is None
+        assert trained(spark.createDataFrame(data, "doc_id long, text string, label int")) is None
     assert {r["score"] for r in toxicity.score(docs, None, ["doc_id"]).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), machine, ["doc_id"]).count() == 0
 
 
 def test_a_word_counts_once_in_a_sentence(spark):
-    machine = toxicity.train(labelled(spark, 200, 5))
+    machine = trained(labelled(spark, 200, 5))
     docs = spark.createDataFrame([(1, "the vre the"), (2, "the " + "vre " * 500)], "doc_id long, text string")
     a, b = (r["score"] for r in toxicity.score(docs, machine, ["doc_id"]).orderBy("doc_id").collect())
     assert a == b
