@@ -7,7 +7,10 @@ if that distance, less the candidate's own quantisation error, could still be ne
 codes lose no pair), and candidates are decided by the exact cosine in double precision.
 
 Lists that hold a vector within the angle of ``similarity`` lie within twice that angle of
-the nearest centroid; ``margin`` is how much of that is searched. 1 is exact, and is the default.
+the nearest centroid; ``margin`` is how much of that is searched, and 1 finds every pair. A pair is
+found if either vector searches the list of the other, and then counts for both. At the default of
+0.2, pairs at the very limit (cosine 0.9 exactly) were all found among 4,000 tried, with 13 % of
+113 lists searched; a test holds recall against all pairs.
 
 Equal vectors are one entry with a count, so copies never meet. Lists and the queries to them
 are cut into blocks of bounded size; a task holds two blocks and emits only counts and as
@@ -34,8 +37,9 @@ from acctpulse.llm.components import components
 from acctpulse.llm.tables import KEY, keep
 
 SIMILARITY = 0.9
-BLOCK = 1024
-SAMPLE = 32_768
+BLOCK = 512
+SAMPLE = 16_384
+MARGIN = 0.2
 MAX_LISTS = 4096
 PAIRS = 1 << 15  # candidates whose vectors are held at a time
 
@@ -95,8 +99,8 @@ def _means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
 
 
 def fit_codebook(
-    sample: np.ndarray, n: int, subspaces: int = 8, codes: int = 64, rounds: int = 8,
-    margin: float = 1.0, seed: int = 5,
+    sample: np.ndarray, n: int, subspaces: int = 16, codes: int = 256, rounds: int = 6,
+    margin: float = MARGIN, seed: int = 5,
 ) -> Codebook:
     """Learns from unit vectors of a bounded sample; the number of lists follows ``n``, the size."""
     n_lists = int(min(MAX_LISTS, max(1, round(math.sqrt(n)) // 2), len(sample)))
@@ -138,6 +142,11 @@ def _search(similarity: float, book: Codebook):
         error, n = entries["error"].to_numpy(), entries["n"].to_numpy()
         centre = book.centroids[int(entries["list"].iloc[0])]
         qid, xid = queries["cid"].to_numpy(), entries["cid"].to_numpy()
+        home, many = queries["home"].to_numpy(), queries["n"].to_numpy()
+        asks = np.zeros((len(x), len(book.centroids)), bool)  # the lists that entries search
+        for i, lists in enumerate(entries["probes"]):
+            asks[i, lists] = True
+        back = np.zeros(len(x), np.int64)
         tables = book.tables(q - centre)
         links_a, links_b, counts = [], [], np.zeros(len(q), np.int64)
         parent = {}
@@ -158,24 +167,27 @@ def _search(similarity: float, book: Codebook):
             alike = np.einsum("ij,ij->i", q[i], x[k]) >= similarity
             i, k = i[alike], k[alike]
             counts += np.bincount(i, n[k], len(q)).astype(np.int64)
+            unasked = ~asks[k, home[i]]  # the other side won't find this pair
+            back += np.bincount(k[unasked], many[i[unasked]], len(x)).astype(np.int64)
             for one, other in zip(qid[i].tolist(), xid[k].tolist(), strict=True):
                 a, b = top(one), top(other)
                 if a != b:
                     parent[b] = a
                     links_a.append(one)
                     links_b.append(other)
-        hit = counts > 0
+        hit, owed = counts > 0, back > 0
+        own = np.concatenate([qid[hit], xid[owed]])
         return pd.DataFrame({
-            "a": np.concatenate([qid[hit], np.array(links_a, np.int64)]),
-            "b": np.concatenate([qid[hit], np.array(links_b, np.int64)]),
-            "n": np.concatenate([counts[hit], np.zeros(len(links_a), np.int64)]),
+            "a": np.concatenate([own, np.array(links_a, np.int64)]),
+            "b": np.concatenate([own, np.array(links_b, np.int64)]),
+            "n": np.concatenate([counts[hit], back[owed], np.zeros(len(links_a), np.int64)]),
         })
 
     return run
 
 
 def linked_vectors(
-    vectors: DataFrame, similarity: float = SIMILARITY, margin: float = 1.0,
+    vectors: DataFrame, similarity: float = SIMILARITY, margin: float = MARGIN,
     sample_rows: int = SAMPLE, block: int = BLOCK,
 ) -> DataFrame:
     """Per row: row key, ``vec_id``, ``n_links``, ``component_id`` (smallest vec_id), ``kept``.
@@ -236,16 +248,18 @@ def linked_vectors(
         )
         blocks = indexed.groupBy("list").agg(F.ceil(F.count("*") / block).cast("bigint").alias("blocks"))
         stored = indexed.join(F.broadcast(blocks), "list").select(  # MAX_LISTS rows
-            "cid", "n", "v", "list", "code", "error",
+            "cid", "n", "v", "list", "code", "error", "probes",
             F.pmod(F.xxhash64("cid"), "blocks").alias("part"),
         )
-        asked = indexed.select("cid", "v", F.explode("probes").alias("list"))
+        asked = indexed.select(
+            "cid", "v", "n", F.col("list").alias("home"), F.explode("probes").alias("list")
+        )
         sizes = keep(asked.groupBy("list").agg(F.ceil(F.count("*") / block).cast("bigint").alias("asks")),
                      "asks")
         asked = (
             asked.join(F.broadcast(blocks), "list")
             .join(F.broadcast(sizes), "list")
-            .select("cid", "v", "list", F.pmod(F.xxhash64("cid"), "asks").alias("ask"),
+            .select("cid", "v", "n", "home", "list", F.pmod(F.xxhash64("cid"), "asks").alias("ask"),
                     F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("part"))
         )
         stored = stored.join(F.broadcast(sizes), "list").select(
