@@ -137,7 +137,8 @@ def balance(sizes: DataFrame, most: int = MOST) -> DataFrame:
     raw = F.col("dual") * F.col("size") / F.col("mean")
     rate = F.when(raw < F.log(F.lit(float(most))), F.exp(raw)).otherwise(F.lit(float(most)))
     part = F.when(F.col("size") > 0, F.round(rate * UNIT)).otherwise(F.lit(UNIT)).cast("bigint")
-    rated = sizes.join(given, F.col("source").eqNullSafe(F.col("_acct_s"))).select(
+    # One row per source, MAX_SOURCES at most: broadcast, as a hot source would fill one task.
+    rated = sizes.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("_acct_s"))).select(
         *sizes.columns, "source_size", "target", part.alias("_acct_rate")
     )
     # Equal sizes are ordered by a hash of the key, so neighbours are unrelated documents.
@@ -160,6 +161,6 @@ def balance(sizes: DataFrame, most: int = MOST) -> DataFrame:
         for i in range(STARTS)
     ]))
     starts = tried.select(F.col("source").alias("_acct_s"), best["start"].alias("_acct_start"))
-    return run.join(starts, F.col("source").eqNullSafe(F.col("_acct_s"))).select(
+    return run.join(F.broadcast(starts), F.col("source").eqNullSafe(F.col("_acct_s"))).select(
         *sizes.columns, "source_size", "target", copies(F.col("_acct_start")).alias("copies")
     )
