@@ -74,7 +74,7 @@ def _points(rows: DataFrame, dims: Sequence[str], n_shards: int) -> tuple[DataFr
         "light-rows",
     )
     points = rows.groupBy(*POINT).agg(
-        F.sum("size").alias("w"), *[F.min(d).alias(d) for d in dims]
+        F.sum("size").alias("w"), *[F.min(d).alias(d) for d in dims], F.lit(1).alias("node")
     )
     return rows, keep(points, "points")
 
@@ -114,7 +114,7 @@ def _cuts(points: DataFrame, wanted: dict[int, float]) -> dict[int, dict]:
 
 
 def kd_leaves(points: DataFrame, dims: Sequence[str], n_leaves: int) -> DataFrame:
-    """Adds ``leaf``, 0 to n_leaves - 1, to weighted ``points``; near equal in weight.
+    """Adds ``leaf``, 0 to n_leaves - 1, to weighted ``points`` in ``node`` 1; near equal in weight.
 
     Per level: ranges per node, one sort by range with sums per range, and one row per node that
     tells where to cut. The driver sees one row per node or range only.
@@ -124,7 +124,6 @@ def kd_leaves(points: DataFrame, dims: Sequence[str], n_leaves: int) -> DataFram
     box = points.agg(*spans).first()
     scale = {d: (box[d]["b"] or 0) - (box[d]["a"] or 0) for d in dims}
     nodes = {1: (0, n_leaves)}  # node: its first leaf and how many
-    points = points.withColumn("node", F.lit(1))
     while any(n > 1 for _, n in nodes.values()):
         stats = points.groupBy("node").agg(F.sum("w").alias("w"), *spans).collect()
         widest, wanted = {}, {}
