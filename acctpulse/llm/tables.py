@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acctpulse.session import scratch_path
@@ -15,13 +16,32 @@ FILE, ROW, PART = "_acct_file", "_acct_row", "_acct_part"
 KEY = [FILE, ROW]
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hands texts to Python in batches of ``TEXT_ROWS`` rows; the usual 10,000 are tens of MB."""
+    usual = spark.conf.get(ARROW_ROWS)
+    if 0 < int(usual) <= TEXT_ROWS:
+        yield
+        return
+    spark.conf.set(ARROW_ROWS, TEXT_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, usual)
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` once below the shared folder and reads it back.
 
     Cuts the lineage, survives lost executors, and costs less disk than a checkpoint.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
