@@ -115,3 +115,40 @@ def test_document_counts_are_exact(spark):
     assert idf.docs == len(data) and sorted(idf.df.astype(int).tolist()) == want
     words = arrays.Words(*arrays.utf8(pa.array(["a common line of words"])))
     assert idf.of(words.shingles(5)[0])[0] == pytest.approx(np.log1p(len(data) / 50))
+
+
+def test_edits_of_a_text_that_fills_a_third_of_the_rows(spark):
+    """Its near copies are those by plain five-word Jaccard: copies don't lower its weight."""
+    rng = random.Random(8)
+    base = corpus.text(rng, "en", 80).split()
+    data = [(i, corpus.text(rng, "de", 60), "de", "s", 0) for i in range(170)]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    own, edits = set(shingles(" ".join(base))), []
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.choice([1, 2])):
+            words[rng.randrange(len(words))] = f"w{i}"
+        if 0.8 <= alike(own, set(shingles(" ".join(words)))) <= 0.9 and len(edits) < 6:
+            edits.append((2000 + i, " ".join(words), "en", "s", 0))
+    assert len(edits) == 6
+    data += [(1000 + i, " ".join(base), "en", "s", 0) for i in range(90)] + edits
+    got, kept = classes(spark, data)
+    want = [(i, i, 1) for i in range(170)]
+    want += [(r[0], 1000, 96) for r in data[170:]]
+    assert got == sorted(want) and kept["1000"] == 1
+
+
+def test_copies_leave_classes_as_they_are_without_them(spark):
+    rng = random.Random(6)
+    base = corpus.text(rng, "en", 90).split(" ")
+    once = corpus.rows(40, 12)
+    for i in range(60):
+        words = list(base)
+        words[rng.randrange(len(words))] = f"w{i}"
+        once.append((4000 + i, " ".join(words), "en", "s", 0))
+    once.append((5000, " ".join(base), "en", "s", 0))
+    data = once + [(5001 + i, " ".join(base), "en", "s", 0) for i in range(40)]
+    got, _ = classes(spark, data)
+    class_of = {i: c for i, c, _ in got}
+    assert [(i, class_of[i]) for i, _, _ in brute(once)] == [(i, c) for i, c, _ in brute(once)]
+    assert all(class_of[5001 + i] == class_of[5000] for i in range(40))
