@@ -399,6 +399,14 @@ SELECT seq, account_number, NULL, CAST(amount AS DOUBLE) FROM ({NATION})""",
   FROM e WHERE descr <> 'PayNow' GROUP BY 1)
 SELECT seq, coalesce(descr = 'PayNow' AND posting_timestamp < newest, FALSE) AS is_late
   FROM e LEFT JOIN m ON m.account_number = e.account_number""",
+        "late_bounded": f"""WITH e AS ({DENSE}), m AS (SELECT account_number, max(posting_timestamp) AS newest
+  FROM e WHERE descr <> 'PayNow' GROUP BY 1),
+w AS (SELECT max(posting_timestamp) - INTERVAL 10 MINUTE AS mark,
+  max(posting_timestamp) FILTER (posting_timestamp < TIMESTAMP '{HALF_TIME}') - INTERVAL 20 MINUTE AS gone
+  FROM e WHERE descr <> 'PayNow')
+SELECT seq, coalesce(descr = 'PayNow'
+    AND posting_timestamp < CASE WHEN newest > coalesce(gone, newest - INTERVAL 1 SECOND) THEN newest ELSE mark END,
+  FALSE) AS is_late FROM e LEFT JOIN m ON m.account_number = e.account_number CROSS JOIN w""",
         "state_inspect": f"""SELECT count(*) AS accounts_tracked,
   CAST(sum(least(n, 1000)) AS BIGINT) AS total_records
   FROM (SELECT account_number, count(*) AS n FROM ({DENSE}) GROUP BY 1)""",

@@ -780,8 +780,13 @@ def late_rescored(spark, sf_dir):
 
 def _two_batches(spark, first, second):
     """A file stream that delivers two tables one after the other."""
-    path = scratch_path(spark, "two-batches")
-    for part in (first, second):
+    return _in_batches(spark, first, second)
+
+
+def _in_batches(spark, *parts):
+    """A file stream that delivers tables one after the other."""
+    path = scratch_path(spark, "batches")
+    for part in parts:
         part.select(*schema_columns()).coalesce(1).write.mode("append").parquet(path)
     return path
 
@@ -823,6 +828,19 @@ def late_data(spark, sf_dir):
     return _drained(spark, out, "late")[0].select(schema.SEQ, "is_late")
 
 
+def late_bounded(spark, sf_dir):
+    """The same with bounded retention: rows far behind the watermark come out too.
+
+    The first two batches move the watermark; Spark holds rows against that of the batch before.
+    """
+    rows = views.dense(spark, sf_dir)
+    late = F.col("descr") == "PayNow"
+    early = F.col("posting_timestamp") < F.lit(HALF_TIME).cast("timestamp")
+    path = _in_batches(spark, rows.where(~late & early), rows.where(~late & ~early), rows.where(late))
+    out = streams.stream_features(_stream_of(spark, path), retention="bounded")
+    return _drained(spark, out, "late-bounded")[0].select(schema.SEQ, "is_late")
+
+
 def state_retention(spark, sf_dir):
     """What is still remembered after a stream with bounded retention."""
     rows = views.dense(spark, sf_dir)
@@ -929,6 +947,7 @@ def registry() -> dict[str, Query]:
         "stream_batch_score": stream_batch_score,
         "warm_start": warm_start,
         "late_data": late_data,
+        "late_bounded": late_bounded,
         "state_retention": state_retention,
         "state_inspect": state_inspect,
     }

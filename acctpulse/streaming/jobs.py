@@ -33,8 +33,10 @@ def stream_features(
     Rows without a time or an amount have no features and leave the state alone.
 
     retention "parity" keeps what batch keeps (capped history, running totals);
-    "bounded" forgets by event time: rows behind the watermark are dropped, and
-    an account without rows for ``retention_seconds`` loses its state.
+    "bounded" forgets by event time: an account without rows for ``retention_seconds``
+    before the watermark loses its state. The watermark moves timers only: the operator never
+    sees its column, so rows behind it are not dropped. Those older than their account's newest
+    row are late, and those of an account without state, which may have been forgotten.
     """
     if retention not in ("parity", "bounded"):
         raise ValueError("retention is 'parity' or 'bounded'")
@@ -48,7 +50,6 @@ def stream_features(
     rows = rows.select(
         scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
         F.col(schema.SEQ).cast("bigint").alias(schema.SEQ),
-        *([F.col("posting_timestamp")] if bounded else []),
         scalar.epoch_micros(F.col("posting_timestamp")).alias("us"),
         _cents(F.col("transaction_ac_amount")).alias("cents"),
         scalar.text_key(F.col("descr")).alias("descr"),

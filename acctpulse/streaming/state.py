@@ -120,7 +120,9 @@ class AccountFeatures(StatefulProcessor):
     The rows of a key inside a micro-batch are sorted first.  A row older than
     the newest one already processed comes out with ``is_late`` and no features.
     With ``bounded`` retention the history is trimmed to ``retention_seconds``
-    behind the watermark, and an account idle for that long is forgotten.
+    behind the watermark or the batch's first row in order, if that is older, and an account
+    idle for that long is forgotten.  Where nothing is remembered, rows behind the
+    watermark are late: what came before them may have been forgotten.
     """
 
     def __init__(self, cfg: FeatureConfig, bounded: bool, retention_seconds: float) -> None:
@@ -173,7 +175,7 @@ class AccountFeatures(StatefulProcessor):
     ) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"])
         totals = self.totals.get()
-        newest = totals[6] if totals is not None else None
+        newest = totals[6] if totals is not None else self._watermark_us(timerValues)
         late = batch["us"] < newest if newest is not None else np.zeros(len(batch), dtype=bool)
         fresh = batch[~late]
         parts = [batch[late].assign(is_late=True)]
@@ -181,11 +183,17 @@ class AccountFeatures(StatefulProcessor):
             parts.append(fresh.assign(is_late=False, **self._advance(fresh, totals, timerValues)))
         yield pd.concat(parts).reindex(columns=self.columns)
 
+    def _watermark_us(self, timers: Any) -> int | None:
+        """None as long as there is no watermark."""
+        now = timers.getCurrentWatermarkInMs() if self.bounded else 0
+        return now * 1000 if now > 0 else None
+
     def _advance(self, fresh: pd.DataFrame, totals: tuple | None, timers: Any) -> dict[str, list]:
         """Process new rows in order, store the state, return their feature columns."""
         held = self._read_history()
-        if self.bounded and timers.getCurrentWatermarkInMs() > 0:
-            edge = (timers.getCurrentWatermarkInMs() - self.retention_ms) * 1000
+        watermark = self._watermark_us(timers)
+        if watermark is not None:
+            edge = min(watermark, int(fresh["us"].iloc[0])) - self.retention_ms * 1000
             drop = int(np.searchsorted(np.array(held[0], dtype=np.int64), edge))
             held = [c[drop:] for c in held]
         new = [fresh[c].tolist() for c in ("us", "seq", "cents", "descr", "dc_sign")]

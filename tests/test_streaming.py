@@ -105,6 +105,40 @@ def test_bounded_retention_forgets_idle_accounts(spark, tmp_path):
     assert rows[8]["same_amount_frequency"] == 6
 
 
+def test_bounded_retention_returns_rows_behind_the_watermark(spark, tmp_path):
+    start = int(dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+
+    def event(seq, account, second):
+        return {
+            "seq": seq, "account": account, "us": start + second * 1_000_000, "amount": 500,
+            "descr": "ATM", "dc": "D", "src": "T",
+        }
+
+    src, out, cp = (str(tmp_path / d) for d in ("src", "out", "cp"))
+    parts = [
+        [event(1, "idle", 0), event(2, "busy", 0), event(3, "slow", 5000)],
+        [event(4, "busy", 9000), event(5, "slow", 5300)],
+        [event(6, "busy", 5000), event(7, "slow", 5600), event(8, "slow", 5200)],
+        [event(9, "idle", 100), event(10, "idle", 9500), event(11, "new", 4000)],
+    ]
+    for part in parts:
+        feed(spark, src, part)
+        stream = jobs.stream_features(
+            source(spark, src), retention="bounded", retention_seconds=7000, watermark="0 seconds"
+        )
+        drain(jobs.start_split(stream, out, cp))
+    accepted, aside = jobs.read_split(spark, out)
+    late = aside.collect()
+    assert sorted(r["seq"] for r in late) == [6, 8, 9, 11]
+    assert all(r["is_late"] and r["time_since_last_txn"] is None for r in late)
+    rows = {r["seq"]: r for r in accepted.collect()}
+    assert sorted(rows) == [1, 2, 3, 4, 5, 7, 10]
+    # Behind the watermark, but in order for its account: nothing is missing from its window.
+    assert rows[7]["time_since_last_txn"] == 300 and rows[7]["same_amount_frequency"] == 3
+    assert rows[7]["same_acct_amt_count_10min"] == 3
+    assert rows[10]["same_amount_frequency"] == 1  # forgotten in between
+
+
 def test_stream_score_and_alerts(spark, tmp_path):
     events = sorted(make_events(34, n=150), key=lambda e: (e["us"], e["seq"]))
     cfg = FeatureConfig()
