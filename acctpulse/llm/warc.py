@@ -9,11 +9,12 @@ Equal payloads of some size are stored once: the record with the largest id is t
 others are ``revisit`` records that refer to it and have no payload.
 
 Archives are read by splitting at the version line. So that no payload can look like one, a chunk
-ends inside any version line that the payload holds. Files are compressed and hold a bounded number
+ends inside any version line that the payload holds, and inside a version at its own end, which the line
+end after it would complete. Files are compressed and hold a bounded number
 of records, each file being one task's work; uncompressed ones are also split inside.
 
 Defined cases: a null payload is empty; a null id is less than any other; of repeated rows one
-is the response; line breaks in a URL are escaped.
+is the response; line breaks in a URL are escaped, and so is the point of a version at its end.
 """
 
 from __future__ import annotations
@@ -65,13 +66,15 @@ def describe(records: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 
 def _cut(payload: memoryview, chunk: int, magic: bytes) -> Iterator[tuple[int, int]]:
-    """Where chunks begin and end; never with a whole ``magic`` inside one."""
-    start = 0
+    """Where chunks begin and end; never with a whole ``magic`` inside one or all but its line end last."""
+    start, version = 0, magic.removesuffix(b"\r\n")
     while True:
         end = min(len(payload), start + chunk)
         found = bytes(payload[start:end]).find(magic)
         if found >= 0:
             end = start + found + len(magic) // 2
+        elif bytes(payload[max(start, end - len(version)) : end]) == version:
+            end -= len(version) // 2
         yield start, end
         start = end
         if start >= len(payload):
@@ -142,6 +145,7 @@ def write_archive(
     kind = F.when(first, F.col("record_type")).otherwise(F.lit("continuation"))
     segment = F.when(~(first & F.col("last")), F.col("chunk_no") + 1)
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20]", "%20")
+    url = F.regexp_replace(url, r"WARC/1\.1\z", "WARC/1%2E1")
     head = F.concat_ws(
         "",
         F.lit(MAGIC),

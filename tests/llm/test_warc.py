@@ -48,6 +48,25 @@ def test_round_trip_keeps_every_byte_and_digest(spark, tmp_path):
     assert sorted(joined.values()) == sorted((p or b"") for _, _, p in data)
 
 
+def test_a_version_at_the_end_of_a_payload_a_chunk_or_a_url(spark, tmp_path):
+    version = warc.MAGIC.encode().strip()
+    data = [
+        (1, "u", b"page " + version), (2, "u", b"a" * 42 + version + b"c" * 60), (3, "u", version),
+        (4, "u", b"a" * 42 + version), (5, "http://a/WARC/1.1", b"page"), (6, "u", version * 20),
+        (7, "u", b"a" * 42 + version + b"\r\n" + version),
+    ]
+    path = str(tmp_path / "w")
+    got = {r["id"]: r for r in round_trip(spark, path, data).collect()}
+    assert len(got) == len(data) and all(r["verified"] for r in got.values())
+    for i, _, payload in data:
+        assert got[i]["payload_digest"] == hashlib.sha1(payload).hexdigest()
+    assert got[5]["url"] == "http://a/WARC/1%2E1"
+    joined = {}
+    for c in sorted(warc.read_records(spark, path).collect(), key=lambda c: c["chunk_no"]):
+        joined[c["record"]] = joined.get(c["record"], b"") + bytes(c["payload"])
+    assert sorted(joined.values()) == sorted(p for _, _, p in data)
+
+
 def test_equal_payloads_are_revisited(spark, tmp_path):
     big, small = b"y" * 1000, b"y" * 999
     data = [(1, "u", big), (3, "u", big), (2, "u", big), (4, "u", small), (5, "u", small),
