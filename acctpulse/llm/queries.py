@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctpulse.llm import (
+    crosstok,
     decontaminate,
     langid,
     mixing,
@@ -24,6 +26,8 @@ from acctpulse.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 N_SHARDS = 16
+#: Public vocabulary files; read on the driver and handed to the tasks.
+TOKENIZERS = "/opt/tokenizers"
 PLACE_RULES = [
     urlfilter.place_rule("block", "net/"),
     urlfilter.place_rule("allow", "example.net/en/"),
@@ -123,6 +127,13 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, []).select("doc_id", "class_id", "kept", "class_rows")
 
 
+def cross_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    vocabulary, model = (
+        Path(tokenizers, name).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    )
+    return crosstok.cross_align(table(spark, sf_dir, "documents"), ["doc_id"], vocabulary, model)[0]
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_language_id": language_id,
@@ -135,4 +146,5 @@ def registry() -> dict[str, Query]:
         "op8_pq_links": vector_links,
         "op9_line_quality": line_quality,
         "op10_near_duplicates": near_duplicates,
+        "op12_cross_tokens": cross_tokens,
     }

@@ -103,3 +103,27 @@ def running_sums(
         *[F.col(f"rows.{c}") for c in df.columns],
         *[(F.col(c) + F.col(f"{c}_0")).alias(n) for c, n in zip(cols, sums, strict=True)],
     )
+
+
+#: A key with more than this part of all rows is joined without a shuffle of its rows.
+HOT_PART = 1000
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, key: str, weight: str) -> DataFrame:
+    """Left join of ``rows`` to ``facts``, which has one row a ``key`` and that key's number of rows.
+
+    Keys that hold more than 1 / ``HOT_PART`` of all rows are fewer than ``HOT_PART`` by counting, so
+    their facts are broadcast; the others are shuffled, and none of them fills a task.
+    Rows whose key is null get null facts and are not shuffled. ``facts`` is read several times: keep it first.
+    """
+    total = facts.agg(F.sum(weight)).first()[0] or 0
+    least = total // HOT_PART
+    hot = facts.where(F.col(weight) > least)
+    cold = facts.where(F.col(weight) <= least)
+    known = rows.where(F.col(key).isNotNull())
+    names = [*rows.columns, *[c for c in facts.columns if c != key]]
+    often = known.join(F.broadcast(hot), key).select(*names)
+    rest = known.join(F.broadcast(hot.select(key)), key, "left_anti")
+    rarely = rest.join(cold, key, "left").select(*names)
+    null = rows.where(F.col(key).isNull())
+    return often.unionByName(rarely).unionByName(null, allowMissingColumns=True)
