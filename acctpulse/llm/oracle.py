@@ -71,6 +71,84 @@ SELECT p.page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
 FROM placed p LEFT JOIN best b ON p.page_id = b.page_id AND p.url = b.url
 """
 
+#: CRC-32 bit by bit, the costs to go row by row from the end, then the audit read back.
+OP11 = r"""
+WITH RECURSIVE crc AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+        lambda c: CAST(ord(c) AS BIGINT))),
+      lambda h, b: list_reduce(list_prepend(xor(h, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS rest
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN rest = 4 THEN 'user' ELSE role END AS role,
+    CASE rest WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM crc, generate_series(1, 2) AS copies(k) WHERE rest <> 0 AND (k = 1 OR rest = 3)),
+numbered AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i
+  FROM damaged),
+faulty AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS earlier,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault
+  FROM numbered),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+inserted(q, prefix, q2) AS (
+  VALUES (0, '', 0), (0, 'I', 2), (0, 'II', 3), (0, 'III', 2), (1, '', 1), (1, 'I', 2), (1, 'II', 3), (1, 'III', 2),
+    (2, '', 2), (2, 'I', 3), (2, 'II', 2), (2, 'III', 3), (3, '', 3), (3, 'I', 2), (3, 'II', 3), (3, 'III', 2)),
+edits(q2, edit, price, needs, next) AS (
+  VALUES (0, 'D', 3, NULL, 0), (1, 'D', 3, NULL, 1), (2, 'D', 3, NULL, 2), (3, 'D', 3, NULL, 3),
+    (0, 'R', 2, NULL, 2), (1, 'R', 2, NULL, 2), (2, 'R', 2, NULL, 3), (3, 'R', 2, NULL, 2),
+    (0, 'K', 0, 's', 1), (0, 'K', 0, 'u', 2), (1, 'K', 0, 'u', 2), (2, 'K', 0, 'a', 3), (3, 'K', 0, 'u', 2)),
+moves AS (
+  SELECT q, prefix || edit AS told, edit, 2 * length(prefix) + price AS price, needs, next
+  FROM inserted JOIN edits USING (q2)),
+solved AS (
+  SELECT conv_id, n AS i, q, best FROM facts, (
+    VALUES (0, {'c': 0::BIGINT, 'a': ''}), (1, {'c': 4::BIGINT, 'a': 'II'}), (2, {'c': 2::BIGINT, 'a': 'I'}), (3, {'c': 0::BIGINT, 'a': ''})) AS ends(q, best)
+  UNION ALL
+  SELECT s.conv_id, s.i - 1, m.q, min({'c': s.best.c + m.price
+      + CASE WHEN f.fault = 'truncated' AND m.edit <> 'D' THEN 1 ELSE 0 END, 'a': m.told || s.best.a})
+  FROM solved AS s JOIN faulty AS f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i
+    JOIN moves AS m ON m.next = s.q AND (m.needs IS NULL OR m.needs = f.initial)
+      AND (m.edit = 'D' OR f.fault IN ('none', 'truncated'))
+  GROUP BY s.conv_id, s.i, m.q),
+cheapest AS (SELECT conv_id, best.c AS cost, best.a AS audit FROM solved WHERE i = 0 AND q = 0),
+steps AS (
+  SELECT conv_id, k, edit, sum(CAST(edit <> 'I' AS INT)) OVER w AS i, sum(CAST(edit <> 'D' AS INT)) OVER w AS e
+  FROM (SELECT conv_id, k, substr(audit, k, 1) AS edit
+        FROM (SELECT conv_id, audit, unnest(generate_series(1, length(audit))) AS k FROM cheapest))
+  WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+placed AS (
+  SELECT s.conv_id, k, edit, e, f.role, f.text,
+    max(CAST(e = 1 AND edit = 'K' AND f.initial = 's' AS INT)) OVER (PARTITION BY s.conv_id) AS leads
+  FROM steps AS s LEFT JOIN faulty AS f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i AND s.edit <> 'I'
+  WHERE edit <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (e - leads) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS told
+  FROM placed GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(f.blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(f.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(f.truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(f.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(c.cost, 0) AS BIGINT) AS cost,
+  coalesce(c.audit, '') AS audit, sha256(coalesce(r.told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+  LEFT JOIN facts AS f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN cheapest AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN repaired AS r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_warc": OP2, "op5_decontamination": OP5, "op6_url_filter": OP6}
+    return {
+        "op2_warc": OP2, "op5_decontamination": OP5, "op6_url_filter": OP6,
+        "op11_conversation_repair": OP11,
+    }

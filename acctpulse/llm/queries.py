@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctpulse.llm import (
+    convrepair,
     crosstok,
     decontaminate,
     langid,
@@ -127,6 +128,27 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, []).select("doc_id", "class_id", "kept", "class_rows")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults, picked by CRC-32 of conversation and turn: dropped, emptied, cut off, repeated, another role."""
+    spelled = F.concat(*[
+        F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), F.lit(" ")),
+    ])
+    rest = F.crc32(spelled.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    text = F.when(rest == 1, "").when(rest == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.explode(F.sequence(F.lit(1), F.when(rest == 3, 2).otherwise(1)))
+    return conversations.where(rest != 0).select(
+        "conv_id", "turn", F.when(rest == 4, "user").otherwise(role).alias("role"), text.alias("text"),
+        copies.alias("copy"),
+    ).drop("copy")
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return convrepair.repair(damaged(given), given)
+
+
 def cross_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     vocabulary, model = (
         Path(tokenizers, name).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")
@@ -146,5 +168,6 @@ def registry() -> dict[str, Query]:
         "op8_pq_links": vector_links,
         "op9_line_quality": line_quality,
         "op10_near_duplicates": near_duplicates,
+        "op11_conversation_repair": conversation_repair,
         "op12_cross_tokens": cross_tokens,
     }
