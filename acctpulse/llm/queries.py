@@ -12,6 +12,7 @@ from acctpulse.llm import (
     convrepair,
     crosstok,
     decontaminate,
+    htmlwrap,
     langid,
     mixing,
     neardup,
@@ -156,6 +157,11 @@ def cross_tokens(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS)
     return crosstok.cross_align(table(spark, sf_dir, "documents"), ["doc_id"], vocabulary, model)[0]
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmlwrap.extract(pages, ["page_id", "url"])[0]
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_language_id": language_id,
@@ -170,4 +176,5 @@ def registry() -> dict[str, Query]:
         "op10_near_duplicates": near_duplicates,
         "op11_conversation_repair": conversation_repair,
         "op12_cross_tokens": cross_tokens,
+        "op13_main_text": main_texts,
     }
