@@ -175,6 +175,80 @@ def state_asof(events: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
+STATE_COLUMNS = [
+    "txn_count", "amount_sum", "amount_mean", "amount_std", "last_posting", "last_amount",
+    "last_descr", "current_streak",
+]
+
+
+def asof_join(rows: DataFrame, asks: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Each ask with the columns ``names`` of its account's last row up to the asked time.
+
+    ``rows`` has account_number, posting_timestamp and seq; ``asks`` has account_number, asked_at and any others,
+    all of which are kept.  Rows and asks are dealt together by (account, time), rows first where times are
+    equal.  Inside a range the last row is carried forward; a range starts with the last row of
+    the ranges before it (one row per range and account).  Nothing is joined by time, and an
+    account of any size spreads over ranges.  Asks without a time, or before
+    their account's first row, get nulls.
+    """
+    row = rows.select(
+        scalar.text_key(F.col("account_number")).alias("account_number"),
+        scalar.epoch_micros(F.col("posting_timestamp")).alias("us"),
+        F.col(schema.SEQ).alias("tie"),
+        F.struct(*names).alias("row"),
+    ).where(F.col("us").isNotNull())
+    ask = asks.select(
+        scalar.text_key(F.col("account_number")).alias("account_number"),
+        scalar.epoch_micros(F.col("asked_at")).alias("us"),
+        F.struct(*asks.columns).alias("ask"),
+    )
+    tagged = row.unionByName(ask, allowMissingColumns=True).withColumn(
+        "is_ask", F.col("ask").isNotNull()
+    )
+    keys = ["account_number", "us", "is_ask", "tie"]
+    # The number of a range is used as a key, so the ranges are written once.
+    placed = cut_lineage(
+        tagged.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumns({"_part": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()})
+    )
+    ends = placed.where(~F.col("is_ask")).groupBy("account_number", "_part")
+    ends = ends.agg(F.max_by("row", "_pos").alias("_end"))
+    touched = placed.groupBy("account_number", "_part").agg(F.count("*").alias("_n"))
+    touched = touched.withColumnsRenamed({"account_number": "_account", "_part": "_range"})
+    same = (F.col("_account") == F.col("account_number")) & (F.col("_range") == F.col("_part"))
+    earlier = W.partitionBy("_account").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carried = touched.join(ends, same, "left").select(
+        "_account", "_range", F.last("_end", ignorenulls=True).over(earlier).alias("_before")
+    )
+    inside = W.partitionBy("account_number", "_part").orderBy("_pos")
+    inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = placed.withColumn("_inside", F.last("row", ignorenulls=True).over(inside)).where("is_ask")
+    found = found.join(carried, same)
+    timed = F.when(F.col("us").isNotNull(), F.coalesce("_inside", "_before"))
+    return found.select("ask.*", timed.alias("_row")).select(
+        *asks.columns, *[F.col(f"_row.{c}").alias(c) for c in names]
+    )
+
+
+def state_at(events: DataFrame, asks: DataFrame) -> DataFrame:
+    """Each ask (account_number, asked_at, and any others) with its account's state at that time.
+
+    The state after every row comes from one feature table with running totals, where very large accounts are
+    split; the asks then meet it in ``asof_join``.  An ask before any row has a count of 0 and nulls.
+    """
+    after = feature_table(events, stats=True)
+    rows = after.select(
+        "account_number", schema.SEQ, "posting_timestamp", *[F.col(c) for c in STATE_COLUMNS[:4]],
+        F.col("posting_timestamp").alias("last_posting"),
+        F.col("transaction_ac_amount").alias("last_amount"),
+        F.col("descr").alias("last_descr"),
+        F.col("duplicate_streak").alias("current_streak"),
+    )
+    found = asof_join(rows, asks, STATE_COLUMNS)
+    return found.withColumn("txn_count", F.coalesce("txn_count", F.lit(0)).cast("bigint"))
+
+
 def map_lookup(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
     """Category to code by a table; unknown is -1.
 

@@ -295,6 +295,16 @@ SELECT account_number, txn_count, amount_sum,
     WHERE f.account_number = u.account_number AND f.posting_timestamp <= {half}) AS amount_std,
   posting_timestamp AS last_posting, amount AS last_amount, descr AS last_descr, duplicate_streak AS current_streak
   FROM u WHERE back = 1""",
+        "state_at_times": f"""{_features(DENSE)}, asks AS (
+  SELECT seq AS ask_id, account_number, 'after' AS which, posting_timestamp + INTERVAL 90 SECOND AS asked_at FROM e
+  UNION ALL SELECT seq, account_number, 'before', posting_timestamp - INTERVAL 2000 SECOND FROM e)
+SELECT ask_id, a.account_number, which, asked_at, count(f.seq) AS txn_count, sum(amount) AS amount_sum,
+  round(avg(CAST(amount AS DOUBLE)), 6) AS amount_mean,
+  round(stddev_pop(CAST(amount AS DOUBLE)), 6) AS amount_std, max(posting_timestamp) AS last_posting,
+  arg_max(amount, (posting_timestamp, seq)) AS last_amount, arg_max(descr, (posting_timestamp, seq)) AS last_descr,
+  arg_max(duplicate_streak, (posting_timestamp, seq)) AS current_streak
+  FROM asks a LEFT JOIN f ON f.account_number = a.account_number AND f.posting_timestamp <= a.asked_at
+  GROUP BY ask_id, a.account_number, which, asked_at""",
         "map_lookup": f"SELECT seq, descr, {_codes('descr', DESCR_CODES)} AS code FROM ({DENSE})",
         "score_summary": f"""SELECT count(*) AS total_transactions, {rate} AS anomalies_detected,
   {rate} / greatest(count(*), 1) AS anomaly_rate FROM ({SCORED})""",

@@ -322,6 +322,19 @@ def state_asof_lookup(spark, sf_dir):
     return state.withColumns({c: F.round(c, 6) for c in ("amount_mean", "amount_std")})
 
 
+def state_at_times(spark, sf_dir):
+    """Two asks an event: a while after it and long before it."""
+    rows = views.dense(spark, sf_dir)
+    ts = F.col("posting_timestamp")
+    ask = F.inline(F.array(
+        F.struct(F.lit("after").alias("which"), (ts + F.expr("INTERVAL 90 SECOND")).alias("asked_at")),
+        F.struct(F.lit("before").alias("which"), (ts - F.expr("INTERVAL 2000 SECOND")).alias("asked_at")),
+    ))
+    asks = rows.select(F.col(schema.SEQ).alias("ask_id"), "account_number", ask)
+    state = lookups.state_at(rows.select(*schema_columns()), asks)
+    return state.withColumns({c: F.round(c, 6) for c in ("amount_mean", "amount_std")})
+
+
 def map_lookup(spark, sf_dir):
     codes = spark.createDataFrame(list(schema.DESCR_CODES.items()), "descr string, code int")
     rows = views.dense(spark, sf_dir).select(schema.SEQ, "descr")
@@ -880,6 +893,7 @@ def registry() -> dict[str, Query]:
         "add_constant_label": add_constant_label,
         "window_lookup": window_lookup,
         "state_asof_lookup": state_asof_lookup,
+        "state_at_times": state_at_times,
         "map_lookup": map_lookup,
         "score_summary": _on_scored(reports.score_summary),
         "distinct_accounts": _on_dense(reports.distinct_accounts),
