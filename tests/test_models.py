@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acctpulse.models import explain, forest
+from acctpulse.operators import quantile
 from acctpulse.operators.quantile import exact_quantile
 
 FEATURES = ["a", "b", "c", "d"]
@@ -126,11 +127,29 @@ def test_save_and_load(spark, points, model, tmp_path):
 
 @pytest.mark.parametrize("q", [0.0, 0.01, 0.37, 0.5, 1.0])
 def test_exact_quantile(spark, monkeypatch, q):
-    from acctpulse.operators import quantile
-
     monkeypatch.setattr(quantile, "GATHER_ROWS", 10)
-    monkeypatch.setattr(quantile, "BINS", 8)
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(size=500), np.full(400, 0.25), [1e9, -1e9]])
+    w = rng.integers(0, 4, size=len(x))
+    w[7] = 5_000
+    df = spark.createDataFrame([(float(v), int(n)) for v, n in zip(x, w)], "v double, n long")
+    df = df.unionByName(spark.createDataFrame([(None, 3), (float("nan"), 3), (1.0, None)], "v double, n long"))
+    assert exact_quantile(df.where("n is not null"), "v", q) == pytest.approx(np.quantile(x, q), rel=1e-12)
+    assert exact_quantile(df, "v", q, "n") == pytest.approx(np.quantile(np.repeat(x, w), q), rel=1e-12)
+
+
+def test_exact_quantile_in_two_reads(spark, monkeypatch):
+    """One pass for the sketch, one that counts; a sketch that errs costs another and no exactness."""
+    x = np.random.default_rng(4).permutation(60_000).astype(float)
+    monkeypatch.setattr(quantile, "GATHER_ROWS", 1_000)
     df = spark.createDataFrame([(float(v),) for v in x], "v double")
-    assert exact_quantile(df, "v", q) == pytest.approx(np.quantile(x, q), rel=1e-12)
+    seen = []
+    read = quantile.cut_lineage
+    monkeypatch.setattr(quantile, "cut_lineage", lambda d: seen.append(1) or read(d))
+    assert exact_quantile(df, "v", 0.25) == 0.25 * 59_999
+    assert len(seen) == 1
+    borders = quantile._borders
+    wrong = iter([(70_000.0, 80_000.0), (-3.0, -2.0)])
+    monkeypatch.setattr(quantile, "_borders", lambda *a: next(wrong, None) or borders(*a))
+    assert exact_quantile(df, "v", 0.25) == 0.25 * 59_999
+    assert exact_quantile(df.where("v < 0"), "v", 0.5) is None
