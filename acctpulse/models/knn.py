@@ -1,142 +1,230 @@
-"""Exact nearest neighbours in bounded groups.
-
-Reference rows are ordered along one axis and cut into cells of similar size.
-The distance of two rows is never smaller than their distance along the axis, so
-a query that knows some upper bound of its k-th distance needs only the cells
-its interval on the axis touches.  Round one bounds the distance in the query's
-own cell, round two visits the other cells in reach.  Every task sees one cell
-and one block of queries, both of limited size; pairs stay inside numpy and only
-the k best per query and cell leave it.
+"""Exact nearest neighbours by a pivot index.
+
+Reference rows belong to the cell of their nearest centre.  Centres are found on a bounded sample and only
+shape the cells; every row is indexed.  For each cell the index knows the least and largest distance of its rows to
+a few pivots and to its own centre.  For a query this gives a lower bound of the distance to any row of a cell: by the
+triangle inequality for each pivot, and by the plane between the cell's centre and the centre
+nearest to the query.  Bounds are lowered by more than rounding can add.
+
+A query visits cells from the lowest bound up, in rounds of growing numbers of cells; after each round its
+k-th distance shrinks the list, and the last round visits all that are left.  So neighbours are
+exact, and cells out of reach are never read.  A task sees one slice of a cell and one block of queries, both of bounded
+size; pairs stay inside numpy, and only the k best within the known radius leave it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acctpulse.session import cut_lineage
 
-CELL_ROWS = 4096
-# Reference tables up to this many values are sent to the tasks whole.
-BROADCAST_VALUES = 2_000_000
+#: Rows a cell has on average, up to ``MAX_CELLS`` cells; beyond that cells grow and are cut into slices.
+CELL_ROWS, MAX_CELLS = 1024, 4096
+SLICE_ROWS = 4096
+#: Rows of the sample on which centres are found, per centre and in all; rounds of moving the centres.
+SAMPLE_PER_CELL, SAMPLE_ROWS, MOVES = 64, 65_536, 4
+PIVOTS = 8
+#: Cells that a query visits in the first rounds; the last round visits what is left in reach.
+ROUNDS = (1, 3, 8)
 BLOCK = 256
+#: Squared distances from products of matrices are off by less than this part of the squared lengths.
+ROUNDING = 1e-11
 
 HIT_SCHEMA = "qid bigint, rid bigint, dist double, copies bigint"
 
 
-def principal_axis(df: DataFrame, features: Sequence[str]) -> list[float]:
-    """Unit vector of largest spread; any unit vector is exact, this one prunes best."""
-    rows = VectorAssembler(inputCols=list(features), outputCol="v").transform(df)
-    pc = PCA(k=1, inputCol="v", outputCol="p").fit(rows).pc.toArray().ravel()
-    norm = float(np.linalg.norm(pc))
-    if not np.isfinite(norm) or norm == 0:
-        pc, norm = np.ones(len(features)), len(features) ** 0.5
-    return [float(x) for x in pc / norm]
-
-
-def on_axis(features: Sequence[str], axis: Sequence[float]) -> Column:
-    total = F.lit(0.0)
-    for name, weight in zip(features, axis):
-        total = total + F.col(name) * F.lit(weight)
-    return total
-
-
-def place_in_cells(refs: DataFrame, rows: int) -> DataFrame:
-    """Adds ``cell``, the rank of the row's range along ``p``; written once."""
-    cells = max(1, -(-rows // CELL_ROWS))
-    ranged = refs.repartitionByRange(cells, "p", "rid")
-    return cut_lineage(ranged.withColumn("cell", F.spark_partition_id()))
-
-
-def cell_bounds(refs: DataFrame) -> list[tuple[int, float, float]]:
-    """(cell, lowest p, highest p): one entry per ``CELL_ROWS`` reference rows."""
-    rows = refs.groupBy("cell").agg(F.min("p").alias("low"), F.max("p").alias("high"))
-    return sorted((r["cell"], r["low"], r["high"]) for r in rows.collect())
+@dataclass
+class PivotIndex:
+    """Centres (cells x width), which of them are pivots, and distances of a cell's rows."""
+
+    centers: np.ndarray
+    pivots: np.ndarray
+    low: np.ndarray  # cells x pivots: least distance of a row to the pivot
+    high: np.ndarray
+    far: np.ndarray  # cells: largest distance of a row to its centre
+    rows: np.ndarray
+
+    def bounds(self, q: np.ndarray) -> np.ndarray:
+        """Lower bounds of the distance of each query to any row of each cell."""
+        sq, off = squared(q, self.centers)
+        dist = np.sqrt(sq)
+        slack = np.sqrt(off)
+        out = dist - self.far[None, :]
+        to_pivot = dist[:, self.pivots]
+        for p in range(len(self.pivots)):
+            at = to_pivot[:, p, None]
+            np.maximum(out, at - self.high[None, :, p], out=out)
+            np.maximum(out, self.low[None, :, p] - at, out=out)
+        out -= 2 * slack
+        nearest = sq.argmin(axis=1)
+        for c in np.unique(nearest):
+            own = np.flatnonzero(nearest == c)
+            apart = np.sqrt(((self.centers - self.centers[c]) ** 2).sum(axis=1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                plane = (sq[own] - sq[own, c, None] - 3 * off[own]) / (2 * apart[None, :])
+            plane[:, c] = 0
+            out[own] = np.maximum(out[own], np.nan_to_num(plane, nan=0.0, posinf=0.0, neginf=0.0))
+        return np.maximum(out, 0.0)
+
+
+def squared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by one product of matrices, and how far each query's may be off."""
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    sq = xx[:, None] + yy[None, :] - 2.0 * (x @ y.T)
+    return np.maximum(sq, 0.0), (ROUNDING * (xx + yy.max(initial=0.0)) + 1e-300)[:, None]
+
+
+def matrix(column: pd.Series) -> np.ndarray:
+    return np.array(column.tolist(), np.float64).reshape(len(column), -1)
+
+
+def _centers(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Centres of the sample: rows of it, moved to the mean of their cell a few times."""
+    sample = np.unique(sample, axis=0)
+    sample = sample[np.random.default_rng(0).permutation(len(sample))]
+    centers = sample[:cells].copy()
+    for _ in range(MOVES):
+        own = np.concatenate(
+            [squared(sample[i : i + 4096], centers)[0].argmin(axis=1) for i in range(0, len(sample), 4096)]
+        )
+        sums = np.zeros_like(centers)
+        np.add.at(sums, own, sample)
+        n = np.bincount(own, minlength=len(centers))
+        centers[n > 0] = sums[n > 0] / n[n > 0, None]
+    return np.unique(centers, axis=0)
+
+
+def _pivots(centers: np.ndarray) -> np.ndarray:
+    """Centres far from each other, the first far from the mean."""
+    away = ((centers - centers.mean(axis=0)) ** 2).sum(axis=1)
+    out: list[int] = []
+    while len(out) < min(PIVOTS, len(centers)):
+        out.append(int(away.argmax()))
+        apart = ((centers - centers[out[-1]]) ** 2).sum(axis=1)
+        away = apart if len(out) == 1 else np.minimum(away, apart)
+    return np.array(out)
+
+
+def build_index(refs: DataFrame, rows: int) -> tuple[DataFrame, PivotIndex]:
+    """``refs`` (rid, copies, v; a written table) with ``cell``, written once, and its index."""
+    cells = min(MAX_CELLS, max(1, -(-rows // CELL_ROWS)))
+    wanted = min(SAMPLE_ROWS, SAMPLE_PER_CELL * cells)
+    share = F.lit(min(1.0, 1.2 * wanted / max(rows, 1)) * (1 << 30))
+    picked = refs.where(F.pmod(F.xxhash64("rid"), F.lit(1 << 30)) <= share).select("v")
+    sample = matrix(picked.toPandas()["v"])
+    if not len(sample):
+        sample = matrix(refs.limit(1).toPandas()["v"])
+    centers = _centers(sample, cells) if len(sample) else np.zeros((1, 0))
+    pivots = _pivots(centers)
+    shared = refs.sparkSession.sparkContext.broadcast((centers, pivots))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centers, pivots = shared.value
+        for pdf in batches:
+            v = matrix(pdf["v"])
+            sq = squared(v, centers)[0]
+            cell = sq.argmin(axis=1)
+            near = np.sqrt(np.concatenate([sq[np.arange(len(v)), cell][:, None], sq[:, pivots]], axis=1))
+            yield pdf.assign(cell=cell.astype(np.int32), near=list(near))
+
+    placed = refs.select("rid", "copies", "v").mapInPandas(
+        place, "rid bigint, copies bigint, v array<double>, cell int, near array<double>"
+    )
+    placed = cut_lineage(placed)
+    places = range(1, len(pivots) + 1)
+    told = placed.groupBy("cell").agg(
+        F.count("*").alias("n"), F.max(F.col("near")[0]).alias("far"),
+        F.array(*[F.min(F.col("near")[i]) for i in places]).alias("low"),
+        F.array(*[F.max(F.col("near")[i]) for i in places]).alias("high"),
+    ).toPandas()
+    size = len(centers)
+    # A cell without rows is out of every query's reach.
+    low, high = np.full((size, len(pivots)), np.inf), np.full((size, len(pivots)), -np.inf)
+    far, n = np.full(size, -np.inf), np.zeros(size, np.int64)
+    at = told["cell"].to_numpy()
+    if len(at):
+        low[at], high[at] = matrix(told["low"]), matrix(told["high"])
+        far[at], n[at] = told["far"], told["n"]
+    return placed.drop("near"), PivotIndex(centers, pivots, low, high, far, n)
 
 
 def _nearest(
-    q: np.ndarray, own: np.ndarray | None, r: np.ndarray, rid: np.ndarray, m: np.ndarray, k: int
+    q: np.ndarray, own: np.ndarray | None, limit: np.ndarray, r: np.ndarray, rid: np.ndarray, m: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query index, rid, distance, copies) of the first reference rows that cover k copies.
 
-    ``own`` marks training rows, which do not count themselves: one copy less.
+    Candidates come from products of matrices and are measured again, difference by difference.
+    ``own`` marks training rows, which do not count themselves: one copy less.  Rows beyond ``limit`` are left out.
     """
     out: list[tuple[np.ndarray, ...]] = []
     order_by_id = np.argsort(rid, kind="stable")
     r, rid, m = r[order_by_id], rid[order_by_id], m[order_by_id]
+    width = min(k, len(r))
     for start in range(0, len(q), BLOCK):
         part = q[start : start + BLOCK]
-        sq = np.zeros((len(part), len(r)))
-        for j in range(r.shape[1]):
-            diff = part[:, j, None] - r[None, :, j]
-            sq += diff * diff
-        copies = np.broadcast_to(m, sq.shape)
+        sq, off = squared(part, r)
         if own is not None:
-            copies = copies - (own[start : start + BLOCK, None] == rid[None, :])
-            sq[copies == 0] = np.inf
-        # k rows always cover k copies; sort them by (distance, rid).
-        width = min(k, len(r))
+            alone = (own[start : start + BLOCK, None] == rid[None, :]) & (m == 1)[None, :]
+            sq[alone] = np.inf
+        # k rows always cover k copies.
         kth = np.partition(sq, width - 1, axis=1)[:, width - 1]
-        for i, (row, limit) in enumerate(zip(sq, kth)):
-            near = np.flatnonzero((row <= limit) & (copies[i] > 0))
-            near = near[np.argsort(row[near], kind="stable")][:width]
-            have = np.cumsum(copies[i, near])
-            near = near[: np.searchsorted(have, k) + 1]
-            out.append(
-                (np.full(len(near), start + i), rid[near], np.sqrt(row[near]), copies[i, near])
-            )
+        reach = np.minimum(kth, limit[start : start + BLOCK] ** 2 * (1 + 1e-9)) + 2 * off[:, 0]
+        for i in range(len(part)):
+            near = np.flatnonzero((sq[i] <= reach[i]) & np.isfinite(sq[i]))
+            exact = ((r[near] - part[i]) ** 2).sum(axis=1)
+            order = np.argsort(exact, kind="stable")[:width]
+            near, exact = near[order], exact[order]
+            copies = m[near] if own is None else m[near] - (rid[near] == own[start + i])
+            have = np.cumsum(copies)
+            near, copies = near[: np.searchsorted(have, k) + 1], copies[: np.searchsorted(have, k) + 1]
+            out.append((np.full(len(near), start + i), rid[near], np.sqrt(exact[: len(near)]), copies))
     if not out:
         return tuple(np.array([], dtype=t) for t in (np.int64, np.int64, float, np.int64))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _hits(q: pd.DataFrame, r: pd.DataFrame, features: list[str], k: int, self_free: bool):
-    if not len(q) or not len(r):
-        return pd.DataFrame({"qid": [], "rid": [], "dist": [], "copies": []}).astype(
-            {"qid": "int64", "rid": "int64", "dist": "float64", "copies": "int64"}
-        )
-    own = q["qid"].to_numpy() if self_free else None
-    at, rid, dist, copies = _nearest(
-        q[features].to_numpy(np.float64),
-        own,
-        r[features].to_numpy(np.float64),
-        r["rid"].to_numpy(),
-        r["copies"].to_numpy(),
-        k,
-    )
-    return pd.DataFrame(
-        {"qid": q["qid"].to_numpy()[at], "rid": rid, "dist": dist, "copies": copies}
-    )
-
-
-def _search_cells(
-    asks: DataFrame, refs: DataFrame, features: list[str], k: int, self_free: bool
-) -> DataFrame:
-    """k best of each (query, cell) in ``asks``; a busy cell is copied to several blocks."""
-    load = asks.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).alias("blocks"))
-    load = load.select("cell", F.col("blocks").cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int")
-    left = asks.join(load, "cell").withColumn("block", block)
-    right = refs.join(load, "cell").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    )
-    left = left.select("cell", "block", "qid", *features)
+def _search(asks: DataFrame, refs: DataFrame, index: PivotIndex, k: int, self_free: bool, visits: list | None) -> DataFrame:
+    """k best of each (query, cell) in ``asks``; a busy cell is copied to several blocks of queries."""
+    load = asks.groupBy("cell").agg(F.count("*").alias("n"))
+    load = load.select("cell", F.ceil(F.col("n") / SLICE_ROWS).cast("int").alias("blocks"), "n")
+    load = cut_lineage(load)  # at most MAX_CELLS rows
+    if visits is not None:
+        visits.append(load.agg(F.sum("n")).first()[0] or 0)
+    load = F.broadcast(load.drop("n"))
+    slices = np.maximum(1, -(-index.rows // SLICE_ROWS)).astype(int).tolist()
+    many = F.element_at(F.array(*[F.lit(s) for s in slices]), F.col("cell") + 1) if max(slices) > 1 else F.lit(1)
+    left = asks.join(load, "cell").withColumns({
+        "block": F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"),
+        "slice": F.explode(F.sequence(F.lit(0), many - 1)),
+    }).select("cell", "slice", "block", "qid", "v", "radius")
+    right = refs.join(load, "cell").withColumns({
+        "slice": F.pmod(F.xxhash64("rid"), many).cast("int"),
+        "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
+    })
     # New names: in a fit both sides stem from the same table.
-    names = ["cell", "block", "rid", "copies", *features]
+    names = ["cell", "slice", "block", "rid", "copies", "v"]
     right = right.select(*[F.col(c).alias(f"ref_{c}") for c in names])
 
     def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        return _hits(q, r.set_axis(names, axis=1), features, k, self_free)
+        if not len(q) or not len(r):
+            none = {"qid": "int64", "rid": "int64", "dist": "float64", "copies": "int64"}
+            return pd.DataFrame({c: [] for c in none}).astype(none)
+        at, rid, dist, copies = _nearest(
+            matrix(q["v"]), q["qid"].to_numpy() if self_free else None, q["radius"].to_numpy(),
+            matrix(r["ref_v"]), r["ref_rid"].to_numpy(), r["ref_copies"].to_numpy(), k,
+        )
+        return pd.DataFrame({"qid": q["qid"].to_numpy()[at], "rid": rid, "dist": dist, "copies": copies})
 
     return (
-        left.groupBy("cell", "block")
-        .cogroup(right.groupBy("ref_cell", "ref_block"))
+        left.groupBy("cell", "slice", "block")
+        .cogroup(right.groupBy("ref_cell", "ref_slice", "ref_block"))
         .applyInPandas(search, HIT_SCHEMA)
     )
 
@@ -156,82 +244,53 @@ def first_k(hits: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _own_cell(df: DataFrame, bounds: Sequence[tuple[int, float, float]]) -> Column:
-    """The last cell that begins at or before the query's place on the axis."""
-    ids, lows, _ = (np.array(c) for c in zip(*bounds))
-    shared = df.sparkSession.sparkContext.broadcast((ids, lows))
-
-    @F.pandas_udf("int")
-    def find(p: pd.Series) -> pd.Series:
-        ids, lows = shared.value
-        at = np.searchsorted(lows, p.to_numpy(), side="right") - 1
-        return pd.Series(ids[np.maximum(at, 0)])
-
-    return find("p")
-
-
-def _cells_in_reach(df: DataFrame, bounds: Sequence[tuple[int, float, float]]) -> Column:
-    """Cells that the interval p +- radius touches, without the query's own.
-
-    Cells are ordered along the axis, so those in reach are neighbours.
-    """
-    ids, lows, highs = (np.array(c) for c in zip(*bounds))
-    shared = df.sparkSession.sparkContext.broadcast((ids, lows, highs))
-
-    @F.pandas_udf("array<int>")
-    def find(p: pd.Series, radius: pd.Series, own: pd.Series) -> pd.Series:
-        ids, lows, highs = shared.value
-        first = np.searchsorted(highs, (p - radius).to_numpy(), side="left")
-        last = np.searchsorted(lows, (p + radius).to_numpy(), side="right")
-        return pd.Series([ids[a:b][ids[a:b] != o] for a, b, o in zip(first, last, own)])
-
-    return find("p", "radius", "cell")
+def _asks(queries: DataFrame, index: PivotIndex, start: int, end: int) -> DataFrame:
+    """Cells that each query (qid, v, radius) visits in a round: places ``start`` to ``end`` of its list."""
+    shared = queries.sparkSession.sparkContext.broadcast(vars(index))  # arrays only: workers may lack this package
+
+    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = PivotIndex(**shared.value)
+        for pdf in batches:
+            for i in range(0, len(pdf), 1024):
+                part = pdf.iloc[i : i + 1024]
+                bound = index.bounds(matrix(part["v"]))
+                order = np.argsort(bound, axis=1, kind="stable")[:, start:end]
+                inside = np.take_along_axis(bound, order, axis=1) <= part["radius"].to_numpy()[:, None]
+                inside &= (index.rows > 0)[order]
+                row, place = np.nonzero(inside)
+                yield part.iloc[row].assign(cell=order[row, place].astype(np.int32))
+
+    return queries.select("qid", "v", "radius").mapInPandas(
+        plan, "qid bigint, v array<double>, radius double, cell int"
+    )
 
 
 def neighbours(
     queries: DataFrame,
     refs: DataFrame,
-    bounds: Sequence[tuple[int, float, float]],
-    features: Sequence[str],
+    index: PivotIndex,
     k: int,
     self_free: bool = False,
-    ref_rows: int | None = None,
+    visits: list | None = None,
 ) -> DataFrame:
     """Exact k nearest reference rows of every query as (qid, rid, dist, copies).
 
-    ``queries``: qid, p, features.  ``refs``: rid, copies, p, cell, features.
+    ``queries``: qid, v; a written table.  ``refs``: rid, copies, v, cell.  ``visits`` receives the number of
+    visited (query, cell) pairs of each round.
     """
-    features = list(features)
-    if ref_rows is not None and ref_rows * (len(features) + 2) <= BROADCAST_VALUES:
-        return _neighbours_by_broadcast(queries, refs, features, k, self_free)
-    queries = queries.withColumn("cell", _own_cell(queries, bounds))
-    near = cut_lineage(_search_cells(queries, refs, features, k, self_free))
-    reach = near.groupBy("qid").agg(
-        F.max("dist").alias("reach"), F.sum("copies").alias("covered")
-    )
-    slack = F.col("reach") * (1 + 1e-9) + 1e-12
-    open_end = F.coalesce(F.col("covered"), F.lit(0)) < k
-    wide = queries.join(reach, "qid", "left").withColumn(
-        "radius", F.when(open_end, F.lit(float("inf"))).otherwise(slack)
-    )
-    others = _cells_in_reach(wide, bounds)
-    asks = wide.withColumn("cell", F.explode(others)).select(
-        "qid", "cell", *features
-    )
-    far = _search_cells(asks, refs, features, k, self_free)
-    return first_k(near.unionByName(far), k)
-
-
-def _neighbours_by_broadcast(
-    queries: DataFrame, refs: DataFrame, features: list[str], k: int, self_free: bool
-) -> DataFrame:
-    """A small reference table goes to every task; queries are not shuffled."""
-    table = refs.select("rid", "copies", *features).orderBy("rid").toPandas()
-    shared = queries.sparkSession.sparkContext.broadcast(table)
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for q in batches:
-            yield _hits(q, shared.value, features, k, self_free)
-
-    hits = queries.select("qid", *features).mapInPandas(search, HIT_SCHEMA)
-    return first_k(hits, k)
+    cells, best, start = len(index.centers), None, 0
+    infinite = F.lit(float("inf"))
+    for size in (*ROUNDS, cells):
+        if start >= cells:
+            break
+        if best is None:
+            asked = queries.withColumn("radius", infinite)
+        else:
+            reach = best.groupBy("qid").agg(F.max("dist").alias("reach"), F.sum("copies").alias("n"))
+            slack = F.col("reach") * (1 + 1e-9) + 1e-12
+            radius = F.when(F.coalesce("n", F.lit(0)) < k, infinite).otherwise(slack)
+            asked = queries.join(reach, "qid", "left").withColumn("radius", radius)
+        found = _search(_asks(asked, index, start, start + size), refs, index, k, self_free, visits)
+        best = cut_lineage(first_k(found if best is None else best.unionByName(found), k))
+        start += size
+    return best

@@ -26,9 +26,8 @@ TINY = 1e-10
 @dataclass
 class LofModel:
     features: list[str]
-    refs: DataFrame  # rid, copies, p, cell, features, kdist, lrd
-    bounds: list[tuple[int, float, float]]
-    axis: list[float]
+    refs: DataFrame  # rid, copies, v, cell, kdist, lrd
+    index: knn.PivotIndex
     center: list[float]
     width: list[float]
     k: int
@@ -59,6 +58,12 @@ def scaled(df: DataFrame, features, center, width, infinities: bool = False) ->
     )
 
 
+def vectors(df: DataFrame, features, center, width, infinities: bool = False) -> DataFrame:
+    """Each row's seq and its scaled features as ``v``."""
+    x = scaled(df.select(schema.SEQ, *features), features, center, width, infinities)
+    return x.select(schema.SEQ, F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("v"))
+
+
 def _density(hits: DataFrame, kdist: DataFrame) -> DataFrame:
     """Local reachability density per query."""
     reach = F.greatest("dist", "kdist")
@@ -87,27 +92,25 @@ def fit_lof(
     contamination: float | str = 0.01,
     novelty: bool = True,
     scale: bool = False,
+    visits: list | None = None,
 ) -> LofModel:
-    """Neighbours, k-distance and density of every training row."""
+    """Neighbours, k-distance and density of every training row.
+
+    ``visits`` receives the numbers of (row, cell) pairs that the search visited, a number a round.
+    """
     if not novelty:
         raise ValueError("only novelty=True can score new rows")
     features = list(features)
     center, width = scaling(df, features, scale)
-    x = scaled(df.select(schema.SEQ, *features), features, center, width, True)
-    rows = x.count()
-    k = max(1, min(n_neighbors, rows - 1))
-    unique = x.groupBy(*features).agg(
-        F.min(schema.SEQ).alias("rid"), F.count("*").alias("copies")
-    )
-    axis = knn.principal_axis(x, features)
-    unique = cut_lineage(unique.withColumn("p", knn.on_axis(features, axis)))
-    n_unique = unique.count()
-    refs = knn.place_in_cells(unique, n_unique)
-    bounds = knn.cell_bounds(refs)
-    queries = refs.select(F.col("rid").alias("qid"), "p", *features)
-    hits = cut_lineage(
-        knn.neighbours(queries, refs, bounds, features, k, self_free=True, ref_rows=n_unique)
+    x = vectors(df, features, center, width, True)
+    unique = cut_lineage(
+        x.groupBy("v").agg(F.min(schema.SEQ).cast("bigint").alias("rid"), F.count("*").alias("copies"))
     )
+    n_unique, rows = unique.agg(F.count("*"), F.sum("copies")).first()
+    k = max(1, min(n_neighbors, (rows or 0) - 1))
+    refs, index = knn.build_index(unique, n_unique)
+    queries = refs.select(F.col("rid").alias("qid"), "v")
+    hits = knn.neighbours(queries, refs, index, k, self_free=True, visits=visits)
     kdist = hits.groupBy("qid").agg(F.max("dist").alias("kdist"))
     kdist = kdist.withColumnRenamed("qid", "rid")
     lrd = cut_lineage(_density(hits, kdist))
@@ -115,27 +118,21 @@ def fit_lof(
     path = scratch_path(df.sparkSession, "lof")
     trained.write.parquet(path)
     trained = df.sparkSession.read.parquet(path)
-    model = LofModel(features, trained, bounds, axis, center, width, k, n_unique)
+    model = LofModel(features, trained, index, center, width, k, n_unique)
     if contamination != "auto":
         raw = _factor(hits, trained.select("rid", "lrd"), lrd).join(
             trained.select(F.col("rid").alias("qid"), "copies"), "qid"
         )
-        raw = cut_lineage(raw.select("raw", F.explode(F.sequence(F.lit(1), "copies"))))
-        model.offset = exact_quantile(raw, "raw", float(contamination))
+        raw = cut_lineage(raw.select("raw", "copies"))
+        model.offset = exact_quantile(raw, "raw", float(contamination), "copies")
     return model
 
 
 def score_lof(df: DataFrame, model: LofModel) -> DataFrame:
     """Adds score, label and flag to every row (keyed by seq)."""
-    x = scaled(df.select(schema.SEQ, *model.features), model.features, model.center, model.width)
-    queries = x.withColumnRenamed(schema.SEQ, "qid").withColumn(
-        "p", knn.on_axis(model.features, model.axis)
-    )
-    hits = cut_lineage(
-        knn.neighbours(
-            queries, model.refs, model.bounds, model.features, model.k, ref_rows=model.rows
-        )
-    )
+    queries = vectors(df, model.features, model.center, model.width)
+    queries = cut_lineage(queries.select(F.col(schema.SEQ).cast("bigint").alias("qid"), "v"))
+    hits = knn.neighbours(queries, model.refs, model.index, model.k)
     own = _density(hits, model.refs.select("rid", "kdist"))
     raw = _factor(hits, model.refs.select("rid", "lrd"), own).select(
         F.col("qid").alias(schema.SEQ), (F.col("raw") - F.lit(model.offset)).alias("anomaly_score")
@@ -143,19 +140,27 @@ def score_lof(df: DataFrame, model: LofModel) -> DataFrame:
     return with_labels(df.join(raw, schema.SEQ))
 
 
+CELL_SCHEMA = (
+    "cell int, center array<double>, low array<double>, high array<double>, far double, "
+    "`rows` bigint, pivot int"
+)
+
+
 def save_lof(spark: SparkSession, model: LofModel, path: str) -> None:
     path = path.rstrip("/")
     model.refs.write.mode("overwrite").parquet(f"{path}/refs")
-    meta = [
-        (
-            model.kind, model.features, model.bounds, model.axis, model.center, model.width,
-            model.k, model.rows, model.offset,
-        )
+    index = model.index
+    place = {int(c): i for i, c in enumerate(index.pivots)}
+    cells = [
+        (i, index.centers[i].tolist(), index.low[i].tolist(), index.high[i].tolist(), float(index.far[i]),
+         int(index.rows[i]), place.get(i))
+        for i in range(len(index.centers))
     ]
+    spark.createDataFrame(cells, CELL_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
+    meta = [(model.kind, model.features, model.center, model.width, model.k, model.rows, model.offset)]
     names = (
-        "kind string, features array<string>, "
-        "bounds array<struct<cell:int,low:double,high:double>>, axis array<double>, "
-        "center array<double>, width array<double>, k int, `rows` bigint, offset double"
+        "kind string, features array<string>, center array<double>, width array<double>, k int, "
+        "`rows` bigint, offset double"
     )
     spark.createDataFrame(meta, names).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
@@ -164,5 +169,10 @@ def load_lof(spark: SparkSession, path: str) -> LofModel:
     path = path.rstrip("/")
     meta = spark.read.parquet(f"{path}/meta").first().asDict()
     meta.pop("kind")
-    meta["bounds"] = [tuple(b) for b in meta["bounds"]]
-    return LofModel(refs=spark.read.parquet(f"{path}/refs"), **meta)
+    cells = spark.read.parquet(f"{path}/cells").toPandas().sort_values("cell")
+    pivots = cells.dropna(subset=["pivot"]).sort_values("pivot")["cell"].to_numpy()
+    index = knn.PivotIndex(
+        knn.matrix(cells["center"]), pivots, knn.matrix(cells["low"]), knn.matrix(cells["high"]),
+        cells["far"].to_numpy(), cells["rows"].to_numpy(),
+    )
+    return LofModel(refs=spark.read.parquet(f"{path}/refs"), index=index, **meta)

@@ -41,11 +41,10 @@ def brute_lof(train, queries, k):
     return nof, np.array(raw)
 
 
-@pytest.mark.parametrize("cells", [False, True])
-def test_lof_matches_brute_force(spark, monkeypatch, cells):
-    if cells:
-        monkeypatch.setattr(knn, "BROADCAST_VALUES", 0)
-        monkeypatch.setattr(knn, "CELL_ROWS", 60)
+@pytest.mark.parametrize("cell_rows,slice_rows", [(1024, 4096), (60, 4096), (10, 7)])
+def test_lof_matches_brute_force(spark, monkeypatch, cell_rows, slice_rows):
+    monkeypatch.setattr(knn, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(knn, "SLICE_ROWS", slice_rows)
     rng = np.random.default_rng(5)
     train = points(1)
     share = 0.5  # beside a group of copies the factor is huge; take a usual one
@@ -59,6 +58,49 @@ def test_lof_matches_brute_force(spark, monkeypatch, cells):
     assert all((r["anomaly_score"] < 0) == r["is_anomaly"] for r in rows)
 
 
+def vectors_df(spark, x, name):
+    return spark.createDataFrame([(i, 1, r.tolist()) for i, r in enumerate(x)], f"{name} long, copies long, v array<double>")
+
+
+def clustered(rng, n, groups=40, width=64):
+    return rng.normal(size=(groups, width))[rng.integers(0, groups, n)] * 4 + rng.normal(size=(n, width)) * 0.3
+
+
+@pytest.mark.parametrize("make", [clustered, lambda rng, n: rng.normal(size=(n, 64)), lambda rng, n: rng.normal(size=(n, 2))])
+def test_neighbours_are_exact_and_few_cells_are_visited(spark, monkeypatch, make):
+    monkeypatch.setattr(knn, "CELL_ROWS", 50)
+    rng = np.random.default_rng(8)
+    both = make(rng, 2200)
+    x, asked = both[:2000], both[2000:]
+    refs, index = knn.build_index(vectors_df(spark, x, "rid").repartition(3), len(x))
+    assert index.rows.sum() == len(x) and len(index.centers) > 30
+    visits = []
+    queries = vectors_df(spark, asked, "qid").select("qid", "v")
+    got = knn.neighbours(queries, refs, index, 7, visits=visits).collect()
+    dist = np.sqrt(((asked[:, None] - x[None]) ** 2).sum(axis=2))
+    order = np.argsort(dist, axis=1, kind="stable")[:, :7]
+    want = {(q, int(r)) for q in range(len(asked)) for r in order[q]}
+    assert {(r.qid, r.rid) for r in got} == want
+    assert all(r.dist == pytest.approx(dist[r.qid, r.rid], rel=1e-12) for r in got)
+    share = sum(visits) / (len(asked) * len(index.centers))
+    if make is clustered or x.shape[1] == 2:
+        assert share < 0.25
+    # Each bound is no more than the least distance to a row of the cell.
+    cells = {r.rid: r.cell for r in refs.select("rid", "cell").collect()}
+    own = np.array([cells[i] for i in range(len(x))])
+    bound = index.bounds(asked)
+    for c in np.unique(own):
+        assert (bound[:, c] <= dist[:, own == c].min(axis=1) + 1e-12).all()
+
+
+def test_equal_rows_and_tables_smaller_than_k(spark):
+    x = np.zeros((40, 3))
+    model = lof.fit_lof(to_df(spark, x), FEATURES, n_neighbors=10, contamination=0.1)
+    assert model.rows == 1 and lof.score_lof(to_df(spark, x + 1), model).count() == 40
+    few = lof.fit_lof(to_df(spark, points(2, n=4, copies=0)[:4]), FEATURES, n_neighbors=10)
+    assert few.k == 3
+
+
 def test_ocsvm_share_and_outliers(spark):
     x = np.random.default_rng(2).normal(size=(2000, 3))
     x[:10] *= 9 / np.linalg.norm(x[:10], axis=1)[:, None]  # far off, each on its own side

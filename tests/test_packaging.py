@@ -11,7 +11,7 @@ import __spark_entry__ as e
 from pyspark.sql import SparkSession
 builder = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
 spark = builder.config("spark.sql.shuffle.partitions", "2").getOrCreate()
-for name in ("iforest_score", "stream_features"):
+for name in ("iforest_score", "stream_features", "lof_score"):
     assert e.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
 print("done")
 """
