@@ -268,7 +268,7 @@ def state_inspect(spark: SparkSession, checkpoint: str) -> DataFrame:
         .option("stateVarName", "history")
         .load()
     )
-    return held.agg(
-        F.count("*").alias("accounts_tracked"),
-        F.coalesce(F.sum(F.size("value.us")), F.lit(0)).alias("total_records"),
+    per_account = held.groupBy("key").agg(F.sum(F.size("user_map_value.us")).alias("n"))
+    return per_account.agg(
+        F.count("*").alias("accounts_tracked"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_records")
     )

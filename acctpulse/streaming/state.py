@@ -1,9 +1,14 @@
-"""Keyed state of the event stream: one account's bounded history and totals."""
+"""Keyed state of the event stream: one account's bounded history and totals.
+
+The history is a log of chunks of up to ``CHUNK_ROWS`` rows in order of time.  New rows are added to the last chunk or to
+new ones, and old chunks are removed, so a batch writes what it brings and not the whole history.  Amounts
+and their numbers lie in parts by amount; their number doubles as an account's amounts grow, so a batch reads and
+writes only the parts of its own amounts, in one call each.
+"""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -12,15 +17,22 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from acctpulse.operators.windows import FeatureConfig
+from acctpulse.streaming import kernel
 
 HISTORY_STATE = (
     "us array<bigint>, seq array<bigint>, cents array<bigint>, descr array<string>, sign array<int>"
 )
 TOTALS_STATE = (
     "n bigint, mean double, m2 double, low bigint, high bigint, streak bigint, "
-    "last_us bigint, last_seq bigint, last_cents bigint, last_descr string"
+    "last_us bigint, last_seq bigint, last_cents bigint, last_descr string, "
+    "first_chunk bigint, last_chunk bigint, parts int, amounts bigint"
 )
-AMOUNT_KEY, AMOUNT_VALUE = "cents bigint", "n bigint"
+EMPTY = (0, 0.0, 0.0, None, None, 0, None, None, None, None, 0, -1, 1, 0)
+CHUNK_KEY, PART_KEY = "chunk bigint", "part int"
+PART_STATE = "cents array<bigint>, n array<bigint>"
+CHUNK_ROWS = 256
+#: Amounts that a part holds on average before the parts are doubled.
+PART_AMOUNTS = 256
 
 # One row per remembered item; ``kind`` tells which columns count.
 INITIAL_COLUMNS = {
@@ -74,46 +86,6 @@ def output_schema(cfg: FeatureConfig) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
-def lookback_features(
-    us: np.ndarray,
-    cents: np.ndarray,
-    descr: np.ndarray,
-    sign: np.ndarray,
-    lookback_us: int,
-    velocity_us: Mapping[str, int],
-) -> dict[str, float]:
-    """Measures of the last row of a capped, time-ordered history."""
-    now = us[-1]
-    same = cents == cents[-1]
-    pair = same & (descr == descr[-1])
-    first = int(np.searchsorted(us, now - lookback_us))
-    gaps = np.diff(us[-11:])
-
-    def since(mask: np.ndarray) -> float:
-        hits = np.flatnonzero(mask[:-1])
-        return float(now - us[hits[-1]]) / 1e6 if len(hits) else 0.0
-
-    pairs = int(pair[first:].sum())
-    opposite = same[first:] & (sign[first:] == -sign[-1])
-    out = {k: len(us) - int(np.searchsorted(us, now - w)) for k, w in velocity_us.items()}
-    out |= {
-        "same_acct_amt_descr_count_10min": pairs,
-        "same_acct_amt_count_10min": int(same[first:].sum()),
-        "is_exact_duplicate_10min": int(pairs > 1),
-        "dc_alternation_count_10txn": int((np.diff(sign[-10:]) != 0).sum()),
-        "reversal_count_10min": int(opposite.sum()) if sign[-1] else 0,
-        "time_since_last_txn": float(gaps[-1]) / 1e6 if len(gaps) else 0.0,
-        "time_since_last_txn_same_amount": since(same),
-        "time_since_last_txn_same_descr": since(descr == descr[-1]),
-        "avg_time_gap_last_5txn": float(gaps[-5:].sum()) / (len(gaps[-5:]) * 1e6)
-        if len(gaps)
-        else 0.0,
-        "min_time_gap_last_10txn": float(gaps.min()) / 1e6 if len(gaps) else 0.0,
-        "cumulative_cents": int(cents[first:].sum()),
-    }
-    return out
-
-
 class AccountFeatures(StatefulProcessor):
     """Features of each event from the account's state, in event-time order.
 
@@ -135,40 +107,112 @@ class AccountFeatures(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.history = handle.getValueState("history", HISTORY_STATE)
+        self.history = handle.getMapState("history", CHUNK_KEY, HISTORY_STATE)
         self.totals = handle.getValueState("totals", TOTALS_STATE)
-        self.amounts = handle.getMapState("amounts", AMOUNT_KEY, AMOUNT_VALUE)
+        self.amounts = handle.getMapState("amounts", PART_KEY, PART_STATE)
 
     def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
         """Rows of remembered state may arrive in several parts."""
-        for row in initialState[initialState["kind"] == "amount"].itertuples():
-            self.amounts.updateValue((int(row.cents),), (int(row.n),))
-        past = initialState[initialState["kind"] == "history"].sort_values(["us", "seq"])
+        held = list(self.totals.get() or EMPTY)
+        kind = initialState["kind"]
+        counted = initialState[kind == "amount"]
+        if len(counted):
+            cents = counted["cents"].to_numpy(np.int64)
+            held[12:14] = self._add_amounts(cents, counted["n"].to_numpy(np.int64), held[12], held[13])
+        past = initialState[kind == "history"].sort_values(["us", "seq"])
         if len(past):
-            held = self._read_history()
-            parts = [
-                past["us"].astype("int64").tolist(),
-                past["seq"].astype("int64").tolist(),
-                past["cents"].astype("int64").tolist(),
-                past["descr"].tolist(),
-                past["sign"].astype("int64").tolist(),
-            ]
-            merged = [a + b for a, b in zip(held, parts)]
+            new = [past["us"], past["seq"], past["cents"], past["descr"], past["sign"]]
+            merged = [a + b for a, b in zip(self._read_history(held)[0], _plain(new), strict=True)]
             order = sorted(range(len(merged[0])), key=lambda i: (merged[0][i], merged[1][i]))
-            self.history.update(tuple([col[i] for i in order] for col in merged))
-        for row in initialState[initialState["kind"] == "totals"].itertuples():
-            self.totals.update(
-                (
-                    int(row.n), float(row.mean), float(row.m2), int(row.low), int(row.high),
-                    int(row.streak), int(row.us), int(row.seq), int(row.cents), row.descr,
-                )
-            )
+            for chunk in range(held[10], held[11] + 1):
+                self.history.removeKey((chunk,))
+            ordered = [[c[i] for i in order] for c in merged]
+            held[10:12] = self._write_history(ordered, [], 0, held[11] + 1)
+        for row in initialState[kind == "totals"].itertuples():
+            held[:10] = [
+                int(row.n), float(row.mean), float(row.m2), int(row.low), int(row.high),
+                int(row.streak), int(row.us), int(row.seq), int(row.cents), row.descr,
+            ]
             if self.bounded:
                 self.handle.registerTimer(int(row.us) // 1000 + self.retention_ms)
+        self.totals.update(tuple(held))
+
+    def _read_history(self, totals: Any) -> tuple[list[list], list[int]]:
+        """All held rows by column, and how many each chunk holds."""
+        parts: list[list] = [[], [], [], [], []]
+        sizes = []
+        for chunk in range(totals[10], totals[11] + 1):
+            stored = self.history.getValue((chunk,))
+            sizes.append(len(stored[0]))
+            for part, more in zip(parts, stored, strict=True):
+                part.extend(more)
+        return parts, sizes
+
+    def _write_history(
+        self, both: list[list], sizes: list[int], dropped: int, first: int
+    ) -> tuple[int, int]:
+        """Stores the rows of ``both`` but for the ``dropped`` oldest; first and last chunk by then.
 
-    def _read_history(self) -> list[list]:
-        stored = self.history.get()
-        return [list(c) for c in stored] if stored is not None else [[], [], [], [], []]
+        The rows begin with those of the chunks from ``first`` on. Written are the oldest chunk if it loses
+        rows, the last if it has room for new ones, and new chunks; removed are those without rows.
+        """
+        rows, at, chunk = len(both[0]), 0, first
+        for i, size in enumerate(sizes):
+            start, end = max(at, dropped), at + size
+            at += size
+            if end <= dropped:
+                self.history.removeKey((chunk,))
+                chunk = first = chunk + 1
+                continue
+            if i == len(sizes) - 1:
+                end = min(rows, max(end, start + CHUNK_ROWS))
+            if (start, end) != (at - size, at):
+                self._put_chunk(chunk, both, start, end)
+            at, chunk = end, chunk + 1
+        for start in range(max(at, dropped), rows, CHUNK_ROWS):
+            self._put_chunk(chunk, both, start, min(rows, start + CHUNK_ROWS))
+            chunk += 1
+        return first, chunk - 1
+
+    def _put_chunk(self, chunk: int, both: list[list], start: int, end: int) -> None:
+        self.history.updateValue((chunk,), tuple(c[start:end] for c in both))
+
+    def _part(self, cents: np.ndarray, parts: int) -> np.ndarray:
+        """By the amount itself in a mixed form, so that round amounts spread."""
+        mixed = cents.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(32)).astype(np.int64) % parts
+
+    def _read_amounts(self, part: int) -> dict[int, int]:
+        stored = self.amounts.getValue((part,))
+        return dict(zip(*stored, strict=True)) if stored is not None else {}
+
+    def _add_amounts(
+        self, cents: np.ndarray, n: np.ndarray, parts: int, amounts: int, before: dict[int, int] | None = None
+    ) -> tuple[int, int]:
+        """Adds to the numbers of amounts; the parts and the amounts by then."""
+        for part in np.unique(self._part(cents, parts)).tolist():
+            held = self._read_amounts(part)
+            amounts -= len(held)
+            for c, k in zip(cents.tolist(), n.tolist(), strict=True):
+                if parts == 1 or int(self._part(np.array([c]), parts)[0]) == part:
+                    if before is not None:
+                        before[c] = held.get(c, 0)
+                    held[c] = held.get(c, 0) + k
+            amounts += len(held)
+            self.amounts.updateValue((part,), (list(held), list(held.values())))
+        while amounts > parts * PART_AMOUNTS:
+            parts = self._double(parts)
+        return parts, amounts
+
+    def _double(self, parts: int) -> int:
+        for part in range(parts):
+            held = self._read_amounts(part)
+            cents = np.array(list(held), np.int64)
+            place = self._part(cents, 2 * parts)
+            for new in (part, part + parts):
+                own = cents[place == new].tolist()
+                self.amounts.updateValue((new,), (own, [held[c] for c in own]))
+        return 2 * parts
 
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
@@ -188,64 +232,55 @@ class AccountFeatures(StatefulProcessor):
         now = timers.getCurrentWatermarkInMs() if self.bounded else 0
         return now * 1000 if now > 0 else None
 
-    def _advance(self, fresh: pd.DataFrame, totals: tuple | None, timers: Any) -> dict[str, list]:
+    def _advance(self, fresh: pd.DataFrame, totals: Any, timers: Any) -> dict[str, np.ndarray]:
         """Process new rows in order, store the state, return their feature columns."""
-        held = self._read_history()
+        totals = totals or EMPTY
+        held, sizes = self._read_history(totals)
+        old = len(held[0])
+        dropped = 0
         watermark = self._watermark_us(timers)
         if watermark is not None:
             edge = min(watermark, int(fresh["us"].iloc[0])) - self.retention_ms * 1000
-            drop = int(np.searchsorted(np.array(held[0], dtype=np.int64), edge))
-            held = [c[drop:] for c in held]
-        new = [fresh[c].tolist() for c in ("us", "seq", "cents", "descr", "dc_sign")]
-        both = [a + b for a, b in zip(held, new)]
-        us, cents, sign = (np.array(both[i], dtype=np.int64) for i in (0, 2, 4))
-        codes, _ = pd.factorize(np.array(both[3], dtype=object))
-        if totals is None:
-            totals = (0, 0.0, 0.0, cents[-1], cents[-1], 0, None, None, None, None)
-        n, mean, m2, low, high, streak, _, _, last_cents, last_descr = totals
-        seen = {c: (self.amounts.getValue((c,)) or (0,))[0] for c in set(new[2])}
-        out: list[dict] = []
-        start = len(held[0])
-        for i, (amount, text) in enumerate(zip(new[2], new[3]), start=start):
-            value = amount / 100
-            n += 1
-            delta = value - mean
-            mean += delta / n
-            m2 += delta * (value - mean)
-            low, high = (amount, amount) if n == 1 else (min(low, amount), max(high, amount))
-            streak = streak + 1 if (amount, text) == (last_cents, last_descr) else 1
-            last_cents, last_descr = amount, text
-            seen[amount] += 1
-            lo = max(0, i + 1 - self.cap)
-            row = lookback_features(
-                us[lo : i + 1], cents[lo : i + 1], codes[lo : i + 1], sign[lo : i + 1],
-                self.lookback, self.velocity,
-            )
-            std = math.sqrt(m2 / n) if low < high else 0.0
-            zscore = (value - mean) / std if std > 0 else 0.0
-            row["amount_zscore_account"] = round(zscore, 6) + 0.0  # no negative zero
-            row["duplicate_streak"] = streak
-            row["same_amount_frequency"] = seen[amount]
-            out.append(row)
-        self._store(both, (n, mean, m2, low, high, streak), seen)
-        return {k: [r[k] for r in out] for k in out[0]}
-
-    def _store(self, both: list[list], totals: tuple, seen: dict) -> None:
-        last_us, last_seq, last_cents, last_descr, _ = (c[-1] for c in both)
-        n, mean, m2, low, high, streak = totals
-        self.history.update(tuple(c[-self.cap :] for c in both))
+            dropped = int(np.searchsorted(np.array(held[0], dtype=np.int64), edge))
+        new = _plain([fresh[c] for c in ("us", "seq", "cents", "descr", "dc_sign")])
+        both = [a + b for a, b in zip(held, new, strict=True)]
+        us, cents, sign = (np.array(both[i][dropped:], dtype=np.int64) for i in (0, 2, 4))
+        descr, _ = pd.factorize(np.array(both[3][dropped:], dtype=object))
+        start = old - dropped
+        out = kernel.lookback_features(
+            us, cents, descr, sign, start, self.cap, self.lookback, self.velocity
+        )
+        n, mean, m2, low, high, streak, _, _, last_cents, last_descr, *_ = totals
+        amount = cents[start:]
+        value = amount / 100
+        count, means, squares = kernel.running_moments(value, n, mean, m2)
+        lows = np.minimum.accumulate(amount if not n else np.minimum(amount, low))
+        highs = np.maximum.accumulate(amount if not n else np.maximum(amount, high))
+        std = np.where(lows < highs, np.sqrt(squares / count), 0.0)
+        zscore = np.divide(value - means, std, out=np.zeros(len(std)), where=std > 0)
+        texts = np.array(new[3], dtype=object)
+        streaks = kernel.run_lengths(amount, texts, (last_cents, last_descr) if n else None, streak)
+        distinct, place, times = np.unique(amount, return_inverse=True, return_counts=True)
+        before: dict[int, int] = {}
+        parts, amounts = self._add_amounts(distinct, times, totals[12], totals[13], before)
+        seen = np.array([before[c] for c in distinct.tolist()], np.int64)[place]
+        out["amount_zscore_account"] = np.round(zscore, 6) + 0.0  # no negative zero
+        out["duplicate_streak"] = streaks
+        out["same_amount_frequency"] = seen + kernel.times_seen(amount)
+        dropped = max(dropped, len(both[0]) - self.cap)
+        first, last = self._write_history(both, sizes, dropped, totals[10])
         self.totals.update(
             (
-                int(n), float(mean), float(m2), int(low), int(high), int(streak),
-                int(last_us), int(last_seq), int(last_cents), last_descr,
+                int(count[-1]), float(means[-1]), float(squares[-1]), int(lows[-1]), int(highs[-1]),
+                int(streaks[-1]), new[0][-1], new[1][-1], new[2][-1], new[3][-1],
+                first, last, parts, amounts,
             )
         )
-        for amount, count in seen.items():
-            self.amounts.updateValue((int(amount),), (int(count),))
         if self.bounded:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(int(last_us) // 1000 + self.retention_ms)
+            self.handle.registerTimer(new[0][-1] // 1000 + self.retention_ms)
+        return out
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
@@ -257,3 +292,8 @@ class AccountFeatures(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def _plain(columns: list[pd.Series]) -> list[list]:
+    """Whole numbers and texts as Python values."""
+    return [c.tolist() if c.dtype == object else c.astype("int64").tolist() for c in columns]
