@@ -43,15 +43,16 @@ def stream_features(
     cfg = cfg or FeatureConfig()
     use_rocksdb(events.sparkSession)
     bounded = retention == "bounded"
-    usable = F.col("posting_timestamp").isNotNull() & F.col("transaction_ac_amount").isNotNull()
-    rows = events.where(usable)
-    if bounded:
-        rows = rows.withWatermark("posting_timestamp", watermark)
+    rows = events.withWatermark("posting_timestamp", watermark) if bounded else events
+    us, cents = scalar.epoch_micros(F.col("posting_timestamp")), _cents(F.col("transaction_ac_amount"))
+    # One read of the source: rows that no window can place go through the operator, marked.
     rows = rows.select(
         scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
         F.col(schema.SEQ).cast("bigint").alias(schema.SEQ),
-        scalar.epoch_micros(F.col("posting_timestamp")).alias("us"),
-        _cents(F.col("transaction_ac_amount")).alias("cents"),
+        F.coalesce(us, F.lit(0)).cast("bigint").alias("us"),
+        F.coalesce(cents, F.lit(0)).cast("bigint").alias("cents"),
+        us.isNotNull().alias("has_us"),
+        cents.isNotNull().alias("has_cents"),
         scalar.text_key(F.col("descr")).alias("descr"),
         scalar.dc_sign(F.col("debit_credit_code")).alias("dc_sign"),
         scalar.input_source_encoded(F.col("input_source"), cfg.input_source_codes).alias(
@@ -65,13 +66,13 @@ def stream_features(
         timeMode="eventTime" if bounded else "none",
         initialState=initial_rows(initial).groupBy(ACCOUNT) if initial else None,
     )
-    ts = F.timestamp_micros("us")
-    on_time = ~F.col("is_late")
+    ts = F.when(F.col("has_us"), F.timestamp_micros("us"))
+    on_time = ~F.col("is_late") & F.col("has_us") & F.col("has_cents")
 
     def if_known(col):
         return F.when(on_time, col)
 
-    amount = (F.col("cents") / 100).cast(schema.AMOUNT_TYPE)
+    amount = F.when(F.col("has_cents"), (F.col("cents") / 100).cast(schema.AMOUNT_TYPE))
     computed = {
         "posting_timestamp": ts,
         "transaction_ac_amount": amount,
@@ -85,7 +86,7 @@ def stream_features(
         "hour_of_day": if_known(scalar.hour_of_day(ts)),
         "is_business_hours": if_known(scalar.is_business_hours(ts)),
     }
-    known = out.withColumns(computed).select(
+    return out.withColumns(computed).select(
         schema.SEQ,
         ACCOUNT,
         "posting_timestamp",
@@ -94,19 +95,6 @@ def stream_features(
         "is_late",
         *cfg.feature_columns,
     )
-    return known.unionByName(_without_features(events.where(~usable)), allowMissingColumns=True)
-
-
-def _without_features(events: DataFrame) -> DataFrame:
-    """Rows that no window can place, without a time or an amount; their features are null."""
-    return events.select(
-        F.col(schema.SEQ).cast("bigint").alias(schema.SEQ),
-        scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
-        F.col("posting_timestamp").cast("timestamp").alias("posting_timestamp"),
-        F.col("transaction_ac_amount").cast(schema.AMOUNT_TYPE).alias("transaction_ac_amount"),
-        scalar.text_key(F.col("descr")).alias("descr"),
-        F.lit(False).alias("is_late"),
-    )
 
 
 def _cents(amount):
@@ -265,10 +253,10 @@ def state_inspect(spark: SparkSession, checkpoint: str) -> DataFrame:
     held = (
         spark.read.format("statestore")
         .option("path", checkpoint)
-        .option("stateVarName", "history")
+        .option("stateVarName", "head")
         .load()
     )
-    per_account = held.groupBy("key").agg(F.sum(F.size("user_map_value.us")).alias("n"))
-    return per_account.agg(
-        F.count("*").alias("accounts_tracked"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_records")
+    return held.agg(
+        F.count("*").alias("accounts_tracked"),
+        F.coalesce(F.sum("value.held"), F.lit(0)).alias("total_records"),
     )

@@ -14,10 +14,12 @@ import numpy as np
 
 def codes_of(*columns: np.ndarray) -> np.ndarray:
     """A number for each different row of the columns."""
-    code = np.zeros(len(columns[0]), np.int64)
+    code = None
     for column in columns:
         _, part = np.unique(column, return_inverse=True)
-        _, code = np.unique(code * (int(part.max(initial=0)) + 1) + part, return_inverse=True)
+        if code is not None:
+            _, part = np.unique(code * (int(part.max(initial=0)) + 1) + part, return_inverse=True)
+        code = part
     return code
 
 

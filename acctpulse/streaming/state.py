@@ -1,9 +1,10 @@
 """Keyed state of the event stream: one account's bounded history and totals.
 
-The history is a log of chunks of up to ``CHUNK_ROWS`` rows in order of time.  New rows are added to the last chunk or to
-new ones, and old chunks are removed, so a batch writes what it brings and not the whole history.  Amounts
-and their numbers lie in parts by amount; their number doubles as an account's amounts grow, so a batch reads and
-writes only the parts of its own amounts, in one call each.
+What a usual account needs is one value, its head: totals, the newest rows and the numbers of its amounts.  So a batch
+reads and writes one value a key.  When the newest rows reach ``CHUNK_ROWS`` they become a chunk of a log, which is
+never written again; dropped rows are counted in the oldest chunk until it is removed whole.  Amounts beyond
+``PART_AMOUNTS`` move to parts by amount, whose number doubles as they grow, so a batch touches only the
+parts of its own amounts.
 """
 
 from __future__ import annotations
@@ -22,12 +23,16 @@ from acctpulse.streaming import kernel
 HISTORY_STATE = (
     "us array<bigint>, seq array<bigint>, cents array<bigint>, descr array<string>, sign array<int>"
 )
-TOTALS_STATE = (
-    "n bigint, mean double, m2 double, low bigint, high bigint, streak bigint, "
-    "last_us bigint, last_seq bigint, last_cents bigint, last_descr string, "
-    "first_chunk bigint, last_chunk bigint, parts int, amounts bigint"
+HEAD_FIELDS = {
+    "n": "bigint", "mean": "double", "m2": "double", "low": "bigint", "high": "bigint", "streak": "bigint",
+    "last_us": "bigint", "last_seq": "bigint", "last_cents": "bigint", "last_descr": "string",
+    # Sealed chunks, rows dropped from the oldest, rows held in all; parts of amounts (0: in the head), their number.
+    "first_chunk": "bigint", "last_chunk": "bigint", "skip": "int", "held": "bigint",
+    "parts": "int", "amounts": "bigint",
+}
+HEAD_STATE = ", ".join(
+    [*[f"{n} {t}" for n, t in HEAD_FIELDS.items()], HISTORY_STATE, "amount_cents array<bigint>, amount_n array<bigint>"]
 )
-EMPTY = (0, 0.0, 0.0, None, None, 0, None, None, None, None, 0, -1, 1, 0)
 CHUNK_KEY, PART_KEY = "chunk bigint", "part int"
 PART_STATE = "cents array<bigint>, n array<bigint>"
 CHUNK_ROWS = 256
@@ -50,6 +55,7 @@ INITIAL_COLUMNS = {
     "streak": "bigint",
 }
 
+INPUT_COLUMNS = ["seq", "us", "cents", "has_us", "has_cents", "descr", "dc_sign", "input_source_encoded"]
 STATEFUL_INTEGERS = [
     "same_acct_amt_descr_count_10min",
     "same_acct_amt_count_10min",
@@ -74,6 +80,8 @@ def output_schema(cfg: FeatureConfig) -> T.StructType:
         ("seq", T.LongType()),
         ("us", T.LongType()),
         ("cents", T.LongType()),
+        ("has_us", T.BooleanType()),
+        ("has_cents", T.BooleanType()),
         ("descr", T.StringType()),
         ("dc_sign", T.IntegerType()),
         ("input_source_encoded", T.IntegerType()),
@@ -86,9 +94,27 @@ def output_schema(cfg: FeatureConfig) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
+class Head:
+    """A key's head: ``HEAD_FIELDS`` as attributes, the newest rows by column, the amounts it holds itself."""
+
+    def __init__(self, stored: Any = None) -> None:
+        names = list(HEAD_FIELDS)
+        values = stored[: len(names)] if stored is not None else [0, 0.0, 0.0, *[None] * 2, 0, *[None] * 4, 0, -1, 0, 0, 0, 0]
+        for name, value in zip(names, values, strict=True):
+            setattr(self, name, value)
+        rest = stored[len(names) :] if stored is not None else [[]] * 7
+        self.tail = [list(c) for c in rest[:5]]
+        self.own = dict(zip(*rest[5:], strict=True))
+
+    def stored(self) -> tuple:
+        fields = [getattr(self, n) for n in HEAD_FIELDS]
+        return (*fields, *self.tail, list(self.own), list(self.own.values()))
+
+
 class AccountFeatures(StatefulProcessor):
     """Features of each event from the account's state, in event-time order.
 
+    Rows without a time or an amount come out as they are and leave the state alone.
     The rows of a key inside a micro-batch are sorted first.  A row older than
     the newest one already processed comes out with ``is_late`` and no features.
     With ``bounded`` retention the history is trimmed to ``retention_seconds``
@@ -107,75 +133,62 @@ class AccountFeatures(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.head = handle.getValueState("head", HEAD_STATE)
         self.history = handle.getMapState("history", CHUNK_KEY, HISTORY_STATE)
-        self.totals = handle.getValueState("totals", TOTALS_STATE)
         self.amounts = handle.getMapState("amounts", PART_KEY, PART_STATE)
 
     def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
         """Rows of remembered state may arrive in several parts."""
-        held = list(self.totals.get() or EMPTY)
+        head = Head(self.head.get())
         kind = initialState["kind"]
         counted = initialState[kind == "amount"]
         if len(counted):
-            cents = counted["cents"].to_numpy(np.int64)
-            held[12:14] = self._add_amounts(cents, counted["n"].to_numpy(np.int64), held[12], held[13])
-        past = initialState[kind == "history"].sort_values(["us", "seq"])
+            self._add_amounts(head, *_plain([counted["cents"], counted["n"]]))
+        past = initialState[kind == "history"]
         if len(past):
-            new = [past["us"], past["seq"], past["cents"], past["descr"], past["sign"]]
-            merged = [a + b for a, b in zip(self._read_history(held)[0], _plain(new), strict=True)]
+            new = _plain([past[c] for c in ("us", "seq", "cents", "descr", "sign")])
+            merged = [a + b for a, b in zip(self._read_history(head), new, strict=True)]
             order = sorted(range(len(merged[0])), key=lambda i: (merged[0][i], merged[1][i]))
-            for chunk in range(held[10], held[11] + 1):
-                self.history.removeKey((chunk,))
-            ordered = [[c[i] for i in order] for c in merged]
-            held[10:12] = self._write_history(ordered, [], 0, held[11] + 1)
+            self._remove_chunks(head, head.last_chunk + 1)
+            self._write_history(head, [[c[i] for i in order] for c in merged], 0)
         for row in initialState[kind == "totals"].itertuples():
-            held[:10] = [
-                int(row.n), float(row.mean), float(row.m2), int(row.low), int(row.high),
-                int(row.streak), int(row.us), int(row.seq), int(row.cents), row.descr,
-            ]
+            head.n, head.mean, head.m2 = int(row.n), float(row.mean), float(row.m2)
+            head.low, head.high, head.streak = int(row.low), int(row.high), int(row.streak)
+            head.last_us, head.last_seq = int(row.us), int(row.seq)
+            head.last_cents, head.last_descr = int(row.cents), row.descr
             if self.bounded:
-                self.handle.registerTimer(int(row.us) // 1000 + self.retention_ms)
-        self.totals.update(tuple(held))
+                self.handle.registerTimer(head.last_us // 1000 + self.retention_ms)
+        self.head.update(head.stored())
 
-    def _read_history(self, totals: Any) -> tuple[list[list], list[int]]:
-        """All held rows by column, and how many each chunk holds."""
+    def _read_history(self, head: Head) -> list[list]:
+        """All held rows by column, from the oldest."""
         parts: list[list] = [[], [], [], [], []]
-        sizes = []
-        for chunk in range(totals[10], totals[11] + 1):
-            stored = self.history.getValue((chunk,))
-            sizes.append(len(stored[0]))
-            for part, more in zip(parts, stored, strict=True):
+        for chunk in range(head.first_chunk, head.last_chunk + 1):
+            for part, more in zip(parts, self.history.getValue((chunk,)), strict=True):
                 part.extend(more)
-        return parts, sizes
-
-    def _write_history(
-        self, both: list[list], sizes: list[int], dropped: int, first: int
-    ) -> tuple[int, int]:
-        """Stores the rows of ``both`` but for the ``dropped`` oldest; first and last chunk by then.
-
-        The rows begin with those of the chunks from ``first`` on. Written are the oldest chunk if it loses
-        rows, the last if it has room for new ones, and new chunks; removed are those without rows.
-        """
-        rows, at, chunk = len(both[0]), 0, first
-        for i, size in enumerate(sizes):
-            start, end = max(at, dropped), at + size
-            at += size
-            if end <= dropped:
-                self.history.removeKey((chunk,))
-                chunk = first = chunk + 1
-                continue
-            if i == len(sizes) - 1:
-                end = min(rows, max(end, start + CHUNK_ROWS))
-            if (start, end) != (at - size, at):
-                self._put_chunk(chunk, both, start, end)
-            at, chunk = end, chunk + 1
-        for start in range(max(at, dropped), rows, CHUNK_ROWS):
-            self._put_chunk(chunk, both, start, min(rows, start + CHUNK_ROWS))
-            chunk += 1
-        return first, chunk - 1
-
-    def _put_chunk(self, chunk: int, both: list[list], start: int, end: int) -> None:
-        self.history.updateValue((chunk,), tuple(c[start:end] for c in both))
+        return [part[head.skip :] + tail for part, tail in zip(parts, head.tail, strict=True)]
+
+    def _remove_chunks(self, head: Head, upto: int) -> None:
+        for chunk in range(head.first_chunk, upto):
+            self.history.removeKey((chunk,))
+        head.first_chunk = upto
+
+    def _write_history(self, head: Head, both: list[list], dropped: int) -> None:
+        """Keeps the rows of ``both``, held and new, but for the ``dropped`` oldest; seals full chunks."""
+        sealed = (head.last_chunk - head.first_chunk + 1) * CHUNK_ROWS - head.skip
+        if dropped >= sealed:
+            self._remove_chunks(head, head.last_chunk + 1)
+            head.skip, start = 0, dropped
+        else:
+            whole, head.skip = divmod(head.skip + dropped, CHUNK_ROWS)
+            self._remove_chunks(head, head.first_chunk + whole)
+            start = sealed
+        head.held = len(both[0]) - dropped
+        while len(both[0]) - start >= CHUNK_ROWS:
+            head.last_chunk += 1
+            self.history.updateValue((head.last_chunk,), tuple(c[start : start + CHUNK_ROWS] for c in both))
+            start += CHUNK_ROWS
+        head.tail = [c[start:] for c in both]
 
     def _part(self, cents: np.ndarray, parts: int) -> np.ndarray:
         """By the amount itself in a mixed form, so that round amounts spread."""
@@ -186,107 +199,123 @@ class AccountFeatures(StatefulProcessor):
         stored = self.amounts.getValue((part,))
         return dict(zip(*stored, strict=True)) if stored is not None else {}
 
-    def _add_amounts(
-        self, cents: np.ndarray, n: np.ndarray, parts: int, amounts: int, before: dict[int, int] | None = None
-    ) -> tuple[int, int]:
-        """Adds to the numbers of amounts; the parts and the amounts by then."""
-        for part in np.unique(self._part(cents, parts)).tolist():
-            held = self._read_amounts(part)
-            amounts -= len(held)
-            for c, k in zip(cents.tolist(), n.tolist(), strict=True):
-                if parts == 1 or int(self._part(np.array([c]), parts)[0]) == part:
-                    if before is not None:
-                        before[c] = held.get(c, 0)
-                    held[c] = held.get(c, 0) + k
-            amounts += len(held)
-            self.amounts.updateValue((part,), (list(held), list(held.values())))
-        while amounts > parts * PART_AMOUNTS:
-            parts = self._double(parts)
-        return parts, amounts
-
-    def _double(self, parts: int) -> int:
-        for part in range(parts):
-            held = self._read_amounts(part)
-            cents = np.array(list(held), np.int64)
-            place = self._part(cents, 2 * parts)
-            for new in (part, part + parts):
-                own = cents[place == new].tolist()
-                self.amounts.updateValue((new,), (own, [held[c] for c in own]))
-        return 2 * parts
+    def _write_amounts(self, part: int, held: dict[int, int]) -> None:
+        self.amounts.updateValue((part,), (list(held), list(held.values())))
+
+    def _add_amounts(self, head: Head, cents: list[int], n: list[int]) -> list[int]:
+        """Adds to the numbers of different amounts; the numbers before."""
+        before: dict[int, int] = {}
+
+        def add(held: dict[int, int], own: list[tuple[int, int]]) -> None:
+            head.amounts -= len(held)
+            for c, k in own:
+                before[c] = held.get(c, 0)
+                held[c] = before[c] + k
+            head.amounts += len(held)
+
+        if not head.parts:
+            add(head.own, list(zip(cents, n, strict=True)))
+        else:
+            by_part: dict[int, list[tuple[int, int]]] = {}
+            for c, k, part in zip(cents, n, self._part(np.array(cents), head.parts).tolist(), strict=True):
+                by_part.setdefault(part, []).append((c, k))
+            for part, own in by_part.items():
+                held = self._read_amounts(part)
+                add(held, own)
+                self._write_amounts(part, held)
+        if not head.parts and head.amounts > PART_AMOUNTS:
+            self._write_amounts(0, head.own)
+            head.own, head.parts = {}, 1
+        while head.parts and head.amounts > head.parts * PART_AMOUNTS:
+            for part in range(head.parts):
+                held = self._read_amounts(part)
+                place = self._part(np.array(list(held), np.int64), 2 * head.parts).tolist()
+                for new in (part, part + head.parts):
+                    self._write_amounts(new, {c: k for (c, k), p in zip(held.items(), place, strict=True) if p == new})
+            head.parts *= 2
+        return [before[c] for c in cents]
 
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["us", "seq"])
-        totals = self.totals.get()
-        newest = totals[6] if totals is not None else self._watermark_us(timerValues)
-        late = batch["us"] < newest if newest is not None else np.zeros(len(batch), dtype=bool)
-        fresh = batch[~late]
-        parts = [batch[late].assign(is_late=True)]
-        if len(fresh):
-            parts.append(fresh.assign(is_late=False, **self._advance(fresh, totals, timerValues)))
-        yield pd.concat(parts).reindex(columns=self.columns)
+        frames = list(rows)
+        given = {c: np.concatenate([f[c].to_numpy() for f in frames]) for c in INPUT_COLUMNS}
+        usable = given["has_us"].astype(bool) & given["has_cents"].astype(bool)
+        if not usable.all():
+            yield self._bare({c: v[~usable] for c, v in given.items()}, key, False)
+            given = {c: v[usable] for c, v in given.items()}
+        order = np.lexsort((given["seq"], given["us"]))
+        given = {c: v[order] for c, v in given.items()}
+        if not len(order):
+            return
+        stored = self.head.get()
+        # A remembered account always has a last row.
+        newest = stored[6] if stored is not None else self._watermark_us(timerValues)
+        behind = 0 if newest is None else int(np.searchsorted(given["us"], newest, side="left"))
+        if behind:
+            yield self._bare({c: v[:behind] for c, v in given.items()}, key, True)
+        if behind < len(order):
+            fresh = {c: v[behind:] for c, v in given.items()}
+            told = self._advance(fresh, Head(stored), timerValues)
+            told |= fresh | {"account_number": key[0], "is_late": False}
+            yield pd.DataFrame({c: told[c] for c in self.columns}, copy=False)
+
+    def _bare(self, given: dict[str, np.ndarray], key: Any, late: bool) -> pd.DataFrame:
+        """Rows without features."""
+        told = pd.DataFrame(given | {"account_number": key[0], "is_late": late})
+        return told.reindex(columns=self.columns)
 
     def _watermark_us(self, timers: Any) -> int | None:
         """None as long as there is no watermark."""
         now = timers.getCurrentWatermarkInMs() if self.bounded else 0
         return now * 1000 if now > 0 else None
 
-    def _advance(self, fresh: pd.DataFrame, totals: Any, timers: Any) -> dict[str, np.ndarray]:
+    def _advance(self, fresh: dict[str, np.ndarray], head: Head, timers: Any) -> dict[str, np.ndarray]:
         """Process new rows in order, store the state, return their feature columns."""
-        totals = totals or EMPTY
-        held, sizes = self._read_history(totals)
-        old = len(held[0])
+        held = self._read_history(head)
         dropped = 0
         watermark = self._watermark_us(timers)
         if watermark is not None:
-            edge = min(watermark, int(fresh["us"].iloc[0])) - self.retention_ms * 1000
+            edge = min(watermark, int(fresh["us"][0])) - self.retention_ms * 1000
             dropped = int(np.searchsorted(np.array(held[0], dtype=np.int64), edge))
+        start = len(held[0]) - dropped
         new = _plain([fresh[c] for c in ("us", "seq", "cents", "descr", "dc_sign")])
         both = [a + b for a, b in zip(held, new, strict=True)]
         us, cents, sign = (np.array(both[i][dropped:], dtype=np.int64) for i in (0, 2, 4))
         descr, _ = pd.factorize(np.array(both[3][dropped:], dtype=object))
-        start = old - dropped
         out = kernel.lookback_features(
             us, cents, descr, sign, start, self.cap, self.lookback, self.velocity
         )
-        n, mean, m2, low, high, streak, _, _, last_cents, last_descr, *_ = totals
         amount = cents[start:]
         value = amount / 100
-        count, means, squares = kernel.running_moments(value, n, mean, m2)
-        lows = np.minimum.accumulate(amount if not n else np.minimum(amount, low))
-        highs = np.maximum.accumulate(amount if not n else np.maximum(amount, high))
+        count, means, squares = kernel.running_moments(value, head.n, head.mean, head.m2)
+        lows = np.minimum.accumulate(np.minimum(amount, head.low) if head.n else amount)
+        highs = np.maximum.accumulate(np.maximum(amount, head.high) if head.n else amount)
         std = np.where(lows < highs, np.sqrt(squares / count), 0.0)
         zscore = np.divide(value - means, std, out=np.zeros(len(std)), where=std > 0)
-        texts = np.array(new[3], dtype=object)
-        streaks = kernel.run_lengths(amount, texts, (last_cents, last_descr) if n else None, streak)
+        last = (head.last_cents, head.last_descr) if head.n else None
+        streaks = kernel.run_lengths(amount, np.array(new[3], dtype=object), last, head.streak)
         distinct, place, times = np.unique(amount, return_inverse=True, return_counts=True)
-        before: dict[int, int] = {}
-        parts, amounts = self._add_amounts(distinct, times, totals[12], totals[13], before)
-        seen = np.array([before[c] for c in distinct.tolist()], np.int64)[place]
+        before = self._add_amounts(head, distinct.tolist(), times.tolist())
         out["amount_zscore_account"] = np.round(zscore, 6) + 0.0  # no negative zero
         out["duplicate_streak"] = streaks
-        out["same_amount_frequency"] = seen + kernel.times_seen(amount)
-        dropped = max(dropped, len(both[0]) - self.cap)
-        first, last = self._write_history(both, sizes, dropped, totals[10])
-        self.totals.update(
-            (
-                int(count[-1]), float(means[-1]), float(squares[-1]), int(lows[-1]), int(highs[-1]),
-                int(streaks[-1]), new[0][-1], new[1][-1], new[2][-1], new[3][-1],
-                first, last, parts, amounts,
-            )
-        )
+        out["same_amount_frequency"] = np.array(before, np.int64)[place] + kernel.times_seen(amount)
+        self._write_history(head, both, max(dropped, len(both[0]) - self.cap))
+        head.n, head.mean, head.m2 = int(count[-1]), float(means[-1]), float(squares[-1])
+        head.low, head.high, head.streak = int(lows[-1]), int(highs[-1]), int(streaks[-1])
+        head.last_us, head.last_seq, head.last_cents, head.last_descr = (c[-1] for c in new[:4])
+        self.head.update(head.stored())
         if self.bounded:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(new[0][-1] // 1000 + self.retention_ms)
+            self.handle.registerTimer(head.last_us // 1000 + self.retention_ms)
         return out
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[pd.DataFrame]:
+        self.head.clear()
         self.history.clear()
-        self.totals.clear()
         self.amounts.clear()
         yield pd.DataFrame(columns=self.columns)
 
@@ -294,6 +323,6 @@ class AccountFeatures(StatefulProcessor):
         pass
 
 
-def _plain(columns: list[pd.Series]) -> list[list]:
+def _plain(columns: list) -> list[list]:
     """Whole numbers and texts as Python values."""
-    return [c.tolist() if c.dtype == object else c.astype("int64").tolist() for c in columns]
+    return [c.tolist() if c.dtype.kind not in "iuf" else c.astype("int64").tolist() for c in columns]
