@@ -345,9 +345,15 @@ def _chunk_history(
 
 
 def account_state(
-    df: DataFrame, cfg: FeatureConfig | None = None, state: AccountState | None = None
+    df: DataFrame,
+    cfg: FeatureConfig | None = None,
+    state: AccountState | None = None,
+    features: DataFrame | None = None,
 ) -> AccountState:
-    """State after the events of ``df``, continuing from ``state`` if given."""
+    """State after the events of ``df``, continuing from ``state`` if given.
+
+    ``features`` is their feature table from ``state`` on, if it is at hand already.
+    """
     cfg = cfg or FeatureConfig()
     rows = prepare(df, cfg)
     value = F.col("amount").cast("double")
@@ -363,9 +369,9 @@ def account_state(
         F.max_by("amount", order).alias("last_amount"),
         F.max_by("descr", order).alias("last_descr"),
     )
+    features = feature_table(df, cfg, state=state) if features is None else features
     streaks = (
-        feature_table(df, cfg, state=state)
-        .groupBy(ACCOUNT)
+        features.groupBy(ACCOUNT)
         .agg(
             F.max_by("duplicate_streak", F.struct("posting_timestamp", schema.SEQ)).alias("streak")
         )

@@ -57,6 +57,7 @@ def _events(ts: str, amount: str) -> str:
 
 
 DENSE = _events("make_timestamp((epoch_us(ts) // 600000000) * 1000000)", "floor(value / 25) * 25")
+HOT = f"SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'hot' ELSE account_number END AS account_number) FROM ({DENSE})"
 SPARSE = _events("ts", "round(value, 2)")
 SCORED = f"""SELECT *, 0.25 - value / 400 AS anomaly_score,
   CASE WHEN 0.25 - value / 400 < 0 THEN -1 ELSE 1 END AS anomaly_label,
@@ -409,6 +410,7 @@ SELECT seq, account_number, NULL, CAST(amount AS DOUBLE) FROM ({NATION})""",
   FROM e WHERE descr <> 'PayNow' GROUP BY 1)
 SELECT seq, coalesce(descr = 'PayNow' AND posting_timestamp < newest, FALSE) AS is_late
   FROM e LEFT JOIN m ON m.account_number = e.account_number""",
+        "stream_hot_account": f"""{_features(HOT)} SELECT seq, {', '.join(schema.FEATURE_COLUMNS)} FROM f""",
         "late_bounded": f"""WITH e AS ({DENSE}), m AS (SELECT account_number, max(posting_timestamp) AS newest
   FROM e WHERE descr <> 'PayNow' GROUP BY 1),
 w AS (SELECT max(posting_timestamp) - INTERVAL 10 MINUTE AS mark,

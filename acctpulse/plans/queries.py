@@ -26,6 +26,7 @@ from acctpulse.plans import jobs, views
 from acctpulse.session import scratch_path
 from acctpulse.sources import readers, writers
 from acctpulse.streaming import jobs as streams
+from acctpulse.streaming import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -832,6 +833,32 @@ def warm_start(spark, sf_dir):
     return _drained(spark, out, "warm")[0].select(schema.SEQ, *schema.FEATURE_COLUMNS)
 
 
+HOT_CHUNK = 500
+
+
+def _one_hot_account(spark, sf_dir):
+    """Dense rows of which one account holds a third."""
+    hot = F.col(schema.SEQ) % 3 == 0
+    return views.dense(spark, sf_dir).withColumn(
+        "account_number", F.when(hot, F.lit("hot")).otherwise(F.col("account_number"))
+    )
+
+
+def stream_hot_account(spark, sf_dir):
+    """Three micro-batches in which one account holds a third of the rows, split over many tasks."""
+    rows = _one_hot_account(spark, sf_dir)
+    ts = F.col("posting_timestamp")
+    half = F.lit(HALF_TIME).cast("timestamp")
+    quarter = half + F.expr("INTERVAL 1200 SECOND")
+    parts = [rows.where(ts < half), rows.where((ts >= half) & (ts < quarter)), rows.where(ts >= quarter)]
+    source, out, state = (scratch_path(spark, n) for n in ("hot-source", "hot-features", "hot-checkpoint"))
+    cfg = FeatureConfig(chunk_rows=HOT_CHUNK)
+    for part in parts:
+        part.select(*schema_columns()).write.mode("append").parquet(source)
+        tables.start_features(_stream_of(spark, source, 10_000), out, state, cfg).awaitTermination()
+    return tables.read_features(spark, out).select(schema.SEQ, *schema.FEATURE_COLUMNS)
+
+
 def late_data(spark, sf_dir):
     """Purchases arrive after everything else; those behind their account are late."""
     rows = views.dense(spark, sf_dir)
@@ -960,6 +987,7 @@ def registry() -> dict[str, Query]:
         "late_rescored": late_rescored,
         "stream_batch_score": stream_batch_score,
         "warm_start": warm_start,
+        "stream_hot_account": stream_hot_account,
         "late_data": late_data,
         "late_bounded": late_bounded,
         "state_retention": state_retention,

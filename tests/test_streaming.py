@@ -1,16 +1,19 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from brute import features
 from test_features import assert_matches, make_events, to_df
 
 from acctpulse import schema
 from acctpulse.models import forest
+from acctpulse.operators import features as features_module
 from acctpulse.operators.features import account_state, feature_table
 from acctpulse.operators.windows import FeatureConfig
 from acctpulse.sources.readers import stream_files
 from acctpulse.sources.writers import write_alerts, write_stream
-from acctpulse.streaming import jobs
+from acctpulse.streaming import jobs, tables
+from acctpulse.streaming import state as state_module
 
 EVENTS = schema.EVENT_SCHEMA
 
@@ -162,3 +165,47 @@ def test_stream_score_and_alerts(spark, tmp_path):
     alerts, cp2 = str(tmp_path / "alerts"), str(tmp_path / "cp2")
     drain(write_alerts(jobs.stream_score(source(spark, src), model, cfg), alerts, cp2))
     assert spark.read.text(alerts).count() == sum(r["is_anomaly"] for r in want)
+
+
+def test_a_hot_account_is_split_in_every_batch(spark, tmp_path, monkeypatch):
+    """Batches with one large account, late rows, rows without a time, and full versions between."""
+    events = sorted(make_events(41, n=300, hot=0.6), key=lambda e: (e["us"], e["seq"]))
+    late = events.pop(20)
+    cfg = FeatureConfig(history_cap=15, chunk_rows=10)
+    split = []
+    cut = features_module._split_accounts
+    monkeypatch.setattr(features_module, "_split_accounts", lambda rows, chunks, *a: split.append(chunks) or cut(rows, chunks, *a))
+    src, out, cp = (str(tmp_path / d) for d in ("src", "out", "cp"))
+    for i, part in enumerate((events[:90], events[90:150], [late, *events[150:230]], events[230:])):
+        feed(spark, src, part)
+        if i == 1:
+            untimed = to_df(spark, [events[0] | {"seq": 9001}]).withColumn("posting_timestamp", F.lit(None).cast("timestamp"))
+            untimed.write.mode("append").parquet(src)
+        drain(tables.start_features(stream_files(spark, src, max_files=10), out, cp, cfg, full_every=3))
+    got = {r["seq"]: r for r in tables.read_features(spark, out).collect()}
+    assert len(got) == len(events) + 2 and len(split) >= 4 and min(split) >= 2
+    assert got[late["seq"]]["is_late"] and got[late["seq"]]["duplicate_streak"] is None
+    assert not got[9001]["is_late"] and got[9001]["duplicate_streak"] is None
+    assert_matches([got[e["seq"]] for e in events], features(events, cap=15))
+    # A repeated micro-batch replaces its own version and output.
+    body = tables.feature_batch(out, cfg, full_every=3)
+    body(to_df(spark, events[230:]), 3)
+    again = {r["seq"]: r for r in tables.read_features(spark, out).collect()}
+    assert again.keys() == got.keys()
+    assert_matches([again[e["seq"]] for e in events], features(events, cap=15))
+
+
+def test_many_amounts_and_a_long_history_in_keyed_state(spark, tmp_path, monkeypatch):
+    """Amounts move to parts that double, rows to sealed chunks, over several batches."""
+    monkeypatch.setattr(state_module, "PART_AMOUNTS", 4)
+    monkeypatch.setattr(state_module, "CHUNK_ROWS", 8)
+    events = sorted(make_events(43, n=400, accounts=3, hot=0.5), key=lambda e: (e["us"], e["seq"]))
+    for i, e in enumerate(events):
+        e["amount"] = (i * 7 % 60) * 100
+    for cap in (20, 5):
+        cfg = FeatureConfig(history_cap=cap)
+        src, out, cp = (str(tmp_path / f"{d}{cap}") for d in ("src", "out", "cp"))
+        for part in (events[:5], events[5:150], events[150:160], events[160:]):
+            feed(spark, src, part)
+            drain(write_stream(jobs.stream_features(source(spark, src), cfg), out, cp))
+        assert_matches(spark.read.parquet(out).collect(), features(events, cap=cap))
