@@ -410,6 +410,15 @@ SELECT seq, account_number, NULL, CAST(amount AS DOUBLE) FROM ({NATION})""",
   FROM e WHERE descr <> 'PayNow' GROUP BY 1)
 SELECT seq, coalesce(descr = 'PayNow' AND posting_timestamp < newest, FALSE) AS is_late
   FROM e LEFT JOIN m ON m.account_number = e.account_number""",
+        "state_retention": f"""WITH e AS ({DENSE}), w AS (
+  SELECT max(posting_timestamp) FILTER (posting_timestamp < TIMESTAMP '{HALF_TIME}') - INTERVAL 10 MINUTE AS mark,
+    max(posting_timestamp) - INTERVAL 10 MINUTE AS last_mark FROM e),
+a AS (SELECT account_number, min(posting_timestamp) FILTER (posting_timestamp >= TIMESTAMP '{HALF_TIME}') AS later,
+  max(posting_timestamp) AS newest FROM e GROUP BY 1),
+k AS (SELECT account_number, count(*) AS n FROM e JOIN a USING (account_number) CROSS JOIN w
+  WHERE newest + INTERVAL 10 MINUTE > last_mark
+    AND (later IS NULL OR posting_timestamp >= least(mark, later) - INTERVAL 10 MINUTE) GROUP BY 1)
+SELECT count(*) AS accounts_tracked, CAST(coalesce(sum(least(n, 1000)), 0) AS BIGINT) AS total_records FROM k""",
         "stream_hot_account": f"""{_features(HOT)} SELECT seq, {', '.join(schema.FEATURE_COLUMNS)} FROM f""",
         "late_bounded": f"""WITH e AS ({DENSE}), m AS (SELECT account_number, max(posting_timestamp) AS newest
   FROM e WHERE descr <> 'PayNow' GROUP BY 1),
