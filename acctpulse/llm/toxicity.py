@@ -42,6 +42,7 @@ LANDMARKS, PLAIN_LANDMARKS = 72, 8
 PART = 11
 MARK = 1
 SENTENCES = 12
+KNOWN_WORDS = 1 << 19
 
 
 class Tokens:
@@ -129,6 +130,18 @@ def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     return matrix, size, word
 
 
+def _flat_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """The same pieces one behind another: their bytes, where each begins, its length and word."""
+    long = np.maximum(0, end - start - WIDTH)
+    n = 1 + -(-long // STRIDE)
+    word = np.repeat(np.arange(len(start)), n)
+    begin = start[word] + (np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)) * STRIDE
+    size = np.minimum(end[word] - begin, WIDTH)
+    first = np.cumsum(size) - size
+    at = np.arange(size.sum()) + np.repeat(begin - first, size)
+    return data[at].astype(np.uint32), first, size, word
+
+
 def _cell(code: np.ndarray) -> np.ndarray:
     return (code.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(16)
 
@@ -200,37 +213,47 @@ class Landmarks:
         none = np.zeros(0, np.int64)
         if not len(start) or not len(self.codes):
             return none, none, np.zeros(0)
-        matrix, size, word = _pieces(data, start, end)
+        flat, first, size, word = _flat_pieces(data, start, end)
         known = np.zeros(1 << 16, bool)  # by hash: small enough for a processor's cache
         known[_cell(self.codes)] = True
+        # How many bytes of the piece follow each byte; a subsequence may not leave its piece.
+        room = (np.repeat(first + size, size) - np.arange(1, len(flat) + 1)).astype(np.int8)
+        piece = np.repeat(np.arange(len(size)), size)
         rows, codes, weights = [], [], []
         least = np.zeros(len(size))
-        for code, there, weight in _subsequences(matrix, size):
-            row, col = np.nonzero(known[_cell(code)] & there)
-            found = code[row, col]
+        for a, b, weight in STEPS:
+            span = a + b
+            least += np.maximum(size - span, 0) * weight**2
+            if len(flat) <= span:
+                continue
+            code = (flat[:-span] << 16) | (flat[a : len(flat) - b] << 8) | flat[span:]
+            place = np.flatnonzero(known[_cell(code)])
+            place = place[room[place] >= span]
+            found = code[place]
             at = np.minimum(np.searchsorted(self.codes, found), len(self.codes) - 1)
             same = self.codes[at] == found
-            rows.append(row[same])
+            rows.append(piece[place[same]])
             codes.append(at[same])
             weights.append(np.full(same.sum(), weight))
-            least += there.sum(1) * weight**2
+        if not rows:
+            return none, none, np.zeros(0)
         row, at, weight = map(np.concatenate, (rows, codes, weights))
         n = self.first[at + 1] - self.first[at]
         pick = np.arange(n.sum()) + np.repeat(self.first[at] - (np.cumsum(n) - n), n)
-        cell = np.repeat(row, n) * len(self.words) + self.word[pick]
-        value = np.repeat(weight, n) * self.weight[pick]
-        order = np.argsort(cell, kind="stable")
-        cell, value = cell[order], value[order]
-        begin = np.flatnonzero(np.diff(cell, prepend=-1))
-        if not len(begin):
+        near, back = np.unique(row, return_inverse=True)
+        cell = np.repeat(back, n) * len(self.words) + self.word[pick]
+        value = np.bincount(cell, np.repeat(weight, n) * self.weight[pick], len(near) * len(self.words))
+        cell = np.flatnonzero(value)
+        if not len(cell):
             return none, none, np.zeros(0)
-        cell, value = cell[begin], np.add.reduceat(value, begin)
-        row, mark = cell // len(self.words), cell % len(self.words)
+        row, mark, value = near[cell // len(self.words)], cell % len(self.words), value[cell]
         # ``least`` is below a word's similarity to itself, so this drops nothing too early.
         near = value >= LEAST * np.sqrt(least[row] * self.own[mark])
         row, mark, value = row[near], mark[near], value[near]
         involved, back = np.unique(row, return_inverse=True)
-        own = _self_similarity(matrix[involved], size[involved])
+        begin = first[involved]
+        matrix, sizes, _ = _pieces(flat, begin, begin + size[involved])
+        own = _self_similarity(matrix, sizes)
         alike = value / np.sqrt(own[back] * self.own[mark])
         near = alike >= LEAST
         row, mark, alike = word[row[near]], mark[near], np.minimum(alike[near], 1.0) ** 3
@@ -411,13 +434,40 @@ def _squared_hinge(z: np.ndarray, y: np.ndarray, cost: np.ndarray, penalty: floa
     return w
 
 
+class ToldWords:
+    """What the machine says to each word, kept for a task's next blocks; begun anew at ``KNOWN_WORDS``."""
+
+    def __init__(self, machine: Machine):
+        self.marks, self.value = Landmarks.of(machine.words), machine.value
+        self.hash, self.told = np.zeros(0, np.uint64), np.zeros(0)
+
+    def of(self, tokens: Tokens, at: np.ndarray) -> np.ndarray:
+        """For the tokens ``at``, one a word and in the order of their hashes."""
+        name = tokens.hash[at]
+        place = np.minimum(np.searchsorted(self.hash, name), max(len(self.hash) - 1, 0))
+        known = self.hash[place] == name if len(self.hash) else np.zeros(len(name), bool)
+        told = np.zeros(len(name))
+        told[known] = self.told[place[known]]
+        new = np.flatnonzero(~known)
+        word, mark, alike = self.marks.similarities(tokens.data, tokens.start[at[new]], tokens.end[at[new]])
+        told[new] = np.bincount(word, alike * self.value[mark], len(new))
+        if len(self.hash) + len(new) > KNOWN_WORDS:
+            self.hash, self.told = name, told
+        else:
+            self.hash = np.concatenate([self.hash, name[new]])
+            self.told = np.concatenate([self.told, told[new]])
+            order = np.argsort(self.hash, kind="stable")
+            self.hash, self.told = self.hash[order], self.told[order]
+        return told
+
+
 def score(docs: DataFrame, machine: Machine | None, keys: list[str]) -> DataFrame:
     """``keys`` and ``score`` of every row; one map over the texts."""
     model = None if machine is None else vars(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = None if model is None else Machine(**model)
-        marks = None if machine is None else Landmarks.of(machine.words)
+        words = None if machine is None else ToldWords(machine)
         for batch in batches:
             for part in arrays.blocks(batch, "_acct_text", 2 * arrays.BLOCK):
                 scores = np.zeros(part.num_rows)
@@ -425,10 +475,7 @@ def score(docs: DataFrame, machine: Machine | None, keys: list[str]) -> DataFram
                     tokens = Tokens(*arrays.utf8(part.column("_acct_text")))
                     worst = np.full(part.num_rows, machine.bias)
                     at, place = tokens.distinct()
-                    word, mark, alike = marks.similarities(
-                        tokens.data, tokens.start[at], tokens.end[at])
-                    told = np.bincount(word, alike * machine.value[mark], len(at))
-                    each = told[place]
+                    each = words.of(tokens, at)[place]
                     hit = tokens.once(np.flatnonzero(each), place)
                     if len(hit):
                         doc, sentence = tokens.doc[hit], tokens.sentence[hit]
