@@ -6,19 +6,21 @@ distances from its residual to all codes gives asymmetric distances by look-up,
 if that distance, less the candidate's own quantisation error, could still be near enough (so the
 codes lose no pair), and candidates are decided by the exact cosine in double precision.
 
-Lists that hold a vector within the angle of ``similarity`` lie within twice that angle of
-the nearest centroid; ``margin`` is how much of that is searched, and 1 finds every pair. A pair is
-found if either vector searches the list of the other, and then counts for both. At the default of
-0.2, pairs at the very limit (cosine 0.9 exactly) were all found among 4,000 tried, with 13 % of
-113 lists searched; a test holds recall against all pairs.
-
+There is a list for every ``LIST_ROWS`` vectors. Up to ``MAX_LISTS`` each has a centroid of its own; beyond that each
+coarse cell is divided by second centroids, which all cells share, so a codebook is bounded and lists stay short.
+A vector searches the ``probes`` lists nearest to it, about ``3 * lists ** 0.25``, so work per vector hardly grows. A pair is
+found if either vector searches the list of the other, and then counts for both. ``probes=0`` searches every list
+within reach instead: cells that hold a vector within the angle of ``similarity`` lie within twice
+that angle of the nearest centroid; ``margin`` is how much of that is searched, and 1 finds every pair.
+
+Vectors are compared with those of their own length; each length has its codebook and its lists.
 Equal vectors are one entry with a count, so copies never meet. Lists and the queries to them
 are cut into blocks of bounded size; a task holds two blocks and emits only counts and as
 many links as keep their vectors connected, not all pairs.
 
-Defined cases: vectors that are null or zero or hold null or non-finite components, and vectors of
-another length than most, link with nothing. Repeated rows are copies and link with each other. Null
-ids come after all others when the smallest is sought. Empty tables give no rows.
+Defined cases: vectors that are null or zero or hold null or non-finite components link with nothing.
+Repeated rows are copies and link with each other. Null ids come after all others when the smallest is sought.
+Vectors may be of any length; extra columns are ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,27 +41,58 @@ from acctpulse.llm.tables import KEY, keep
 SIMILARITY = 0.9
 BLOCK = 512
 SAMPLE = 16_384
-MARGIN = 0.2
-MAX_LISTS = 4096
+MARGIN = 1.0
+LIST_ROWS = 64
+MAX_LISTS, MAX_SECOND = 4096, 256
+BROADCAST_LISTS = 100_000
 PAIRS = 1 << 15  # candidates whose vectors are held at a time
 
 
 @dataclass
 class Codebook:
-    """``centroids`` of the lists (unit length), and ``codes``: subspace, code, component."""
+    """``centroids`` of the cells (unit length), ``second`` to be added to one for a list's centre, ``codes``:
+    subspace, code, component; how many lists a query searches, or 0 for all in reach."""
 
     centroids: np.ndarray
+    second: np.ndarray
     codes: np.ndarray
     margin: float
+    probes: int
+
+    def centre(self, at: int) -> np.ndarray:
+        cell, part = divmod(at, len(self.second))
+        return self.centroids[cell] + self.second[part]
 
     def lists(self, x: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-        """Row and list of each probe: all lists that can hold a vector similar enough."""
-        angle = np.arccos(np.clip(x @ self.centroids.T, -1, 1))
-        reach = 2 * self.margin * math.acos(similarity) + 1e-6
-        return np.nonzero(angle <= angle.min(1, keepdims=True) + reach)
+        """Row and list of each probe."""
+        alike = np.clip(x @ self.centroids.T, -1, 1)
+        parts = len(self.second)
+        if not self.probes:
+            angle = np.arccos(alike)
+            reach = 2 * self.margin * math.acos(similarity) + 1e-6
+            row, cell = np.nonzero(angle <= angle.min(1, keepdims=True) + reach)
+            return np.repeat(row, parts), (cell[:, None] * parts + np.arange(parts)).ravel()
+        most = min(self.probes, alike.shape[1])
+        cell = np.argpartition(-alike, most - 1, axis=1)[:, :most]
+        if parts == 1:
+            return np.repeat(np.arange(len(x)), most), cell.ravel()
+        # Squared distance to a centre c + s, without |x|^2: |c|^2 - 2 x c + |s|^2 - 2 (x - c) s.
+        c = np.take_along_axis(alike, cell, axis=1)
+        away = (1 - 2 * c)[:, :, None] + (self.second**2).sum(1)[None, None, :]
+        away = away - 2 * ((x @ self.second.T)[:, None, :] - (self.centroids @ self.second.T)[cell])
+        flat = away.reshape(len(x), -1)
+        pick = np.argpartition(flat, self.probes - 1, axis=1)[:, : self.probes]
+        own = np.take_along_axis(cell, pick // parts, axis=1) * parts + pick % parts
+        return np.repeat(np.arange(len(x)), own.shape[1]), own.ravel()
 
     def nearest(self, x: np.ndarray) -> np.ndarray:
-        return (x @ self.centroids.T).argmax(1)
+        cell = (x @ self.centroids.T).argmax(1)
+        if len(self.second) == 1:
+            return cell
+        return cell * len(self.second) + _distances(x - self.centroids[cell], self.second).argmin(1)
+
+    def centres(self, at: np.ndarray) -> np.ndarray:
+        return self.centroids[at // len(self.second)] + self.second[at % len(self.second)]
 
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes per subspace, and how far the coded residual is from the true one."""
@@ -100,19 +133,27 @@ def _means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
 
 def fit_codebook(
     sample: np.ndarray, n: int, subspaces: int = 16, codes: int = 256, rounds: int = 6,
-    margin: float = MARGIN, seed: int = 5,
+    margin: float = MARGIN, seed: int = 5, probes: int | None = None,
 ) -> Codebook:
     """Learns from unit vectors of a bounded sample; the number of lists follows ``n``, the size."""
-    n_lists = int(min(MAX_LISTS, max(1, round(math.sqrt(n)) // 2), len(sample)))
-    centroids = _means(sample, n_lists, rounds, seed)
+    wanted = max(1, -(-n // LIST_ROWS))
+    centroids = _means(sample, min(MAX_LISTS, wanted, len(sample)), rounds, seed)
     length = np.linalg.norm(centroids, axis=1, keepdims=True)
     centroids = np.where(length > 0, centroids / np.maximum(length, 1e-300), sample[:1])
     residual = sample - centroids[(sample @ centroids.T).argmax(1)]
+    parts = min(MAX_SECOND, -(-wanted // len(centroids)), len(sample))
+    second = np.zeros((1, sample.shape[1])) if parts == 1 else _means(residual, parts, rounds, seed)
+    lists = len(centroids) * len(second)
+    if probes is None:
+        probes = min(lists, math.ceil(3 * lists**0.25))
+    book = Codebook(centroids, second, np.zeros((0, 0, 0)), margin, probes)
+    residual = sample - book.centres(book.nearest(sample))
     parts = np.array_split(residual, min(subspaces, sample.shape[1]), axis=1)
     width = max(p.shape[1] for p in parts)
     books = [_means(p, codes, rounds, seed + 1 + j) for j, p in enumerate(parts)]
     books = [np.pad(b, ((0, 0), (0, width - b.shape[1]))) for b in books]
-    return Codebook(centroids, np.stack(books), margin)
+    book.codes = np.stack(books)
+    return book
 
 
 def usable(vector: Column) -> Column:
@@ -130,22 +171,23 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _search(similarity: float, book: Codebook):
+def _search(similarity: float, books: dict[int, dict]):
     """Counts and links of the entries of one block among those of another."""
     far = math.sqrt(2 - 2 * similarity)
 
     def run(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(entries):
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
+        book = Codebook(**books[int(entries["width"].iloc[0])])
         q, x = np.stack(queries["v"].to_numpy()), np.stack(entries["v"].to_numpy())
         codes = np.stack(entries["code"].to_numpy()).astype(np.int64)
         error, n = entries["error"].to_numpy(), entries["n"].to_numpy()
-        centre = book.centroids[int(entries["list"].iloc[0])]
+        centre = book.centre(int(entries["list"].iloc[0]))
         qid, xid = queries["cid"].to_numpy(), entries["cid"].to_numpy()
         home, many = queries["home"].to_numpy(), queries["n"].to_numpy()
-        asks = np.zeros((len(x), len(book.centroids)), bool)  # the lists that entries search
-        for i, lists in enumerate(entries["probes"]):
-            asks[i, lists] = True
+        lists = len(book.centroids) * len(book.second)
+        asked = entries["probes"].to_numpy()  # the lists that entries search
+        asks = np.repeat(np.arange(len(x)), [len(a) for a in asked]) * lists + np.concatenate(asked)
         back = np.zeros(len(x), np.int64)
         tables = book.tables(q - centre)
         links_a, links_b, counts = [], [], np.zeros(len(q), np.int64)
@@ -167,7 +209,7 @@ def _search(similarity: float, book: Codebook):
             alike = np.einsum("ij,ij->i", q[i], x[k]) >= similarity
             i, k = i[alike], k[alike]
             counts += np.bincount(i, n[k], len(q)).astype(np.int64)
-            unasked = ~asks[k, home[i]]  # the other side won't find this pair
+            unasked = ~np.isin(k * lists + home[i], asks)  # the other side won't find this pair
             back += np.bincount(k[unasked], many[i[unasked]], len(x)).astype(np.int64)
             for one, other in zip(qid[i].tolist(), xid[k].tolist(), strict=True):
                 a, b = top(one), top(other)
@@ -186,89 +228,105 @@ def _search(similarity: float, book: Codebook):
     return run
 
 
+def _books(entries: DataFrame, sample_rows: int, margin: float, probes: int | None) -> dict[int, dict]:
+    """A codebook for each length, all fitted on about ``sample_rows`` entries, 256 of each length at least."""
+    counts = {r["width"]: r["count"] for r in entries.groupBy("width").count().collect()}
+    if not counts:
+        return {}
+    most = max(256, sample_rows // len(counts))
+    share = F.create_map(*[F.lit(x) for w, n in counts.items() for x in (w, int(min(1.0, most / n) * (1 << 30)))])
+    chosen = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < share[F.col("width")]
+    picked = entries.where(chosen).orderBy("width", "h", "cid").select("width", "v").toArrow()
+    widths = picked["width"].to_numpy()
+    books = {}
+    for width, n in counts.items():
+        own = picked["v"].take(pa.array(np.flatnonzero(widths == width))).combine_chunks()
+        if not len(own):  # a few entries may all be passed over by the hash
+            own = entries.where(F.col("width") == width).orderBy("h").limit(1).toArrow()["v"].combine_chunks()
+        books[width] = vars(fit_codebook(_unit(_matrix(own, width)), n, margin=margin, probes=probes))
+    return books
+
+
 def linked_vectors(
     vectors: DataFrame, similarity: float = SIMILARITY, margin: float = MARGIN,
-    sample_rows: int = SAMPLE, block: int = BLOCK,
+    sample_rows: int = SAMPLE, block: int = BLOCK, probes: int | None = None,
 ) -> DataFrame:
     """Per row: row key, ``vec_id``, ``n_links``, ``component_id`` (smallest vec_id), ``kept``.
 
-    ``vectors`` has the row key, ``vec_id`` and ``embedding``. The codebook is fitted on at most
+    ``vectors`` has the row key, ``vec_id`` and ``embedding``. Codebooks are fitted on at most
     about ``sample_rows`` distinct vectors, chosen by hash; all rows are indexed and searched.
+    ``probes`` is the number of lists that a vector searches; 0 for all within ``margin`` of its reach.
     """
     spark = vectors.sparkSession
     wide = vectors.select(*KEY, "vec_id", F.col("embedding").cast("array<double>").alias("v"))
     good = usable(F.col("v"))
-    lengths = wide.where(good).groupBy(F.size("v").alias("d")).count()
-    usual = lengths.orderBy(F.desc("count"), "d").limit(1).collect()
-    width = usual[0]["d"] if usual else 0
-    fits = good & (F.size("v") == width)
     # Equal vectors, -0.0 and 0.0 alike, are one entry.
     v = F.transform("v", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
-    entry = F.when(fits, v)
-    rows = keep(wide.select(*KEY, "vec_id", F.when(fits, F.xxhash64(v)).alias("h"),
-                            entry.alias("v")), "vectors")
+    rows = keep(wide.select(*KEY, "vec_id", F.when(good, F.xxhash64(v)).alias("h"),
+                            F.when(good, v).alias("v")), "vectors")
     entries = keep(
         rows.where(F.col("v").isNotNull()).groupBy("h", "v")
         .agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
-        .withColumn("cid", F.monotonically_increasing_id()),
+        .withColumns({"cid": F.monotonically_increasing_id(), "width": F.size("v")}),
         "entries",
     )
-    total = entries.count()
-    share = min(1.0, sample_rows / max(1, total))
-    chosen = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    picked = entries.where(chosen).orderBy("h", "cid").select("v").toArrow() if total else None
-    if picked is None or picked.num_rows == 0:
-        picked = entries.limit(1).select("v").toArrow()
-    if total:
-        book = fit_codebook(_unit(_matrix(picked["v"].combine_chunks(), width)), total, margin=margin)
-        shared = spark.sparkContext.broadcast(vars(book))  # lists and codes are bounded
+    books = _books(entries, sample_rows, margin, probes)
+    if books:
+        shared = spark.sparkContext.broadcast(books)  # lists and codes are bounded for each length
 
         def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            book = Codebook(**shared.value)
             for batch in batches:
-                for s in range(0, batch.num_rows, block):
-                    part = batch.slice(s, block)
-                    x = _unit(_matrix(part.column("v"), width))
-                    at = book.nearest(x)
-                    code, error = book.encode(x - book.centroids[at])
-                    row, to = book.lists(x, similarity)
-                    probes = np.split(to, np.cumsum(np.bincount(row, minlength=len(x)))[:-1])
-                    yield pa.RecordBatch.from_pydict({
-                        "cid": part.column("cid"), "n": part.column("n"),
-                        "v": pa.array(list(x)), "list": at.astype(np.int64),
-                        "code": pa.array(list(code.astype(np.int16))), "error": error,
-                        "probes": pa.array([p.astype(np.int64) for p in probes]),
-                    })
+                widths = batch.column("width").to_numpy()
+                for width in np.unique(widths).tolist():
+                    book = Codebook(**shared.value[width])
+                    every = np.flatnonzero(widths == width)
+                    for s in range(0, len(every), block):
+                        part = batch.take(pa.array(every[s : s + block]))
+                        x = _unit(_matrix(part.column("v"), width))
+                        at = book.nearest(x)
+                        code, error = book.encode(x - book.centres(at))
+                        row, to = book.lists(x, similarity)
+                        order = np.argsort(row, kind="stable")
+                        probes = np.split(to[order], np.cumsum(np.bincount(row, minlength=len(x)))[:-1])
+                        yield pa.RecordBatch.from_pydict({
+                            "cid": part.column("cid"), "n": part.column("n"), "width": part.column("width"),
+                            "v": pa.array(list(x)), "list": at.astype(np.int64),
+                            "code": pa.array(list(code.astype(np.int16))), "error": error,
+                            "probes": pa.array([p.astype(np.int64) for p in probes]),
+                        })
 
         indexed = keep(
-            entries.select("cid", "n", "v").mapInArrow(
-                index, "cid bigint, n bigint, v array<double>, list bigint, "
+            entries.select("cid", "n", "width", "v").mapInArrow(
+                index, "cid bigint, n bigint, width int, v array<double>, list bigint, "
                        "code array<smallint>, error double, probes array<bigint>"),
             "index",
         )
-        blocks = indexed.groupBy("list").agg(F.ceil(F.count("*") / block).cast("bigint").alias("blocks"))
-        stored = indexed.join(F.broadcast(blocks), "list").select(  # MAX_LISTS rows
-            "cid", "n", "v", "list", "code", "error", "probes",
-            F.pmod(F.xxhash64("cid"), "blocks").alias("part"),
+        place = ["width", "list"]
+        blocks = keep(
+            indexed.groupBy(*place).agg(F.ceil(F.count("*") / block).cast("bigint").alias("blocks")), "blocks"
         )
         asked = indexed.select(
-            "cid", "v", "n", F.col("list").alias("home"), F.explode("probes").alias("list")
+            "cid", "v", "n", "width", F.col("list").alias("home"), F.explode("probes").alias("list")
+        )
+        sizes = keep(asked.groupBy(*place).agg(F.ceil(F.count("*") / block).cast("bigint").alias("asks")), "asks")
+        # A row for each list in use: MAX_LISTS * MAX_SECOND for a length at most, and fewer than entries / LIST_ROWS.
+        loads = keep(blocks.join(sizes, place), "loads")
+        if loads.count() <= BROADCAST_LISTS:
+            loads = F.broadcast(loads)
+        stored = indexed.join(loads, place).select(
+            "cid", "n", "v", *place, "code", "error", "probes",
+            F.pmod(F.xxhash64("cid"), "blocks").alias("part"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("asks") - 1)).alias("ask"),
         )
-        sizes = keep(asked.groupBy("list").agg(F.ceil(F.count("*") / block).cast("bigint").alias("asks")),
-                     "asks")
-        asked = (
-            asked.join(F.broadcast(blocks), "list")
-            .join(F.broadcast(sizes), "list")
-            .select("cid", "v", "n", "home", "list", F.pmod(F.xxhash64("cid"), "asks").alias("ask"),
-                    F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("part"))
+        asked = asked.join(loads, place).select(
+            "cid", "v", "n", "home", *place, F.pmod(F.xxhash64("cid"), "asks").alias("ask"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("part"),
         )
-        stored = stored.join(F.broadcast(sizes), "list").select(
-            "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("asks") - 1)).alias("ask"))
         stored = stored.toDF(*stored.columns)  # own columns, as both sides come from the index
-        group = ["list", "part", "ask"]
+        group = ["width", "list", "part", "ask"]
 
         def compare(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            return _search(similarity, Codebook(**shared.value))(queries, held)
+            return _search(similarity, shared.value)(queries, held)
 
         found = keep(
             asked.groupBy(*group).cogroup(stored.groupBy(*group))

@@ -20,8 +20,9 @@ def shingles(text):
 
 def brute(data, similarity=0.8):
     sets = [shingles(r[1]) for r in data]
-    df = collections.Counter(s for c in sets for s in c)
-    weigh = [{s: (1 + np.log(n)) * np.log1p(1 / max(df[s] / len(data), neardup.RARE)) for s, n in c.items()}
+    once = {r[1] for r in data if r[1] is not None}
+    df = collections.Counter(s for text in once for s in shingles(text))
+    weigh = [{s: (1 + np.log(n)) * np.log1p(1 / max(df[s] / len(once), neardup.RARE)) for s, n in c.items()}
              for c in sets]
     parent = list(range(len(data)))
 
