@@ -80,16 +80,26 @@ def account_breakdown(scored: DataFrame) -> DataFrame:
     )
 
 
-def dashboard_metrics(scored: DataFrame, latency: str | None = None) -> DataFrame:
+def dashboard_metrics(scored: DataFrame, progress: DataFrame) -> DataFrame:
+    """Counts of scored rows beside the latency of the stream that scored them.
+
+    ``progress`` has a row a micro-batch with ``input_rows`` and ``batch_ms``; a row's latency is the time
+    its micro-batch took, so the mean weighs batches by their rows.
+    """
     total, anomalies = F.count("*"), _flagged()
-    latency_col = F.avg(latency) if latency else F.lit(None).cast("double")
-    return scored.agg(
+    counts = scored.agg(
         total.alias("total"),
         (total - anomalies).alias("normal"),
         anomalies.alias("anomalies"),
         F.round(anomalies / _at_least_one(total) * 100, 1).alias("anomaly_rate"),
-        F.coalesce(latency_col, F.lit(0.0)).alias("avg_latency_ms"),
     )
+    rows = F.sum("input_rows")
+    latency = progress.agg(
+        F.count("*").alias("batches"),
+        F.coalesce(rows, F.lit(0)).alias("rows_timed"),
+        F.coalesce(F.sum(F.col("input_rows") * F.col("batch_ms")) / rows, F.lit(0.0)).alias("avg_latency_ms"),
+    )
+    return counts.join(latency)  # one row beside one row
 
 
 def phase_counts(events: DataFrame, phase: str, phases: Sequence[str]) -> DataFrame:

@@ -325,7 +325,9 @@ SELECT ask_id, a.account_number, which, asked_at, count(f.seq) AS txn_count, sum
   FROM ({SCORED}) GROUP BY account_number""",
         "dashboard_metrics": f"""SELECT count(*) AS total, count(*) - {rate} AS normal,
   {rate} AS anomalies, round({rate} / count(*) * 100, 1) AS anomaly_rate,
-  round(avg(value), 9) AS avg_latency_ms FROM ({SCORED})""",
+  CAST(2 AS BIGINT) AS batches, count(*) AS rows_timed, true AS latency_known FROM ({SCORED})""",
+        "model_reload": f"""SELECT seq, CAST(CASE WHEN posting_timestamp < TIMESTAMP '{HALF_TIME}' THEN 1 ELSE 2 END AS BIGINT)
+  AS model_version, {SAME} FROM ({DENSE})""",
         "phase_counts": """SELECT count(*) FILTER (WHERE event_type = 'click') AS n_click,
   count(*) FILTER (WHERE event_type = 'view') AS n_view,
   count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase FROM events""",
