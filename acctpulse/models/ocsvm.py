@@ -1,10 +1,15 @@
 """One-class SVM with an RBF kernel, approximated by random Fourier features.
 
 Rahimi and Recht (2007): cos(w x + b) with Gaussian w approximates the kernel, so
-the machine becomes linear.  Its dual keeps ``w`` a weighted mean of the mapped
-rows in which no row weighs more than 1/(nu n).  Each step moves ``w`` towards
-the mean of the ``nu`` share of rows with the lowest margin (Frank-Wolfe); a step
-is two map-only passes that return one quantile and one vector of sums.
+the machine becomes linear.  Its dual is the shortest weighted mean ``w`` of the mapped
+rows in which no row weighs more than 1/(nu n).  Where ``w`` stands, the best mean to move to is that of the
+``nu`` share of rows with the lowest margin (Frank-Wolfe); the driver then takes the shortest vector
+among all means found so far, a problem of a few numbers.
+
+A step is one pass that returns sums of mapped rows for bins of margins and a histogram of all margins.  The bins lie
+where the step before expects the cut; rows of the bin that holds it count in part.  So a step needs neither
+margins written nor a second pass for their quantile, and a cut outside the bins only makes that step coarser.  The
+squared length is within ``gap`` of the best, which each pass proves for the vector that it started from.
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ class OcsvmModel:
     width: list[float]
     seed: int
     offset: float = 0.0
+    #: How far the squared length of the weights may be above the least one.
+    gap: float = 0.0
 
     kind = "OneClassSVM"
 
@@ -59,6 +66,80 @@ def scale_gamma(x: DataFrame, features: Sequence[str]) -> float:
     return 1.0 / (n * total) if total > 0 else 1.0
 
 
+BINS, FINE = 32, 512
+
+
+def _step(x: DataFrame, model: OcsvmModel, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and sums of mapped rows of each bin of margins, and a histogram of the margins' whole range."""
+    features, weights = model.features, np.array(model.weights)
+    n_components, gamma, seed = len(weights), model.gamma, model.seed
+    span = _span(weights)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w, b = fourier_map(len(features), n_components, gamma, seed)
+        sums = np.zeros((len(edges) + 1, n_components + 1))
+        fine = np.zeros(FINE)
+        for pdf in batches:
+            z = mapped(_matrix(pdf[features]), w, b)
+            margin = z @ weights
+            fine += np.bincount(_fine(margin, span), minlength=FINE)
+            place = np.searchsorted(edges, margin)
+            # Sums of the low bins one by one; what is left is the last.
+            for at in np.unique(place[place < len(edges)]):
+                own = place == at
+                sums[at, :-1] += z[own].sum(axis=0)
+                sums[at, -1] += own.sum()
+            last = place == len(edges)
+            sums[-1, :-1] += z.sum(axis=0) - z[~last].sum(axis=0)
+            sums[-1, -1] += last.sum()
+        value = np.concatenate([sums.ravel(), fine])
+        at = np.flatnonzero(value)
+        yield pd.DataFrame({"at": at, "value": value[at]})
+
+    sums = x.select(*features).mapInPandas(partial, "at bigint, value double").groupBy("at")
+    told = sums.agg(F.sum("value").alias("value")).toPandas()
+    size = (len(edges) + 1) * (n_components + 1)
+    value = np.zeros(size + FINE)
+    value[told["at"].to_numpy()] = told["value"].to_numpy()
+    table = value[:size].reshape(len(edges) + 1, -1)
+    return table[:, -1], table[:, :-1], value[size:]
+
+
+def _span(weights: np.ndarray) -> float:
+    """No margin is larger: a mapped row is no longer than the root of 2."""
+    return float(np.sqrt(2.0) * np.linalg.norm(weights)) or 1.0
+
+
+def _fine(margin: np.ndarray, span: float) -> np.ndarray:
+    return np.clip(((margin / span + 1) * (FINE / 2)).astype(np.int64), 0, FINE - 1)
+
+
+def _edges(fine: np.ndarray, span: float, wanted: float, shrink: float) -> np.ndarray:
+    """Borders of bins around the ``wanted`` lowest rows, finest there; margins have shrunk by about ``shrink`` since."""
+    ranks = wanted * np.geomspace(1 / 16, 16, BINS - 1)
+    upto = np.concatenate([[0], np.cumsum(fine)])
+    borders = np.linspace(-span, span, FINE + 1)
+    return np.unique(np.interp(ranks, upto, borders) * shrink)
+
+
+def _shortest(points: np.ndarray) -> np.ndarray:
+    """Weights of the shortest mean of a few vectors, by moving weight from the worst to the best of them."""
+    gram = points @ points.T
+    share = np.zeros(len(points))
+    share[int(np.argmin(np.diag(gram)))] = 1.0
+    for _ in range(20_000):
+        slope = gram @ share
+        to = int(slope.argmin())
+        held = np.where(share > 0, slope, -np.inf)
+        away = int(held.argmax())
+        if held[away] - slope[to] < 1e-14 * max(gram[0, 0], 1e-300):
+            break
+        curve = gram[to, to] - 2 * gram[to, away] + gram[away, away]
+        step = min(share[away], (slope[away] - slope[to]) / max(curve, 1e-300))
+        share[to], share[away] = share[to] + step, share[away] - step
+    return share
+
+
 def fit_ocsvm(
     df: DataFrame,
     features: Sequence[str],
@@ -66,10 +147,12 @@ def fit_ocsvm(
     nu: float = 0.01,
     gamma: float | str = "scale",
     n_components: int = 256,
-    steps: int = 15,
+    steps: int = 16,
     seed: int = 42,
     scale: bool = False,
+    tolerance: float = 0.02,
 ) -> OcsvmModel:
+    """At most ``steps`` passes, fewer once the squared length is within ``tolerance`` of itself of the best."""
     if kernel != "rbf":
         raise ValueError("only the rbf kernel is supported")
     features = list(features)
@@ -79,36 +162,26 @@ def fit_ocsvm(
     x = df.sparkSession.read.parquet(path)
     g = scale_gamma(x, features) if gamma == "scale" else float(gamma)
     model = OcsvmModel(features, [0.0] * n_components, g, center, width, seed)
-
-    def mean_of(rows: DataFrame) -> np.ndarray:
-        w, b = fourier_map(len(features), n_components, g, seed)
-
-        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(n_components + 1)
-            for pdf in batches:
-                z = mapped(_matrix(pdf[features]), w, b)
-                total[:-1] += z.sum(axis=0)
-                total[-1] += len(z)
-            if total[-1]:
-                yield pd.DataFrame({"at": np.arange(len(total)), "value": total})
-
-        sums = rows.select(*features).mapInPandas(partial, "at int, value double").groupBy("at")
-        rows = sums.agg(F.sum("value").alias("value")).orderBy("at").collect()
-        total = np.array([r["value"] for r in rows])
-        return total[:-1] / total[-1]
-
-    # The first step starts from the mean of all rows.
-    weights = mean_of(x)
-    for step in range(1, steps + 1):
+    # Without weights every margin is 0: the pass returns the mean of all rows.
+    rows, sums, _ = _step(x, model, np.array([-1.0]))
+    n = rows.sum()
+    wanted = nu * n
+    points = [sums.sum(axis=0) / max(n, 1)]
+    weights = points[0]
+    edges = np.linspace(-1, 1, BINS - 1) * _span(weights)
+    for _ in range(steps if n else 0):
         model.weights = weights.tolist()
-        # Margins are computed once per step; their exact quantile then reads numbers only.
-        path = scratch_path(df.sparkSession, "ocsvm-step")
-        x.withColumn("_margin", _margin(x, model)).write.parquet(path)
-        known = df.sparkSession.read.parquet(path)
-        limit = exact_quantile(known, "_margin", nu)
-        weights = weights + 2.0 / (step + 2.0) * (
-            mean_of(known.where(F.col("_margin") <= limit)) - weights
-        )
+        rows, sums, fine = _step(x, model, edges)
+        # Whole bins from the lowest up, and a part of the one that holds the cut.
+        part = np.clip((wanted - (np.cumsum(rows) - rows)) / np.maximum(rows, 1), 0, 1)
+        points.append((part[:, None] * sums).sum(axis=0) / wanted)
+        model.gap = max(0.0, float(2 * (weights @ weights - weights @ points[-1])))
+        if model.gap <= tolerance * float(weights @ weights):
+            break
+        before, span = weights, _span(weights)
+        kept = np.stack(points)
+        weights = _shortest(kept) @ kept
+        edges = _edges(fine, span, wanted, float(weights @ before / (before @ before)))
     model.weights = weights.tolist()
     margins = scratch_path(df.sparkSession, "ocsvm-margins")
     x.select(_margin(x, model).alias("margin")).write.parquet(margins)
@@ -147,12 +220,12 @@ def save_ocsvm(spark: SparkSession, model: OcsvmModel, path: str) -> None:
     meta = [
         (
             model.kind, model.features, model.weights, model.gamma, model.center, model.width,
-            model.seed, model.offset,
+            model.seed, model.offset, model.gap,
         )
     ]
     names = (
         "kind string, features array<string>, weights array<double>, gamma double, "
-        "center array<double>, width array<double>, seed int, offset double"
+        "center array<double>, width array<double>, seed int, offset double, gap double"
     )
     target = f"{path.rstrip('/')}/meta"
     spark.createDataFrame(meta, names).coalesce(1).write.mode("overwrite").parquet(target)

@@ -6,7 +6,13 @@ nothing with the frame arithmetic of the Spark side.
 
 from __future__ import annotations
 
+import itertools
+import math
+
+import numpy as np
+
 from acctpulse import schema
+from acctpulse.plans import fixed
 from acctpulse.plans.queries import CUSTOM_WINDOWS, HALF_TIME, ORDERS_HALF, PSEUDO_CONTRIBUTIONS
 
 # Fixed values, written out here so that a wrong one in the product shows.
@@ -90,6 +96,84 @@ TREES = f"""SELECT CAST(i AS INTEGER) AS tree, CAST(least(256, n) AS BIGINT) AS
   FROM generate_series(0, 99) AS t(i), (SELECT count(*) AS n FROM ({DENSE}))"""
 
 
+def _mean_path(n: float) -> float:
+    """Mean steps of a search that fails among n rows: twice the harmonic number, less the part of the last."""
+    if n <= 2:
+        return float(max(0, n - 1))
+    return 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+
+
+def _num(x: float) -> str:
+    """A literal that is a double, not a decimal."""
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _path(tree, depth: int = 0) -> str:
+    """A row's path length through a tree."""
+    if isinstance(tree, int):
+        return _num(depth + _mean_path(tree))
+    feature, threshold, low, high = tree
+    return f"(CASE WHEN {feature} > {threshold} THEN {_path(high, depth + 1)} ELSE {_path(low, depth + 1)} END)"
+
+
+def _expected(tree, known: frozenset, depth: int = 0) -> str:
+    """A row's mean path length where only the ``known`` features are known; parts weigh by their rows."""
+    if isinstance(tree, int):
+        return _num(depth + _mean_path(tree))
+    feature, threshold, low, high = tree
+    below, above = _expected(low, known, depth + 1), _expected(high, known, depth + 1)
+    if feature in known:
+        return f"(CASE WHEN {feature} > {threshold} THEN {above} ELSE {below} END)"
+    share = fixed.rows_of(high) / fixed.rows_of(tree)
+    return f"({_num(share)} * {above} + {_num(1 - share)} * {below})"
+
+
+def _names(tree) -> set:
+    return set() if isinstance(tree, int) else {tree[0]} | _names(tree[2]) | _names(tree[3])
+
+
+def _shapley(feature: str) -> str:
+    """The feature's Shapley value of the mean path length, over all sets of the other features of each tree."""
+    terms = []
+    for tree in fixed.TREES:
+        others = sorted(_names(tree) - {feature})
+        if feature not in _names(tree):
+            continue
+        n = len(others) + 1
+        for size in range(n):
+            weight = math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n) / len(fixed.TREES)
+            for known in map(frozenset, itertools.combinations(others, size)):
+                terms.append(f"{_num(weight)} * ({_expected(tree, known | {feature})} - {_expected(tree, known)})")
+    return " + ".join(terms) or _num(0.0)
+
+
+def _forest_scores(view: str) -> str:
+    """CTEs up to ``v``: every feature row of ``view`` with its score by the fixed forest and its label."""
+    mean = " + ".join(map(_path, fixed.TREES))
+    return f"""{_features(view)},
+s AS (SELECT *, -pow(2, -(({mean}) / {len(fixed.TREES)}) / {_mean_path(fixed.SAMPLES)!r}) AS raw FROM f),
+v AS (SELECT *, raw - (SELECT quantile_cont(raw, 0.01) FROM s) AS score FROM s)"""
+
+
+VERDICT = """round(score, 6) AS anomaly_score, CAST(CASE WHEN score < 0 THEN -1 ELSE 1 END AS BIGINT) AS anomaly_label,
+  score < 0 AS is_anomaly"""
+
+
+def _margin() -> str:
+    """The fixed machine's margin: weighted cosines of random projections, drawn as its paper says."""
+    draw = np.random.default_rng(fixed.SVM_SEED)
+    n = len(fixed.SVM_WEIGHTS)
+    w = draw.normal(scale=math.sqrt(2 * fixed.SVM_GAMMA), size=(len(fixed.SVM_SCALES), n))
+    b = draw.uniform(0, 2 * math.pi, n)
+    terms = []
+    for k, weight in enumerate(fixed.SVM_WEIGHTS):
+        inner = " + ".join(
+            f"({name} - {_num(centre)}) / {_num(width)} * {_num(float(w[i, k]))}" for i, (name, centre, width) in enumerate(fixed.SVM_SCALES)
+        )
+        terms.append(f"{_num(weight * math.sqrt(2 / n))} * cos({inner} + {_num(float(b[k]))})")
+    return " + ".join(terms)
+
+
 def _codes(column: str, codes: dict[str, int]) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in codes.items())
     return f"CAST(CASE {column} {whens} ELSE -1 END AS BIGINT)"
@@ -231,27 +315,34 @@ def statements() -> dict[str, str]:
         ),
         "save_model": TREES,
         "iforest_fit": TREES,
-        "load_model": f"SELECT seq, {SAME} FROM ({DENSE})",
-        "stream_score": f"SELECT seq, {SAME} FROM ({DENSE})",
-        "stream_batch_score": f"SELECT seq, {SAME} FROM ({DENSE})",
-        "iforest_score": f"SELECT seq, account_number, true AS flag_is_sign FROM ({DENSE})",
-        "ocsvm_score": f"SELECT seq, account_number, true AS flag_is_sign FROM ({DENSE})",
-        "ocsvm_fit": f"""SELECT CAST(256 AS BIGINT) AS components, true AS length_fits, true AS share_fits,
-  count(*) AS n_rows FROM ({DENSE})""",
-        "shap_topk": f"""SELECT count(*) AS n_rows, true AS flagged_are_explained,
-  CAST(0 AS DOUBLE) AS largest_gap FROM ({DENSE})""",
+        **{
+            name: f"{_forest_scores(DENSE)} SELECT seq, {VERDICT} FROM v"
+            for name in ("load_model", "iforest_score", "stream_score", "stream_batch_score")
+        },
+        "ocsvm_score": f"""{_features(DENSE)}, s AS (SELECT seq, {_margin()} AS raw FROM f),
+v AS (SELECT *, raw - (SELECT quantile_cont(raw, 0.01) FROM s) AS score FROM s) SELECT seq, {VERDICT} FROM v""",
+        "ocsvm_fit": f"""SELECT CAST(256 AS BIGINT) AS components, count(*) AS n_rows,
+  CAST(floor(0.01 * (count(*) - 1)) + 1 AS BIGINT) AS n_outside, true AS near_the_best FROM ({DENSE})""",
+        "shap_topk": f"""{_forest_scores(DENSE)}, c AS (
+  SELECT seq, unnest([{", ".join(f"{{'name': '{n}', 'value': CAST({_shapley(n)} AS DOUBLE)}}" for n in schema.FEATURE_COLUMNS)}]) AS e
+  FROM v WHERE score < 0),
+k AS (SELECT seq, row_number() OVER (PARTITION BY seq ORDER BY abs(e.value) DESC, e.name) AS place,
+  e.name AS name, round(e.value, 4) AS value FROM c)
+SELECT *, CAST(0 AS DOUBLE) AS unexplained, true AS all_features FROM k WHERE place <= 5""",
         "train_job": f"""SELECT count(*) FILTER (WHERE outcome = 'scored') AS n_rows,
   count(*) FILTER (WHERE outcome <> 'scored') AS rejected,
   count(DISTINCT account_number) FILTER (WHERE outcome = 'scored') AS accounts,
-  true AS stats_in_order, true AS share_fits FROM ({OUTCOME})""",
+  CAST(floor(0.01 * (count(*) FILTER (WHERE outcome = 'scored') - 1)) + 1 AS BIGINT) AS anomalies,
+  CAST(floor(0.01 * (count(*) FILTER (WHERE outcome = 'scored') - 1)) + 1 AS BIGINT) AS scored_anomalies,
+  CAST(0 AS DOUBLE) AS stats_gap FROM ({OUTCOME})""",
         "batch_score_job": f"{_features(DENSE)} SELECT seq, "
         + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in schema.FEATURE_COLUMNS)
         + ", true AS goes_together FROM f",
         "batch_score_job_rejects": f"SELECT seq, outcome FROM ({OUTCOME})",
         "stream_score_rejects": f"SELECT seq, outcome FROM ({OUTCOME})",
-        "late_rescored": f"""WITH e AS ({DENSE}), m AS (SELECT account_number, max(posting_timestamp) AS newest
+        "late_rescored": f"""{_forest_scores(DENSE)}, m AS (SELECT account_number, max(posting_timestamp) AS newest
   FROM e WHERE descr <> 'PayNow' GROUP BY 1)
-SELECT seq, {SAME} FROM e JOIN m ON m.account_number = e.account_number
+SELECT seq, {VERDICT} FROM v JOIN m ON m.account_number = v.account_number
   WHERE descr = 'PayNow' AND posting_timestamp < newest""",
         "read_parquet": typed.format(ts="posting_timestamp", more="", view=SPARSE),
         "select_cast_key": "SELECT CAST(user_id AS VARCHAR) AS account_number, event_id, value FROM events",

@@ -22,7 +22,7 @@ from acctpulse.operators.features import (
 )
 from acctpulse.operators.quantile import exact_quantile
 from acctpulse.operators.windows import FeatureConfig
-from acctpulse.plans import jobs, views
+from acctpulse.plans import fixed, jobs, views
 from acctpulse.session import scratch_path
 from acctpulse.sources import readers, writers
 from acctpulse.streaming import jobs as streams
@@ -31,6 +31,7 @@ from acctpulse.streaming import service, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 CUSTOM_WINDOWS = {"txn_count_5s": 5, "txn_count_2min": 120, "txn_count_1h": 3600}
+BATCH_FILES = 8
 HALF_TIME = "1970-02-02 21:31:12"  # near the middle of the dense view
 ORDERS_HALF = "1970-01-03 03:45:00"  # near the middle of the nation view
 PSEUDO_CONTRIBUTIONS = {
@@ -85,7 +86,8 @@ def read_csv_narrow(spark, sf_dir):
     """Seven columns, numbered by their order in the file."""
     path = scratch_path(spark, "csv-narrow")
     ordered = _raw_text(spark, sf_dir).select(schema.SEQ, *_seven_columns(spark, sf_dir).columns[:-1])
-    ordered = ordered.coalesce(1).sortWithinPartitions(schema.SEQ)
+    # Part files follow one another in order, as the numbering by file needs.
+    ordered = ordered.repartitionByRange(BATCH_FILES, schema.SEQ).sortWithinPartitions(schema.SEQ)
     ordered.drop(schema.SEQ).withColumn("is_anomaly", F.lit(0)).write.option("header", True).csv(path)
     rows = readers.with_sequence(readers.read_csv(spark, path).drop(schema.SEQ))
     return validation.parse_timestamps(rows).select(schema.SEQ, *schema.REQUIRED_COLUMNS)
@@ -155,6 +157,21 @@ def _fitted_forest(spark, sf_dir, **params):
     )
 
 
+def _fixed_forest(spark, sf_dir):
+    """The feature table and the fixed forest, cut off where a hundredth of the rows lie below."""
+    features = jobs.written(feature_table(views.dense(spark, sf_dir)), "features")
+    model = fixed.forest()
+    scores = jobs.written(features.select(forest.raw_score(features, model).alias("raw")), "fixed-scores")
+    model.offset = exact_quantile(scores, "raw", 0.01)
+    return features, model
+
+
+def _verdicts(scored):
+    return scored.select(
+        schema.SEQ, F.round("anomaly_score", 6).alias("anomaly_score"), "anomaly_label", "is_anomaly"
+    )
+
+
 def _node_rows(spark, model):
     return spark.createDataFrame(model.nodes, forest.NODE_SCHEMA)
 
@@ -188,21 +205,12 @@ def save_model(spark, sf_dir):
     return _tree_checks(spark.read.parquet(f"{path}/trees"))
 
 
-def _compared(rows, other):
-    """How far the scores of two tables differ, row by row."""
-    other = other.select(schema.SEQ, F.col("anomaly_score").alias("s"), F.col("is_anomaly").alias("f"))
-    return rows.join(other, schema.SEQ, "full").select(
-        schema.SEQ, F.round(F.abs(F.col("anomaly_score") - F.col("s")), 6).alias("difference"),
-        F.col("is_anomaly").eqNullSafe(F.col("f")).alias("same_flag"),
-    )
-
-
 def load_model(spark, sf_dir):
-    features, model = _fitted_forest(spark, sf_dir)
+    """Scores by a model that was saved and loaded."""
+    features, model = _fixed_forest(spark, sf_dir)
     path = scratch_path(spark, "model")
     forest.save_forest(spark, model, path)
-    scored = forest.score_forest(features, jobs.load_model(spark, path))
-    return _compared(scored, forest.score_forest(features, model))
+    return _verdicts(forest.score_forest(features, jobs.load_model(spark, path)))
 
 
 def model_reload(spark, sf_dir):
@@ -661,36 +669,26 @@ def iforest_fit(spark, sf_dir):
     return _tree_checks(_node_rows(spark, model))
 
 
-def _flags(scored):
-    """Every row, with whether its flag, label and sign agree."""
-    low = F.col("anomaly_score") < 0
-    agree = (F.col("is_anomaly") == low) & ((F.col("anomaly_label") == -1) == low)
-    return scored.select(schema.SEQ, "account_number", agree.alias("flag_is_sign"))
-
-
 def iforest_score(spark, sf_dir):
-    features, model = _fitted_forest(spark, sf_dir)
-    return _flags(forest.score_forest(features, model))
+    return _verdicts(forest.score_forest(*_fixed_forest(spark, sf_dir)))
 
 
 def shap_topk(spark, sf_dir):
-    """Flagged rows, and only these, are explained; all contributions of one add up to its path
-    length less the mean one."""
-    features, model = _fitted_forest(spark, sf_dir)
-    rows = explain.score_and_explain(features, model, len(schema.FEATURE_COLUMNS))
-    base = explain.base_value(explain.leaf_boxes(model))
+    """The five strongest contributions of each flagged row, and of no other; what all of one leave unexplained."""
+    features, model = _fixed_forest(spark, sf_dir)
+    everything = len(schema.FEATURE_COLUMNS)
+    rows = explain.with_contributions(features, model, True, "every")
     raw = F.col("anomaly_score") + F.lit(model.offset)
     path = -F.log2(-raw) * F.lit(float(forest.average_path(model.max_samples)))
-    total = F.aggregate(
-        "top_features", F.lit(0.0), lambda s, entry: s + entry["value"]
-    )
-    whole = F.size("top_features") == len(schema.FEATURE_COLUMNS)
-    right = F.when(F.col("is_anomaly"), whole).otherwise(F.col("top_features").isNull())
-    gap = F.when(F.col("is_anomaly"), F.abs(total + F.lit(base) - path))
-    return rows.agg(
-        F.count("*").alias("n_rows"), F.min(right).alias("flagged_are_explained"),
-        # Contributions are shown with four decimals.
-        F.round(F.max(gap), 2).alias("largest_gap"),
+    total = F.aggregate("every", F.lit(0.0), lambda s, entry: s + entry["value"])
+    gap = total + F.lit(explain.base_value(explain.leaf_boxes(model))) - path
+    whole = F.size("every") == everything
+    entry = F.posexplode(explain.topn_contributions(F.col("every"), 5)).alias("place", "entry")
+    return rows.where("every is not null").select(
+        schema.SEQ, F.round(F.abs(gap), 6).alias("unexplained"), whole.alias("all_features"), entry
+    ).select(
+        schema.SEQ, (F.col("place") + 1).alias("place"), F.col("entry.name").alias("name"),
+        F.col("entry.value").alias("value"), "unexplained", "all_features",
     )
 
 
@@ -723,30 +721,38 @@ def _fitted_svm(spark, sf_dir):
 
 
 def ocsvm_fit(spark, sf_dir):
-    """A mean of unit-length features is no longer than 1; the cut-off leaves out the share nu."""
+    """Rows inside and outside; how far from the shortest weights the fit may be, as a part of their length."""
     features, model = _fitted_svm(spark, sf_dir)
-    length = sum(w * w for w in model.weights) ** 0.5
-    weights = F.lit(len(model.weights)).alias("components")
-    outside = F.count_if("is_anomaly") <= F.ceil(F.count("*") * 0.01)
+    length = sum(w * w for w in model.weights)
     return ocsvm.score_ocsvm(features, model).agg(
-        weights, F.lit(0 < length <= 1.5).alias("length_fits"), outside.alias("share_fits"),
-        F.count("*").alias("n_rows"),
+        F.lit(len(model.weights)).alias("components"), F.count("*").alias("n_rows"),
+        F.count_if("is_anomaly").alias("n_outside"), F.lit(0 <= model.gap < 0.25 * length).alias("near_the_best"),
     )
 
 
 def ocsvm_score(spark, sf_dir):
-    features, model = _fitted_svm(spark, sf_dir)
-    return _flags(ocsvm.score_ocsvm(features, model))
+    features = jobs.written(feature_table(views.dense(spark, sf_dir)), "features")
+    model = fixed.svm()
+    margins = jobs.written(ocsvm.score_ocsvm(features, model).select("anomaly_score"), "margins")
+    model.offset = exact_quantile(margins, "anomaly_score", 0.01)
+    return _verdicts(ocsvm.score_ocsvm(features, model))
 
 
 def train_job(spark, sf_dir):
-    """The counts, and whether the statistics are in order and the flagged are the wanted share."""
-    result = jobs.train_job(_untimely(spark, sf_dir), params=FAST_FOREST)
-    s = result.score_stats
-    ordered = s["min"] <= s["mean"] <= s["max"] and s["std"] > 0
-    share = result.anomalies <= result.rows * 0.01 + 1
-    row = (result.rows, result.rejected, result.accounts, ordered, share)
-    names = "n_rows long, rejected long, accounts long, stats_in_order boolean, share_fits boolean"
+    """The counts, and how far the reported statistics are from those of the scores themselves."""
+    events = _untimely(spark, sf_dir)
+    result = jobs.train_job(events, params=FAST_FOREST)
+    valid, _ = validation.validate_split(events)
+    features = validation.fill_missing(feature_table(valid), schema.FEATURE_COLUMNS, True)
+    scores = forest.score_forest(features, result.model)
+    value = F.col("anomaly_score")
+    told = scores.agg(
+        F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"),
+        F.stddev_pop(value).alias("std"), F.count_if("is_anomaly").alias("n"),
+    ).first()
+    gap = max(abs(told[c] - result.score_stats[c]) for c in ("min", "max", "mean", "std"))
+    row = (result.rows, result.rejected, result.accounts, result.anomalies, told["n"], round(gap, 9))
+    names = "n_rows long, rejected long, accounts long, anomalies long, scored_anomalies long, stats_gap double"
     return spark.createDataFrame([row], names)
 
 
@@ -796,10 +802,9 @@ def stream_features(spark, sf_dir):
 
 
 def stream_score(spark, sf_dir):
-    features, model = _fitted_forest(spark, sf_dir)
+    _, model = _fixed_forest(spark, sf_dir)
     rows = streams.stream_score(views.dense_of(_event_stream(spark, sf_dir)), model)
-    out, _ = _drained(spark, rows.drop("top_features"), "scores")
-    return _compared(out, forest.score_forest(features, model))
+    return _verdicts(_drained(spark, rows.drop("top_features"), "scores")[0])
 
 
 def stream_score_rejects(spark, sf_dir):
@@ -817,31 +822,24 @@ def stream_score_rejects(spark, sf_dir):
 
 def late_rescored(spark, sf_dir):
     """Late rows get, in batch, the score they would have had in time."""
-    features, model = _fitted_forest(spark, sf_dir)
+    _, model = _fixed_forest(spark, sf_dir)
     rows = views.dense(spark, sf_dir)
     late = F.col("descr") == "PayNow"
-    path = _two_batches(spark, rows.where(~late), rows.where(late))
-    out, _ = _drained(spark, streams.stream_score(_stream_of(spark, path), model).drop("top_features"), "late")
-    behind = out.where("is_late")
-    again = streams.rescore_late(rows, behind.where("anomaly_score is null"), model)
-    want = forest.score_forest(features, model).join(behind.select(schema.SEQ), schema.SEQ, "left_semi")
-    return _compared(again, want)
-
-
-def _two_batches(spark, first, second):
-    """A file stream that delivers two tables one after the other."""
-    return _in_batches(spark, first, second)
+    path = _in_batches(spark, rows.where(~late), rows.where(late))
+    stream = streams.stream_score(_stream_of(spark, path), model).drop("top_features")
+    behind = _drained(spark, stream, "late")[0].where("is_late")
+    return _verdicts(streams.rescore_late(rows, behind.where("anomaly_score is null"), model))
 
 
 def _in_batches(spark, *parts):
-    """A file stream that delivers tables one after the other."""
+    """A file stream that delivers tables one after the other, each in as many files as a batch takes."""
     path = scratch_path(spark, "batches")
     for part in parts:
-        part.select(*schema_columns()).coalesce(1).write.mode("append").parquet(path)
+        part.select(*schema_columns()).repartition(BATCH_FILES).write.mode("append").parquet(path)
     return path
 
 
-def _stream_of(spark, path, max_files=1):
+def _stream_of(spark, path, max_files=BATCH_FILES):
     names = schema_columns()
     columns = [f for f in schema.EVENT_SCHEMA.fields if f.name in names]
     return readers.stream_files(spark, path, T.StructType(columns), max_files=max_files)
@@ -849,13 +847,12 @@ def _stream_of(spark, path, max_files=1):
 
 def stream_batch_score(spark, sf_dir):
     """A bounded list of events through the stream, in order, until drained."""
-    features, model = _fitted_forest(spark, sf_dir)
+    _, model = _fixed_forest(spark, sf_dir)
     rows = views.dense(spark, sf_dir)
     early = F.col("posting_timestamp") < F.lit(HALF_TIME).cast("timestamp")
-    path = _two_batches(spark, rows.where(early), rows.where(~early))
+    path = _in_batches(spark, rows.where(early), rows.where(~early))
     scored = streams.stream_score(_stream_of(spark, path), model).drop("top_features")
-    out, _ = _drained(spark, scored, "scores")
-    return _compared(out, forest.score_forest(features, model))
+    return _verdicts(_drained(spark, scored, "scores")[0])
 
 
 def warm_start(spark, sf_dir):
@@ -897,7 +894,7 @@ def late_data(spark, sf_dir):
     """Purchases arrive after everything else; those behind their account are late."""
     rows = views.dense(spark, sf_dir)
     late = F.col("descr") == "PayNow"
-    path = _two_batches(spark, rows.where(~late), rows.where(late))
+    path = _in_batches(spark, rows.where(~late), rows.where(late))
     out = streams.stream_features(_stream_of(spark, path))
     return _drained(spark, out, "late")[0].select(schema.SEQ, "is_late")
 
@@ -919,7 +916,7 @@ def state_retention(spark, sf_dir):
     """What is still remembered after a stream with bounded retention."""
     rows = views.dense(spark, sf_dir)
     early = F.col("posting_timestamp") < F.lit(HALF_TIME).cast("timestamp")
-    path = _two_batches(spark, rows.where(early), rows.where(~early))
+    path = _in_batches(spark, rows.where(early), rows.where(~early))
     out = streams.stream_features(_stream_of(spark, path), retention="bounded")
     return streams.state_inspect(spark, _drained(spark, out, "bounded")[1])
 

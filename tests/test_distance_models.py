@@ -131,3 +131,38 @@ def test_select_save_load(spark, tmp_path, kind, params):
 def test_unknown_model_is_refused(spark):
     with pytest.raises(ValueError, match="no model named"):
         select.check("Nope")
+
+
+def exact_dual(z, nu, rounds=200_000):
+    """Least squared length of a mean in which no row weighs more than 1 / (nu n): weight moves pair by pair."""
+    n = len(z)
+    cap = 1 / (nu * n)
+    share = np.zeros(n)
+    whole = int(nu * n)
+    share[:whole] = cap
+    if whole < n:
+        share[whole] = 1 - whole * cap
+    gram = z @ z.T
+    slope = gram @ share
+    for _ in range(rounds):
+        to = int(np.where(share < cap - 1e-15, slope, np.inf).argmin())
+        away = int(np.where(share > 1e-15, slope, -np.inf).argmax())
+        if slope[away] - slope[to] < 1e-10:
+            break
+        curve = max(gram[to, to] - 2 * gram[to, away] + gram[away, away], 1e-300)
+        step = min(share[away], cap - share[to], (slope[away] - slope[to]) / curve)
+        share[to] += step
+        share[away] -= step
+        slope += step * (gram[to] - gram[away])
+    return float(share @ gram @ share)
+
+
+@pytest.mark.parametrize("nu", [0.02, 0.15])
+def test_ocsvm_is_within_its_gap_of_the_exact_dual(spark, nu):
+    x = np.random.default_rng(6).normal(size=(500, 3)) * [2, 1, 1]
+    model = ocsvm.fit_ocsvm(to_df(spark, x).repartition(3), FEATURES, nu=nu, n_components=64, steps=25, tolerance=1e-3)
+    w, b = ocsvm.fourier_map(3, 64, model.gamma, model.seed)
+    best = exact_dual(ocsvm.mapped(x, w, b), nu)
+    length = sum(v * v for v in model.weights)
+    assert best - 1e-9 <= length <= best + model.gap + 1e-9
+    assert model.gap <= 0.1 * length
