@@ -175,7 +175,10 @@ def fit_ocsvm(
         # Whole bins from the lowest up, and a part of the one that holds the cut.
         part = np.clip((wanted - (np.cumsum(rows) - rows)) / np.maximum(rows, 1), 0, 1)
         points.append((part[:, None] * sums).sum(axis=0) / wanted)
-        model.gap = max(0.0, float(2 * (weights @ weights - weights @ points[-1])))
+        # No mean has a lower margin than this: rows of the cut bin may all lie at its lower border.
+        borders = np.concatenate([[-_span(weights)], edges])
+        lowest = np.where(part == 1, sums @ weights, part * rows * borders).sum() / wanted
+        model.gap = max(0.0, float(2 * (weights @ weights - lowest)))
         if model.gap <= tolerance * float(weights @ weights):
             break
         before, span = weights, _span(weights)
