@@ -36,6 +36,32 @@ def distinct_accounts(events: DataFrame, approximate: bool = False) -> DataFrame
     return events.agg(count("account_number").alias("accounts"))
 
 
+#: Binary logarithm of a sketch's size; its estimate is off by about 1.04 / sqrt(2 ** SKETCH_BITS), seldom by three times that.
+SKETCH_BITS = 14
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def account_sketch(events: DataFrame) -> DataFrame:
+    """One row, ``sketch``: a mergeable summary of the accounts, of the same size for any number of events.
+
+    It is merged with itself: a sketch that never was merged also remembers the order of its input and
+    estimates by that, so the same accounts in one piece and in several would not give the same number.
+    """
+    made = events.agg(F.hll_sketch_agg("account_number", SKETCH_BITS).alias("sketch"))
+    return made.select(F.hll_union("sketch", "sketch").alias("sketch"))
+
+
+def add_sketch(path: str, batch: int, events: DataFrame) -> None:
+    """Keeps the sketch of one batch below ``path``; the same batch again replaces its own."""
+    account_sketch(events).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+
+def distinct_accounts_so_far(sketches: DataFrame) -> DataFrame:
+    """Accounts of all batches whose sketches are given; the events are not read again."""
+    merged = sketches.agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)).alias("accounts"))
+
+
 def score_stats(scored: DataFrame) -> DataFrame:
     return scored.agg(
         F.avg(SCORE).alias("score_mean"),

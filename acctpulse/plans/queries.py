@@ -425,6 +425,25 @@ def dashboard_metrics(spark, sf_dir):
     return told.withColumn("latency_known", F.col("avg_latency_ms") > 0).drop("avg_latency_ms")
 
 
+def distinct_accounts_growing(spark, sf_dir):
+    """Seven batches of orders by customer, each sketched once; merged, in one pass, and counted."""
+    orders = views.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("account_number"), (F.col("o_orderkey") % 7).alias("batch")
+    )
+    path = scratch_path(spark, "sketches")
+    for batch in range(7):
+        reports.add_sketch(path, batch, orders.where(F.col("batch") == batch))
+    merged = reports.distinct_accounts_so_far(spark.read.parquet(path))
+    whole = reports.distinct_accounts_so_far(reports.account_sketch(orders))
+    exact = reports.distinct_accounts(orders)
+    both = merged.join(whole.withColumnRenamed("accounts", "whole")).join(exact.withColumnRenamed("accounts", "exact"))
+    near = F.abs(F.col("accounts") - F.col("exact")) <= F.col("exact") * reports.SKETCH_ERROR
+    return both.select(
+        F.col("exact").alias("accounts"), (F.col("accounts") == F.col("whole")).alias("same_in_one_pass"),
+        near.alias("within_error"),
+    )
+
+
 def _on_scored(report) -> Query:
     return lambda spark, sf_dir: report(views.scored(spark, sf_dir))
 
@@ -956,6 +975,7 @@ def registry() -> dict[str, Query]:
         "map_lookup": map_lookup,
         "score_summary": _on_scored(reports.score_summary),
         "distinct_accounts": _on_dense(reports.distinct_accounts),
+        "distinct_accounts_growing": distinct_accounts_growing,
         "score_stats": score_stats,
         "train_anomaly_rate": _on_scored(reports.train_anomaly_rate),
         "label_summary": label_summary,
