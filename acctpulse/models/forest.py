@@ -2,8 +2,10 @@
 
 Fitting needs only ``max_samples`` rows per tree.  Rows are chosen by a hash of
 (seed, tree, seq), so a fit does not depend on partitioning, and every tree is
-built in its own task from its own small sample.  Trees are stored as complete
-binary trees of fixed depth: node ``i`` has the children ``2i+1`` and ``2i+2``.
+built in its own task from its own small sample.  Larger samples than ``GROUPED_SAMPLES`` are never held by a task: their
+trees grow level by level (``levels``).  Trees are stored as complete
+binary trees of fixed depth: node ``i`` has the children ``2i+1`` and ``2i+2``.  A model has up to
+2 ``max_samples`` nodes a tree, so its size, and that of the broadcast that scores with it, follows ``max_samples``.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from acctpulse import schema
 from acctpulse.functions import scalar
+from acctpulse.models import levels
 from acctpulse.operators.quantile import exact_quantile
 from acctpulse.session import scratch_path
 
@@ -27,6 +30,8 @@ EULER_GAMMA = 0.5772156649015329
 # Candidates per wanted row: with 256 wanted, running short is beyond 10 deviations.
 POOL_FACTOR = 3
 
+# Rows of a tree's sample that one task may hold.
+GROUPED_SAMPLES = 4096
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, rows int, depth int"
 
 
@@ -85,6 +90,19 @@ class ForestModel:
         }
 
 
+def sample_size(max_samples: int | float | str, rows: int) -> int:
+    """Rows that a tree is built from."""
+    if max_samples == "auto":
+        return min(256, rows)
+    if isinstance(max_samples, float):
+        if not 0 < max_samples <= 1:
+            raise ValueError("max_samples as a part of the rows is above 0 and at most 1.0")
+        return max(1, int(max_samples * rows))
+    if max_samples < 1:
+        raise ValueError("max_samples is at least 1")
+    return min(int(max_samples), rows)
+
+
 def _build_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
     """Random splits down to single rows, equal rows or ``max_depth``."""
     out, todo = [], [(0, 0, x)]
@@ -143,11 +161,14 @@ def fit_forest(
     df: DataFrame,
     features: Sequence[str],
     n_estimators: int = 100,
-    max_samples: int | str = "auto",
+    max_samples: int | float | str = "auto",
     contamination: float | str = 0.01,
     random_state: int = 42,
 ) -> ForestModel:
-    """Fit trees, then set the cut-off so that ``contamination`` of the rows lie below."""
+    """Fit trees, then set the cut-off so that ``contamination`` of the rows lie below.
+
+    ``max_samples`` is a number of rows, a part of all rows (above 0, up to 1.0, as a float), or "auto" for 256.
+    """
     features = list(features)
     x = df.select(
         schema.SEQ, *[scalar.finite_or_zero(F.col(c), True).alias(c) for c in features]
@@ -155,7 +176,7 @@ def fit_forest(
     rows, keyed = x.agg(F.count("*"), F.count(schema.SEQ)).first()
     if keyed < rows:
         raise ValueError(f"{rows - keyed} rows have no {schema.SEQ}; rows are picked by it")
-    size = min(256 if max_samples == "auto" else int(max_samples), rows)
+    size = sample_size(max_samples, rows)
     depth = max(1, math.ceil(math.log2(max(size, 2))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -170,7 +191,14 @@ def fit_forest(
         return out
 
     factor = POOL_FACTOR
-    while True:
+    if size > GROUPED_SAMPLES:
+        path = scratch_path(df.sparkSession, "forest-rows")
+        x.write.parquet(path)
+        x = df.sparkSession.read.parquet(path)
+        nodes = levels.grow(
+            x, features, n_estimators, size, random_state, depth, _build_tree, schema.SEQ, NODE_SCHEMA
+        )
+    while size <= GROUPED_SAMPLES:
         picked = sample_per_tree(x, rows, n_estimators, size, random_state, factor)
         nodes = picked.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
         nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)

@@ -153,3 +153,54 @@ def test_exact_quantile_in_two_reads(spark, monkeypatch):
     monkeypatch.setattr(quantile, "_borders", lambda *a: next(wrong, None) or borders(*a))
     assert exact_quantile(df, "v", 0.25) == 0.25 * 59_999
     assert exact_quantile(df.where("v < 0"), "v", 0.5) is None
+
+
+def invariants(nodes, size, depth):
+    """Rows at the root, in leaves and below each split; why leaves are leaves."""
+    for _, tree in nodes.groupby("tree"):
+        at = {r.node: r for r in tree.itertuples()}
+        assert at[0].rows == size and at[0].depth == 0
+        assert sum(r.rows for r in at.values() if r.feature < 0) == size
+        for node, r in at.items():
+            assert r.depth <= depth
+            if r.feature >= 0:
+                low, high = at[2 * node + 1], at[2 * node + 2]
+                assert low.rows + high.rows == r.rows and min(low.rows, high.rows) > 0
+                assert low.depth == high.depth == r.depth + 1
+            else:
+                assert 2 * node + 1 not in at and (r.rows == 1 or r.depth == depth)
+
+
+@pytest.mark.parametrize("finish", [50, 2000])
+def test_large_samples_grow_level_by_level(spark, points, monkeypatch, finish):
+    monkeypatch.setattr(forest, "GROUPED_SAMPLES", 100)
+    monkeypatch.setattr(forest.levels, "FINISH_ROWS", finish)
+    model = forest.fit_forest(points, FEATURES, n_estimators=6, max_samples=0.5)
+    rows = points.count()
+    assert model.max_samples == rows // 2
+    invariants(model.nodes, rows // 2, int(np.ceil(np.log2(rows // 2))))
+    again = forest.fit_forest(points.repartition(5, "c"), FEATURES, n_estimators=6, max_samples=rows // 2)
+    assert again.nodes.equals(model.nodes)
+    grouped = forest.fit_forest(points, FEATURES, n_estimators=40, max_samples=100)
+    invariants(grouped.nodes, 100, 7)
+    # The rows far off stand out in both.
+    worst = [
+        {r.seq for r in forest.score_forest(points, m).orderBy("anomaly_score").limit(10).collect()}
+        for m in (model, grouped)
+    ]
+    assert all(len(w & set(range(30))) >= 9 for w in worst)
+
+
+def test_each_tree_has_exactly_its_number_of_rows(spark, points):
+    rows = points.select(F.xxhash64("seq").alias(forest.levels.HASH))
+    h = np.array([r[0] for r in rows.collect()])
+    for size in (1, 777, len(h)):
+        limits = forest.levels.hash_limits(rows, 4, size)
+        assert [(forest.levels.picks(h, t) <= limits[t]).sum() for t in range(4)] == [size] * 4
+
+
+@pytest.mark.parametrize("wrong", [0.0, 1.5, 0, -3])
+def test_sample_sizes(wrong):
+    with pytest.raises(ValueError):
+        forest.sample_size(wrong, 100)
+    assert [forest.sample_size(m, 1000) for m in ("auto", 0.5, 1.0, 5000, 7)] == [256, 500, 1000, 1000, 7]
