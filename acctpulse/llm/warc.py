@@ -8,18 +8,27 @@ and never holds more than one of them. A chunk becomes one WARC record: the firs
 Equal payloads of some size are stored once: the record with the largest id is the response, the
 others are ``revisit`` records that refer to it and have no payload.
 
-Archives are read by splitting at the version line. So that no payload can look like one, a chunk
-ends inside any version line that the payload holds, and inside a version at its own end, which the line
-end after it would complete. Files are compressed and hold a bounded number
-of records, each file being one task's work; uncompressed ones are also split inside.
+Records have the headers that the format demands: type, id, date, length, and the profile of a revisit. Archives,
+ours and others' of version 1.0 or 1.1, are read in pieces that end at the next version, and a record takes as many
+pieces as its Content-Length asks for, so a payload may hold anything. Only where an uncompressed file is split between
+tasks can a version inside a payload be taken for a record's begin; so chunks of ours end inside any version that the
+payload holds, and inside a version at their own end. Files hold a bounded number of bytes,
+each compressed one being one task's work; compressed, they are one member, so other readers take them from the start. The payload
+arrives in a task as one value; what is made of it is never larger than a chunk.
+
+Records of others need none of our headers: what is missing is null, and is taken as right in ``verified``.
+The body of an HTTP response is its payload, and its digest may be in base 32.
 
 Defined cases: a null payload is empty; a null id is less than any other; of repeated rows one
-is the response; line breaks in a URL are escaped, and so is the point of a version at its end.
+is the response; line breaks in a URL are escaped, and so is the point of a version at its end; extra columns of any
+name are ignored; payloads may be of any length; an empty table gives an archive without records.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +40,10 @@ from acctpulse.llm.tables import FILE, KEY, ROW, keep
 CHUNK = 1 << 20
 LEAST_BYTES = 1000
 MAGIC = "WARC/1.1\r\n"
+VERSION = "WARC/1."
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: A file holds at most so many bytes, and chunks above SMALL are written to files of their own.
+FILE_BYTES, SMALL = 512 << 20, 64 << 10
 BATCH_BYTES = 4 << 20
 SAME = ["payload_bytes", "payload_digest", "_acct_hash"]
 
@@ -136,9 +149,10 @@ def _header(name: str, value: Column) -> Column:
 
 
 def write_archive(
-    chunks: DataFrame, path: str, records_per_file: int = 20_000, compression: str = "gzip"
+    chunks: DataFrame, path: str, chunk: int = CHUNK, compression: str = "gzip",
+    content_type: str = "text/html; charset=utf-8", date: Column | None = None,
 ) -> None:
-    """Writes a record per chunk; each file holds at most ``records_per_file``."""
+    """Writes a record per chunk of at most ``chunk`` bytes, dated now unless ``date`` is given."""
     first = F.col("chunk_no") == 0
     uri = _uri(None, F.col("record_id"), F.col(FILE), F.col(ROW))
     to = F.col("to")
@@ -152,6 +166,8 @@ def write_archive(
         _header("WARC-Type", kind),
         _header("WARC-Record-ID", F.when(first, uri).otherwise(
             F.concat(F.regexp_replace(uri, ">$", "#"), F.col("chunk_no"), F.lit(">")))),
+        _header("WARC-Date", F.date_format(F.current_timestamp() if date is None else date, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        _header("WARC-Profile", F.when(first & (F.col("record_type") == "revisit"), F.lit(PROFILE))),
         _header("WARC-Segment-Origin-ID", F.when(~first, uri)),
         _header("WARC-Segment-Number", segment),
         _header("WARC-Segment-Total-Length", F.when(~first & F.col("last"), F.col("payload_bytes"))),
@@ -161,14 +177,20 @@ def write_archive(
         _header("X-Payload-Length", F.col("payload_bytes")),
         _header("X-Running-Digest", F.concat(F.lit("sha1:"), F.col("running_digest"))),
         _header("X-Last-Segment", F.col("last")),
+        _header("Content-Type", F.when(first & (F.col("record_type") == "response"), F.lit(content_type))),
         _header("Content-Length", F.octet_length("chunk")),
         F.lit("\r\n"),
     )
     # Bytes of any kind pass through the text writer unchanged.
     record = F.concat(head.cast("binary"), F.col("chunk")).cast("string")
-    writer = chunks.select(record.alias("value")).write
-    writer = writer.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file)
-    writer.option("compression", compression).text(path)
+    rows = chunks.select(record.alias("value"), (F.octet_length("chunk") > SMALL).alias("large"))
+    for large in (False, True):
+        most = max(1, FILE_BYTES // (chunk if large else SMALL))
+        part = rows.where(F.col("large") == large).drop("large")
+        writer = part.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", most)
+        writer.option("compression", compression).mode("append").text(path)
+        if not large and chunk <= SMALL:
+            break
 
 
 RECORD = pa.schema([
@@ -179,31 +201,74 @@ RECORD = pa.schema([
 ])
 
 
+def _hex(digest: str | None) -> str | None:
+    """A SHA-1 in hex, if it is given in hex or base 32."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+
+
+def _record(head: bytes, block: bytes) -> dict:
+    """A row from a record's header and block."""
+    lines = re.sub(rb"\r\n[ \t]+", b" ", head).decode("utf-8", "replace").split("\r\n")
+    field = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    size, number = int(field["content-length"]), field.get("warc-segment-number")
+    whole, block = len(block) >= size, block[:size]
+    if field.get("content-type", "").startswith("application/http") and number in (None, "1"):
+        block = block.partition(b"\r\n\r\n")[2]
+    total = field.get("x-payload-length") or field.get("warc-segment-total-length")
+    if number is None and total is None and field["warc-type"] != "revisit":
+        total = len(block)
+    told = field.get("x-last-segment")
+    return {
+        "record": field.get("warc-segment-origin-id", field.get("warc-record-id")),
+        "chunk_no": int(number or 1) - 1,
+        "last": told == "true" if told else number is None or "warc-segment-total-length" in field,
+        "record_type": field["warc-type"], "url": field.get("warc-target-uri"),
+        "refers_to": field.get("warc-refers-to"),
+        "payload_bytes": None if total is None else int(total),
+        "payload_digest": _hex(field.get("warc-payload-digest")),
+        "running": _hex(field.get("x-running-digest")),
+        "whole": whole, "size": len(block), "payload": block,
+    }
+
+
+#: A piece of an archive that begins a record; what comes before is the rest of a block.
+BEGIN = re.compile(rb"[01]\r\n(?:[!-9;-~]+:[^\r\n]*(?:\r\n[ \t][^\r\n]*)*\r\n)+\r\n")
+LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)", re.I)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per WARC record (chunk); ``whole`` says that its length is as announced."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, parts, have, need = b"", [], 0, 0
+        out, held = [], 0
         for batch in batches:
-            out = []
             for value in batch.column("value"):
-                head, _, rest = value.as_py().partition(b"\r\n\r\n")
-                lines = head.decode("utf-8", "replace").split("\r\n")
-                field = dict(x.split(": ", 1) for x in lines if ": " in x)
-                size = int(field["Content-Length"])
-                out.append({
-                    "record": field.get("WARC-Segment-Origin-ID", field["WARC-Record-ID"]),
-                    "chunk_no": int(field.get("WARC-Segment-Number", 1)) - 1,
-                    "last": field["X-Last-Segment"] == "true",
-                    "record_type": field["WARC-Type"], "url": field.get("WARC-Target-URI"),
-                    "refers_to": field.get("WARC-Refers-To"),
-                    "payload_bytes": int(field["X-Payload-Length"]),
-                    "payload_digest": field["WARC-Payload-Digest"].removeprefix("sha1:"),
-                    "running": field["X-Running-Digest"].removeprefix("sha1:"),
-                    "whole": len(rest) >= size, "size": size, "payload": rest[:size],
-                })
-            yield pa.RecordBatch.from_pylist(out, RECORD)
-
-    lines = spark.read.option("lineSep", MAGIC).text(path).where(F.col("value") != "")
+                piece = value.as_py()
+                if head and have < need:  # a version inside the block
+                    parts.append(VERSION.encode() + piece)
+                    have += len(parts[-1])
+                    continue
+                begins = BEGIN.match(piece)
+                length = begins and LENGTH.search(piece, 0, begins.end())
+                if not length:
+                    continue
+                if head:
+                    out.append(_record(head, b"".join(parts)))
+                    held += have
+                head, parts, need = begins[0], [piece[begins.end() :]], int(length[1])
+                have = len(parts[0])
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(out, RECORD)
+                    out, held = [], 0
+        if head:
+            out.append(_record(head, b"".join(parts)))
+        yield pa.RecordBatch.from_pylist(out, RECORD)
+
+    lines = spark.read.option("lineSep", VERSION).text(path).where(F.col("value") != "")
     kinds = ("record string, chunk_no bigint, last boolean, record_type string, url string, "
              "refers_to string, payload_bytes bigint, payload_digest string, running string, "
              "whole boolean, size bigint, payload binary")
@@ -218,8 +283,9 @@ def verified(records: DataFrame) -> DataFrame:
     """
     names = ["record", "record_type", "url", "refers_to", "payload_bytes", "payload_digest"]
     single = (F.col("chunk_no") == 0) & F.col("last")
-    right = F.when(F.col("record_type") == "revisit", F.col("size") == 0).otherwise(
-        (F.sha1("payload") == F.col("payload_digest")) & (F.col("size") == F.col("payload_bytes"))
+    right = F.when(F.col("record_type") == "revisit", F.lit(True)).otherwise(
+        F.coalesce(F.sha1("payload") == F.col("payload_digest"), F.lit(True))
+        & F.coalesce(F.col("size") == F.col("payload_bytes"), F.lit(True))
     )
     short = records.where(single).select(*names, (F.col("whole") & right).alias("verified"))
 
@@ -227,8 +293,8 @@ def verified(records: DataFrame) -> DataFrame:
         now, first, digest, size, fine, next_no, ended = None, None, None, 0, True, 0, False
 
         def done():
-            good = fine and ended and size == first["payload_bytes"]
-            good = good and digest.hexdigest() == first["payload_digest"]
+            good = fine and ended and first["payload_bytes"] in (None, size)
+            good = good and first["payload_digest"] in (None, digest.hexdigest())
             row = {k: first[k] for k in names} | {"verified": bool(good)}
             return pa.RecordBatch.from_pylist([row], pa.schema(
                 [RECORD.field(k) for k in names] + [("verified", pa.bool_())]))
@@ -244,9 +310,11 @@ def verified(records: DataFrame) -> DataFrame:
                 digest.update(row["payload"])
                 size += row["size"]
                 fine = fine and row["chunk_no"] == next_no and row["whole"]
-                fine = fine and digest.hexdigest() == row["running"]
+                fine = fine and row["running"] in (None, digest.hexdigest())
                 next_no, ended = next_no + 1, row["last"]
                 first = {k: v for k, v in first.items() if k != "payload"}
+                if first["payload_bytes"] is None:  # others tell it with the last segment
+                    first["payload_bytes"] = row["payload_bytes"]
         if now is not None:
             yield done()
 
@@ -275,4 +343,4 @@ def archive(
     payload = F.when(F.col("record_type") == "response", F.col("payload").cast("binary"))
     whole = records.select(*KEY, "url", "payload").join(facts, KEY)
     chunks = chunk_table(whole.withColumn("payload", payload), chunk)
-    write_archive(chunks, path, compression=compression)
+    write_archive(chunks, path, chunk, compression)
