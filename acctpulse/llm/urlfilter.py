@@ -4,23 +4,30 @@ A rule is a regular expression, a verdict and the literal tokens that every URL
 Token counts over all URLs tell which of them is rarest; the rule is filed under that token. A URL's
 tokens fetch its candidate rules and only those expressions run.
 
+Tokens are runs of a-z and 0-9 in the lower-cased URL. A rule's token has a certain border on either side in whatever the
+rule fits, so it is a token of the URL too: the index misses no rule. Rules come from hosts and paths, from words, from
+expressions, or from lines of a filter list (``parse_rules``); exceptions of a list win over its blocks.
+
 Few rules become a constant look-up inside one map over the URLs, with no shuffle; a list
 longer than ``MAX_INLINE`` is joined on the token instead. Both give the same rows.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path and fits no host rule; a
-URL that is repeated is judged alike each time; a rule without tokens is tried on every URL.
+URL that is repeated is judged alike each time; a rule without tokens is tried on every URL. URLs may be of any length.
+Columns of the input named host, path, rule or verdict are replaced, all others kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+TOKEN = r"[a-z0-9]+"
+MADE = ["host", "path", "rule", "verdict"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_INLINE = 500
 ANY = ""
@@ -41,11 +48,20 @@ def _quoted(text: str) -> str:
     return re.sub(r"([^A-Za-z0-9_/])", r"\\\1", text)
 
 
+def _whole_tokens(text: str, border_before: bool, border_after: bool) -> list[str]:
+    """Tokens of a literal text that no neighbour can make longer."""
+    found = list(re.finditer(TOKEN, text))
+    return [
+        m[0] for m in found
+        if (m.start() > 0 or border_before) and (m.end() < len(text) or border_after)
+    ]
+
+
 def place_rule(verdict: str, place: str) -> Rule:
     """``host/path``: the host with all subdomains, and paths that start with the given one."""
     host = place.partition("/")[0].lower()
     pattern = r"^(?:[^/]*\.)?" + _quoted(host) + _quoted(place[len(host):])
-    whole = re.findall(TOKEN + r"(?=[\x00-\x2F\x3A-\x60\x7B-\x7F])", place.lower())
+    whole = _whole_tokens(place.lower(), True, False)
     return Rule(place, verdict, pattern, tuple(whole), True)
 
 
@@ -55,6 +71,72 @@ def word_rule(verdict: str, word: str) -> Rule:
     return Rule(f"word:{word}", verdict, pattern, (word,))
 
 
+def pattern_rule(verdict: str, pattern: str) -> Rule:
+    """An expression over the lower-cased URL; its tokens are those of texts that every match holds."""
+    tokens: list[str] = []
+    try:
+        parts = list(_parser.parse(pattern))
+    except re.error:
+        parts = []
+    run, before = "", False
+    for kind, value in [*parts, (None, None)]:
+        if kind is _parser.LITERAL:
+            run += chr(value)
+            continue
+        at_end = kind is _parser.AT and value is _parser.AT_END_STRING
+        tokens += _whole_tokens(run, before, at_end)
+        run, before = "", kind is _parser.AT and value in (_parser.AT_BEGINNING, _parser.AT_BEGINNING_STRING)
+    return Rule(f"/{pattern}/", verdict, pattern, tuple(dict.fromkeys(tokens)))
+
+
+#: How marks of a filter list read as expressions over the lower-cased URL.
+SEPARATOR = r"(?:[^a-z0-9_.%\-]|$)"
+ANY_HOST = r"^[^:/?#]*:/*(?:[^/?#]*\.)?"
+
+
+def list_rule(line: str) -> Rule | None:
+    """A line of a filter list: ``||host^``, ``|begin``, ``end|``, ``*``, ``/expression/``, ``@@`` for exceptions.
+
+    None for comments, rules about elements of a page, rules with options, which ask for more than a URL, and
+    expressions that are none.
+    """
+    text = line.strip()
+    if not text or text[0] in "![" or "##" in text or "#@#" in text or "#?#" in text:
+        return None
+    verdict, body = ("allow", text[2:]) if text.startswith("@@") else ("block", text)
+    if len(body) > 2 and body[0] == body[-1] == "/":
+        try:
+            re.compile(body[1:-1])
+        except re.error:
+            return None
+        rule = pattern_rule(verdict, body[1:-1])
+        return Rule(text, verdict, rule.pattern, rule.tokens)
+    if "$" in body or not body.strip("|*^"):
+        return None
+    body = body.lower()
+    begin = "||" if body.startswith("||") else "|" if body.startswith("|") else ""
+    body = body[len(begin) :]
+    end = body.endswith("|")
+    body = body.removesuffix("|")
+    pattern = {"||": ANY_HOST, "|": "^", "": ""}[begin]
+    tokens: list[str] = []
+    parts = re.split(r"([*^])", body)
+    for i, part in enumerate(parts):
+        if part in ("*", "^"):
+            pattern += {"*": ".*", "^": SEPARATOR}[part]
+            continue
+        pattern += _quoted(part)
+        before = parts[i - 1] == "^" if i else bool(begin)
+        after = parts[i + 1] == "^" if i + 1 < len(parts) else end
+        tokens += _whole_tokens(part, before, after)
+    return Rule(text, verdict, pattern + ("$" if end else ""), tuple(dict.fromkeys(tokens)))
+
+
+def parse_rules(lines: Iterable[str]) -> list[Rule]:
+    """The rules of a filter list that can be decided by a URL alone."""
+    return [rule for rule in map(list_rule, lines) if rule]
+
+
 #: Words in host names that mark spam; URLs that no rule fits are allowed.
 SPAM_WORDS = ("spam", "casino", "porn", "xxx", "viagra", "warez", "phishing", "malware")
 DEFAULT_RULES = [word_rule("block", w) for w in SPAM_WORDS]
@@ -98,8 +180,8 @@ def rarest_tokens(urls: DataFrame, rules: Sequence[Rule], url: str = "url") -> d
 def _judged(fitting: Column) -> tuple[Column, Column]:
     """The place rule that wins, and the verdict, from the rules that fit."""
     best = F.array_max(F.filter(fitting, lambda r: r["place"]))
-    blocked = F.exists(fitting, lambda r: ~r["place"] & (r["verdict"] == "block"))
-    method = F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
+    other = lambda verdict: F.exists(fitting, lambda r: ~r["place"] & (r["verdict"] == verdict))
+    method = F.when(other("block") & ~other("allow"), F.lit("block")).otherwise(F.lit("allow"))
     return best["name"], F.coalesce(best["verdict"], method)
 
 
@@ -119,6 +201,7 @@ def judge(
 ) -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` and ``verdict``."""
     index = rarest_tokens(urls, rules, url)
+    kept = [c for c in urls.columns if c not in MADE]
     at = F.col(url)
     host, path = host_of(at), path_of(at)
     fits = lambda r: F.rlike(
@@ -134,7 +217,7 @@ def judge(
         candidates = F.flatten(F.transform(held, lambda t: filed[t]))
         fitting = F.coalesce(F.filter(candidates, fits), none)
         rule, verdict = _judged(fitting)
-        return urls.select("*", host.alias("host"), path.alias("path"),
+        return urls.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"),
                            rule.alias("rule"), verdict.alias("verdict"))
     spark = urls.sparkSession
     table = spark.createDataFrame(
@@ -151,9 +234,9 @@ def judge(
         .agg(F.collect_set("_acct_rule").alias("_acct_fit"))  # rules that fit one URL
         .withColumnRenamed(url, "_acct_url")
     )
-    joined = urls.join(fitting, at == F.col("_acct_url"), "left")
+    joined = urls.select(*[F.col(f"`{c}`") for c in kept]).join(fitting, at == F.col("_acct_url"), "left")
     rule, verdict = _judged(F.coalesce("_acct_fit", none))
     return joined.select(
-        *[urls[c] for c in urls.columns], host.alias("host"), path.alias("path"),
+        *[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"),
         rule.alias("rule"), verdict.alias("verdict"),
     )
