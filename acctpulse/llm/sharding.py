@@ -4,12 +4,16 @@ The box of all documents is split again and again at the weighted median along i
 dimension, each median found by a distributed sort with running sums, until there is a leaf for
 each ``target_bytes``. Weights are bytes, so shards are near equal in bytes.
 
+Names become numbers by their dense rank among the distinct names of the table, so names of any length and with any
+beginning in common have places of their own. What the tree knows of nodes is joined as a table of a row a node, so plans
+do not grow with the number of shards.
+
 The points of the tree are groups of equal texts, so copies stay together. A group heavier than
 1/64 of a shard is first dealt into pieces by the hash of its rows, or no split could be even.
 
 Defined cases: a null text has size 1 and is no different from other nulls; null metadata comes
-first in its dimension; empty tables give no rows; with fewer points than shards some shards are
-empty.
+first in its dimension; texts may be of any length; extra columns are ignored; empty tables give no rows; with fewer points
+than shards some shards are empty.
 """
 
 from __future__ import annotations
@@ -20,9 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctpulse.llm.tables import FILE, KEY, PART, ROW, keep, running_sums
+from acctpulse.llm.tables import FILE, KEY, PART, ROW, join_facts, keep, running_sums
 
 GRAIN = 64
+#: Names of the rows, and the dimensions they become.
+NAMES = {"_acct_n0": "_acct_d0", "_acct_n1": "_acct_d1"}
 GROUP = ["size", "text_crc32", "_acct_hash"]
 POINT = [*GROUP, "_acct_piece"]
 
@@ -36,11 +42,21 @@ def text_crc32(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def name_place(name: Column) -> Column:
-    """A name as a number that sorts like it, by its first eight bytes; null is -1."""
-    padded = F.rpad(F.hex(F.substring(name.cast("binary"), 1, 8)), 16, "0")
-    value = F.conv(padded, 16, 10).cast("decimal(20,0)").cast("double")
-    return F.coalesce(value, F.lit(-1.0))
+def name_ranks(names: DataFrame, name: str) -> DataFrame:
+    """``name``, how many rows hold it (``_acct_rows``) and its dense rank; null has none."""
+    distinct = names.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("_acct_rows"))
+    return running_sums(distinct, [], [F.col(name)], {"_acct_rank": F.lit(1).cast("bigint")})
+
+
+def with_places(points: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``points`` with a place for each name column: its rank, and -1 for null."""
+    for name, place in names.items():
+        ranks = keep(name_ranks(points, name), "name-ranks")
+        ranked = join_facts(points, ranks, name, "_acct_rows").withColumn(
+            place, F.coalesce(F.col("_acct_rank").cast("double"), F.lit(-1.0))
+        )
+        points = keep(ranked.drop(name, "_acct_rows", "_acct_rank"), "placed")
+    return points
 
 
 def light_rows(docs: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -51,8 +67,8 @@ def light_rows(docs: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         size_of(text).alias("size"),
         text_crc32(text).alias("text_crc32"),
         F.xxhash64(text).alias("_acct_hash"),
-        name_place(F.col("source")).alias("_acct_d0"),
-        name_place(F.col("lang")).alias("_acct_d1"),
+        F.col("source").cast("string").alias("_acct_n0"),
+        F.col("lang").cast("string").alias("_acct_n1"),
         F.log2(size_of(text).cast("double")).alias("_acct_d2"),
     )
 
@@ -73,17 +89,25 @@ def _points(rows: DataFrame, dims: Sequence[str], n_shards: int) -> tuple[DataFr
         .select("rows.*", piece.alias("_acct_piece")),
         "light-rows",
     )
+    names = {n: d for n, d in NAMES.items() if d in dims}
+    own = [d for d in dims if d not in names.values()]
     points = rows.groupBy(*POINT).agg(
-        F.sum("size").alias("w"), *[F.min(d).alias(d) for d in dims], F.lit(1).alias("node")
+        F.sum("size").alias("w"), *[F.min(d).alias(d) for d in [*own, *names]], F.lit(1).alias("node")
     )
-    return rows, keep(points, "points")
+    return rows, with_places(keep(points, "points"), names)
+
+
+def _node_table(points: DataFrame, rows: list[tuple], columns: str) -> DataFrame:
+    """What is known of nodes; a row each, so broadcast."""
+    return F.broadcast(points.sparkSession.createDataFrame(rows, columns))
 
 
 def _cuts(points: DataFrame, wanted: dict[int, float]) -> dict[int, dict]:
     """Per node the point after which ``wanted`` weight lies before, along ``_acct_x``."""
     order = ["_acct_x", *POINT]
+    goals = _node_table(points, [(n, float(w)) for n, w in wanted.items()], "n int, goal double")
     dealt = keep(
-        points.where(F.col("node").isin(list(wanted)))
+        points.join(goals, F.col("node") == F.col("n")).drop("n")
         .repartitionByRange("node", *order)
         .withColumn(PART, F.spark_partition_id()),
         "ordered",
@@ -96,17 +120,13 @@ def _cuts(points: DataFrame, wanted: dict[int, float]) -> dict[int, dict]:
         seen[r["node"]] = before + r["w"]
         if r["node"] not in at and before + r["w"] >= wanted[r["node"]]:
             at[r["node"]] = (r[PART], before)
-    hit = F.lit(False)
-    start = F.lit(0)
-    goal = F.lit(0.0)
-    for node, (part, before) in at.items():
-        here = (F.col("node") == node) & (F.col(PART) == part)
-        hit |= here
-        start = F.when(here, F.lit(before)).otherwise(start)
-        goal = F.when(F.col("node") == node, F.lit(float(wanted[node]))).otherwise(goal)
+    begins = _node_table(
+        points, [(n, part, before) for n, (part, before) in at.items()], "n int, hit int, start bigint"
+    )
     inside = Window.partitionBy("node", PART).orderBy(*order)
-    upto = start + F.sum("w").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    near = dealt.where(hit).withColumn("_acct_gap", F.abs(upto - goal))
+    upto = F.col("start") + F.sum("w").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    near = dealt.join(begins, (F.col("node") == F.col("n")) & (F.col(PART) == F.col("hit")))
+    near = near.withColumn("_acct_gap", F.abs(upto - F.col("goal")))
     best = near.groupBy("node").agg(
         F.min_by(F.struct(*order), F.struct("_acct_gap", *order)).alias("cut")
     )
@@ -119,7 +139,6 @@ def kd_leaves(points: DataFrame, dims: Sequence[str], n_leaves: int) -> DataFram
     Per level: ranges per node, one sort by range with sums per range, and one row per node that
     tells where to cut. The driver sees one row per node or range only.
     """
-    spark = points.sparkSession
     spans = [F.struct(F.min(d).alias("a"), F.max(d).alias("b")).alias(d) for d in dims]
     box = points.agg(*spans).first()
     scale = {d: (box[d]["b"] or 0) - (box[d]["a"] or 0) for d in dims}
@@ -135,24 +154,22 @@ def kd_leaves(points: DataFrame, dims: Sequence[str], n_leaves: int) -> DataFram
                 wanted[r["node"]] = r["w"] * (n // 2) / n
         if not wanted:
             break
-        along = F.lit(None).cast("double")
-        for node, d in widest.items():
-            along = F.when(F.col("node") == node, F.col(d)).otherwise(along)
-        placed = points.withColumn("_acct_x", along)
+        axes = _node_table(points, [(n, dims.index(d) + 1) for n, d in widest.items()], "n int, axis int")
+        along = F.element_at(F.array(*[F.col(d).cast("double") for d in dims]), F.col("axis"))
+        placed = points.join(axes, F.col("node") == F.col("n"), "left").withColumn("_acct_x", along)
+        placed = placed.drop("n", "axis")
         cuts = _cuts(placed, wanted)
         order = ["_acct_x", *POINT]
         kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
         fields = ", ".join(f"c_{c} {kinds[c]}" for c in order)
-        table = spark.createDataFrame(
-            [(n, *[c[k] for k in order]) for n, c in cuts.items()], f"n int, {fields}"
-        )
+        table = _node_table(points, [(n, *[c[k] for k in order]) for n, c in cuts.items()], f"n int, {fields}")
         here = F.struct(*order)
         there = F.struct(*[F.col(f"c_{c}").alias(c) for c in order])
         child = F.when(F.col("n").isNull(), F.col("node")).otherwise(
             F.col("node") * 2 + (here > there).cast("int")
         )
         points = keep(
-            placed.join(F.broadcast(table), F.col("node") == F.col("n"), "left").select(
+            placed.join(table, F.col("node") == F.col("n"), "left").select(
                 *POINT, "w", *dims, child.alias("node")
             ),
             "split",
@@ -162,10 +179,8 @@ def kd_leaves(points: DataFrame, dims: Sequence[str], n_leaves: int) -> DataFram
             nodes[node * 2] = (first, n // 2)
             nodes[node * 2 + 1] = (first + n // 2, n - n // 2)
         nodes = {k: v if k in cuts or k // 2 in cuts else (v[0], 1) for k, v in nodes.items()}
-    leaf = F.lit(0)
-    for node, (first, _) in nodes.items():
-        leaf = F.when(F.col("node") == node, F.lit(first)).otherwise(leaf)
-    return points.withColumn("leaf", leaf)
+    firsts = _node_table(points, [(node, first) for node, (first, _) in nodes.items()], "n int, leaf int")
+    return points.join(firsts, F.col("node") == F.col("n"), "left").drop("n")
 
 
 def kd_shards(

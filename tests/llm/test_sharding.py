@@ -68,8 +68,49 @@ def test_awkward_rows_and_empty_tables(spark):
     check(sharded(spark, [(1, None, None, None, None)]), [(1, None, None, None, None)])
 
 
-@pytest.mark.parametrize("names", [["", "a", "ab", "b", "src1", "src10", "src2", "é"]])
-def test_names_keep_their_order_as_numbers(spark, names):
-    df = spark.createDataFrame([(n,) for n in [None, *names]], "s string")
-    got = [r[0] for r in df.select(sharding.name_place(F.col("s"))).collect()]
-    assert got == sorted(got) and got[0] == -1
+def test_names_have_their_dense_rank(spark):
+    long = "https://example.org/a/very/long/beginning/"
+    names = ["", "a", "ab", "b", "src1", "src10", "src2", "é", long + "1", long + "2", None]
+    df = spark.createDataFrame([(n,) for n in names * 3], "s string")
+    got = {r.s: (r._acct_rank, r._acct_rows) for r in sharding.name_ranks(df, "s").collect()}
+    known = sorted((n for n in names if n is not None), key=lambda n: n.encode())
+    assert got == {n: (i + 1, 3) for i, n in enumerate(known)}
+    placed = {r.s: r.d for r in sharding.with_places(df.selectExpr("s", "s as t"), {"t": "d"}).collect()}
+    assert placed == {n: float(i + 1) for i, n in enumerate(known)} | {None: -1.0}
+
+
+def brute_tree(points, n_leaves):
+    """Leaves of (order key, weight, coordinates) points: cut at the weighted median of the widest dimension."""
+    dims = len(points[0][2])
+    scale = [max(p[2][d] for p in points) - min(p[2][d] for p in points) for d in range(dims)]
+    out = {}
+
+    def split(own, first, n):
+        if n == 1 or not own:
+            out.update({p[0]: first for p in own})
+            return
+        span = [(max(p[2][d] for p in own) - min(p[2][d] for p in own)) / scale[d] if scale[d] else 0 for d in range(dims)]
+        d = span.index(max(span))
+        own = sorted(own, key=lambda p: (p[2][d], p[0]))
+        goal, upto, gaps = sum(p[1] for p in own) * (n // 2) / n, 0, []
+        for i, p in enumerate(own):
+            upto += p[1]
+            gaps.append((abs(upto - goal), i))
+        cut = min(gaps)[1] + 1
+        split(own[:cut], first, n // 2)
+        split(own[cut:], first + n // 2, n - n // 2)
+
+    split(points, 0, n_leaves)
+    return out
+
+
+@pytest.mark.parametrize("n", [2, 5, 16])
+def test_leaves_are_those_of_a_tree_built_in_memory(spark, n):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i % 7, i, i * 31 % 1000, 0, rng.randint(1, 50), 1, float(rng.randint(0, 9)), rng.random()) for i in range(600)]
+    df = spark.createDataFrame(
+        rows, "size long, text_crc32 long, _acct_hash long, _acct_piece long, w long, node int, a double, b double")
+    got = {(r.size, r.text_crc32, r._acct_hash, r._acct_piece): r.leaf for r in sharding.kd_leaves(df.repartition(4), ["a", "b"], n).collect()}
+    assert got == brute_tree([(r[:4], r[4], r[6:]) for r in rows], n)
