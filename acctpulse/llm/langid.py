@@ -6,7 +6,9 @@ filters' expected false positives, and the language with the largest share of n-
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is everything if
 nothing was learned. Equal hits go to the language with more training rows, then the
-smaller name. Rows with null ``lang`` teach nothing. Repeated rows count as often as they occur.
+smaller name. Rows with null ``lang`` teach nothing. Repeated rows count as often as they occur. Any number of languages
+is learned: a mask has a word for each ``WORD_BITS`` of them. Texts may be of any length and are read whole; an empty table
+gives no rows, and an empty one to learn from makes every text ``und``.
 """
 
 from __future__ import annotations
@@ -23,18 +25,24 @@ from acctpulse.llm import arrays
 
 UNKNOWN = "und"
 N = 4
-MAX_LANGUAGES = 64
+WORD_BITS = 64
 
 
 @dataclass
 class LanguageFilter:
-    """``rows``: one word of language bits per filter position. ``false_rate``: per language."""
+    """``rows``: per filter position a word of language bits, or several. ``false_rate``: per language."""
 
     languages: list[str]
     rows: np.ndarray
     false_rate: np.ndarray
     hashes: int = 3
 
+    def bit(self, words: np.ndarray, no: int) -> np.ndarray:
+        """Whether each row of ``words`` has the language's bit."""
+        width = self.rows.dtype.itemsize * 8
+        kind = self.rows.dtype.type
+        return (words[:, no // width] >> kind(no % width)) & kind(1)
+
 
 def _prepared(text: Column) -> Column:
     """Lower case with a blank at either end, so that word borders are in the n-grams."""
@@ -101,12 +109,9 @@ def fit_filter(
     1 / least_rate at most) and its rate is ``least_share`` of the highest of all languages.
     """
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(
-        MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages; a mask has a bit for each")
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row a language
     if not sizes:
-        return LanguageFilter([], np.zeros(1, np.uint8), np.zeros(0))
+        return LanguageFilter([], np.zeros((1, 1), np.uint8), np.zeros(0))
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
     share = F.create_map(
         *[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, rows_per_language / n))]
@@ -134,13 +139,14 @@ def fit_filter(
     most = max(map(len, member.values()))
     size = 1 << max(10, int(np.ceil(np.log2(max(1, 16 * most)))))
     word = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64)
-                if np.dtype(t).itemsize * 8 >= len(languages))
-    rows = np.zeros(size, word)
+                if np.dtype(t).itemsize * 8 >= min(WORD_BITS, len(languages)))
+    width = np.dtype(word).itemsize * 8
+    rows = np.zeros((size, -(-len(languages) // width)), word)
     model = LanguageFilter(languages, rows, np.zeros(len(languages)))
     for bit, lang in enumerate(languages):
         for place in _places(np.array(member[lang], np.uint32), size, model.hashes):
-            rows[place] |= word(1 << bit)
-        filled = float(((rows >> word(bit)) & word(1)).mean())
+            rows[place, bit // width] |= word(1 << (bit % width))
+        filled = float(model.bit(rows, bit).mean())
         model.false_rate[bit] = filled**model.hashes
     return model
 
@@ -157,7 +163,7 @@ def corrected_rates(model: LanguageFilter, data: np.ndarray, offsets: np.ndarray
     rates = np.zeros((len(offsets) - 1, len(model.languages)))
     for bit in range(len(model.languages)):
         total = np.zeros(len(grams) + 1, np.int64)
-        np.cumsum((mask >> mask.dtype.type(bit)) & mask.dtype.type(1), out=total[1:])
+        np.cumsum(model.bit(mask, bit), out=total[1:])
         share = np.diff(total[ends]) / np.maximum(n, 1)
         rates[:, bit] = np.maximum(0, share - model.false_rate[bit]) / (1 - model.false_rate[bit])
     return rates, n
