@@ -329,6 +329,12 @@ v AS (SELECT *, raw - (SELECT quantile_cont(raw, 0.01) FROM s) AS score FROM s)
 k AS (SELECT seq, row_number() OVER (PARTITION BY seq ORDER BY abs(e.value) DESC, e.name) AS place,
   e.name AS name, round(e.value, 4) AS value FROM c)
 SELECT *, CAST(0 AS DOUBLE) AS unexplained, true AS all_features FROM k WHERE place <= 5""",
+        "model_select": f"""SELECT kind, explains, count(*) AS n_rows,
+  CAST(floor(0.01 * (count(*) - 1)) + 1 AS BIGINT) AS n_flagged
+  FROM ({DENSE}), (VALUES ('IsolationForest', true), ('OneClassSVM', false)) AS k(kind, explains) GROUP BY ALL""",
+        "state_reset": f"""{_features(DENSE)} SELECT seq, false AS is_late, same_amount_frequency, duplicate_streak,
+  time_since_last_txn FROM f""",
+        "require_columns": f"SELECT seq, 'descr,input_source' AS missed FROM ({DENSE})",
         "train_job": f"""SELECT count(*) FILTER (WHERE outcome = 'scored') AS n_rows,
   count(*) FILTER (WHERE outcome <> 'scored') AS rejected,
   count(DISTINCT account_number) FILTER (WHERE outcome = 'scored') AS accounts,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from acctpulse import schema
 from acctpulse.functions import scalar
 from acctpulse.functions.labels import FEATURE_DESCRIPTIONS
-from acctpulse.models import explain, forest, lof, ocsvm
+from acctpulse.models import explain, forest, lof, ocsvm, select
 from acctpulse.operators import lookups, reports, validation
 from acctpulse.operators.features import (
     AccountState,
@@ -119,6 +119,19 @@ def read_parquet(spark, sf_dir):
     return views.sparse(spark, sf_dir).select(schema.SEQ, *schema.REQUIRED_COLUMNS)
 
 
+def require_columns(spark, sf_dir):
+    """Rows of a table that has all columns, and which of two were missed in one that has not."""
+    rows = views.dense(spark, sf_dir)
+    wanted = [schema.SEQ, *schema.REQUIRED_COLUMNS]
+    validation.require_columns(rows, wanted)
+    try:
+        validation.require_columns(rows.drop("descr", "input_source"), wanted)
+        missed = []
+    except ValueError as error:
+        missed = [c for c in wanted if c in str(error)]
+    return rows.select(schema.SEQ, F.lit(",".join(sorted(missed))).alias("missed"))
+
+
 def select_cast_key(spark, sf_dir):
     events = views.table(spark, sf_dir, "events")
     twice = events.select(
@@ -757,6 +770,24 @@ def ocsvm_score(spark, sf_dir):
     return _verdicts(ocsvm.score_ocsvm(features, model))
 
 
+def model_select(spark, sf_dir):
+    """Two kinds of models, fitted, saved, loaded and applied by name."""
+    features = jobs.written(feature_table(views.dense(spark, sf_dir)), "features")
+    kinds = {"IsolationForest": {"n_estimators": 20, "contamination": 0.01}, "OneClassSVM": {"steps": 2, "n_components": 32}}
+    parts = []
+    for kind, params in kinds.items():
+        path = scratch_path(spark, f"selected-{kind}")
+        select.save(spark, select.fit(features, schema.FEATURE_COLUMNS, kind, params), path)
+        model = select.load(spark, path)
+        scored = select.score(features, model)
+        parts.append(scored.select(
+            F.lit(model.kind).alias("kind"), F.lit(select.explains(model)).alias("explains"),
+            F.col("is_anomaly").cast("int").alias("flag"),
+        ))
+    both = parts[0].unionByName(parts[1])
+    return both.groupBy("kind", "explains").agg(F.count("*").alias("n_rows"), F.sum("flag").alias("n_flagged"))
+
+
 def train_job(spark, sf_dir):
     """The counts, and how far the reported statistics are from those of the scores themselves."""
     events = _untimely(spark, sf_dir)
@@ -940,6 +971,18 @@ def state_retention(spark, sf_dir):
     return streams.state_inspect(spark, _drained(spark, out, "bounded")[1])
 
 
+def state_reset(spark, sf_dir):
+    """After a reset the same stream begins anew, without a memory of its first run."""
+    rows = streams.stream_features(views.dense_of(_event_stream(spark, sf_dir)))
+    _, checkpoint = _drained(spark, rows, "first-run")
+    streams.state_reset(spark, checkpoint)
+    path = scratch_path(spark, "second-run")
+    writers.write_stream(rows, path, checkpoint).awaitTermination()
+    return spark.read.parquet(path).select(
+        schema.SEQ, "is_late", "same_amount_frequency", "duplicate_streak", "time_since_last_txn"
+    )
+
+
 def state_inspect(spark, sf_dir):
     rows = streams.stream_features(views.dense_of(_event_stream(spark, sf_dir)))
     return streams.state_inspect(spark, _drained(spark, rows, "inspect")[1])
@@ -952,6 +995,7 @@ def registry() -> dict[str, Query]:
         "read_csv_narrow": read_csv_narrow,
         "read_csv_wide": read_csv_wide,
         "read_parquet": read_parquet,
+        "require_columns": require_columns,
         "select_cast_key": select_cast_key,
         "write_scored_csv": write_scored_csv,
         "text_guard": text_guard,
@@ -1030,6 +1074,7 @@ def registry() -> dict[str, Query]:
         "ocsvm_fit": ocsvm_fit,
         "ocsvm_score": ocsvm_score,
         "shap_topk": shap_topk,
+        "model_select": model_select,
         "train_job": train_job,
         "batch_score_job": batch_score_job,
         "batch_score_job_rejects": batch_score_job_rejects,
@@ -1044,6 +1089,7 @@ def registry() -> dict[str, Query]:
         "late_bounded": late_bounded,
         "state_retention": state_retention,
         "state_inspect": state_inspect,
+        "state_reset": state_reset,
     }
 
     def plain(query: Query) -> Query:
