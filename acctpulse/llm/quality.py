@@ -9,7 +9,11 @@ The field is fitted on at most ``docs_per_class`` documents of each label, chose
 taking its document's label; from a long document at most ``SEGMENTS`` runs of ``SEGMENT`` lines
 teach. Scores are for whole texts.
 
-Defined cases: a null or empty text is one empty line; without labelled rows every score is 0.5;
+A long text is never held as a matrix: its lines are taken in pieces of about ``PIECE`` bytes that keep a number for each line
+and for what it says about its neighbours, and the recursions run over these numbers.
+
+Defined cases: a null or empty text is one empty line; repeated rows score alike; extra columns are ignored; an empty table
+gives no rows; without labelled rows every score is 0.5;
 labels other than 0 and 1 teach nothing.
 """
 
@@ -28,11 +32,37 @@ from acctpulse.llm import arrays
 SEGMENT, SEGMENTS = 64, 4
 SHARES = 10
 PLAIN = 2 * SHARES + 5
+AGAIN = [8, SHARES + 8]  # columns that tell a line seen before
+PIECE = 1 << 20
+LONG = 2 * arrays.BLOCK  # bytes; only a text alone in its block is longer
 COLUMNS = 3 * PLAIN + 1
 
 
 def line_features(data: np.ndarray, offsets: np.ndarray):
     """Features of every line, each line's bytes and text, and the first line of each text."""
+    plain, size, first, text_of, name = plain_features(data, offsets)
+    plain[:, AGAIN] = seen_before(name, text_of)[:, None]
+    before, after = np.zeros_like(plain), np.zeros_like(plain)
+    if len(plain) > 1:
+        linked = text_of[1:] == text_of[:-1]
+        before[1:][linked] = plain[:-1][linked]
+        after[:-1][linked] = plain[1:][linked]
+    features = np.concatenate([plain, before, after, np.ones((len(plain), 1))], 1)
+    return features, size, first
+
+
+def seen_before(name: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """1 for lines whose words an earlier line of the text has; lines without words have the name 0."""
+    again = np.zeros(len(name))
+    rank = np.lexsort((name, text_of))
+    twin = (name[rank][1:] == name[rank][:-1]) & (text_of[rank][1:] == text_of[rank][:-1])
+    again[rank[1:][twin]] = 1
+    again[name == 0] = 0
+    return again
+
+
+def plain_features(data: np.ndarray, offsets: np.ndarray):
+    """A line's own features, but for ``AGAIN``; its bytes, the first line of each text, its text and its words' name."""
     n = len(data)
     newline = np.flatnonzero(data == 10)
     # A line ends at its newline or with its text.
@@ -77,16 +107,11 @@ def line_features(data: np.ndarray, offsets: np.ndarray):
     total = np.zeros(len(spread) + 1, np.uint64)
     np.cumsum(spread, out=total[1:])
     at = np.searchsorted(line, np.arange(len(ends) + 1))
-    name = total[at[1:]] - total[at[:-1]]
-    again = np.zeros(len(ends))
-    rank = np.lexsort((name, text_of))
-    twin = (name[rank][1:] == name[rank][:-1]) & (text_of[rank][1:] == text_of[rank][:-1])
-    again[rank[1:][twin]] = 1
-    again[per_line == 0] = 0
+    name = np.where(per_line == 0, np.uint64(0), np.maximum(total[at[1:]] - total[at[:-1]], np.uint64(1)))
     shares = np.stack([
         count(seen == 1) / letters, count(seen == 3) / long, count(seen == 4) / long,
         count(seen == 5) / long, other / long, bars / long, shouts / long,
-        repeats / np.maximum(per_line, 1), again, letters / long,
+        repeats / np.maximum(per_line, 1), np.zeros(len(ends)), letters / long,
     ], 1)
     plain = np.concatenate([
         shares, np.minimum(1, 12 * shares),
@@ -94,13 +119,60 @@ def line_features(data: np.ndarray, offsets: np.ndarray):
                   np.minimum(letters / np.maximum(per_line, 1) / 10, 3),
                   np.minimum(size / long, 1)], 1),
     ], 1)
-    before, after = np.zeros_like(plain), np.zeros_like(plain)
-    if len(plain) > 1:
-        linked = text_of[1:] == text_of[:-1]
-        before[1:][linked] = plain[:-1][linked]
-        after[:-1][linked] = plain[1:][linked]
-    features = np.concatenate([plain, before, after, np.ones((len(plain), 1))], 1)
-    return features, size + 1.0, first
+    return plain, size + 1.0, first, text_of, name
+
+
+def pieces_of_lines(data: np.ndarray, limit: int = PIECE) -> Iterator[np.ndarray]:
+    """One text in runs of whole lines of about ``limit`` bytes, without the newline between two runs."""
+    start = 0
+    while True:
+        cut = start + limit
+        rest = np.flatnonzero(data[cut:] == 10)[:1] if cut < len(data) else []
+        if not len(rest):
+            yield data[start:]
+            return
+        end = cut + int(rest[0])
+        yield data[start:end]
+        start = end + 1
+
+
+def long_unary(data: np.ndarray, weights: np.ndarray, limit: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """What ``line_features @ weights`` gives for one text, and the lines' sizes, piece by piece."""
+    parts = weights[:-1].reshape(3, PLAIN)
+    told, sizes, names = [], [], []
+    for piece in pieces_of_lines(data, limit):
+        plain, size, _, _, name = plain_features(piece, np.array([0, len(piece)]))
+        told.append(plain @ parts.T)
+        sizes.append(size)
+        names.append(name)
+    name = np.concatenate(names)
+    own = np.concatenate(told) + seen_before(name, np.zeros(len(name), np.int8))[:, None] * parts[:, AGAIN].sum(1)
+    unary = own[:, 0] + weights[-1]
+    unary[1:] += own[:-1, 1]
+    unary[:-1] += own[1:, 2]
+    return unary, np.concatenate(sizes)
+
+
+def run_features(data: np.ndarray, cuts: list[tuple[int, int]], limit: int = PIECE) -> list[tuple]:
+    """Features and sizes of some runs of lines of one text, as ``line_features`` gives them."""
+    newline = np.flatnonzero(data == 10)
+    begin, end = np.concatenate([[0], newline + 1]), np.append(newline, len(data))
+    names = [plain_features(p, np.array([0, len(p)]))[4] for p in pieces_of_lines(data, limit)]
+    name = np.concatenate(names)
+    again = seen_before(name, np.zeros(len(name), np.int8))
+    out = []
+    for s, e in cuts:
+        low, high = max(0, s - 1), min(len(begin), e + 1)
+        part = data[begin[low] : end[high - 1]]
+        x, size, _ = line_features(part, np.array([0, len(part)]))
+        near = np.zeros((high - low, 3))
+        near[:, 0] = again[low:high]
+        near[1:, 1] = near[:-1, 0]
+        near[:-1, 2] = near[1:, 0]
+        for k in range(3):
+            x[:, [k * PLAIN + c for c in AGAIN]] = near[:, k, None]
+        out.append((x[s - low : e - low], size[s - low : e - low]))
+    return out
 
 
 @dataclass
@@ -136,7 +208,10 @@ class Field:
         return left, right
 
     def marginals(self, features: np.ndarray, first: np.ndarray) -> np.ndarray:
-        left, right = self.odds(features @ self.weights, first)
+        return self.chances(features @ self.weights, first)
+
+    def chances(self, unary: np.ndarray, first: np.ndarray) -> np.ndarray:
+        left, right = self.odds(unary, first)
         return 1 / (1 + np.exp(-np.clip(left + right, -30, 30)))
 
     def means(self, good: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -198,19 +273,25 @@ def logistic_curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[floa
 def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in arrays.blocks(batch, "text"):
-            x, size, first = line_features(*arrays.utf8(part.column("text")))
+            data, offsets = arrays.utf8(part.column("text"))
             labels = part.column("label").to_pylist()
             out: dict[str, list] = {"label": [], "doc": [], "x": [], "size": []}
+            long = len(data) > LONG
+            if long:  # one text alone, see arrays.blocks
+                first = np.array([0, 1 + int((data == 10).sum())])
+            else:
+                x, size, first = line_features(data, offsets)
             for i, label in enumerate(labels):
                 cuts = np.arange(first[i], first[i + 1], SEGMENT)
                 if len(cuts) > SEGMENTS:  # evenly over the document
                     cuts = cuts[np.linspace(0, len(cuts) - 1, SEGMENTS).astype(int)]
-                for s in cuts:
-                    e = min(s + SEGMENT, first[i + 1])
+                runs = [(int(s), int(min(s + SEGMENT, first[i + 1]))) for s in cuts]
+                found = run_features(data, runs) if long else [(x[s:e], size[s:e]) for s, e in runs]
+                for own, sizes in found:
                     out["label"].append(label)
                     out["doc"].append(part.column("doc")[i].as_py())
-                    out["x"].append(x[s:e].astype(np.float32).tobytes())
-                    out["size"].append(size[s:e].astype(np.float32).tobytes())
+                    out["x"].append(own.astype(np.float32).tobytes())
+                    out["size"].append(sizes.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_pydict(out, pa.schema([
                 ("label", pa.int32()), ("doc", pa.int64()), ("x", pa.binary()),
                 ("size", pa.binary())]))
@@ -275,11 +356,18 @@ def score(docs: DataFrame, field: Field | None, keys: list[str], lines: bool = F
         field = None if model is None else Field(**model)
         for batch in batches:
             for part in arrays.blocks(batch, "_acct_text"):
-                x, size, first = line_features(*arrays.utf8(part.column("_acct_text")))
+                data, offsets = arrays.utf8(part.column("_acct_text"))
+                weights = np.zeros(COLUMNS) if field is None else field.weights
+                if len(data) > LONG:
+                    unary, size = long_unary(data, weights)
+                    first = np.array([0, len(unary)])
+                else:
+                    x, size, first = line_features(data, offsets)
+                    unary = x @ weights
                 if field is None:
-                    good, scores = np.full(len(x), 0.5), np.full(part.num_rows, 0.5)
+                    good, scores = np.full(len(unary), 0.5), np.full(part.num_rows, 0.5)
                 else:
-                    good = field.marginals(x, first)
+                    good = field.chances(unary, first)
                     scores = field.scores(field.means(good, size, first))
                 cols = [part.column(k) for k in keys] + [pa.array(scores)]
                 if lines:

@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import corpus
 import numpy as np
@@ -82,3 +83,29 @@ def test_long_documents(n):
     field = quality.Field(np.full(x.shape[1], 0.01), np.array([[1.0, 0], [0, 1.0]]))
     good = field.marginals(x, first)
     assert len(good) == n + 1 and np.isfinite(field.means(good, size, first)).all()
+
+
+@pytest.mark.parametrize("limit", [1, 40, 10_000])
+def test_a_text_in_pieces_is_the_text_whole(limit):
+    rng = random.Random(3)
+    lines = [rng.choice(["", "Same line of words.", "x | y | z!", "ab", "!!!", f"Number {rng.random()} here"]) for _ in range(300)]
+    weights = np.random.default_rng(1).normal(size=quality.COLUMNS)
+    for text in ["\n".join(lines), "\n".join(lines) + "\n", "", "\n", "one line"]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        x, size, first = quality.line_features(data, np.array([0, len(data)]))
+        unary, sizes = quality.long_unary(data, weights, limit)
+        assert np.allclose(unary, x @ weights) and (sizes == size).all()
+        cuts = [(s, min(s + 64, len(x))) for s in range(0, len(x), 64)]
+        for (s, e), (own, own_size) in zip(cuts, quality.run_features(data, cuts, limit), strict=True):
+            assert (own == x[s:e]).all() and (own_size == size[s:e]).all()
+
+
+def test_a_long_page_of_short_lines_needs_little_memory():
+    import tracemalloc
+
+    data = np.frombuffer(b"ab\n" * 1_500_000, np.uint8)
+    tracemalloc.start()
+    unary, _ = quality.long_unary(data, np.ones(quality.COLUMNS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(unary) == 1_500_001 and peak < 700e6
