@@ -153,3 +153,21 @@ def test_copies_leave_classes_as_they_are_without_them(spark):
     class_of = {i: c for i, c, _ in got}
     assert [(i, class_of[i]) for i, _, _ in brute(once)] == [(i, c) for i, c, _ in brute(once)]
     assert all(class_of[5001 + i] == class_of[5000] for i in range(40))
+
+
+def test_a_shared_passage_costs_in_proportion_to_its_documents(spark, monkeypatch):
+    """Twice the documents hand about twice the rows to the comparison, not four times."""
+    rng = random.Random(9)
+    passage = corpus.text(rng, "fr", 30)
+    handed = []
+    compare = neardup.compare
+    monkeypatch.setattr(neardup, "compare", lambda m, *a: handed.append(m.count()) or compare(m, *a))
+    sums = []
+    for n in (150, 300, 600):
+        data = [(i, passage + "\n" + corpus.text(rng, "de", 50), "de", "s", 0) for i in range(n)]
+        data += [(10_000 + i, data[i][1] + " more", "de", "s", 0) for i in range(0, n, 10)]
+        handed.clear()
+        got, _ = classes(spark, data, block_rows=20)
+        assert {r[0]: r[2] for r in got} == {r[0]: 2 if r[0] % 10 == 0 else 1 for r in data}
+        sums.append(sum(handed))
+    assert sums[2] < 2.6 * sums[1] < 2.6 * 2.6 * sums[0], sums
