@@ -208,7 +208,8 @@ def kd_shards(
         .join(leaves.alias("points"), same)
         .select(*[F.col(f"rows.{c}") for c in columns], F.col("points.leaf").alias("shard"))
     )
-    order = [F.col(FILE), F.col(ROW)]
+    # By the text before the place, which another run's files may change.
+    order = [*[F.col(c) for c in GROUP], F.col(FILE), F.col(ROW)]
     if "doc_id" in columns:
         order.insert(0, F.col("doc_id"))
     numbered = running_sums(sharded, ["shard"], order, {"slot": F.lit(1).cast("bigint")})
