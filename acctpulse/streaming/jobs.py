@@ -17,7 +17,7 @@ from acctpulse.operators.features import ACCOUNT, AccountState, feature_table
 from acctpulse.operators.validation import with_reject_reason
 from acctpulse.operators.windows import FeatureConfig
 from acctpulse.session import use_rocksdb
-from acctpulse.streaming.state import INITIAL_COLUMNS, AccountFeatures, output_schema
+from acctpulse.streaming.state import BUCKETS, INITIAL_COLUMNS, AccountFeatures, output_schema
 
 
 def stream_features(
@@ -48,7 +48,8 @@ def stream_features(
     # One read of the source: rows that no window can place go through the operator, marked.
     rows = rows.select(
         scalar.text_key(F.col(ACCOUNT)).alias(ACCOUNT),
-        F.col(schema.SEQ).cast("bigint").alias(schema.SEQ),
+        F.coalesce(F.col(schema.SEQ).cast("bigint"), F.lit(2**63 - 1)).alias(schema.SEQ),
+        F.col(schema.SEQ).cast("bigint").isNotNull().alias("has_seq"),
         F.coalesce(us, F.lit(0)).cast("bigint").alias("us"),
         F.coalesce(cents, F.lit(0)).cast("bigint").alias("cents"),
         us.isNotNull().alias("has_us"),
@@ -59,12 +60,12 @@ def stream_features(
             "input_source_encoded"
         ),
     )
-    out = rows.groupBy(ACCOUNT).transformWithStateInPandas(
+    out = rows.withColumn("bucket", _bucket()).groupBy("bucket").transformWithStateInPandas(
         AccountFeatures(cfg, bounded, retention_seconds),
         outputStructType=output_schema(cfg),
         outputMode="append",
         timeMode="eventTime" if bounded else "none",
-        initialState=initial_rows(initial).groupBy(ACCOUNT) if initial else None,
+        initialState=initial_rows(initial).withColumn("bucket", _bucket()).groupBy("bucket") if initial else None,
     )
     ts = F.when(F.col("has_us"), F.timestamp_micros("us"))
     on_time = ~F.col("is_late") & F.col("has_us") & F.col("has_cents")
@@ -74,6 +75,7 @@ def stream_features(
 
     amount = F.when(F.col("has_cents"), (F.col("cents") / 100).cast(schema.AMOUNT_TYPE))
     computed = {
+        schema.SEQ: F.when(F.col("has_seq"), F.col(schema.SEQ)),
         "posting_timestamp": ts,
         "transaction_ac_amount": amount,
         "cumulative_amount_10min": F.col("cumulative_cents") / F.lit(100.0),
@@ -97,6 +99,10 @@ def stream_features(
     )
 
 
+def _bucket():
+    return F.pmod(F.xxhash64(ACCOUNT), F.lit(BUCKETS)).cast("int")
+
+
 def _cents(amount):
     return (amount.cast(schema.AMOUNT_TYPE) * 100).cast("bigint")
 
@@ -258,5 +264,5 @@ def state_inspect(spark: SparkSession, checkpoint: str) -> DataFrame:
     )
     return held.agg(
         F.count("*").alias("accounts_tracked"),
-        F.coalesce(F.sum("value.held"), F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum("user_map_value.held"), F.lit(0)).alias("total_records"),
     )

@@ -1,6 +1,6 @@
-"""Features of many events of one account at once, as operations on whole arrays.
+"""Features of many events of some accounts at once, as operations on whole arrays.
 
-Rows are in order of time.  A window is a range of places: its first place comes from a binary
+Accounts follow one another, their rows in order of time.  A window is a range of places: its first place comes from a binary
 search and from the cap, and what is counted in it from prefix sums or from two binary searches
 among the places of rows with the same key.
 """
@@ -47,26 +47,41 @@ class Places:
         return np.where(same, before % self.n, -1)
 
 
+def one_line(us: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Times moved by a constant of their account, so that they ascend over all accounts; spans add up."""
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    last = np.append(first[1:], len(us)) - 1
+    width = us[last] - us[first] + 1
+    return us + np.repeat(np.cumsum(width) - width - us[first], last - first + 1)
+
+
 def lookback_features(
     us: np.ndarray,
     cents: np.ndarray,
     descr: np.ndarray,
     sign: np.ndarray,
-    start: int,
+    owner: np.ndarray,
+    at: np.ndarray,
+    begin: np.ndarray,
     cap: int,
     lookback_us: int,
     velocity_us: Mapping[str, int],
 ) -> dict[str, np.ndarray]:
-    """Measures of the rows from ``start`` on; each sees itself and up to ``cap`` - 1 rows before it.
+    """Measures of the rows at the places ``at``; each sees itself and up to ``cap`` - 1 rows of its account before it.
 
+    ``owner`` tells the accounts apart, ascending; ``begin`` is the place of the account's first row for each of ``at``.
     ``descr`` holds numbers, ``sign`` -1, 0 or 1.
     """
-    at = np.arange(start, len(us))
     now = us[at]
-    oldest = np.maximum(at + 1 - cap, 0)  # the first place that the history holds
-    first = np.maximum(np.searchsorted(us, now - lookback_us, side="left"), oldest)
-    amount = codes_of(cents)
-    by_amount, by_descr, by_pair = Places(amount), Places(descr), Places(codes_of(amount, descr))
+    line = one_line(us, owner)
+    oldest = np.maximum(at + 1 - cap, begin)  # the first place that the history holds
+
+    def inside(window_us: int) -> np.ndarray:
+        return np.maximum(np.searchsorted(line, line[at] - window_us, side="left"), oldest)
+
+    first = inside(lookback_us)
+    amount = codes_of(owner, cents)
+    by_amount, by_descr, by_pair = Places(amount), Places(codes_of(owner, descr)), Places(codes_of(amount, descr))
     by_sign = Places(amount * 3 + sign + 1)
     pairs = by_pair.count(by_pair.code[at], first, at)
     opposite = by_sign.count(amount[at] * 3 - sign[at] + 1, first, at)
@@ -84,7 +99,7 @@ def lookback_features(
         least = np.where(held, np.minimum(least, gaps[np.maximum(place, 0)]), least)
     flips = np.concatenate([[0], np.cumsum(np.diff(sign) != 0)])
     sums = np.concatenate([[0], np.cumsum(cents)])
-    out = {k: at + 1 - np.maximum(np.searchsorted(us, now - w, side="left"), oldest) for k, w in velocity_us.items()}
+    out = {k: at + 1 - inside(w) for k, w in velocity_us.items()}
     return out | {
         "same_acct_amt_descr_count_10min": pairs,
         "same_acct_amt_count_10min": by_amount.count(amount[at], first, at),
@@ -100,17 +115,23 @@ def lookback_features(
     }
 
 
-def run_lengths(cents: np.ndarray, descr: np.ndarray, before: tuple | None, held: int) -> np.ndarray:
+def run_lengths(
+    cents: np.ndarray, descr: np.ndarray, owner: np.ndarray, before: list[tuple | None], held: list[int]
+) -> np.ndarray:
     """Length of the run of equal (amount, description) that each row ends.
 
-    ``before`` is the key of the row before them, which ends a run of ``held``.
+    ``before`` is, per account, the key of the row before its first one, which ends a run of ``held``.
     """
+    at = np.arange(len(cents))
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
     same = np.zeros(len(cents), bool)
     same[1:] = (cents[1:] == cents[:-1]) & (descr[1:] == descr[:-1])
-    same[0] = before is not None and (cents[0], descr[0]) == before
-    at = np.arange(len(cents))
+    same[first] = False
     began = np.maximum.accumulate(np.where(same, -1, at))
-    return np.where(began >= 0, at - began + 1, at + 1 + held)
+    keys = zip(cents[first].tolist(), descr[first].tolist(), strict=True)
+    more = np.array([k if key == b else 0 for key, b, k in zip(keys, before, held, strict=True)], np.int64)
+    begin = first[owner]
+    return at - began + 1 + np.where(began == begin, more[owner], 0)
 
 
 def running_moments(

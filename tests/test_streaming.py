@@ -209,3 +209,77 @@ def test_many_amounts_and_a_long_history_in_keyed_state(spark, tmp_path, monkeyp
             feed(spark, src, part)
             drain(write_stream(jobs.stream_features(source(spark, src), cfg), out, cp))
         assert_matches(spark.read.parquet(out).collect(), features(events, cap=cap))
+
+
+class _Held(dict):
+    """A map or a value of the state, by account."""
+
+    def getValue(self, key):
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class _Handle:
+    def __init__(self):
+        self.kept = {}
+
+    def getMapState(self, name, *kinds):
+        return self.kept.setdefault(name, _Held())
+
+
+def test_accounts_of_a_key_are_computed_together():
+    """Three accounts of one key, in two batches: one table a batch, with what each account has alone."""
+    import pandas as pd
+
+    cfg = FeatureConfig(history_cap=4)
+
+    def batch(accounts, start):
+        rows = [
+            (a, 10 * i + j, True, (start + 7 * j + i) * 1_000_000, 500 * (j % 2 + i), True, True, "ATM", (-1) ** j, 0)
+            for i, a in enumerate("abc") if a in accounts for j in range(6)
+        ]
+        return pd.DataFrame(rows, columns=state_module.INPUT_COLUMNS)
+
+    def run(accounts):
+        operator = state_module.AccountFeatures(cfg, False, 600)
+        operator.init(_Handle())
+        return [list(operator.handleInputRows((1,), iter([batch(accounts, s)]), None)) for s in (0, 50)]
+
+    together = run("abc")
+    assert [len(frames) for frames in together] == [1, 1]
+    alone = [pd.concat([f for a in "abc" for f in run(a)[i]]) for i in range(2)]
+    for (got,), want in zip(together, alone):
+        pd.testing.assert_frame_equal(got, want.reset_index(drop=True), check_dtype=False)
+    assert together[1][0]["same_amount_frequency"].tolist()[:2] == [4, 4]
+
+
+def test_rows_without_a_number_leave_others_as_they_are(spark, tmp_path):
+    events = make_events(36, n=40, accounts=2)
+    for i, e in enumerate(events):
+        e["seq"] = 2**53 + 1 + 2 * i
+    src, out, cp = (str(tmp_path / d) for d in ("src", "out", "cp"))
+    rows = to_df(spark, events)
+    rows.unionByName(rows.limit(1).withColumn("seq", F.lit(None).cast("long"))).coalesce(1).write.parquet(src)
+    drain(write_stream(jobs.stream_features(source(spark, src)), out, cp))
+    got = [r["seq"] for r in spark.read.parquet(out).select("seq").collect()]
+    assert sorted(s for s in got if s is not None) == [e["seq"] for e in sorted(events, key=lambda e: e["seq"])]
+    assert got.count(None) == 1
+
+
+def test_unread_explanations_are_not_computed(spark):
+    events = make_events(35, n=60)
+    cfg = FeatureConfig()
+    table = feature_table(to_df(spark, events), cfg)
+    model = forest.fit_forest(table, cfg.feature_columns, n_estimators=5, contamination=0.1)
+    scored = jobs.score_and_explain(table, model, 5, flagged_only=False)
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "explain(" in plan(scored) and "explain(" not in plan(scored.drop("top_features"))
+    assert scored.where("size(top_features) = 5").count() == len(events)
