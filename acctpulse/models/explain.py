@@ -26,6 +26,7 @@ from acctpulse.models.forest import (
     _matrix,
     average_path,
     decision,
+    raw_score,
     with_labels,
 )
 
@@ -109,9 +110,14 @@ def with_contributions(
     """Score, label, flag and contributions in one pass over the features.
 
     With ``flagged_only`` the contributions are computed for anomalous rows and
-    null for the others, so their cost follows the number of anomalies.
+    null for the others, so their cost follows the number of anomalies.  Without, scores and contributions are functions
+    of their own, so Spark leaves out the costly contributions where nobody reads them.
     """
     names = list(model.features)
+    if not flagged_only:
+        return with_labels(
+            df.withColumns({"anomaly_score": raw_score(df, model, model.offset), name: _all_contributions(df, model)})
+        )
     shared = df.sparkSession.sparkContext.broadcast((model.packed(), leaf_boxes(model)))
 
     @F.pandas_udf("struct<score:double,contributions:array<double>>")
@@ -127,17 +133,31 @@ def with_contributions(
             yield pd.DataFrame({"score": score, "contributions": out})
 
     result = evaluate(F.struct(*[F.col(c).cast("double") for c in names]))
-    named = F.zip_with(
-        F.array(*[F.lit(n) for n in names]),
-        F.col("_result.contributions"),
-        lambda n, v: F.struct(n.alias("name"), v.alias("value")),
-    )
     scored = df.withColumn("_result", result).withColumns(
-        {"anomaly_score": F.col("_result.score"), name: named}
+        {"anomaly_score": F.col("_result.score"), name: _named(names, F.col("_result.contributions"))}
     )
     return with_labels(scored.drop("_result"))
 
 
+def _named(names: list[str], values: Column) -> Column:
+    return F.zip_with(
+        F.array(*[F.lit(n) for n in names]), values, lambda n, v: F.struct(n.alias("name"), v.alias("value"))
+    )
+
+
+def _all_contributions(df: DataFrame, model: ForestModel) -> Column:
+    """Every row's contributions."""
+    names = list(model.features)
+    shared = df.sparkSession.sparkContext.broadcast(leaf_boxes(model))
+
+    @F.pandas_udf("array<double>")
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for pdf in batches:
+            yield pd.Series(list(contributions(_matrix(pdf), shared.value, len(names))), dtype=object)
+
+    return _named(names, explain(F.struct(*[F.col(c).cast("double") for c in names])))
+
+
 def topn_contributions(contribs: Column, n: int = 5) -> Column:
     """Largest by absolute value, signed, rounded to 4; ties by name."""
 
