@@ -54,3 +54,22 @@ def test_every_statement_has_a_query():
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name, fits, flags", [
+    ("iforest_score", "fit_forest", "score_forest"), ("shap_topk", "fit_forest", "with_contributions"),
+    ("ocsvm_score", "fit_ocsvm", "score_ocsvm"),
+])
+def test_a_model_is_fitted_and_applied_beside_the_fixed_one(spark, monkeypatch, name, fits, flags):
+    from acctpulse.models import explain, forest, ocsvm
+
+    fitted, applied = [], []
+    for module in (forest, explain, ocsvm):
+        for told, found in ((fitted, fits), (applied, flags)):
+            if hasattr(module, found):
+                was = getattr(module, found)
+                monkeypatch.setattr(module, found, lambda df, m, *a, _f=was, _t=told, **k: _t.append(m) or _f(df, m, *a, **k))
+    rows = QUERIES[name](spark, SF_DIR)
+    rows.collect()
+    assert len(fitted) == 1 and len({id(m) for m in applied}) >= 2
+    assert {"flag_is_sign"} <= set(rows.columns) or {"n_rows", "flagged_are_explained", "largest_gap"} <= set(rows.columns)
