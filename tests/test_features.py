@@ -179,3 +179,23 @@ def test_running_stats(spark, chunk_rows):
         assert row["amount_mean"] == pytest.approx(mean)
         std = (sum((a - mean) ** 2 for a in amounts) / n) ** 0.5
         assert row["amount_std"] == pytest.approx(std, abs=1e-9)
+
+
+def test_rows_of_a_task_are_bounded_whatever_the_chunks(spark, monkeypatch):
+    """A large ``chunk_rows`` does not let chunks or partitions grow with the table."""
+    from acctpulse.operators import features as module
+
+    monkeypatch.setattr(module, "TASK_ROWS", 20)
+    monkeypatch.setattr(module, "CHUNK_LIMIT", 10)
+    chunks, parts = [], []
+    cut, windows = module._split_accounts, module.window_features
+    monkeypatch.setattr(module, "_split_accounts", lambda rows, n, *a: chunks.append(n) or cut(rows, n, *a))
+    monkeypatch.setattr(
+        module, "window_features",
+        lambda *a, **k: parts.append(k["partitions"] if "partitions" in k else a[6]) or windows(*a, **k),
+    )
+    events = make_events(51, n=300, accounts=30, hot=0.4)
+    cfg = FeatureConfig(history_cap=5, chunk_rows=10**6)
+    assert_matches(feature_table(to_df(spark, events), cfg).collect(), features(events, cap=5))
+    assert len(chunks) == 1 and chunks[0] >= 12
+    assert all(p is not None and p >= 5 for p in parts) and len(parts) == 2
