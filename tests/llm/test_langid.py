@@ -77,3 +77,11 @@ def test_masks_hold_every_gram_and_few_others(spark):
         own = np.array([int(g) in grams[lang] for g in every])
         assert held[own].all()
         assert held[~own].mean() <= model.false_rate[no] + 0.02
+
+
+def test_counting_holds_a_block_of_text_at_a_time():
+    text = "the quick brown fox " * (arrays.BLOCK * 3 // 5 // 20)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de", "en"], "text": [text] * 3})
+    told = list(langid._count_grams(iter([batch])))
+    assert len(told) == 3  # two of them would be more than a block
+    assert sum(sum(b.column("n").to_pylist()) for b in told) == 3 * sum(told[0].column("n").to_pylist())
