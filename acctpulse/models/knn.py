@@ -34,6 +34,10 @@ PIVOTS = 8
 #: Cells that a query visits in the first rounds; the last round visits what is left in reach.
 ROUNDS = (1, 3, 8)
 BLOCK = 256
+#: (query, cell) pairs that leave the planning of visits together.
+ASKS_AT_ONCE = 4096
+#: Distances between rows and centres that a task holds at once.
+DISTANCES = 1 << 18
 #: Squared distances from products of matrices are off by less than this part of the squared lengths.
 ROUNDING = 1e-11
 
@@ -128,11 +132,14 @@ def build_index(refs: DataFrame, rows: int) -> tuple[DataFrame, PivotIndex]:
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centers, pivots = shared.value
         for pdf in batches:
-            v = matrix(pdf["v"])
-            sq = squared(v, centers)[0]
-            cell = sq.argmin(axis=1)
-            near = np.sqrt(np.concatenate([sq[np.arange(len(v)), cell][:, None], sq[:, pivots]], axis=1))
-            yield pdf.assign(cell=cell.astype(np.int32), near=list(near))
+            step = max(1, DISTANCES // len(centers))
+            for i in range(0, len(pdf), step):
+                part = pdf.iloc[i : i + step]
+                v = matrix(part["v"])
+                sq = squared(v, centers)[0]
+                cell = sq.argmin(axis=1)
+                near = np.sqrt(np.concatenate([sq[np.arange(len(v)), cell][:, None], sq[:, pivots]], axis=1))
+                yield part.assign(cell=cell.astype(np.int32), near=list(near))
 
     placed = refs.select("rid", "copies", "v").mapInPandas(
         place, "rid bigint, copies bigint, v array<double>, cell int, near array<double>"
@@ -251,14 +258,17 @@ def _asks(queries: DataFrame, index: PivotIndex, start: int, end: int) -> DataFr
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = PivotIndex(**shared.value)
         for pdf in batches:
-            for i in range(0, len(pdf), 1024):
-                part = pdf.iloc[i : i + 1024]
+            step = max(1, DISTANCES // len(index.centers))
+            for i in range(0, len(pdf), step):
+                part = pdf.iloc[i : i + step]
                 bound = index.bounds(matrix(part["v"]))
                 order = np.argsort(bound, axis=1, kind="stable")[:, start:end]
                 inside = np.take_along_axis(bound, order, axis=1) <= part["radius"].to_numpy()[:, None]
                 inside &= (index.rows > 0)[order]
                 row, place = np.nonzero(inside)
-                yield part.iloc[row].assign(cell=order[row, place].astype(np.int32))
+                for s in range(0, len(row), ASKS_AT_ONCE):  # a query may visit all cells, each with its vector
+                    some = slice(s, s + ASKS_AT_ONCE)
+                    yield part.iloc[row[some]].assign(cell=order[row[some], place[some]].astype(np.int32))
 
     return queries.select("qid", "v", "radius").mapInPandas(
         plan, "qid bigint, v array<double>, radius double, cell int"

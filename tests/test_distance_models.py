@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,27 @@ def test_ocsvm_is_within_its_gap_of_the_exact_dual(spark, nu):
     length = sum(v * v for v in model.weights)
     assert best - 1e-9 <= length <= best + model.gap + 1e-9
     assert model.gap <= 0.1 * length
+
+
+def test_visits_are_planned_in_bounded_tables():
+    """Each of many queries reaches all cells; no table of (query, cell) pairs grows with the cells."""
+    import types
+
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(600, 4))
+    zero = np.zeros((600, 1))
+    index = knn.PivotIndex(centers, np.array([0]), zero, zero + 1e9, np.full(600, 1e9), np.ones(600, np.int64))
+    queries = pd.DataFrame({"qid": range(50), "v": list(rng.normal(size=(50, 4))), "radius": np.inf})
+    caught = {}
+    table = types.SimpleNamespace(
+        sparkSession=types.SimpleNamespace(
+            sparkContext=types.SimpleNamespace(broadcast=lambda v: types.SimpleNamespace(value=v))
+        ),
+    )
+    table.select = lambda *names: table
+    table.mapInPandas = lambda f, schema: caught.setdefault("plan", f)
+    knn._asks(table, index, 0, 600)
+    told = list(caught["plan"](iter([queries])))
+    assert max(map(len, told)) <= knn.ASKS_AT_ONCE
+    pairs = pd.concat(told)
+    assert len(pairs) == 50 * 600 and not pairs.duplicated(["qid", "cell"]).any()
