@@ -55,6 +55,21 @@ def mapped(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(2.0 / len(b)) * np.cos(x @ w + b)
 
 
+def nearly_mapped(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """As ``mapped``, but for cosines of seven digits, which take a tenth of the time; for the passes of a fit.
+
+    Angles are brought near zero in full precision first, so large ones lose nothing.
+    """
+    out = np.empty((len(x), len(b)))
+    for i in range(0, len(x), 256):
+        angle = x[i : i + 256] @ w
+        angle += b
+        angle -= np.rint(angle * (0.5 / np.pi)) * (2 * np.pi)
+        out[i : i + 256] = np.cos(angle.astype(np.float32))
+    out *= np.sqrt(2.0 / len(b))
+    return out
+
+
 def scale_gamma(x: DataFrame, features: Sequence[str]) -> float:
     """1 / (number of features * variance of all values)."""
     stats = x.agg(
@@ -80,7 +95,7 @@ def _step(x: DataFrame, model: OcsvmModel, edges: np.ndarray) -> tuple[np.ndarra
         sums = np.zeros((len(edges) + 1, n_components + 1))
         fine = np.zeros(FINE)
         for pdf in batches:
-            z = mapped(_matrix(pdf[features]), w, b)
+            z = nearly_mapped(_matrix(pdf[features]), w, b)
             margin = z @ weights
             fine += np.bincount(_fine(margin, span), minlength=FINE)
             place = np.searchsorted(edges, margin)

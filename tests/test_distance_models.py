@@ -191,3 +191,15 @@ def test_visits_are_planned_in_bounded_tables():
     assert max(map(len, told)) <= knn.ASKS_AT_ONCE
     pairs = pd.concat(told)
     assert len(pairs) == 50 * 600 and not pairs.duplicated(["qid", "cell"]).any()
+
+
+def test_a_fit_maps_rows_quickly_and_nearly_as_scores_do(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, 5)) * 1e5
+    w, b = ocsvm.fourier_map(5, 64, 0.3, 1)
+    assert np.abs(ocsvm.nearly_mapped(x, w, b) - ocsvm.mapped(x, w, b)).max() < 4e-7 * np.sqrt(2 / 64)
+    kinds = []
+    cos = np.cos
+    monkeypatch.setattr(np, "cos", lambda a: kinds.append((a.dtype, len(a))) or cos(a))
+    ocsvm.nearly_mapped(x, w, b)
+    assert {k for k, _ in kinds} == {np.dtype(np.float32)} and max(n for _, n in kinds) <= 256
