@@ -73,3 +73,16 @@ def test_a_model_is_fitted_and_applied_beside_the_fixed_one(spark, monkeypatch,
     rows.collect()
     assert len(fitted) == 1 and len({id(m) for m in applied}) >= 2
     assert {"flag_is_sign"} <= set(rows.columns) or {"n_rows", "flagged_are_explained", "largest_gap"} <= set(rows.columns)
+
+
+def test_a_forest_is_fitted_though_numbers_repeat_or_are_missing(spark, tmp_path):
+    from test_features import make_events, to_df
+
+    from acctpulse.operators.features import feature_table
+    from acctpulse.plans import queries
+    from pyspark.sql import functions as F
+
+    table = feature_table(to_df(spark, make_events(61, n=80)))
+    table.unionByName(table).unionByName(table.withColumn("seq", F.lit(None).cast("long"))).write.parquet(str(tmp_path / "t"))
+    model = queries._forest_of(spark.read.parquet(str(tmp_path / "t")))
+    assert model.n_trees == 100 and model.nodes.query("node == 0")["rows"].eq(240).all()
