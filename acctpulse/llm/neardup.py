@@ -6,12 +6,18 @@ similarity. ``BANDS`` bands of ``ROWS`` samples give buckets; inside a bucket th
 Jaccard similarity decides, and linked documents form classes (connected components). With
 12 bands of 3 a pair of similarity 0.8 shares no bucket once in 3,000 times.
 
-idf is ln(1 + N / df), level below a share of ``RARE`` of all documents; N and df count distinct
-texts, so copies don't lower the weight of what they hold. So only
-shingles that many texts share weigh less, and only their counts are needed: a first pass
+idf is ln(1 + N / df); N and df count distinct texts, so copies don't lower the weight of what they
+hold. df is exact for every shingle. Near copies do raise it for what they share: by these weights alone
+sixty edits of one text are like nothing. So a pair is also linked if it is similar by
+weights that are level below a share of ``RARE`` of all documents; each of the two weights has its own
+bands, and neither loses a link of the other.
+
+Shingles in a share of ``RARE`` or more are counted by two passes over the texts and broadcast: the first
 notes what is frequent in any block of documents (what it can't have missed by the pigeonhole
-principle), a second one counts those exactly over all documents. There are at most 1.4 / RARE
-times as many as a document has shingles on average.
+principle), the second counts those exactly over all documents. There are at most 1.4 / RARE
+times as many as a document has shingles on average. All others are dealt by shingle and counted there,
+and none of them fills a task. Counts of two or more go back to their texts. A text of which
+what several texts hold weighs less than the similarity asked for is like no other, and has no bands.
 
 Equal texts are one document for all of this: one row of each is written, counted, signed and
 compared; copies are never paired. A bucket is compared in blocks of
@@ -48,6 +54,7 @@ RARE = 0.05
 BLOCK_ROWS = 2000
 BLOCK_BYTES = 8 << 20
 SAME = ["bytes", "crc", "hash"]
+SLICES = 2  # shingles are counted one half after the other, which halves the disk of their shuffle
 CELLS = 1 << 20  # counters of a shingle's documents; shared ones only make the order of rarity coarser
 
 
@@ -60,14 +67,25 @@ class Idf:
     df: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rare: float = RARE
 
-    def of(self, shingles: np.ndarray) -> np.ndarray:
-        weight = np.full(len(shingles), np.log1p(1 / self.rare))
+    def count(self, shingles: np.ndarray) -> np.ndarray:
+        """Documents of each; 0 if not listed."""
+        n = np.zeros(len(shingles), np.int64)
         if len(self.shingles):
             place = np.searchsorted(self.shingles, shingles)
             place[place == len(self.shingles)] = 0
             hit = np.flatnonzero(self.shingles[place] == shingles)
-            weight[hit] = np.log1p(self.docs / self.df[place[hit]])
-        return weight
+            n[hit] = self.df[place[hit]]
+        return n
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        """Weights that are level below ``rare``."""
+        n = self.count(shingles)
+        return np.where(n > 0, np.log1p(self.docs / np.maximum(n, 1)), np.log1p(1 / self.rare))
+
+
+def both_weights(df: np.ndarray, docs: int) -> np.ndarray:
+    """Two rows: idf by the exact counts, and level below a share of ``RARE``."""
+    return np.log1p(docs / np.stack([df, np.maximum(df, RARE * docs)]))
 
 
 def counted_shingles(words: arrays.Words, n_docs: int, k: int = SHINGLE):
@@ -148,6 +166,50 @@ def fit_idf(docs: DataFrame, rare: float = RARE) -> Idf:
     return Idf(total, h[order], np.array([r["n"] for r in counted], float)[order], rare)
 
 
+def shared_counts(texts: DataFrame, often: Idf) -> DataFrame:
+    """``cid`` and ``counts``: documents of each of its shingles that several hold, but for those in ``often``.
+
+    Each row of ``texts`` (cid, text) is a document.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(vars(often))  # bounded, see fit_idf
+
+    def counted(part: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            often = Idf(**shared.value)
+            for batch in batches:
+                for piece in arrays.blocks(batch, "text"):
+                    words = arrays.Words(*arrays.utf8(piece.column("text")))
+                    h, doc, _ = counted_shingles(words, piece.num_rows)
+                    use = h % np.uint64(SLICES) == part
+                    h, doc = h[use], doc[use]
+                    rest = often.count(h) == 0
+                    yield pa.RecordBatch.from_pydict(
+                        {"cid": piece.column("cid").take(pa.array(doc[rest])), "shingle": _signed(h[rest])})
+
+        each = texts.select("cid", "text").mapInArrow(run, "cid bigint, shingle bigint")
+        n = F.count("*").over(Window.partitionBy("shingle"))
+        return keep(each.withColumn("n", n).where(F.col("n") > 1), "shared-shingles")
+
+    held = counted(0)
+    for part in range(1, SLICES):
+        held = held.unionByName(counted(part))
+    return held.groupBy("cid").agg(F.collect_list(F.struct("shingle", "n")).alias("counts"))
+
+
+def _document_counts(h: np.ndarray, doc: np.ndarray, counts: pa.Array, often: Idf) -> np.ndarray:
+    """Documents of each shingle ``h`` of text ``doc``, ordered by both; ``counts`` as of ``shared_counts``."""
+    df = np.maximum(often.count(h), 1)
+    lengths = counts.value_lengths().fill_null(0).to_numpy()
+    flat = counts.flatten()
+    if len(flat):
+        shingles = np.concatenate([h, flat.field("shingle").to_numpy().view(np.uint64)])
+        owner = np.concatenate([doc, np.repeat(np.arange(len(counts)), lengths)])
+        order = np.lexsort((shingles, owner))  # stable: a count follows its shingle
+        at = np.flatnonzero(order >= len(h))
+        df[order[at - 1]] = flat.field("n").to_numpy()[order[at] - len(h)]
+    return df
+
+
 class Sampler:
     """Weighted samples; the random numbers of a shingle come from tables of 2 ** 16 draws."""
 
@@ -159,9 +221,12 @@ class Sampler:
         self.odd = draw.integers(1, 1 << 63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def sign(self, h: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """32-bit samples, one row per text; ``first`` has each text's first shingle."""
-        low, out = np.uint64(0xFFFF), np.zeros((len(first), len(self.odd)), np.uint64)
-        log = np.log(weight).astype(np.float32)
+        """32-bit samples, one row per text; ``first`` has each text's first shingle.
+
+        ``weight`` may have several rows; each gives samples of its own.
+        """
+        logs = np.log(np.atleast_2d(weight)).astype(np.float32)
+        low, out = np.uint64(0xFFFF), np.zeros((len(logs), len(first), len(self.odd)), np.uint64)
         for i, odd in enumerate(self.odd):
             x = h * odd
             x ^= x >> np.uint64(32)
@@ -169,13 +234,14 @@ class Sampler:
             rate = self.rate[(x >> np.uint64(48)).astype(np.int64)]
             cost = self.cost[((x >> np.uint64(32)) & low).astype(np.int64)]
             shift = self.shift[((x >> np.uint64(16)) & low).astype(np.int64)]
-            level = np.floor(log / rate + shift)
-            value = (cost - rate * (level - shift + np.float32(1))).view(np.int32)
-            sortable = (value ^ ((value >> 31) | np.int32(-(2**31)))).view(np.uint32)
-            name = (x ^ (level.astype(np.int64).view(np.uint64) * arrays.BASE)) * arrays.BASE
-            both = (sortable.astype(np.uint64) << np.uint64(32)) | (name >> np.uint64(32))
-            out[:, i] = np.minimum.reduceat(both, first) & np.uint64(0xFFFFFFFF)
-        return out
+            for log, samples in zip(logs, out, strict=True):
+                level = np.floor(log / rate + shift)
+                value = (cost - rate * (level - shift + np.float32(1))).view(np.int32)
+                sortable = (value ^ ((value >> 31) | np.int32(-(2**31)))).view(np.uint32)
+                name = (x ^ (level.astype(np.int64).view(np.uint64) * arrays.BASE)) * arrays.BASE
+                both = (sortable.astype(np.uint64) << np.uint64(32)) | (name >> np.uint64(32))
+                samples[:, i] = np.minimum.reduceat(both, first) & np.uint64(0xFFFFFFFF)
+        return out if np.ndim(weight) == 2 else out[0]
 
 
 def name_texts(docs: DataFrame, extra: list[str]) -> DataFrame:
@@ -190,7 +256,7 @@ def name_texts(docs: DataFrame, extra: list[str]) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """The first row of each text: row key, ``bytes``, ``crc``, ``hash``, ``text``; none of null texts.
+    """The first row of each text: row key, ``bytes``, ``crc``, ``hash``, ``text``, ``cid``; none of null texts.
 
     ``named`` has the row keys and text names of ``docs``. Only rows that have an earlier copy are looked
     up, so texts are shuffled only where these are many.
@@ -206,16 +272,18 @@ def one_of_each(docs: DataFrame, named: DataFrame) -> DataFrame:
     )
     again = keep(named.join(repeated, SAME).where(place != F.col("at")).select(*KEY), "copies")
     texts = docs.where(F.col("text").isNotNull()).join(again, KEY, "left_anti")
-    return keep(name_texts(texts.select(*KEY, "text"), ["text"]), "distinct-texts")
+    once = name_texts(texts.select(*KEY, "text"), ["text"])
+    return keep(once.withColumn("cid", F.monotonically_increasing_id()), "distinct-texts")
 
 
-def sign(texts: DataFrame, idf: Idf, bands: int = BANDS, rows: int = ROWS):
-    """Row key, ``bytes``, ``crc``, ``hash`` of each text, and ``bands``: a hash each.
+def sign(texts: DataFrame, idf: Idf, similarity: float, bands: int = BANDS, rows: int = ROWS):
+    """Row key, ``bytes``, ``crc``, ``hash``, ``cid`` of each text, ``df`` and ``bands``: a hash each.
 
-    ``bands`` is null for a text without words.
+    ``df`` has the documents of each of its shingles, ordered by hash. There are ``bands`` for either weight; they are
+    null for a text without words and for one that holds too little of other texts to be like any.
     """
     shared = texts.sparkSession.sparkContext.broadcast(vars(idf))  # bounded, see fit_idf
-    names = [*KEY, *SAME]
+    names = [*KEY, *SAME, "cid"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler, idf = Sampler(bands * rows), Idf(**shared.value)
@@ -223,21 +291,33 @@ def sign(texts: DataFrame, idf: Idf, bands: int = BANDS, rows: int = ROWS):
             for piece in arrays.blocks(batch, "text", 1 << 19):
                 words = arrays.Words(*arrays.utf8(piece.column("text")))
                 h, doc, tf = counted_shingles(words, piece.num_rows)
+                df = _document_counts(h, doc, piece.column("counts"), idf)
+                weight = (1 + np.log(tf)) * both_weights(df, idf.docs)
+                alike = np.zeros(piece.num_rows, bool)
+                for w in weight:
+                    total = np.bincount(doc, w, piece.num_rows)
+                    common = np.bincount(doc, w * (df > 1), piece.num_rows)
+                    alike |= (total > 0) & (common >= (similarity - 1e-6) * total)
                 lists: list = [None] * piece.num_rows
-                if len(h):
-                    weight = (1 + np.log(tf)) * idf.of(h)
-                    have, first = np.unique(doc, return_index=True)
-                    samples = sampler.sign(h, weight, first).reshape(len(have), bands, rows)
-                    band = np.zeros((len(have), bands), np.uint64)
+                if alike.any():
+                    use = alike[doc]
+                    have, first = np.unique(doc[use], return_index=True)
+                    samples = sampler.sign(h[use], weight[:, use], first)
+                    samples = samples.reshape(2, len(have), bands, rows).transpose(1, 0, 2, 3)
+                    samples = samples.reshape(len(have), 2 * bands, rows)
+                    band = np.zeros((len(have), 2 * bands), np.uint64)
                     for j in range(rows):
                         band = arrays.mix(band * arrays.BASE + samples[:, :, j] + np.uint64(1))
                     for d, hashes in zip(have.tolist(), band.view(np.int64).tolist(), strict=True):
                         lists[d] = hashes
-                cols = [piece.column(c) for c in names] + [pa.array(lists, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, [*names, "bands"])
+                cuts = np.searchsorted(doc, np.arange(piece.num_rows + 1))
+                dfs = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(df).cast(pa.int32()))
+                cols = [piece.column(c) for c in names] + [dfs, pa.array(lists, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, [*names, "df", "bands"])
 
     kinds = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in names)
-    return texts.select(*names, "text").mapInArrow(run, f"{kinds}, bands array<bigint>")
+    counted = texts.join(shared_counts(texts, idf), "cid", "left")
+    return counted.select(*names, "text", "counts").mapInArrow(run, f"{kinds}, df array<int>, bands array<bigint>")
 
 
 class Bucket:
@@ -250,7 +330,8 @@ class Bucket:
     def links(self, similarity: float) -> list[tuple[int, int]]:
         n = len(self.ids)
         lengths = np.diff(self.first)
-        total = np.add.reduceat(np.append(self.weight, 0.0), self.first[:-1]) * (lengths > 0)
+        padded = np.pad(self.weight, ((0, 0), (0, 1)))
+        total = np.add.reduceat(padded, self.first[:-1], axis=1) * (lengths > 0)
         owner = np.repeat(np.arange(n), lengths)
         order = np.argsort(self.feature, kind="stable")
         feature, holder = self.feature[order], owner[order]
@@ -273,14 +354,16 @@ class Bucket:
             mine = slice(self.first[u], self.first[u + 1])
             runs = place[mine]
             more = size[runs] > 1
-            runs, w = runs[more], self.weight[mine][more]
+            runs, weight = runs[more], self.weight[:, mine][:, more]
             if not len(runs):
                 continue
             sizes = size[runs]
             ends = np.cumsum(sizes)
             at = np.arange(ends[-1]) + np.repeat(begin[runs] - (ends - sizes), sizes)
-            common = np.bincount(holder[at], np.repeat(w, sizes), n)
-            alike = common >= (similarity - 1e-9) * (total[u] + total - common)
+            alike = np.zeros(n, bool)
+            for w, all_ in zip(weight, total, strict=True):
+                common = np.bincount(holder[at], np.repeat(w, sizes), n)
+                alike |= common >= (similarity - 1e-9) * (all_[u] + all_ - common)
             if self.sides is not None:
                 alike &= self.sides != self.sides[u]
             for v in np.flatnonzero(alike[u + 1 :]) + u + 1:
@@ -291,10 +374,10 @@ class Bucket:
         return out
 
 
-def _features(texts: pa.Array, idf: Idf):
-    """Each text as a set of weighted features whose overlap is the overlap of weighted shingles.
+def _features(texts: pa.Array, df: pa.Array, docs: int):
+    """Each text as a set of features, by either weight, whose overlap is the overlap of weighted shingles.
 
-    A shingle that occurs tf times is tf features, the j-th with what the j-th occurrence adds.
+    A shingle that occurs tf times is tf features, the j-th with what the j-th occurrence adds. ``df`` as of ``sign``.
     """
     words = arrays.Words(*arrays.utf8(texts))
     h, doc, tf = counted_shingles(words, len(texts))
@@ -302,24 +385,24 @@ def _features(texts: pa.Array, idf: Idf):
     gain = np.where(level > 1, np.log(level) - np.log(np.maximum(level - 1, 1)), 1.0)
     feature = arrays.mix(np.repeat(h, tf) + level.astype(np.uint64) * arrays.BASE)
     owner = np.repeat(doc, tf)
-    return feature, gain * np.repeat(idf.of(h), tf), np.searchsorted(owner, np.arange(len(texts) + 1))
+    weight = both_weights(df.flatten().to_numpy(), docs)
+    return feature, gain * np.repeat(weight, tf, axis=1), np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
-def compare(members: DataFrame, idf: Idf, similarity: float) -> DataFrame:
-    """Links ``a``, ``b`` inside each ``bucket`` of ``members`` (cid, text, side).
+def compare(members: DataFrame, docs: int, similarity: float) -> DataFrame:
+    """Links ``a``, ``b`` inside each ``bucket`` of ``members`` (cid, text, df, side).
 
     Rows of a bucket follow each other in one task, and only one bucket is held at a time. If
     ``side`` is not null, only pairs of different sides count.
     """
-    shared = members.sparkSession.sparkContext.broadcast(vars(idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name, idf = [], None, Idf(**shared.value)
+        held, name = [], None
 
         def done():
             rows = pa.Table.from_batches(held).combine_chunks()
             side = rows["side"].to_numpy()
-            feature, weight, first = _features(rows["text"].combine_chunks(), idf)
+            feature, weight, first = _features(rows["text"].combine_chunks(), rows["df"].combine_chunks(), docs)
             bucket = Bucket(rows["cid"].to_pylist(), None if np.isnan(
                 side.astype(float)).any() else side, feature, weight, first)
             found = bucket.links(similarity)
@@ -343,56 +426,55 @@ def compare(members: DataFrame, idf: Idf, similarity: float) -> DataFrame:
             yield done()
 
     dealt = members.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.select("bucket", "cid", "text", "side").mapInArrow(run, "a bigint, b bigint")
+    return dealt.select("bucket", "cid", "text", "df", "side").mapInArrow(run, "a bigint, b bigint")
 
 
-def rare_prefixes(texts: DataFrame, idf: Idf, similarity: float) -> DataFrame:
+def rare_prefixes(texts: DataFrame, docs: int, similarity: float) -> DataFrame:
     """``cid`` and ``h``: of each text the first features, by rarity, that every similar text shares one of.
 
-    ``texts`` (cid, text) is a written table. Features that two texts share weigh ``similarity`` of the heavier at least, so
+    ``texts`` (cid, text, df) is a written table. Features that two texts share weigh ``similarity`` of the heavier at least, so
     those before the first shared one weigh less than the rest of it.
     """
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(vars(idf))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, seen = Idf(**shared.value), np.zeros(CELLS, np.int64)
+        seen = np.zeros(CELLS, np.int64)
         for batch in batches:
             for piece in arrays.blocks(batch, "text"):
-                h, _, _ = _features(piece.column("text"), idf)
+                h, _, _ = _features(piece.column("text"), piece.column("df"), docs)
                 seen += np.bincount((h % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"cell": at, "n": seen[at]})
 
-    told = texts.select("text").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    told = texts.select("text", "df").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     told = told.toArrow()  # CELLS rows at most
     seen = np.zeros(CELLS, np.int64)
     seen[told["cell"].to_numpy()] = told["n"].to_numpy()
     often = spark.sparkContext.broadcast(seen)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf = Idf(**shared.value)
         for batch in batches:
             for piece in arrays.blocks(batch, "text"):
-                h, weight, begin = _features(piece.column("text"), idf)
+                h, weight, begin = _features(piece.column("text"), piece.column("df"), docs)
                 owner = np.repeat(np.arange(piece.num_rows), np.diff(begin))
                 order = np.lexsort((h, often.value[(h % np.uint64(CELLS)).astype(np.int64)], owner))
-                h, weight = h[order], weight[order]
-                upto = np.concatenate([[0.0], np.cumsum(weight)])
-                total = upto[begin[1:]] - upto[begin[:-1]]
-                before = upto[:-1] - upto[begin[:-1]][owner]
-                kept = before <= ((1 - similarity) * total + 1e-6)[owner]
+                h, kept = h[order], np.zeros(len(h), bool)
+                for w in weight:
+                    upto = np.concatenate([[0.0], np.cumsum(w[order])])
+                    total = upto[begin[1:]] - upto[begin[:-1]]
+                    before = upto[:-1] - upto[begin[:-1]][owner]
+                    kept |= before <= ((1 - similarity) * total + 1e-6)[owner]
                 yield pa.RecordBatch.from_pydict(
                     {"cid": piece.column("cid").take(pa.array(owner[kept])), "h": _signed(h[kept])})
 
-    return texts.select("cid", "text").mapInArrow(first, "cid bigint, h bigint")
+    return texts.select("cid", "text", "df").mapInArrow(first, "cid bigint, h bigint")
 
 
 def links_by_prefix(
-    texts: DataFrame, labels: DataFrame, idf: Idf, similarity: float, block_rows: int, block_bytes: int
+    texts: DataFrame, labels: DataFrame, docs: int, similarity: float, block_rows: int, block_bytes: int
 ) -> DataFrame:
-    """Links between ``texts`` (cid, text) of different ``label`` (cid, bytes, label)."""
-    found = keep(rare_prefixes(texts, idf, similarity).join(labels, "cid"), "prefixes")
+    """Links between ``texts`` (cid, text, df) of different ``label`` (cid, bytes, label)."""
+    found = keep(rare_prefixes(texts, docs, similarity).join(labels, "cid"), "prefixes")
     groups = (
         found.groupBy("h")
         .agg(
@@ -418,7 +500,7 @@ def links_by_prefix(
         "cid", F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"),
         F.col("block").alias("side"),
     )
-    return compare(inside.unionByName(across).join(texts, "cid"), idf, similarity)
+    return compare(inside.unionByName(across).join(texts, "cid"), docs, similarity)
 
 
 def near_duplicates(
@@ -436,9 +518,7 @@ def near_duplicates(
     named = keep(name_texts(docs, ["doc_id", *extra]), "named")
     once = one_of_each(docs, named)
     idf = fit_idf(once)
-    classes = keep(
-        sign(once, idf).withColumn("cid", F.monotonically_increasing_id()), "signed"
-    )
+    classes = keep(sign(once, idf, similarity), "signed")
     spread = classes.where(F.col("bands").isNotNull()).select(
         "cid", "bytes", F.posexplode("bands").alias("band", "value")
     )
@@ -466,16 +546,11 @@ def near_duplicates(
         ),
         "members",
     )
-    involved = members.select("cid").distinct().join(classes.select("cid", *KEY), "cid")
-    texts = keep(
-        once.select(*KEY, "text")
-        .join(involved, KEY)
-        .select("cid", "text"),
-        "texts",
-    )
+    involved = members.select("cid").distinct().join(classes.select("cid", "df"), "cid")
+    texts = keep(once.select("cid", "text").join(involved, "cid"), "texts")
     name = F.xxhash64("band", "value", "block")
     inside = members.select("cid", name.alias("bucket"), F.lit(None).cast("bigint").alias("side"))
-    links = keep(compare(inside.join(texts, "cid"), idf, similarity), "links")
+    links = keep(compare(inside.join(texts, "cid"), idf.docs, similarity), "links")
     roots = components(links)
     wide = members.where(F.col("blocks") > 1)
     if not wide.isEmpty():
@@ -491,7 +566,7 @@ def near_duplicates(
             known = known.join(roots, F.col("cid") == F.col("node"), "left").select(
                 "cid", "bytes", F.coalesce("root", "cid").alias("label"))
             open_texts = keep(texts.join(open_ids, "cid", "left_semi"), "unsettled-texts")
-            more = links_by_prefix(open_texts, known, idf, similarity, block_rows, block_bytes)
+            more = links_by_prefix(open_texts, known, idf.docs, similarity, block_rows, block_bytes)
             roots = components(keep(links.unionByName(more), "all-links"))
     labels = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         *SAME, F.coalesce("root", "cid").alias("label")

@@ -171,3 +171,34 @@ def test_a_shared_passage_costs_in_proportion_to_its_documents(spark, monkeypatc
         assert {r[0]: r[2] for r in got} == {r[0]: 2 if r[0] % 10 == 0 else 1 for r in data}
         sums.append(sum(handed))
     assert sums[2] < 2.6 * sums[1] < 2.6 * 2.6 * sums[0], sums
+
+
+def test_every_shingle_weighs_by_its_count(spark):
+    """Texts that share a rare passage and differ in lines that a few texts hold: alike by exact counts only."""
+    rng = random.Random(4)
+    lines = [corpus.text(rng, "fr", 16) for _ in range(2)]
+    passage = corpus.text(rng, "en", 100)
+    data = [(i, corpus.text(rng, "de", 40) + "\n" + lines[i % 2], "de", "s", 0) for i in range(72)]
+    data += [(100 + i, corpus.text(rng, "en", 40), "en", "s", 0) for i in range(720)]
+    data += [(5000 + i, passage + "\n" + lines[i], "en", "s", 0) for i in range(2)]
+    sets = [shingles(r[1]) for r in data]
+    df = collections.Counter(s for c in sets for s in c)
+    assert max(df.values()) < neardup.RARE * len(data)
+    a, b = ({s: (1 + np.log(n)) * np.log1p(len(data) / df[s]) for s, n in c.items()} for c in sets[-2:])
+    common = sum(min(w, b[s]) for s, w in a.items() if s in b)
+    assert common >= 0.8 * (sum(a.values()) + sum(b.values()) - common)
+    got, _ = classes(spark, data)
+    assert [r for r in got if r[0] >= 5000] == [(5000, 5000, 2), (5001, 5000, 2)]
+    assert all(r[2] == 1 for r in got if r[0] < 5000)
+
+
+def test_counts_of_all_shingles_are_exact(spark):
+    data = corpus.rows(200, 13) + [(9000 + i, "a common line of words " + str(i), "en", "s", 0) for i in range(50)]
+    data += [(9500 + i, "one of two " * 3, "en", "s", 0) for i in range(2)]
+    docs = with_row_key(corpus.frame(spark, data).repartition(7))
+    once = neardup.one_of_each(docs, neardup.keep(neardup.name_texts(docs, ["doc_id"]), "named"))
+    signed = neardup.sign(once, neardup.fit_idf(once), 0.8).join(once.select("cid", "text"), "cid").collect()
+    df = collections.Counter(s for r in signed for s in shingles(r["text"]))
+    assert len(signed) == len({r[1] for r in data if r[1] is not None})
+    for r in signed:
+        assert sorted(r["df"]) == sorted(df[s] for s in shingles(r["text"]))
