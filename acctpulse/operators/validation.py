@@ -38,7 +38,11 @@ def with_reject_reason(df: DataFrame) -> DataFrame:
 
 def validate_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with ``reject_reason``); no row is lost."""
-    checked = with_reject_reason(df)
+    return split_checked(with_reject_reason(df))
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for rows that have their ``reject_reason`` already."""
     valid = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return valid, checked.where(F.col("reject_reason").isNotNull())
 

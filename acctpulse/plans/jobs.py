@@ -15,7 +15,12 @@ from acctpulse.models.explain import CONTRIBUTION_TYPE, score_and_explain, topn_
 from acctpulse.models.forest import with_labels
 from acctpulse.operators import reports
 from acctpulse.operators.features import AccountState, feature_table
-from acctpulse.operators.validation import fill_missing, require_columns, validate_split
+from acctpulse.operators.validation import (
+    fill_missing,
+    require_columns,
+    split_checked,
+    with_reject_reason,
+)
 from acctpulse.operators.windows import FeatureConfig
 from acctpulse.session import scratch_path
 
@@ -48,6 +53,21 @@ def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def checked_once(events: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(valid rows with the ``needed`` columns, rejected rows with all and their reason).
+
+    Parsing and rules cost more than reading, and a job reads its events several times, so they are checked in one
+    pass and written once; columns that are not needed are kept for rejected rows only.
+    """
+    checked = with_reject_reason(events)
+    broken = F.col("reject_reason").isNotNull()
+    kept = {c.strip("`").lower() for c in [*needed, "reject_reason"]}
+    rest = [c for c in events.columns if c.lower() not in kept]
+    checked = checked.withColumns({c: F.when(broken, F.col(f"`{c}`")) for c in rest})
+    valid, rejects = split_checked(written(checked, "checked"))
+    return valid.select(*needed), rejects
+
+
 def train_job(
     events: DataFrame,
     model_type: str = "IsolationForest",
@@ -59,7 +79,8 @@ def train_job(
     cfg = cfg or FeatureConfig()
     select.check(model_type)
     require_columns(events, [schema.SEQ, *schema.REQUIRED_COLUMNS])
-    valid, rejects = validate_split(events)
+    needed = [schema.SEQ, *schema.REQUIRED_COLUMNS]
+    valid, rejects = checked_once(events.select(*needed), needed)
     features = feature_table(valid, cfg).select(
         schema.SEQ, "account_number", *cfg.feature_columns
     )
@@ -102,7 +123,7 @@ def score_job(
     reads only the flag of what was written, and says how many events were read and rejected.
     """
     cfg = cfg or FeatureConfig()
-    valid, rejects = validate_split(events)
+    valid, rejects = checked_once(events, list(dict.fromkeys([schema.SEQ, *schema.REQUIRED_COLUMNS, *keep])))
     rejects = written(rejects, "rejects", f"{output.rstrip('/')}-rejects" if output else None)
     table = fill_missing(feature_table(valid, cfg, keep, state), cfg.feature_columns)
     if select.explains(model):

@@ -131,6 +131,12 @@ def test_one_exchange(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_sorts_begin_with_a_number(spark):
+    plan = feature_table(to_df(spark, make_events(17)))._jdf.queryExecution().executedPlan().toString()
+    sorts = [line.split("Sort [")[1] for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all(s.startswith("_key_hash") for s in sorts)
+
+
 def test_unused_windows_are_pruned(spark):
     df = feature_table(to_df(spark, make_events(18))).select("seq", "txn_count_30s")
     plan = df._jdf.queryExecution().executedPlan().toString()

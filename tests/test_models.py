@@ -106,6 +106,16 @@ def test_contributions_are_shapley_values(points, model):
         assert phi.sum() + explain.base_value(groups) == pytest.approx(walk(small, row))
 
 
+def test_contributions_do_not_depend_on_other_rows(points, model):
+    groups = explain.leaf_boxes(model)
+    x = points.limit(2 * explain.ROWS_AT_ONCE + 3).toPandas()[FEATURES].to_numpy()
+    together = explain.contributions(x, groups, 4)
+    assert len(x) > 2 * explain.ROWS_AT_ONCE
+    assert (together == [explain.contributions(r[None, :], groups, 4)[0] for r in x]).all()
+    gap = together.sum(axis=1) + explain.base_value(groups) - forest.mean_path(x, model.packed())
+    assert abs(gap).max() < 1e-9
+
+
 def test_explain_flagged(points, model):
     rows = explain.score_and_explain(points, model, 3).collect()
     scores = {r["seq"]: r["anomaly_score"] for r in forest.score_forest(points, model).collect()}

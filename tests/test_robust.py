@@ -8,9 +8,11 @@ from test_features import make_events, to_df
 from test_streaming import drain, feed, source
 
 from acctpulse import schema, session
+from acctpulse.functions.scalar import finite_or_zero
 from acctpulse.models import forest
 from acctpulse.operators import lookups
 from acctpulse.operators.features import feature_table
+from acctpulse.operators.validation import validate_split
 from acctpulse.plans import jobs
 from acctpulse.sources import readers
 from acctpulse.sources.writers import write_stream
@@ -54,6 +56,44 @@ def test_jobs_account_for_every_row(spark, tmp_path):
     assert "missing posting_timestamp" in reasons and None not in reasons
 
 
+def test_jobs_read_their_events_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = untimed(spark)
+    events, n = rows.mapInArrow(counted, rows.schema), rows.count()
+    trained = jobs.train_job(events, params={"n_estimators": 5})
+    assert read.value == n
+    result = jobs.score_job(events, trained.model)
+    assert result.scored.count() + result.rejects.count() == n
+    assert read.value == 2 * n
+
+
+def test_scored_and_rejected_rows_keep_their_columns(spark):
+    rows = untimed(spark).withColumns({"Note": F.concat(F.lit("n"), schema.SEQ), "odd.name": F.lit(1)})
+    rows = rows.withColumnRenamed(schema.SEQ, "SEQ")  # names are the same whatever their case
+    trained = jobs.train_job(rows.withColumnRenamed("SEQ", schema.SEQ), params={"n_estimators": 5})
+    result = jobs.score_job(rows, trained.model, keep=["Note", "`odd.name`"])
+    valid, rejects = validate_split(rows)
+    assert result.rejects.columns == rejects.columns
+    assert result.rejects.exceptAll(rejects).count() == rejects.exceptAll(result.rejects).count() == 0
+    want = valid.select(schema.SEQ, "Note", "`odd.name`")
+    got = result.scored.select(schema.SEQ, "Note", "`odd.name`")
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.count()
+
+
+def test_missing_and_infinite_numbers_become_zero(spark):
+    values = [None, float("nan"), float("inf"), -float("inf"), 1.5, -2.0, 0.0]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i")
+    got = {b: [r[0] for r in rows.select(finite_or_zero(F.col("v"), b)).collect()] for b in (True, False)}
+    assert got[True] == [0.0, 0.0, 0.0, 0.0, 1.5, -2.0, 0.0]
+    assert got[False] == [0.0, 0.0, float("inf"), -float("inf"), 1.5, -2.0, 0.0]
+
+
 def test_a_row_without_an_amount_does_not_stop_a_stream(spark, tmp_path):
     events = sorted(make_events(42, n=60), key=lambda e: (e["us"], e["seq"]))
     src, out, cp = (str(tmp_path / d) for d in ("src", "out", "cp"))
