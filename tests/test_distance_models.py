@@ -203,3 +203,94 @@ def test_a_fit_maps_rows_quickly_and_nearly_as_scores_do(monkeypatch):
     monkeypatch.setattr(np, "cos", lambda a: kinds.append((a.dtype, len(a))) or cos(a))
     ocsvm.nearly_mapped(x, w, b)
     assert {k for k, _ in kinds} == {np.dtype(np.float32)} and max(n for _, n in kinds) <= 256
+
+
+def a_block(x, centers, k, self_free=True, own_only=False):
+    """An index of rows ``x`` with the given centres, and a block of all of them as queries."""
+    own = knn.squared(x, centers)[0].argmin(axis=1)
+    apart = np.sqrt(((x[:, None] - centers[None]) ** 2).sum(axis=2))
+    inside = own[:, None] == np.arange(len(centers))
+    low, high = np.where(inside, apart, np.inf).min(axis=0), np.where(inside, apart, -np.inf).max(axis=0)
+    index = knn.PivotIndex(centers, np.zeros(0, np.int64), np.zeros((len(centers), 0)), np.zeros((len(centers), 0)), high, inside.sum(axis=0))
+    block = knn.Block(index, k, self_free, own_only)
+    return index, block, own
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda rng: rng.normal(size=(900, 8)),
+        lambda rng: rng.normal(size=(900, 8)).astype(np.float32).astype(float),
+        lambda rng: rng.integers(0, 3, (900, 4)).astype(float),  # many equal distances
+        lambda rng: 1e6 + rng.normal(size=(900, 8)) * np.where(rng.random((900, 1)) < 0.5, 1e-4, 1.0),
+        lambda rng: rng.normal(size=(900, 8)) * 1e25,
+        lambda rng: rng.normal(size=(900, 8)) * 1e-25,
+    ],
+)
+def test_a_block_finds_the_nearest_of_what_passes_by(make):
+    rng = np.random.default_rng(11)
+    x = make(rng)
+    copies = rng.integers(1, 4, len(x))
+    centers = x[:7].copy()
+    index, block, own = a_block(x, centers, 9)
+    block.ask(np.arange(len(x)), own, x, np.full(len(x), np.inf))
+    block.own = np.full(len(x), -1)
+    for c in range(7):
+        at = np.flatnonzero(own == c)
+        for part in np.array_split(at, 3):
+            if block.qid is None:
+                block.begin()
+                block.own = np.full(len(x), -1)  # no cell was visited before
+            block.meet(c, part, copies[part], x[part])
+    (run, lists), = list(block.end())
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for q in range(len(x)):
+        times = copies - (np.arange(len(x)) == q)
+        order = np.lexsort((np.arange(len(x)), dist[q]))
+        order = order[times[order] > 0]
+        before = np.cumsum(times[order]) - times[order]
+        want = order[before < 9][:9]
+        assert lists["rids"][q].as_py() == want.tolist()
+        assert lists["dists"][q].as_py() == dist[q, want].tolist()
+        assert lists["times"][q].as_py() == times[want].tolist()
+
+
+def test_packed_vectors_are_the_same():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    small = rng.normal(size=(5, 3)).astype(np.float32).astype(float)
+    for v in (small, rng.normal(size=(5, 3)), np.concatenate([small, rng.normal(size=(4, 3)), small * 1e300])):
+        p = knn.packed(v)
+        assert (knn.unpacked(p, 3) == v).all() and (knn.unpacked(p.slice(2, 3), 3) == v[2:5]).all()
+    sizes = [len(b) for b in pa.array(knn.packed(small)).to_pylist()]
+    assert sizes == [12] * 5
+
+
+def test_cells_are_dealt_in_parts_of_bounded_size():
+    rows = np.array([5, 30, 4, 0, 6, 12])
+    first, parts = knn.dealt(rows, np.array([0, 2, 3, 1, 4, 5]), 10)
+    assert parts.tolist() == [1, 3, 1, 1, 1, 2]
+    held = {}
+    for c in range(len(rows)):
+        for p in range(first[c], first[c] + parts[c]):
+            held[p] = held.get(p, 0) + rows[c] / parts[c]
+    assert max(held.values()) <= 10
+    assert first[0] == first[2] == first[3] and first[1] != first[0] and first[5] != first[4]
+
+
+def test_a_cell_is_sent_once_to_a_block_of_queries(spark, monkeypatch):
+    """Without structure each query reaches each cell; what is sent does not grow with queries times cells."""
+    monkeypatch.setattr(knn, "CELL_ROWS", 20)
+    monkeypatch.setattr(knn, "BLOCK_LEAST", 500)
+    sent = []
+    compared = knn._compared
+    monkeypatch.setattr(knn, "_compared", lambda s, *rest: sent.append(s.count()) or compared(s, *rest))
+    x = np.random.default_rng(8).normal(size=(2000, 64))
+    refs, index = knn.build_index(vectors_df(spark, x, "rid").repartition(3), len(x))
+    visits = []
+    queries = refs.select(F.col("rid").alias("qid"), "v")
+    got = knn.neighbours(queries, refs, index, 5, self_free=True, visits=visits).groupBy("qid").count().collect()
+    assert len(got) == 2000 and {r["count"] for r in got} == {5}
+    assert sum(visits) > 100_000  # pairs of a query and a cell
+    assert sum(sent) < 30_000
