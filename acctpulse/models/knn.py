@@ -43,6 +43,8 @@ BLOCK = 1024
 BLOCK_BYTES, GROUP_BYTES, BLOCK_LEAST = 1 << 26, 1 << 27, 1024
 #: Tasks for each core, where blocks are large enough for that, and the most partitions for them.
 TASKS_PER_CORE, MOST_TASKS = 3, 1 << 14
+#: Parts are so much larger than an even share, as cells do not fill them and the rest would be a part of its own.
+DEALT = 1.1
 #: A slice with more candidates than this for each neighbour asked for is looked at again with a nearer limit.
 CANDIDATES = 4
 #: Candidates that are measured at once.
@@ -632,12 +634,26 @@ def neighbours(
     k: int,
     self_free: bool = False,
     visits: list | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Exact k nearest reference rows of every query as (qid, rid, dist, copies).
 
     ``queries``: qid, v; a written table.  ``refs``: rid, copies, v, cell.  ``visits`` receives the number of
-    visited (query, cell) pairs of each round.
+    visited (query, cell) pairs of each round.  ``known``: the neighbours of all reference rows, of which none counts
+    itself, as this function returns them; ids of rows must differ.  A query equal to a row has these and the row.
     """
+    if known is not None:
+        rows = refs.select("v", "rid", F.col("copies").alias("times"))
+        met = queries.join(rows, "v", "left")
+        met = _written(met.select("qid", "rid", "times", F.when(F.col("rid").isNull(), F.col("v")).alias("v")))
+        equal = met.where("rid IS NOT NULL").select("qid", F.col("rid").alias("row"), "times")
+        own = equal.select("qid", F.col("row").alias("rid"), F.lit(0.0).alias("dist"), F.col("times").alias("copies"))
+        others = equal.join(known.withColumnRenamed("qid", "row"), "row").where("rid <> row")
+        best = own.unionByName(others.select("qid", "rid", "dist", "copies"))
+        rest = met.where("rid IS NULL").select("qid", "v")
+        if not rest.isEmpty():
+            best = best.unionByName(neighbours(rest, refs, index, k, self_free, visits))
+        return _written(first_k(best, k))
     spark, cells, width = queries.sparkSession, len(index.centers), index.centers.shape[1]
     cores = spark.sparkContext.defaultParallelism
     order, one = neighbourly(index.centers), np.ones(cells, np.int64)
@@ -647,10 +663,10 @@ def neighbours(
         rows[own] = n
     # Tasks are blocks times groups.  A group sends a block's queries and their best rows again, a block all rows it reaches.
     asks, tasks = int(rows.sum()), TASKS_PER_CORE * cores
-    most = max(BLOCK_LEAST, -(-int(index.rows.sum()) // math.ceil(math.sqrt(tasks / 6))))
+    most = max(BLOCK_LEAST, math.ceil(DEALT * int(index.rows.sum()) / math.ceil(math.sqrt(tasks / 6))))
     first_group, parts = dealt(index.rows, order, max(1, min(most, GROUP_BYTES // (8 * width + 16))))
     groups = int((first_group + parts).max())
-    most = min(max(BLOCK_LEAST, -(-asks * groups // tasks)), BLOCK_BYTES // (8 * width + 24 * k))
+    most = min(max(BLOCK_LEAST, math.ceil(DEALT * asks * groups / tasks)), BLOCK_BYTES // (8 * width + 24 * k))
     first_block, shares = dealt(rows, order, max(1, most))
     blocks = int((first_block + shares).max())
     shared = spark.sparkContext.broadcast(vars(index))

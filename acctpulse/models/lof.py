@@ -33,6 +33,7 @@ class LofModel:
     k: int
     rows: int  # distinct training rows
     offset: float = -1.5
+    near: DataFrame | None = None  # the training rows' neighbours, after a fit whose rows have ids of their own
 
     kind = "LocalOutlierFactor"
 
@@ -106,7 +107,7 @@ def fit_lof(
     unique = cut_lineage(
         x.groupBy("v").agg(F.min(schema.SEQ).cast("bigint").alias("rid"), F.count("*").alias("copies"))
     )
-    n_unique, rows = unique.agg(F.count("*"), F.sum("copies")).first()
+    n_unique, rows, ids = unique.agg(F.count("*"), F.sum("copies"), F.count_distinct("rid")).first()
     k = max(1, min(n_neighbors, (rows or 0) - 1))
     refs, index = knn.build_index(unique, n_unique)
     queries = refs.select(F.col("rid").alias("qid"), "v")
@@ -119,6 +120,8 @@ def fit_lof(
     trained.write.parquet(path)
     trained = df.sparkSession.read.parquet(path)
     model = LofModel(features, trained, index, center, width, k, n_unique)
+    if ids == n_unique:
+        model.near = hits
     if contamination != "auto":
         raw = _factor(hits, trained.select("rid", "lrd"), lrd).join(
             trained.select(F.col("rid").alias("qid"), "copies"), "qid"
@@ -129,10 +132,14 @@ def fit_lof(
 
 
 def score_lof(df: DataFrame, model: LofModel) -> DataFrame:
-    """Adds score, label and flag to every row (keyed by seq)."""
+    """Adds score, label and flag to every row (keyed by seq).
+
+    Rows equal to a training row take their neighbours from the fit; all others are searched for, as are all with a
+    loaded model.
+    """
     queries = vectors(df, model.features, model.center, model.width)
     queries = cut_lineage(queries.select(F.col(schema.SEQ).cast("bigint").alias("qid"), "v"))
-    hits = knn.neighbours(queries, model.refs, model.index, model.k)
+    hits = knn.neighbours(queries, model.refs, model.index, model.k, known=model.near)
     own = _density(hits, model.refs.select("rid", "kdist"))
     raw = _factor(hits, model.refs.select("rid", "lrd"), own).select(
         F.col("qid").alias(schema.SEQ), (F.col("raw") - F.lit(model.offset)).alias("anomaly_score")

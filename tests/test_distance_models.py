@@ -294,3 +294,26 @@ def test_a_cell_is_sent_once_to_a_block_of_queries(spark, monkeypatch):
     assert len(got) == 2000 and {r["count"] for r in got} == {5}
     assert sum(visits) > 100_000  # pairs of a query and a cell
     assert sum(sent) < 30_000
+
+
+def test_scores_of_training_rows_need_no_second_search(spark, monkeypatch):
+    train = points(4, n=400, copies=30)
+    rng = np.random.default_rng(9)
+    asked = np.concatenate([train[rng.permutation(400)], rng.normal(size=(50, 3)) * [6, 2, 1], train[:3]])
+    model = lof.fit_lof(to_df(spark, train), FEATURES, n_neighbors=10, contamination=0.5)
+    searched = []
+    placed = knn._own_cells
+    monkeypatch.setattr(knn, "_own_cells", lambda q, index: searched.append(q.count()) or placed(q, index))
+    got = [r["anomaly_score"] for r in lof.score_lof(to_df(spark, asked), model).orderBy("seq").collect()]
+    assert searched == [50]
+    raw = brute_lof(train, asked, 10)[1]
+    assert got == pytest.approx((raw - model.offset).tolist(), rel=1e-9)
+    model.near = None  # as in a loaded model
+    again = [r["anomaly_score"] for r in lof.score_lof(to_df(spark, asked), model).orderBy("seq").collect()]
+    assert again == pytest.approx(got, rel=1e-12) and searched == [50, 453]
+
+
+def test_training_rows_that_share_an_id_are_searched_for(spark):
+    train = points(4, n=60, copies=0)
+    df = to_df(spark, train).withColumn("seq", F.col("seq") % 59)
+    assert lof.fit_lof(df, FEATURES, n_neighbors=5).near is None
